@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from scholarspark.plans import records
+from scholarspark.plans import records, search
 from scholarspark.plans.oracle import RECORDS
+from scholarspark.plans.oracle_search import SEARCH
 
 QUERIES = {}
 ORACLE_SQL = {}
 
 QUERIES.update(records.QUERIES)
 ORACLE_SQL.update(RECORDS)
+QUERIES.update(search.QUERIES)
+ORACLE_SQL.update(SEARCH)
