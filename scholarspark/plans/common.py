@@ -14,16 +14,16 @@ ROUND = 6
 
 
 def tidy(df: DataFrame) -> DataFrame:
-    """Output types shared with the SQL oracle: integers -> bigint, floats -> double,
-    dates/timestamps -> ISO text."""
+    """Output types shared with the SQL oracle: integers -> bigint, floats -> double rounded
+    to 6 decimals, dates/timestamps -> ISO text."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         t = f.dataType
         if isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
-        elif isinstance(t, (T.FloatType, T.DecimalType)):
-            c = c.cast("double")
+        elif isinstance(t, (T.FloatType, T.DecimalType, T.DoubleType)):
+            c = F.round(c.cast("double"), ROUND)
         elif isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             c = c.cast("string")
         cols.append(c.alias(f.name))

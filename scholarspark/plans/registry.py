@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from scholarspark.plans import records, search
+from scholarspark.plans import records, search, stats
 from scholarspark.plans.oracle import RECORDS
 from scholarspark.plans.oracle_search import SEARCH
+from scholarspark.plans.oracle_stats import STATS
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -13,3 +14,5 @@ QUERIES.update(records.QUERIES)
 ORACLE_SQL.update(RECORDS)
 QUERIES.update(search.QUERIES)
 ORACLE_SQL.update(SEARCH)
+QUERIES.update(stats.QUERIES)
+ORACLE_SQL.update(STATS)
