@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from scholarspark.plans import records, search, stats
+from scholarspark.plans import records, search, stats, text
 from scholarspark.plans.oracle import RECORDS
 from scholarspark.plans.oracle_search import SEARCH
 from scholarspark.plans.oracle_stats import STATS
+from scholarspark.plans.oracle_text import TEXT
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -16,3 +17,5 @@ QUERIES.update(search.QUERIES)
 ORACLE_SQL.update(SEARCH)
 QUERIES.update(stats.QUERIES)
 ORACLE_SQL.update(STATS)
+QUERIES.update(text.QUERIES)
+ORACLE_SQL.update(TEXT)
