@@ -92,16 +92,17 @@ def quantile_name(p: float) -> str:
     return "q_" + f"{p:g}".replace(".", "_")
 
 
-def mid_ranks(vc: DataFrame, value_col: str, group_col: str) -> DataFrame:
-    """Mid-ranks of values pooled over all groups, for a (group, value, c) table.
+def mid_ranks(vc: DataFrame, value_col: str, group_col: str, partition_cols: list[str] | None = None) -> DataFrame:
+    """Mid-ranks of values pooled over all groups, for a (partition..., group, value, c) table.
 
-    Output: group, value, c, t (multiplicity of the value over all groups), midrank.
-    Ranks are global (over all groups); ties share the average rank.
+    Output: partition..., group, value, c, t (multiplicity of the value over all groups),
+    midrank. Ranks run over all groups of a partition; ties share the average rank.
     """
-    ranked = prefix_sums(vc, [value_col, group_col], ["c"])
-    per_value = Window.partitionBy(value_col)   # at most one row per group for a value
+    parts = list(partition_cols or [])
+    ranked = prefix_sums(vc, [value_col, group_col], ["c"], parts)
+    per_value = Window.partitionBy(*parts, value_col)   # at most one row per group for a value
     return ranked.select(
-        group_col, value_col, "c",
+        *parts, group_col, value_col, "c",
         F.sum("c").over(per_value).alias("t"),
         F.min("c_before").over(per_value).alias("v_before")
     ).withColumn("midrank", F.col("v_before") + (F.col("t") + 1) / 2.0).drop("v_before")

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from scholarspark.plans import records, search, stats, text
+from scholarspark.plans import learning, records, search, stats, text
 from scholarspark.plans.oracle import RECORDS
 from scholarspark.plans.oracle_search import SEARCH
 from scholarspark.plans.oracle_stats import STATS
 from scholarspark.plans.oracle_text import TEXT
+from scholarspark.plans.oracle_learning import LEARNING
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -19,3 +20,5 @@ QUERIES.update(stats.QUERIES)
 ORACLE_SQL.update(STATS)
 QUERIES.update(text.QUERIES)
 ORACLE_SQL.update(TEXT)
+QUERIES.update(learning.QUERIES)
+ORACLE_SQL.update(LEARNING)
