@@ -42,9 +42,8 @@ def padded(c) -> Column:
 
 
 def tokens(c) -> Column:
-    """Search tokens; empty text gives an empty array."""
-    n = search_normalise(c)
-    return F.when(n == "", F.array().cast("array<string>")).otherwise(F.split(n, " ", -1))
+    """Search tokens; empty text gives an empty array (the normalised text is evaluated once)."""
+    return F.filter(F.split(search_normalise(c), " ", -1), lambda t: t != F.lit(""))
 
 
 def clean_text(c) -> Column:
@@ -53,8 +52,7 @@ def clean_text(c) -> Column:
 
 
 def whitespace_tokens(c) -> Column:
-    t = clean_text(c)
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " ", -1))
+    return F.filter(F.split(clean_text(c), " ", -1), lambda t: t != F.lit(""))
 
 
 def normalised_tokens(c) -> Column:

@@ -33,11 +33,21 @@ def clause_hits(text: Column, phrases: list[str]) -> list[Column]:
     return [p.contains(padded(F.lit(ph))) for ph in phrases]
 
 
+def with_once(df: DataFrame, expr: Column, name: str) -> DataFrame:
+    """Add ``expr`` as a column computed exactly once per row.
+
+    A one-element generator is an optimisation barrier: filters on columns derived from
+    ``name`` cannot be pushed below it, so the (regex) expression is not re-inlined into
+    every predicate and projection that uses it.
+    """
+    return df.select("*", F.inline(F.array(F.struct(expr.alias(name)))))
+
+
 def phrase_query(df: DataFrame, field: str, phrases: list[str]) -> DataFrame:
     """Boolean ``should`` of phrase clauses: rows matching at least one, with the clause count."""
-    hits = clause_hits(F.col(field), phrases)
-    n = sum((h.cast("int") for h in hits), F.lit(0))
-    return df.withColumn("n_clauses_matched", n).where(F.col("n_clauses_matched") >= 1)
+    norm = with_once(df, padded(F.col(field)), "_padded")
+    n = sum((F.col("_padded").contains(padded(F.lit(ph))).cast("int") for ph in phrases), F.lit(0))
+    return norm.withColumn("n_clauses_matched", n).where(F.col("n_clauses_matched") >= 1).drop("_padded")
 
 
 def _doc_grams(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -83,18 +93,19 @@ def bm25(docs: DataFrame, id_col: str, text_col: str, query: str,
          k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
     """BM25 score of every document containing at least one query term.
 
-    Term frequencies come from exploding each document's tokens and keeping only query
-    terms (map side); document frequencies are a tiny aggregate over those rows; the
-    corpus size and mean length are one scalar subquery.
+    The query is analysed like the documents into a literal term array (constant-folded).
+    Each document's token array is filtered to query terms before exploding, so only
+    matching tokens become rows; document frequencies are a tiny aggregate of those rows
+    (bounded by the number of query terms, hence broadcast); corpus size and mean length
+    are one scalar subquery.
     """
-    spark = docs.sparkSession
-    q_terms = spark.range(1).select(F.explode(F.array_distinct(tokens(F.lit(query)))).alias("term"))
-    toks = docs.select(F.col(id_col).alias("doc_id"), tokens(F.col(text_col)).alias("toks"))
+    q_terms = F.array_distinct(tokens(F.lit(query)))
+    toks = with_once(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col)), tokens(F.col(text_col)), "toks")
     stats = toks.select(F.struct(F.count(F.lit(1)).cast("double").alias("n"),
                                  F.avg(F.size("toks")).alias("avgdl")).alias("s")).scalar()
-    rows = toks.select("doc_id", F.size("toks").alias("dl"), F.explode("toks").alias("term"))
-    tf = (rows.join(F.broadcast(q_terms), "term", "left_semi")   # query terms: bounded by the query text
-          .groupBy("doc_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf")))
+    hits = toks.select("doc_id", F.size("toks").alias("dl"),
+                       F.explode(F.filter("toks", lambda t: F.array_contains(q_terms, t))).alias("term"))
+    tf = hits.groupBy("doc_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
     dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     n, avgdl = stats.getField("n"), stats.getField("avgdl")
     idf = F.ln(F.lit(1.0) + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))

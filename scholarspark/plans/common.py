@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scholarspark.functions.recode import binary_status, category_group
-from scholarspark.operators.records import derive_fields, export_filter, keep_latest, normalise_dates
+from scholarspark.operators.records import export_filter, keep_latest, normalise_dates
 from scholarspark.sources.fixtures import preprints
 
 ROUND = 6
@@ -38,20 +38,46 @@ def raw_preprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return preprints(spark, sf_dir)
 
 
-def latest_preprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ingested (dates normalised) and de-duplicated to the latest version per DOI."""
-    return keep_latest(normalise_dates(preprints(spark, sf_dir)))
+ORDER_COLS = ["doi", "version", "date"]
 
 
-def derived_preprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return derive_fields(latest_preprints(spark, sf_dir))
+def latest_preprints(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
+    """Ingested (dates normalised) and de-duplicated to the latest version per DOI.
 
+    ``columns`` limits what travels through the de-duplication shuffle (the winning row is
+    carried whole inside ``max_by``, which the optimizer cannot prune field by field).
+    """
+    df = normalise_dates(preprints(spark, sf_dir))
+    if columns:
+        df = df.select(*dict.fromkeys(ORDER_COLS + list(columns)))
+    return keep_latest(df)
 
-def recoded_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+
+# inputs of the derived fields
+DERIVED_INPUTS = ["_id", "server", "category", "title", "abstract", "authors", "published", "publiDate", "citations"]
+
+
+def derived_preprints(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
+    return derive_fields_light(latest_preprints(spark, sf_dir, columns or DERIVED_INPUTS))
+
+
+RECODE_INPUTS = ["_id", "server", "category", "published", "publiDate", "title", "abstract", "authors"]
+
+
+def recoded_export(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
     """The export frame with the recoded analysis columns (category group, binary status, month)."""
-    df = export_filter(derived_preprints(spark, sf_dir))
+    df = export_filter(derive_fields_light(latest_preprints(spark, sf_dir, columns or RECODE_INPUTS)))
     return df.withColumns({
         "category_grouped": category_group("category"),
         "publiStatus_binary": binary_status("publiStatus"),
         "month_upload": F.month("dateConverted"),
     })
+
+
+def derive_fields_light(df: DataFrame) -> DataFrame:
+    """Derived fields that exist on the frame (citation counts only when citations are present)."""
+    from scholarspark.operators.records import add_citation_counts, add_dates_and_status, add_lengths
+    if {"title", "abstract", "authors"} <= set(df.columns):
+        df = add_lengths(df)
+    df = add_dates_and_status(df)
+    return add_citation_counts(df) if "citations" in df.columns else df

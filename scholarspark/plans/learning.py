@@ -33,7 +33,9 @@ def ml_frame(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
 
 def _features(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     df = ml_frame(spark, sf_dir, kind)
-    model = feature_pipeline(kind).fit(df.where(F.col("split") == "train"))   # fitted on training rows only
+    train = df.where(F.col("split") == "train").persist()   # the stages' fits scan it several times
+    model = feature_pipeline(kind).fit(train)                 # fitted on training rows only
+    train.unpersist()
     return model.transform(df)
 
 

@@ -18,7 +18,7 @@ from scholarspark.sources.tables import read_table
 
 def published_share_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of records published within a year, per category group, largest group first."""
-    df = recoded_export(spark, sf_dir)
+    df = recoded_export(spark, sf_dir, ["category", "published", "publiDate"])
     agg = df.groupBy("category_grouped").agg(
         F.count(F.lit(1)).alias("n_items"),
         r6(F.avg((F.col("publiStatus_binary") == "Published_year1").cast("double"))).alias("proportion_published"))
@@ -28,19 +28,19 @@ def published_share_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = latest_preprints(spark, sf_dir)
+    df = latest_preprints(spark, sf_dir, ["_id", "published", "publiDate", "citations"])
     return tidy(df.select("doi", "_id", "version", "date", "published", "publiDate",
                           F.when(F.col("citations").isNotNull(), F.size("citations")).alias("n_citations")))
 
 
 def derived_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = derived_preprints(spark, sf_dir)
+    df = derived_preprints(spark, sf_dir, ["title", "abstract", "authors", "published", "publiDate"])
     return tidy(df.select("doi", "titleLength", "abstractLength", "numberAuthors",
                           F.length(merged_text("title", "abstract")).alias("mergedLength")))
 
 
 def publication_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = derived_preprints(spark, sf_dir)
+    df = derived_preprints(spark, sf_dir, ["published", "publiDate"])
     return tidy(df.select("doi", F.col("dateConverted").alias("date_converted"),
                           F.col("publiDateConverted").alias("publi_date_converted"),
                           F.datediff("publiDateConverted", "dateConverted").alias("days_to_publication"),
@@ -48,7 +48,7 @@ def publication_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def citation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = derived_preprints(spark, sf_dir)
+    df = derived_preprints(spark, sf_dir, ["published", "publiDate", "citations"])
     return tidy(df.where(F.col("citTotal").isNotNull()).select("doi", "citTotal", "cit1year", "cit2years"))
 
 
@@ -80,7 +80,8 @@ def enrich_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def export_filter_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tidy(export_filter(derived_preprints(spark, sf_dir)).select("doi", "publiStatus"))
+    df = derived_preprints(spark, sf_dir, ["published", "publiDate"])
+    return tidy(export_filter(df).select("doi", "publiStatus"))
 
 
 def export_table_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,7 +106,7 @@ def unique_violations_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_regroup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = latest_preprints(spark, sf_dir)
+    df = latest_preprints(spark, sf_dir, ["category"])
     return tidy(df.select("doi", "category", category_group("category").alias("category_grouped")))
 
 
@@ -135,7 +136,7 @@ def drop_global_max(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def freq_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = recoded_export(spark, sf_dir)
+    df = recoded_export(spark, sf_dir, ["server", "category", "published", "publiDate"])
     return tidy(frequencies(df, ["publiStatus", "server", "month_upload", "category_grouped"]))
 
 
