@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import numpy as np
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -186,3 +188,41 @@ def profile(df: DataFrame, columns: list[str], exact_distinct: bool = True) -> D
                  F.col(f"d{i}").alias("n_distinct"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"),
                  F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("stddev"))
         for i, c in enumerate(columns)])))
+
+
+def density_grid(df: DataFrame, value: str, grid: int = 512, bins: int = 1024, cut: float = 3.0) -> DataFrame:
+    """Gaussian kernel density on ``grid`` points over [min - cut*h, max + cut*h].
+
+    Bandwidth: Silverman's rule of thumb, 0.9 * min(sd, IQR / 1.34) * n^(-1/5) (exact
+    quartiles). The data are first counted into ``bins`` equal bins over [min - 4h, max + 4h]
+    (one partially aggregated pass, as kernel density estimators commonly do); every
+    non-empty bin then adds its kernel mass to all grid points through an array expression
+    of fixed length, and the grid is summed. Work after the first pass is bins x grid,
+    whatever the number of rows.
+    """
+    v = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("x"))
+    q = exact_quantiles(v, "x", [0.25, 0.75])
+    st = v.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"), F.min("x").alias("lo"),
+               F.max("x").alias("hi"))
+    s = st.select(F.struct("n", "sd", "lo", "hi").alias("s")).scalar()
+    iqr = q.select(F.struct((F.col("q_0_75") - F.col("q_0_25")).alias("iqr")).alias("q")).scalar().getField("iqr")
+    n, sd, lo, hi = s.getField("n"), s.getField("sd"), s.getField("lo"), s.getField("hi")
+    spread = F.least(sd, iqr / 1.34)
+    spread = F.when(spread > 0, spread).otherwise(F.when(sd > 0, sd).otherwise(F.lit(1.0)))
+    h = 0.9 * spread * F.pow(n.cast("double"), F.lit(-0.2))
+    b_lo, b_hi = lo - 4 * h, hi + 4 * h
+    bw = (b_hi - b_lo) / bins
+    counted = v.select(F.least(F.floor((F.col("x") - b_lo) / bw), F.lit(bins - 1)).cast("int").alias("b")) \
+        .groupBy("b").agg(F.count(F.lit(1)).alias("c"))
+    g_lo, g_hi = lo - cut * h, hi + cut * h
+    step = (g_hi - g_lo) / (grid - 1)
+    # scalar subqueries cannot sit inside a lambda: project them onto the (small) bin table first
+    binned = counted.select("c", (b_lo + (F.col("b") + 0.5) * bw).alias("_centre"), g_lo.alias("_glo"),
+                            step.alias("_step"), h.alias("_h"))
+    contrib = F.transform(F.sequence(F.lit(0), F.lit(grid - 1)), lambda g: F.struct(
+        g.alias("g"), (F.col("c") * F.exp(-0.5 * F.pow((F.col("_glo") + g * F.col("_step") - F.col("_centre"))
+                                                      / F.col("_h"), 2))).alias("w")))
+    summed = binned.select(F.inline(contrib)).groupBy("g").agg(F.sum("w").alias("w"))
+    return summed.select(F.col("g").alias("grid_index"), (g_lo + F.col("g") * step).alias("x"),
+                         (F.col("w") / (n * h * F.lit(float(np.sqrt(2 * np.pi))))).alias("density"),
+                         h.alias("bandwidth"))

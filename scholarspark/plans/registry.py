@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from scholarspark.plans import ingest, learning, records, search, stats, text
+from scholarspark.plans import extra, ingest, learning, records, search, stats, text
 from scholarspark.plans.oracle import RECORDS
 from scholarspark.plans.oracle_search import SEARCH
 from scholarspark.plans.oracle_stats import STATS
 from scholarspark.plans.oracle_text import TEXT
 from scholarspark.plans.oracle_learning import LEARNING
 from scholarspark.plans.oracle_ingest import INGEST
+from scholarspark.plans.oracle_extra import EXTRA
 
 QUERIES = {}
 ORACLE_SQL = {}
@@ -25,3 +26,5 @@ QUERIES.update(learning.QUERIES)
 ORACLE_SQL.update(LEARNING)
 QUERIES.update(ingest.QUERIES)
 ORACLE_SQL.update(INGEST)
+QUERIES.update(extra.QUERIES)
+ORACLE_SQL.update(EXTRA)
