@@ -39,3 +39,20 @@ def cit_two_years_or_more(citations="citations") -> Column:
     """Citations at two years or later (the sign of the span is ignored, as in the source rule)."""
     arr = _col(citations)
     return _guard(arr, F.size(F.filter(arr, lambda c: _span_years(c["timespan"]) >= F.lit(2))))
+
+
+def span_months(ts: Column) -> Column:
+    """Signed length of a 'P<y>Y<m>M' timespan in months; NULL when it has neither part."""
+    y = F.regexp_extract(ts, r"([0-9]+)Y", 1).try_cast("int")
+    m = F.regexp_extract(ts, r"([0-9]+)M", 1).try_cast("int")
+    sign = F.when(F.startswith(ts, F.lit("-")), F.lit(-1)).otherwise(F.lit(1))
+    return F.when(y.isNotNull() | m.isNotNull(), sign * (F.coalesce(y, F.lit(0)) * 12 + F.coalesce(m, F.lit(0))))
+
+
+def sort_by_span_desc(citations="citations") -> Column:
+    """Citations ordered by descending parsed timespan (unparseable spans last), not by text."""
+    def cmp(left, right):
+        a, b = span_months(left["timespan"]), span_months(right["timespan"])
+        return (F.when(a.isNull() & b.isNull(), 0).when(a.isNull(), 1).when(b.isNull(), -1)
+                .when(a > b, -1).when(a < b, 1).otherwise(0))
+    return F.array_sort(_col(citations), cmp)

@@ -66,8 +66,8 @@ def kruskal(df: DataFrame, value: str, group: str) -> DataFrame:
     h = per_group.agg(F.sum(F.col("R") ** 2 / F.col("n")).alias("s"), F.count(F.lit(1)).alias("k"))
     tie = ties.select("tie").scalar()
     return h.select(
-        ((12.0 / (n_all * (n_all + 1)) * F.col("s") - 3 * (n_all + 1)) /
-         (1 - tie / (n_all ** 3 - n_all))).alias("h_stat"),
+        F.try_divide(12.0 / (n_all * (n_all + 1)) * F.col("s") - 3 * (n_all + 1),
+                     1 - F.try_divide(tie, n_all ** 3 - n_all)).alias("h_stat"),
         (F.col("k") - 1).alias("df"), n_all.cast("bigint").alias("n"))
 
 
@@ -134,7 +134,7 @@ def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
     long = one.select(F.inline(F.array(*[
         F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.col(f"r{i}").alias("r"), F.col(f"n{i}").alias("n"))
         for i, (a, b) in enumerate(pairs)])))
-    return long.withColumn("t_stat", F.col("r") * F.sqrt((F.col("n") - 2) / (1 - F.col("r") ** 2)))
+    return long.withColumn("t_stat", F.col("r") * F.sqrt(F.try_divide(F.col("n") - 2, 1 - F.col("r") ** 2)))
 
 
 def scatter_stats(df: DataFrame, x: str, y: str) -> DataFrame:

@@ -210,3 +210,17 @@ SELECT lang, source, count(*) AS n,
   round(count(*) * 100.0 / sum(count(*)) OVER (PARTITION BY lang), 6) AS pct_within
 FROM documents GROUP BY lang, source""",
 }
+
+
+def _months(x: str) -> str:
+    y = f"try_cast(regexp_extract({x}, '([0-9]+)Y', 1) AS INTEGER)"
+    m = f"try_cast(regexp_extract({x}, '([0-9]+)M', 1) AS INTEGER)"
+    return (f"(CASE WHEN {y} IS NOT NULL OR {m} IS NOT NULL THEN "
+            f"(CASE WHEN starts_with({x}, '-') THEN -1 ELSE 1 END) * (coalesce({y}, 0) * 12 + coalesce({m}, 0)) END)")
+
+
+RECORDS["citation_spans"] = PP_LATEST + f"""
+SELECT doi, len(citations) AS n_citations,
+  list_max(list_transform(citations, lambda c: {_months('c.timespan')}))::BIGINT AS longest_span_months,
+  list_min(list_transform(citations, lambda c: {_months('c.timespan')}))::BIGINT AS shortest_span_months
+FROM latest WHERE citations IS NOT NULL AND len(citations) > 0"""

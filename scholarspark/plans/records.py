@@ -152,6 +152,18 @@ def freq_within(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(within_shares(d, "lang", "source"))
 
 
+def citation_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Citations sorted by descending timespan: the longest and shortest span per record, in months."""
+    from scholarspark.functions.citations import sort_by_span_desc, span_months
+    df = latest_preprints(spark, sf_dir, ["published", "citations"])
+    s = df.where(F.col("citations").isNotNull() & (F.size("citations") > 0)) \
+        .select("doi", sort_by_span_desc("citations").alias("sorted"))
+    months = F.transform("sorted", lambda c: span_months(c["timespan"]))
+    return tidy(s.select("doi", F.size("sorted").alias("n_citations"),
+                         span_months(F.get("sorted", 0)["timespan"]).alias("longest_span_months"),
+                         F.array_min(months).alias("shortest_span_months")))
+
+
 QUERIES = {
     "published_share_by_category": published_share_by_category,
     "dedup_latest": dedup_latest,
@@ -171,4 +183,5 @@ QUERIES = {
     "freq_export": freq_export,
     "freq_docs": freq_docs,
     "freq_within": freq_within,
+    "citation_spans": citation_spans,
 }

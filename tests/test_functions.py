@@ -53,3 +53,11 @@ def test_phrase_normalisation(spark):
     p = df.select(padded("t")).first()[0]
     assert p == " crispr cas9 gene editing "
     assert df.select(padded("t").contains(padded(F.lit("Cas9-gene")))).first()[0]
+
+
+def test_citations_sorted_by_duration_not_text(spark):
+    from scholarspark.functions.citations import sort_by_span_desc
+    df = spark.createDataFrame([([("P9Y0M",), ("",), ("P10Y0M",), ("-P1Y0M",), ("P0Y11M",)],)],
+                               "citations array<struct<timespan:string>>")
+    got = [c["timespan"] for c in df.select(sort_by_span_desc().alias("s")).first()["s"]]
+    assert got == ["P10Y0M", "P9Y0M", "P0Y11M", "-P1Y0M", ""]
