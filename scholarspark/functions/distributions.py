@@ -7,13 +7,20 @@ evaluations of the regularised incomplete gamma and beta functions.
 
 from __future__ import annotations
 
+import sys
+
 import math
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# UDF code from this module is shipped to Python workers by value, so executors do not
+# need the package installed (the driver may run from anywhere).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _EPS = 1e-15
 _MAXIT = 10000
 

@@ -13,10 +13,13 @@ with the same ``__call__(list[str]) -> np.ndarray`` contract can be passed inste
 
 from __future__ import annotations
 
+import sys
+
 import hashlib
 from collections.abc import Callable
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.ml.functions import array_to_vector, predict_batch_udf, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -25,6 +28,10 @@ from pyspark.sql import types as T
 
 from scholarspark.functions.text import clean_text, merged_text, normalised_tokens, sentence_split
 
+# UDF code from this module is shipped to Python workers by value, so executors do not
+# need the package installed (the driver may run from anywhere).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 DEFAULT_DIM = 64
 
 

@@ -89,30 +89,41 @@ def phrase_join(docs: DataFrame, id_col: str, text_col: str,
     return starts.groupBy("doc_id", "phrase_id").agg(F.count(F.lit(1)).alias("occurrences"))
 
 
+def _equals(term: str):
+    # a one-argument lambda (a second argument would be taken as the element index)
+    return lambda t: t == F.lit(term)
+
+
+def query_terms(spark, query: str) -> list[str]:
+    """The query string analysed exactly like documents (evaluated once on a one-row frame)."""
+    return list(spark.range(1).select(F.array_distinct(tokens(F.lit(query)))).first()[0])
+
+
 def bm25(docs: DataFrame, id_col: str, text_col: str, query: str,
          k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
     """BM25 score of every document containing at least one query term.
 
-    The query is analysed like the documents into a literal term array (constant-folded).
-    Each document's token array is filtered to query terms before exploding, so only
-    matching tokens become rows; document frequencies are a tiny aggregate of those rows
-    (bounded by the number of query terms, hence broadcast); corpus size and mean length
-    are one scalar subquery.
+    A query has a handful of terms, so each document's term frequencies are read off its
+    own token array (``size(filter(tokens, t -> t = term))`` per term): no explode and no
+    shuffle of the corpus. Document frequencies, the corpus size and the mean length come
+    from one aggregate over the same projection, used as a scalar subquery.
     """
-    q_terms = F.array_distinct(tokens(F.lit(query)))
+    terms = query_terms(docs.sparkSession, query)
     toks = with_once(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col)), tokens(F.col(text_col)), "toks")
-    stats = toks.select(F.struct(F.count(F.lit(1)).cast("double").alias("n"),
-                                 F.avg(F.size("toks")).alias("avgdl")).alias("s")).scalar()
-    hits = toks.select("doc_id", F.size("toks").alias("dl"),
-                       F.explode(F.filter("toks", lambda t: F.array_contains(q_terms, t))).alias("term"))
-    tf = hits.groupBy("doc_id", "dl", "term").agg(F.count(F.lit(1)).alias("tf"))
-    dfreq = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    n, avgdl = stats.getField("n"), stats.getField("avgdl")
-    idf = F.ln(F.lit(1.0) + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    norm = F.col("tf") + k1 * (1 - b + b * F.col("dl") / avgdl)
-    scored = tf.join(F.broadcast(dfreq), "term").select(
-        "doc_id", (idf * F.col("tf") * (k1 + 1) / norm).alias("part"))
-    return scored.groupBy("doc_id").agg(F.sum("part").alias("score"))
+    per_doc = toks.select("doc_id", F.size("toks").alias("dl"),
+                          *[F.size(F.filter("toks", _equals(q))).alias(f"tf{i}") for i, q in enumerate(terms)])
+    st = per_doc.select(F.struct(F.count(F.lit(1)).cast("double").alias("n"), F.avg("dl").alias("avgdl"),
+                                 *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(terms))])
+                        .alias("s")).scalar()
+    n, avgdl = st.getField("n"), st.getField("avgdl")
+    parts = []
+    for i in range(len(terms)):
+        tf, dfq = F.col(f"tf{i}"), st.getField(f"df{i}")
+        idf = F.ln(F.lit(1.0) + (n - dfq + 0.5) / (dfq + 0.5))
+        parts.append(F.when(tf > 0, idf * tf * (k1 + 1) / (tf + k1 * (1 - b + b * F.col("dl") / avgdl)))
+                     .otherwise(F.lit(0.0)))
+    any_hit = sum((F.col(f"tf{i}") for i in range(len(terms))), F.lit(0)) > 0
+    return per_doc.where(any_hit).select("doc_id", sum(parts, F.lit(0.0)).alias("score"))
 
 
 def top_k(scored: DataFrame, k: int, score_col: str = "score", id_col: str = "doc_id") -> DataFrame:

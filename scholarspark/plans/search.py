@@ -18,24 +18,24 @@ TOP_K = 10
 
 def phrase_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark passage (as a phrase) found in every document, with occurrence counts."""
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"], spread=True)
     bench = read_table(spark, sf_dir, "benchmark", ["item_id", "text"])
     return tidy(phrase_join(docs, "doc_id", "text", bench, "item_id", "text"))
 
 
 def bool_should(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"], spread=True)
     return tidy(phrase_query(docs, "text", BOOL_PHRASES).select("doc_id", "n_clauses_matched"))
 
 
 def search_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact number of hits of the boolean query (no 10,000 cap)."""
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"], spread=True)
     return tidy(phrase_query(docs, "text", BOOL_PHRASES).agg(F.count(F.lit(1)).alias("n_hits")))
 
 
 def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"], spread=True)
     best = top_k(bm25(docs, "doc_id", "text", BM25_QUERY), TOP_K)
     w = Window.orderBy(F.desc(F.round("score", 9)), F.asc("doc_id"))   # over the k rows only
     return tidy(best.select("doc_id", r6(F.col("score")).alias("score"), F.row_number().over(w).alias("rank")))
@@ -43,7 +43,7 @@ def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def subset_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled records restricted to the documents the thematic query finds."""
-    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"], spread=True)
     labels = read_table(spark, sf_dir, "labels")
     hits = phrase_query(docs, "text", BOOL_PHRASES)
     return tidy(subset_by_hits(labels, hits, "doc_id"))

@@ -13,14 +13,14 @@ from scholarspark.sources.tables import read_table
 
 
 def tokenise(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    d = read_table(spark, sf_dir, "documents", ["doc_id", "text"], spread=True)
     return tidy(d.select("doc_id", F.length(clean_text("text")).alias("clean_chars"),
                          F.size(whitespace_tokens("text")).alias("n_tokens"),
                          F.size(normalised_tokens("text")).alias("n_norm_tokens")))
 
 
 def sentences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    d = read_table(spark, sf_dir, "documents", ["doc_id", "text"], spread=True)
     s = d.select("doc_id", sentence_split("text").alias("s"))
     return tidy(s.select("doc_id", F.size("s").alias("n_sentences"),
                          F.length(F.get("s", 0)).alias("first_sentence_chars")))
@@ -37,14 +37,14 @@ def vector_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def first_sentence_vec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embedding of each document's first sentence (the default pooling), long form, non-zero slots."""
-    d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    d = read_table(spark, sf_dir, "documents", ["doc_id", "text"], spread=True)
     e = embed(d, "doc_id", ["text"], pooling="first_sentence")
     return tidy(long_vectors(e, ["doc_id"], "embedding").where(F.col("value") != 0))
 
 
 def embed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole-text embedding of every document: token count and vector norm/sum per document."""
-    d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    d = read_table(spark, sf_dir, "documents", ["doc_id", "text"], spread=True)
     e = embed(d, "doc_id", ["text"], pooling="document")
     return tidy(e.select("doc_id", "n_tokens",
                          F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x.cast("double")).alias("vec_sum"),
