@@ -10,6 +10,7 @@ from scholarspark.operators import evaluate, learn
 from scholarspark.operators.features import (attach_vectors, classification_frame, feature_pipeline, hash_bucket,
                                              prepare, regression_frame, split_by_key)
 from scholarspark.plans.common import derived_preprints, tidy
+from scholarspark.session import reliable_checkpoint
 from scholarspark.sources.tables import read_table
 
 EMBED_MOD = 500
@@ -31,11 +32,18 @@ def ml_frame(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     return split_by_key(df.where(F.col("month_upload").isNotNull()), "doi")
 
 
+def materialised_frame(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """The prepared frame written once to the shared checkpoint folder and read from there.
+
+    Fitting stages, cross-validation folds and scoring all scan it; materialising it cuts
+    the lineage back to the raw tables (a lost executor re-reads files, not the joins).
+    """
+    return reliable_checkpoint(ml_frame(spark, sf_dir, kind))
+
+
 def _features(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    df = ml_frame(spark, sf_dir, kind)
-    train = df.where(F.col("split") == "train").persist()   # the stages' fits scan it several times
-    model = feature_pipeline(kind).fit(train)                 # fitted on training rows only
-    train.unpersist()
+    df = materialised_frame(spark, sf_dir, kind)
+    model = feature_pipeline(kind).fit(df.where(F.col("split") == "train"))   # fitted on training rows only
     return model.transform(df)
 
 
@@ -101,7 +109,7 @@ def actual_vs_predicted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _train_frames(spark, sf_dir, kind):
-    df = ml_frame(spark, sf_dir, kind)
+    df = materialised_frame(spark, sf_dir, kind)
     return df.where(F.col("split") == "train"), df.where(F.col("split") == "test")
 
 
@@ -111,7 +119,7 @@ def cv_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
     est = learn.estimator("logistic")
     grid = learn.param_grid(est, "logistic", CHECK_GRID_VALUES)
     cvm = learn.cross_validate(feature_pipeline("classification").getStages(), est, grid,
-                               learn.evaluator("classification"), train.cache(), folds=CHECK_FOLDS)
+                               learn.evaluator("classification"), train, folds=CHECK_FOLDS)
     return learn.grid_report(spark, cvm, "LogisticRegression")
 
 
