@@ -58,20 +58,23 @@ def value_counts(df: DataFrame, value_col: str, group_cols: list[str] | None = N
               .groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("c")))
 
 
-def exact_quantiles(df: DataFrame, value_col: str, probs: list[float],
-                    group_cols: list[str] | None = None) -> DataFrame:
+def exact_quantiles(df: DataFrame | None, value_col: str, probs: list[float],
+                    group_cols: list[str] | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Exact continuous quantiles (linear interpolation, h = (n-1)p + 1) per group.
 
     Output: group..., n, and one column ``q_<p>`` per probability. Equal to SQL
     ``quantile_cont`` / Spark ``percentile`` but without gathering a group's values.
+    ``counts`` may supply the (group..., value, c) table when the caller already has it.
     """
     group_cols = list(group_cols or [])
-    vc = value_counts(df, value_col, group_cols)
+    vc = counts if counts is not None else value_counts(df, value_col, group_cols)
     ranked = prefix_sums(vc, [value_col], ["c"], group_cols)
-    if group_cols:   # one row per group; AQE broadcasts it when its runtime size allows
-        rows = ranked.join(vc.groupBy(*group_cols).agg(F.sum("c").alias("n")), group_cols)
-    else:            # a scalar subquery, not a join
-        rows = ranked.withColumn("n", vc.select(F.sum("c")).scalar())
+    # group sizes from the ranked table (read from the checkpoint), not from the source again;
+    # a small per-group table joined back (AQE broadcasts it), never a window over a whole group
+    if group_cols:
+        rows = ranked.join(ranked.groupBy(*group_cols).agg(F.sum("c").alias("n")), group_cols)
+    else:
+        rows = ranked.withColumn("n", ranked.select(F.sum("c")).scalar())
     v, before, c, n = F.col(value_col), F.col("c_before"), F.col("c"), F.col("n")
     aggs, finals = [], []
     for i, p in enumerate(probs):

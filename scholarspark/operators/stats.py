@@ -14,22 +14,27 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from scholarspark.operators.ranks import exact_quantiles, mid_ranks, quantile_name, value_counts
+from scholarspark.session import reliable_checkpoint
 
 
 def box_stats(df: DataFrame, value: str, group: str, coef: float = 1.5) -> DataFrame:
-    """Five numbers, mean, IQR, whiskers (most extreme values within coef x IQR) and outlier count."""
-    qs = exact_quantiles(df, value, [0.25, 0.5, 0.75], [group])
+    """Five numbers, mean, IQR, whiskers (most extreme values within coef x IQR) and outlier count.
+
+    The source is reduced once to (group, value, count) and checkpointed; quartiles, moments
+    and whiskers are all computed from that table.
+    """
+    vc = reliable_checkpoint(value_counts(df, value, [group]))
+    qs = exact_quantiles(None, value, [0.25, 0.5, 0.75], [group], counts=vc)
     q1, q2, q3 = (quantile_name(p) for p in (0.25, 0.5, 0.75))
-    vc = value_counts(df, value, [group])
-    moments = df.where(F.col(value).isNotNull()).groupBy(group).agg(
-        F.min(value).alias("min"), F.max(value).alias("max"), F.avg(value).alias("mean"))
+    v, c = F.col(value), F.col("c")
+    moments = vc.groupBy(group).agg(F.min(value).alias("min"), F.max(value).alias("max"),
+                                    (F.sum(v * c) / F.sum(c)).alias("mean"))
     fences = qs.select(group, (F.col(q1) - coef * (F.col(q3) - F.col(q1))).alias("lo_f"),
                        (F.col(q3) + coef * (F.col(q3) - F.col(q1))).alias("hi_f"))
-    v = F.col(value)
     whisk = vc.join(fences, group).groupBy(group).agg(
         F.min(F.when(v >= F.col("lo_f"), v)).alias("whisker_low"),
         F.max(F.when(v <= F.col("hi_f"), v)).alias("whisker_high"),
-        F.sum(F.when((v < F.col("lo_f")) | (v > F.col("hi_f")), F.col("c")).otherwise(0)).alias("n_outliers"))
+        F.sum(F.when((v < F.col("lo_f")) | (v > F.col("hi_f")), c).otherwise(0)).alias("n_outliers"))
     return (qs.join(moments, group).join(whisk, group)
             .select(group, "n", "min", F.col(q1).alias("q1"), F.col(q2).alias("median"), F.col(q3).alias("q3"),
                     "max", "mean", (F.col(q3) - F.col(q1)).alias("iqr"), "whisker_low", "whisker_high",
@@ -37,38 +42,13 @@ def box_stats(df: DataFrame, value: str, group: str, coef: float = 1.5) -> DataF
 
 
 def welch_anova(df: DataFrame, value: str, group: str) -> DataFrame:
-    """Welch's one-way ANOVA: F, df1, df2 from per-group (n, mean, variance)."""
-    g = (df.where(F.col(value).isNotNull()).groupBy(group)
-         .agg(F.count(value).alias("n"), F.avg(value).alias("m"), F.var_samp(value).alias("s2"))
-         .where((F.col("n") > 1) & (F.col("s2") > 0))
-         .withColumn("w", F.col("n") / F.col("s2")))
-    # the remaining steps run on one row per group
-    tot = g.agg(F.sum("w").alias("W"), (F.sum(F.col("w") * F.col("m")) / F.sum("w")).alias("mw"),
-                F.count(F.lit(1)).alias("k"))
-    W, mw, k = tot.select("W").scalar(), tot.select("mw").scalar(), tot.select("k").scalar()
-    parts = g.select((F.col("w") * (F.col("m") - mw) ** 2).alias("a"),
-                     ((1 - F.col("w") / W) ** 2 / (F.col("n") - 1)).alias("b"))
-    return parts.agg(F.sum("a").alias("A"), F.sum("b").alias("B"), F.first(k).alias("k")).select(
-        ((F.col("A") / (F.col("k") - 1)) /
-         (1 + 2 * (F.col("k") - 2) / (F.col("k") ** 2 - 1) * F.col("B"))).alias("f_stat"),
-        (F.col("k") - 1).cast("double").alias("df1"),
-        ((F.col("k") ** 2 - 1) / (3 * F.col("B"))).alias("df2"))
+    """Welch's one-way ANOVA: F, df1, df2 from per-group (n, mean, variance), one pass."""
+    return welch_many(df, [value], [group]).drop("test")
 
 
 def kruskal(df: DataFrame, value: str, group: str) -> DataFrame:
     """Kruskal-Wallis H (tie-corrected) with numeric response ``value`` and groups ``group``."""
-    vc = value_counts(df.where(F.col(group).isNotNull()), value, [group])
-    r = mid_ranks(vc, value, group)
-    per_group = r.groupBy(group).agg(F.sum(F.col("c") * F.col("midrank")).alias("R"), F.sum("c").alias("n"))
-    ties = (r.select(value, "t").distinct()
-            .agg(F.sum(F.col("t") ** 3 - F.col("t")).alias("tie")))
-    n_all = per_group.select(F.sum("n").cast("double")).scalar()
-    h = per_group.agg(F.sum(F.col("R") ** 2 / F.col("n")).alias("s"), F.count(F.lit(1)).alias("k"))
-    tie = ties.select("tie").scalar()
-    return h.select(
-        F.try_divide(12.0 / (n_all * (n_all + 1)) * F.col("s") - 3 * (n_all + 1),
-                     1 - F.try_divide(tie, n_all ** 3 - n_all)).alias("h_stat"),
-        (F.col("k") - 1).alias("df"), n_all.cast("bigint").alias("n"))
+    return kruskal_many(df, [value], [group]).drop("test")
 
 
 def _pair_cells(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -84,43 +64,46 @@ def contingency_cells(df: DataFrame, columns: list[str]) -> DataFrame:
     """Observed cells of every pair of categorical columns with expected counts and residuals.
 
     One pass over the data (each row expands to one tuple per pair, then a partial
-    aggregation); margins are aggregates of the (small) cell table. Only non-empty cells
-    are listed; NULL levels are left out, as a contingency table does.
+    aggregation); the margins are window sums over that small cell table, so the source is
+    read once. Only non-empty cells are listed; NULL levels are left out, as a contingency
+    table does.
     """
     cells = _pair_cells(df, columns)
-    rows = cells.groupBy("var1", "var2", "a").agg(F.sum("o").alias("ra"))
-    cols = cells.groupBy("var1", "var2", "b").agg(F.sum("o").alias("cb"))
-    tot = cells.groupBy("var1", "var2").agg(F.sum("o").alias("n"))
-    j = cells.join(rows, ["var1", "var2", "a"]).join(cols, ["var1", "var2", "b"]).join(tot, ["var1", "var2"])
+    pair = ["var1", "var2"]
     e = F.col("ra") * F.col("cb") / F.col("n")
-    return j.select("var1", "var2", "a", "b", "o", "n", e.alias("expected"),
+    return (cells.withColumns({"ra": F.sum("o").over(Window.partitionBy(*pair, "a")),
+                               "cb": F.sum("o").over(Window.partitionBy(*pair, "b")),
+                               "n": F.sum("o").over(Window.partitionBy(*pair)),
+                               "cells_a": F.count(F.lit(1)).over(Window.partitionBy(*pair, "a")),
+                               "cells_b": F.count(F.lit(1)).over(Window.partitionBy(*pair, "b"))})
+            .select("var1", "var2", "a", "b", "o", "n", e.alias("expected"),
                     ((F.col("o") - e) / F.sqrt(e)).alias("residual"),
-                    (F.col("o") * 100.0 / F.col("ra")).alias("pct_of_row"))
+                    (F.col("o") * 100.0 / F.col("ra")).alias("pct_of_row"), "ra", "cb", "cells_a", "cells_b"))
 
 
 def chi2_pairs(df: DataFrame, columns: list[str], yates: bool = True) -> DataFrame:
     """Pearson chi-squared for every pair: sum(o^2/e) - n over observed cells (empty cells add 0).
 
     2x2 tables get Yates' continuity correction (as R's default), computed from the common
-    absolute deviation |o - e| of a 2x2 table and the margins.
+    absolute deviation |o - e| of a 2x2 table and the margins: sum over cells of 1/e equals
+    n * sum_a(1/ra) * sum_b(1/cb); each margin is counted once by weighting a cell with
+    1 / (cells sharing that margin).
     """
     cells = contingency_cells(df, columns)
-    rows = cells.groupBy("var1", "var2", "a").agg(F.sum("o").alias("ra"))
-    cols = cells.groupBy("var1", "var2", "b").agg(F.sum("o").alias("cb"))
-    r_side = rows.groupBy("var1", "var2").agg(F.count(F.lit(1)).alias("r"), F.sum(1.0 / F.col("ra")).alias("inv_r"))
-    c_side = cols.groupBy("var1", "var2").agg(F.count(F.lit(1)).alias("c"), F.sum(1.0 / F.col("cb")).alias("inv_c"))
     stat = cells.groupBy("var1", "var2").agg(
         F.first("n").alias("n"),
         (F.sum(F.col("o") ** 2 / F.col("expected")) - F.first("n")).alias("pearson"),
-        F.max(F.abs(F.col("o") - F.col("expected"))).alias("dev"))
-    j = stat.join(r_side, ["var1", "var2"]).join(c_side, ["var1", "var2"])
+        F.max(F.abs(F.col("o") - F.col("expected"))).alias("dev"),
+        F.count_distinct("a").alias("r"), F.count_distinct("b").alias("c"),
+        F.sum(1.0 / (F.col("ra") * F.col("cells_a"))).alias("inv_r"),
+        F.sum(1.0 / (F.col("cb") * F.col("cells_b"))).alias("inv_c"))
     two = (F.col("r") == 2) & (F.col("c") == 2) & F.lit(yates)
     corrected = ((F.col("dev") - F.least(F.lit(0.5), F.col("dev"))) ** 2
                  * F.col("n") * F.col("inv_r") * F.col("inv_c"))
-    return j.select("var1", "var2", "n",
-                    F.when(two, corrected).otherwise(F.col("pearson")).alias("chi2"),
-                    ((F.col("r") - 1) * (F.col("c") - 1)).alias("df"),
-                    two.alias("yates"))
+    return stat.select("var1", "var2", "n",
+                       F.when(two, corrected).otherwise(F.col("pearson")).alias("chi2"),
+                       ((F.col("r") - 1) * (F.col("c") - 1)).alias("df"),
+                       two.alias("yates"))
 
 
 def corr_matrix(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -226,3 +209,53 @@ def density_grid(df: DataFrame, value: str, grid: int = 512, bins: int = 1024, c
     return summed.select(F.col("g").alias("grid_index"), (g_lo + F.col("g") * step).alias("x"),
                          (F.col("w") / (n * h * F.lit(float(np.sqrt(2 * np.pi))))).alias("density"),
                          h.alias("bandwidth"))
+
+
+def _melt(df: DataFrame, values: list[str], groups: list[str]) -> DataFrame:
+    """(test, value, grp) rows for every numeric x categorical combination (map-side expansion)."""
+    arr = F.array(*[F.struct(F.lit(f"{v} ~ {g}").alias("test"), F.col(v).cast("double").alias("value"),
+                             F.col(g).cast("string").alias("grp"))
+                    for v in values for g in groups])
+    return df.select(F.inline(arr)).where(F.col("value").isNotNull() & F.col("grp").isNotNull())
+
+
+def kruskal_many(df: DataFrame, values: list[str], groups: list[str]) -> DataFrame:
+    """Kruskal-Wallis H for every (numeric, categorical) combination in one ranking pass.
+
+    The combinations are stacked in long form with a test key; mid-ranks are computed per
+    test by the partitioned prefix sum, so all tests share one shuffle and one checkpoint.
+    """
+    long = _melt(df, values, groups)
+    vc = long.groupBy("test", "grp", "value").agg(F.count(F.lit(1)).alias("c"))
+    r = mid_ranks(vc, "value", "grp", ["test"])
+    per_group = r.groupBy("test", "grp").agg(F.sum(F.col("c") * F.col("midrank")).alias("R"), F.sum("c").alias("n"))
+    ties = (r.select("test", "value", "t").distinct().groupBy("test")
+            .agg(F.sum(F.col("t") ** 3 - F.col("t")).alias("tie")))
+    tot = per_group.groupBy("test").agg(F.sum("n").cast("double").alias("N"),
+                                        F.sum(F.col("R") ** 2 / F.col("n")).alias("s"), F.count(F.lit(1)).alias("k"))
+    j = tot.join(ties, "test")
+    n = F.col("N")
+    return j.select("test", F.try_divide(12.0 / (n * (n + 1)) * F.col("s") - 3 * (n + 1),
+                                         1 - F.try_divide(F.col("tie"), n ** 3 - n)).alias("h_stat"),
+                    (F.col("k") - 1).alias("df"), n.cast("bigint").alias("n"))
+
+
+def welch_many(df: DataFrame, values: list[str], groups: list[str]) -> DataFrame:
+    """Welch's ANOVA for every (numeric, categorical) combination; per-group moments in one pass."""
+    g = (_melt(df, values, groups).groupBy("test", "grp")
+         .agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("m"), F.var_samp("value").alias("s2"))
+         .where((F.col("n") > 1) & (F.col("s2") > 0))
+         .withColumn("w", F.col("n") / F.col("s2")))
+    per_test = Window.partitionBy("test")   # over per-group rows only
+    g = g.withColumns({"wsum": F.sum("w").over(per_test),   # not "W": column names are case-insensitive
+                       "mw": F.sum(F.col("w") * F.col("m")).over(per_test) / F.sum("w").over(per_test),
+                       "k": F.count(F.lit(1)).over(per_test)})
+    t = g.groupBy("test").agg(F.sum(F.col("w") * (F.col("m") - F.col("mw")) ** 2).alias("A"),
+                              F.sum((1 - F.col("w") / F.col("wsum")) ** 2 / (F.col("n") - 1)).alias("B"),
+                              F.first("k").alias("k"))
+    k = F.col("k")
+    return t.select("test",
+                    F.try_divide(F.try_divide(F.col("A"), k - 1),
+                                 1 + F.try_divide(2 * (k - 2), k ** 2 - 1) * F.col("B")).alias("f_stat"),
+                    (k - 1).cast("double").alias("df1"),
+                    F.try_divide(k ** 2 - 1, 3 * F.col("B")).alias("df2"))

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from scholarspark.plans.stats import LINE_NUMERICS, ORDER_CATEGORICALS, SAMPLE_K
+from scholarspark.plans.oracle import DERIVED, EXPORTED, LATEST, PREPRINTS
+from scholarspark.plans.stats import (EXPORT_CATEGORICAL, EXPORT_CORR, EXPORT_NUMERIC, LINE_NUMERICS,
+                                      ORDER_CATEGORICALS, SAMPLE_K)
 
 
 def _pairs_union(source: str, columns: list[str]) -> str:
@@ -23,8 +25,8 @@ j AS (SELECT cells.*, ra, cb, tot.n, ra * cb / tot.n::DOUBLE AS e
       FROM cells JOIN ra USING (var1, var2, a) JOIN cb USING (var1, var2, b) JOIN tot USING (var1, var2))"""
 
 
-def _chi2(source_cte: str, source: str, columns: list[str]) -> str:
-    return f"""WITH {source_cte}{_cells(source, columns)},
+def _chi2(source_cte: str, source: str, columns: list[str], prefix: str = "WITH ") -> str:
+    return f"""{prefix}{source_cte}{_cells(source, columns)},
 st AS (SELECT var1, var2, any_value(n) AS n, sum(o * o / e) - any_value(n) AS pearson, max(abs(o - e)) AS dev
        FROM j GROUP BY ALL),
 rs AS (SELECT var1, var2, count(*) AS r, sum(1.0::DOUBLE / ra) AS inv_r FROM ra GROUP BY ALL),
@@ -38,12 +40,12 @@ FROM st JOIN rs USING (var1, var2) JOIN cs USING (var1, var2)"""
 OC = "base AS (SELECT o_orderstatus, o_orderpriority, c_mktsegment FROM orders JOIN customer ON o_custkey = c_custkey),"
 
 
-def _corr() -> str:
+def _corr(prefix: str = "WITH ", source: str = "lineitem", cols: list[str] = LINE_NUMERICS) -> str:
     parts = []
-    for a, b in combinations(LINE_NUMERICS, 2):
+    for a, b in combinations(cols, 2):
         parts.append(f"SELECT '{a}' AS var1, '{b}' AS var2, corr({a}, {b}) AS r, "
-                     f"count(*) FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL) AS n FROM lineitem")
-    return f"""WITH c AS ({" UNION ALL ".join(parts)})
+                     f"count(*) FILTER (WHERE {a} IS NOT NULL AND {b} IS NOT NULL) AS n FROM {source}")
+    return f"""{prefix}c AS ({" UNION ALL ".join(parts)})
 SELECT var1, var2, round(r, 6) AS r, n, round(r * sqrt((n - 2) / (1 - r * r)), 6) AS t_stat FROM c"""
 
 
@@ -128,3 +130,37 @@ SELECT * FROM (SELECT event_id, event_type, round(value, 6) AS value,
 
     "profile": _profile(),
 }
+
+
+AF = """
+af AS (SELECT *, CASE WHEN numberAuthors > 0 THEN ln(numberAuthors) END AS numberAuthorsLog FROM recoded
+       WHERE abstractLength <> (SELECT max(abstractLength) FROM recoded))"""
+AF_PREFIX = "WITH " + ",".join([PREPRINTS, LATEST, DERIVED, EXPORTED, AF]) + ",\n"
+
+
+def _long(values: list[str], groups: list[str]) -> str:
+    parts = [f"SELECT '{v} ~ {g}' AS test, {v}::DOUBLE AS value, cast({g} AS varchar) AS grp FROM af"
+             for v in values for g in groups]
+    return f"""long AS (SELECT * FROM ({" UNION ALL ".join(parts)}) WHERE value IS NOT NULL AND grp IS NOT NULL)"""
+
+
+STATS["export_chi2"] = _chi2("", "af", EXPORT_CATEGORICAL, prefix=AF_PREFIX)
+STATS["export_corr"] = _corr(AF_PREFIX, "af", EXPORT_CORR)
+STATS["export_kruskal"] = AF_PREFIX + _long(EXPORT_NUMERIC, EXPORT_CATEGORICAL) + """,
+r AS (SELECT test, grp, value, rank() OVER (PARTITION BY test ORDER BY value)
+          + (count(*) OVER (PARTITION BY test, value) - 1) / 2.0 AS mr FROM long),
+g AS (SELECT test, grp, sum(mr) AS R, count(*) AS n FROM r GROUP BY test, grp),
+t AS (SELECT test, sum(t * t * t - t) AS tie FROM (SELECT test, value, count(*)::DOUBLE AS t FROM long GROUP BY test, value)
+      GROUP BY test),
+tot AS (SELECT test, sum(n)::DOUBLE AS N, sum(R * R / n) AS s, count(*) AS k FROM g GROUP BY test)
+SELECT test, round((12.0 / (N * (N + 1)) * s - 3 * (N + 1)) / (1 - tie / (N * N * N - N)), 6) AS h_stat,
+  k - 1 AS df, N::BIGINT AS n FROM tot JOIN t USING (test)"""
+STATS["export_welch"] = AF_PREFIX + _long(EXPORT_NUMERIC, EXPORT_CATEGORICAL) + """,
+g AS (SELECT test, grp, count(*) AS n, avg(value) AS m, var_samp(value) AS s2 FROM long GROUP BY test, grp
+      HAVING count(*) > 1 AND var_samp(value) > 0),
+w AS (SELECT *, n / s2 AS w FROM g),
+tt AS (SELECT test, sum(w) AS wsum, sum(w * m) / sum(w) AS mw, count(*) AS k FROM w GROUP BY test),
+p AS (SELECT test, sum(w * (m - mw) ^ 2) AS A, sum((1 - w / wsum) ^ 2 / (n - 1)) AS B, any_value(k) AS k
+      FROM w JOIN tt USING (test) GROUP BY test)
+SELECT test, round((A / (k - 1)) / (1 + 2 * (k - 2) / (k * k - 1) * B), 6) AS f_stat, (k - 1)::DOUBLE AS df1,
+  round((k * k - 1) / (3 * B), 6) AS df2 FROM p"""

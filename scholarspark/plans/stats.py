@@ -48,7 +48,8 @@ def chi2_2x2(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mosaic(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read_table(spark, sf_dir, "documents", ["doc_id", "lang"])
     lab = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
-    return tidy(stats.contingency_cells(d.join(lab, "doc_id"), ["lang", "quality"]))
+    cells = stats.contingency_cells(d.join(lab, "doc_id"), ["lang", "quality"])
+    return tidy(cells.select("var1", "var2", "a", "b", "o", "n", "expected", "residual", "pct_of_row"))
 
 
 def corr_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,6 +106,38 @@ def test_pvalues(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(adj)
 
 
+# The project's exploratory variables, on the recoded export frame.
+EXPORT_NUMERIC = ["titleLength", "abstractLength", "numberAuthors", "cit1year"]
+EXPORT_CORR = ["titleLength", "abstractLength", "numberAuthorsLog", "cit1year"]
+EXPORT_CATEGORICAL = ["category_grouped", "server", "publiStatus_binary", "month_upload"]
+
+
+def analysis_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Recoded export rows minus those at the maximum abstract length, with log author counts."""
+    from scholarspark.functions.recode import ln_or_null
+    from scholarspark.plans.common import recoded_export
+    df = recoded_export(spark, sf_dir, ["server", "category", "published", "publiDate", "title", "abstract",
+                                        "authors", "citations"])
+    mx = df.select(F.max("abstractLength")).scalar()
+    return df.where(F.col("abstractLength") != mx).withColumn("numberAuthorsLog", ln_or_null("numberAuthors"))
+
+
+def export_chi2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tidy(stats.chi2_pairs(analysis_frame(spark, sf_dir), EXPORT_CATEGORICAL))
+
+
+def export_kruskal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tidy(stats.kruskal_many(analysis_frame(spark, sf_dir), EXPORT_NUMERIC, EXPORT_CATEGORICAL))
+
+
+def export_welch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tidy(stats.welch_many(analysis_frame(spark, sf_dir), EXPORT_NUMERIC, EXPORT_CATEGORICAL))
+
+
+def export_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tidy(stats.corr_matrix(analysis_frame(spark, sf_dir), EXPORT_CORR))
+
+
 QUERIES = {
     "box_stats": box_stats,
     "welch_anova": welch_anova,
@@ -119,4 +152,8 @@ QUERIES = {
     "group_sample": group_sample,
     "profile": profile,
     "test_pvalues": test_pvalues,
+    "export_chi2": export_chi2,
+    "export_kruskal": export_kruskal,
+    "export_welch": export_welch,
+    "export_corr": export_corr,
 }
