@@ -2,33 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scholarspark.operators.ranks import prefix_sums
+
 
 def frequencies(df: DataFrame, columns: list[str]) -> DataFrame:
     """Counts of every level of several columns in one pass (long form).
 
     Each row is expanded into one (variable, level) pair per column on the map side and
     counted with a single partially-aggregated groupBy, i.e. a GROUPING SETS plan with one
-    shuffle. Percent-of-total and the frequency rank are windows over the aggregated
-    table (one row per level), partitioned by variable.
+    shuffle. The frequency rank is a distributed prefix count over (count desc, level)
+    within each variable and the percentage uses per-variable totals joined back, so a
+    variable with very many levels is never ranked inside one task.
     Output: variable, level (text, NULL kept as a level), n, pct, freq_rank.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("level"))
                       for c in columns])
     counts = (df.select(F.inline(pairs))
-              .groupBy("variable", "level").agg(F.count(F.lit(1)).alias("n")))
-    by_var = Window.partitionBy("variable")
-    ranked = Window.partitionBy("variable").orderBy(F.desc("n"), F.asc_nulls_first("level"))
-    return counts.select(
-        "variable", "level", "n",
-        F.round(F.col("n") * 100.0 / F.sum("n").over(by_var), 6).alias("pct"),
-        F.row_number().over(ranked).alias("freq_rank"))
+              .groupBy("variable", "level").agg(F.count(F.lit(1)).alias("n"))
+              .withColumns({"neg_n": -F.col("n"), "one": F.lit(1)}))
+    ranked = prefix_sums(counts, ["neg_n", "level"], ["one"], ["variable"])
+    totals = ranked.groupBy("variable").agg(F.sum("n").alias("_total"))
+    return ranked.join(totals, "variable").select(
+        "variable", "level", "n", F.round(F.col("n") * 100.0 / F.col("_total"), 6).alias("pct"),
+        (F.col("one_before") + 1).alias("freq_rank"))
 
 
 def within_shares(df: DataFrame, outer: str, inner: str) -> DataFrame:
-    """Count of each (outer, inner) pair and its percentage within ``outer``."""
+    """Count of each (outer, inner) pair and its percentage within ``outer`` (totals joined back)."""
     counts = df.groupBy(outer, inner).agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy(outer)
-    return counts.withColumn("pct_within", F.round(F.col("n") * 100.0 / F.sum("n").over(w), 6))
+    totals = df.groupBy(outer).agg(F.count(F.lit(1)).alias("_total"))
+    return counts.join(totals, outer, "inner").select(
+        outer, inner, "n", F.round(F.col("n") * 100.0 / F.col("_total"), 6).alias("pct_within"))

@@ -46,7 +46,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     machine) a private temporary folder is created.
     """
     global _LOCAL_FALLBACK
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:   # Spark Connect: the server owns spark.checkpoint.dir
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -30,10 +30,12 @@ def spread_rows(df: DataFrame) -> DataFrame:
     stored as one file / row group would otherwise run its per-row CPU work in one task.
     Checking the planned partition count starts no job.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        planned = df.rdd.getNumPartitions()
+    except Exception:   # e.g. a Spark Connect session: no RDD view, leave the scan as it is
+        return df
+    return df.repartition(cores) if planned < cores else df
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
