@@ -103,18 +103,24 @@ def lookup_succeeded(pub_date: Column, citations: Column) -> Column:
 def apply_lookups(target: DataFrame, lookups: DataFrame) -> DataFrame:
     """Set publiDate/citations from the lookup table on every record that needs them.
 
-    ``lookups``: (doi, pub_date, citations) keyed by the published DOI. Every version that
-    shares the published DOI is updated (one left join, one shuffle per side).
+    ``lookups``: (doi, pub_date, citations) keyed by the published DOI. Only records that
+    need enrichment enter the join; all others (including every unpublished record, whose
+    'NA' sentinel would be one hot join key) pass through without a shuffle. Every version
+    that shares a published DOI is updated.
     """
+    need = needs_enrichment(target)
+    rest = target.where(~need).withColumn("enriched", F.lit(False))
+    todo = target.where(need)
     lk = lookups.select(F.col("doi").alias("_lk_doi"), F.col("pub_date").alias("_lk_date"),
                         F.col("citations").alias("_lk_cit"))
-    j = target.join(lk, target["published"] == lk["_lk_doi"], "left")
-    take = needs_enrichment(j) & j["_lk_doi"].isNotNull() & lookup_succeeded(j["_lk_date"], j["_lk_cit"])
-    return (j.withColumns({
+    j = todo.join(lk, todo["published"] == lk["_lk_doi"], "left")
+    take = j["_lk_doi"].isNotNull() & lookup_succeeded(j["_lk_date"], j["_lk_cit"])
+    done = (j.withColumns({
         "publiDate": F.when(take, F.col("_lk_date")).otherwise(F.col("publiDate")),
         "citations": F.when(take, F.col("_lk_cit")).otherwise(F.col("citations")),
         "enriched": take,
     }).drop("_lk_doi", "_lk_date", "_lk_cit"))
+    return rest.unionByName(done)
 
 
 # -- export ---------------------------------------------------------------------------------
