@@ -66,13 +66,20 @@ EVENT_SCHEMA = T.StructType([
     T.StructField("value", T.DoubleType()), T.StructField("props", T.StringType())])
 
 
-def stream_latest(spark: SparkSession, sf_dir: str, n_files: int = 4) -> DataFrame:
-    """Events landed as several files, consumed by the streaming keep-latest job; current view."""
+def stream_latest(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFrame:
+    """Events landed as files, consumed by the streaming keep-latest job in about ``batches``
+    micro-batches; returns the current view.
+
+    The landing write uses as many files as shuffle partitions (it scales with the cluster),
+    and the trigger size is derived from the landed file count.
+    """
     landing, table = shared_path(spark, "landing"), shared_path(spark, "latest")
     ev = read_table(spark, sf_dir, "events")
+    n_files = max(batches, int(spark.conf.get("spark.sql.shuffle.partitions")))
     ev.repartition(n_files, "event_id").write.parquet(landing)
+    landed = len(spark.read.parquet(landing).inputFiles())     # file listing only
     q = keep_latest_stream(spark, landing, EVENT_SCHEMA, "user_id", ["ts", "event_id"], table,
-                           shared_path(spark, "stream-ckpt"))
+                           shared_path(spark, "stream-ckpt"), files_per_trigger=max(1, -(-landed // batches)))
     q.awaitTermination()
     view = current_view(spark, table, "user_id", ["ts", "event_id"])
     return tidy(view.select("user_id", "event_id", "event_type", "value"))

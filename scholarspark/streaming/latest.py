@@ -16,10 +16,15 @@ from pyspark.sql.types import StructType
 
 
 def keep_latest_stream(spark: SparkSession, landing: str, schema: StructType, key: str, order_cols: list[str],
-                       table_dir: str, checkpoint: str, fmt: str = "parquet", files_per_trigger: int = 1):
-    """Start the job and run it over everything landed so far (``availableNow``); returns the query."""
-    src = (spark.readStream.schema(schema).format(fmt)
-           .option("maxFilesPerTrigger", files_per_trigger).load(landing))
+                       table_dir: str, checkpoint: str, fmt: str = "parquet", files_per_trigger: int | None = None):
+    """Start the job and run it over everything landed so far (``availableNow``); returns the query.
+
+    ``files_per_trigger`` bounds a micro-batch (the source default when None).
+    """
+    reader = spark.readStream.schema(schema).format(fmt)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    src = reader.load(landing)
     cols = [c for c in schema.fieldNames()]
     latest = (src.groupBy(key)
               .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(c) for c in order_cols])).alias("r"))

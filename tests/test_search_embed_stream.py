@@ -44,7 +44,7 @@ def test_hashing_embedder_is_deterministic_and_pluggable(spark):
 
 
 def test_stream_equals_batch(spark):
-    streamed = sorted(tuple(r) for r in ingest.stream_latest(spark, SF01, n_files=5).collect())
+    streamed = sorted(tuple(r) for r in ingest.stream_latest(spark, SF01, batches=5).collect())
     ev = spark.read.parquet(f"{SF01}/events.parquet")
     from scholarspark.operators.records import keep_latest
     batch = keep_latest(ev.withColumn("version", F.lit("1")), key="user_id", tiebreak=("ts", "event_id"))
