@@ -224,3 +224,7 @@ SELECT doi, len(citations) AS n_citations,
   list_max(list_transform(citations, lambda c: {_months('c.timespan')}))::BIGINT AS longest_span_months,
   list_min(list_transform(citations, lambda c: {_months('c.timespan')}))::BIGINT AS shortest_span_months
 FROM latest WHERE citations IS NOT NULL AND len(citations) > 0"""
+
+
+RECORDS["freq_all"] = (f"SELECT * FROM ({RECORDS['freq_export']}) UNION ALL "
+                       f"SELECT * FROM ({RECORDS['freq_docs']})")

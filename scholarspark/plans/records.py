@@ -145,6 +145,11 @@ def freq_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(frequencies(d, ["lang", "source"]))
 
 
+def freq_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequencies of the export variables and of the document variables, one long table."""
+    return freq_export(spark, sf_dir).unionByName(freq_docs(spark, sf_dir))
+
+
 def freq_within(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of each source within each language (stacked-bar statistics)."""
     from scholarspark.operators.profile import within_shares
@@ -183,5 +188,6 @@ QUERIES = {
     "freq_export": freq_export,
     "freq_docs": freq_docs,
     "freq_within": freq_within,
+    "freq_all": freq_all,
     "citation_spans": citation_spans,
 }
