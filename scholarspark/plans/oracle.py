@@ -228,3 +228,5 @@ FROM latest WHERE citations IS NOT NULL AND len(citations) > 0"""
 
 RECORDS["freq_all"] = (f"SELECT * FROM ({RECORDS['freq_export']}) UNION ALL "
                        f"SELECT * FROM ({RECORDS['freq_docs']})")
+
+RECORDS["replace_latest"] = RECORDS["dedup_latest"]

@@ -33,6 +33,17 @@ def dedup_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
                           F.when(F.col("citations").isNotNull(), F.size("citations")).alias("n_citations")))
 
 
+def replace_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The de-duplicated records written as a new table version (never over the input) and read back."""
+    from scholarspark.operators.upsert import replace_table
+    from scholarspark.session import shared_path
+    df = latest_preprints(spark, sf_dir, ["_id", "published", "publiDate", "citations"])
+    path = replace_table(df, shared_path(spark, "preprints-latest"))
+    back = spark.read.parquet(path)
+    return tidy(back.select("doi", "_id", "version", "date", "published", "publiDate",
+                            F.when(F.col("citations").isNotNull(), F.size("citations")).alias("n_citations")))
+
+
 def derived_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = derived_preprints(spark, sf_dir, ["title", "abstract", "authors", "published", "publiDate"])
     return tidy(df.select("doi", "titleLength", "abstractLength", "numberAuthors",
@@ -172,6 +183,7 @@ def citation_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "published_share_by_category": published_share_by_category,
     "dedup_latest": dedup_latest,
+    "replace_latest": replace_latest,
     "derived_lengths": derived_lengths,
     "publication_status": publication_status,
     "citation_counts": citation_counts,
