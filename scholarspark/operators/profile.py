@@ -26,7 +26,7 @@ def frequencies(df: DataFrame, columns: list[str]) -> DataFrame:
     ranked = prefix_sums(counts, ["neg_n", "level"], ["one"], ["variable"])
     totals = ranked.groupBy("variable").agg(F.sum("n").alias("_total"))
     return ranked.join(totals, "variable").select(
-        "variable", "level", "n", F.round(F.col("n") * 100.0 / F.col("_total"), 6).alias("pct"),
+        "variable", "level", "n", (F.col("n") * 100.0 / F.col("_total")).alias("pct"),
         (F.col("one_before") + 1).alias("freq_rank"))
 
 
@@ -35,4 +35,4 @@ def within_shares(df: DataFrame, outer: str, inner: str) -> DataFrame:
     counts = df.groupBy(outer, inner).agg(F.count(F.lit(1)).alias("n"))
     totals = df.groupBy(outer).agg(F.count(F.lit(1)).alias("_total"))
     return counts.join(totals, outer, "inner").select(
-        outer, inner, "n", F.round(F.col("n") * 100.0 / F.col("_total"), 6).alias("pct_within"))
+        outer, inner, "n", (F.col("n") * 100.0 / F.col("_total")).alias("pct_within"))

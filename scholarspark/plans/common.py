@@ -11,11 +11,19 @@ from scholarspark.operators.records import export_filter, keep_latest, normalise
 from scholarspark.sources.fixtures import preprints
 
 ROUND = 6
+SNAP = 9
+
+
+def stable_round(c, digits: int = ROUND, snap: int = SNAP):
+    """Round a double the same way in every engine: first to ``snap`` decimals as an exact
+    DECIMAL (absorbing summation-order noise in the last bits), then half-up to ``digits``.
+    NaN/infinite values become NULL."""
+    return F.round(c.try_cast(f"decimal(38,{snap})"), digits).cast("double")
 
 
 def tidy(df: DataFrame) -> DataFrame:
     """Output types shared with the SQL oracle: integers -> bigint, floats -> double rounded
-    to 6 decimals, dates/timestamps -> ISO text."""
+    to 6 decimals (``stable_round``), dates/timestamps -> ISO text."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -23,7 +31,7 @@ def tidy(df: DataFrame) -> DataFrame:
         if isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         elif isinstance(t, (T.FloatType, T.DecimalType, T.DoubleType)):
-            c = F.round(c.cast("double"), ROUND)
+            c = stable_round(c.cast("double"))
         elif isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             c = c.cast("string")
         cols.append(c.alias(f.name))
@@ -31,7 +39,7 @@ def tidy(df: DataFrame) -> DataFrame:
 
 
 def r6(c):
-    return F.round(c, ROUND)
+    return stable_round(c)
 
 
 def raw_preprints(spark: SparkSession, sf_dir: str) -> DataFrame:

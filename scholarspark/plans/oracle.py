@@ -230,3 +230,52 @@ RECORDS["freq_all"] = (f"SELECT * FROM ({RECORDS['freq_export']}) UNION ALL "
                        f"SELECT * FROM ({RECORDS['freq_docs']})")
 
 RECORDS["replace_latest"] = RECORDS["dedup_latest"]
+
+
+def _split_args(inner: str) -> tuple[str, str | None]:
+    depth = 0
+    for i in range(len(inner) - 1, -1, -1):
+        ch = inner[i]
+        if ch == ")":
+            depth += 1
+        elif ch == "(":
+            depth -= 1
+        elif ch == "," and depth == 0:
+            return inner[:i], inner[i + 1:].strip()
+    return inner, None
+
+
+def stable_rounds(sql: str) -> str:
+    """Rewrite every ``round(x, 6)`` as ``round(try_cast(x AS DECIMAL(38,9)), 6)::DOUBLE``.
+
+    This is the rounding the Spark side applies to every double (``plans.common.stable_round``):
+    snap to 9 decimals exactly, then half-up to 6, so summation-order noise in the last bits and
+    binary-vs-decimal tie handling cannot make the engines print different numbers.
+    """
+    out, i = [], 0
+    while True:
+        j = sql.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (sql[j - 1].isalnum() or sql[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 0, j + 5
+        while k < len(sql):
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+                if depth == 0:
+                    break
+            k += 1
+        expr, digits = _split_args(sql[j + 6:k])
+        expr = stable_rounds(expr)
+        out.append(sql[i:j])
+        if digits == "6":
+            out.append(f"round(try_cast(({expr}) AS DECIMAL(38,9)), 6)::DOUBLE")
+        else:
+            out.append(f"round({expr}{', ' + digits if digits else ''})")
+        i = k + 1

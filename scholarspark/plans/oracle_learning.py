@@ -75,8 +75,8 @@ af AS (SELECT Model, Dataset, sum(tp) / sum(support) AS accuracy,
 SCORED_REG = with_ctes(PREPRINTS, LATEST, DERIVED) + f""",
 base AS (SELECT doi, {split_expr('doi')} AS Dataset, cit1year::DOUBLE AS cit1year, citTotal, cit2years
          FROM derived WHERE cit1year IS NOT NULL),
-sp AS (SELECT doi, Dataset, cit1year, 'ModA' AS Model, citTotal * 0.25 AS prediction FROM base
-       UNION ALL SELECT doi, Dataset, cit1year, 'ModB' AS Model, cit2years * 0.5 + 1.0 AS prediction FROM base)"""
+sp AS (SELECT doi, Dataset, cit1year, 'ModA' AS Model, (citTotal * 0.25)::DOUBLE AS prediction FROM base
+       UNION ALL SELECT doi, Dataset, cit1year, 'ModB' AS Model, (cit2years * 0.5 + 1.0)::DOUBLE AS prediction FROM base)"""
 
 LEARNING = {
     "hash_split": f"""

@@ -98,7 +98,7 @@ SELECT round((12.0 / (N * (N + 1)) * (SELECT sum(R * R / n) FROM g) - 3 * (N + 1
 
     "mosaic": f"""WITH base AS (SELECT lang, quality FROM documents JOIN labels USING (doc_id)),
 {_cells("base", ["lang", "quality"])}
-SELECT var1, var2, a, b, o, n, round(e, 6) AS expected, round((o - e) / sqrt(e), 6) AS residual,
+SELECT var1, var2, a, b, o, n::BIGINT AS n, round(e, 6) AS expected, round((o - e) / sqrt(e), 6) AS residual,
   round(o * 100.0 / ra, 6) AS pct_of_row FROM j""",
 
     "corr_matrix": _corr(),

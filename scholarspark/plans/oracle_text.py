@@ -39,7 +39,7 @@ SELECT doc_id, len({sentences('text')}) AS n_sentences, length({sentences('text'
 FROM documents""",
 
     "mean_pool": """
-SELECT label, i - 1 AS dim, round(avg(embedding[i]), 6) AS mean
+SELECT label::BIGINT AS label, i - 1 AS dim, round(avg(embedding[i]), 6) AS mean
 FROM embeddings, range(1, (SELECT max(len(embedding)) FROM embeddings) + 1) r(i)
 WHERE i <= len(embedding) GROUP BY label, i""",
 

@@ -28,3 +28,7 @@ QUERIES.update(ingest.QUERIES)
 ORACLE_SQL.update(INGEST)
 QUERIES.update(extra.QUERIES)
 ORACLE_SQL.update(EXTRA)
+
+from scholarspark.plans.oracle import stable_rounds  # noqa: E402
+
+ORACLE_SQL = {k: stable_rounds(v) for k, v in ORACLE_SQL.items()}
