@@ -80,8 +80,13 @@ def add_citation_counts(df: DataFrame) -> DataFrame:
 
 
 def derive_fields(df: DataFrame) -> DataFrame:
-    """All derived fields in one projection chain (Catalyst collapses it into one Project)."""
-    return add_citation_counts(add_dates_and_status(add_lengths(df)))
+    """Every derived field the frame's columns allow, in one projection chain (Catalyst
+    collapses it into one Project): lengths when title/abstract/authors are present, dates and
+    status always, citation counts when the citation list is present."""
+    if {"title", "abstract", "authors"} <= set(df.columns):
+        df = add_lengths(df)
+    df = add_dates_and_status(df)
+    return add_citation_counts(df) if "citations" in df.columns else df
 
 
 # -- enrichment ---------------------------------------------------------------------------

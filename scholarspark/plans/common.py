@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scholarspark.functions.recode import binary_status, category_group
-from scholarspark.operators.records import export_filter, keep_latest, normalise_dates
+from scholarspark.operators.records import derive_fields, export_filter, keep_latest, normalise_dates
 from scholarspark.sources.fixtures import preprints
 
 ROUND = 6
@@ -66,7 +66,7 @@ DERIVED_INPUTS = ["_id", "server", "category", "title", "abstract", "authors", "
 
 
 def derived_preprints(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
-    return derive_fields_light(latest_preprints(spark, sf_dir, columns or DERIVED_INPUTS))
+    return derive_fields(latest_preprints(spark, sf_dir, columns or DERIVED_INPUTS))
 
 
 RECODE_INPUTS = ["_id", "server", "category", "published", "publiDate", "title", "abstract", "authors"]
@@ -74,18 +74,9 @@ RECODE_INPUTS = ["_id", "server", "category", "published", "publiDate", "title",
 
 def recoded_export(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
     """The export frame with the recoded analysis columns (category group, binary status, month)."""
-    df = export_filter(derive_fields_light(latest_preprints(spark, sf_dir, columns or RECODE_INPUTS)))
+    df = export_filter(derive_fields(latest_preprints(spark, sf_dir, columns or RECODE_INPUTS)))
     return df.withColumns({
         "category_grouped": category_group("category"),
         "publiStatus_binary": binary_status("publiStatus"),
         "month_upload": F.month("dateConverted"),
     })
-
-
-def derive_fields_light(df: DataFrame) -> DataFrame:
-    """Derived fields that exist on the frame (citation counts only when citations are present)."""
-    from scholarspark.operators.records import add_citation_counts, add_dates_and_status, add_lengths
-    if {"title", "abstract", "authors"} <= set(df.columns):
-        df = add_lengths(df)
-    df = add_dates_and_status(df)
-    return add_citation_counts(df) if "citations" in df.columns else df
