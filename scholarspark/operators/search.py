@@ -27,12 +27,6 @@ BM25_K1 = 1.2
 BM25_B = 0.75
 
 
-def clause_hits(text: Column, phrases: list[str]) -> list[Column]:
-    """One boolean per phrase: does the phrase occur in the text?"""
-    p = padded(text)
-    return [p.contains(padded(F.lit(ph))) for ph in phrases]
-
-
 def with_once(df: DataFrame, expr: Column, name: str) -> DataFrame:
     """Add ``expr`` as a column computed exactly once per row.
 

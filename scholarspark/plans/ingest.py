@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from scholarspark.operators.records import apply_lookups
 from scholarspark.plans.common import raw_preprints, tidy
-from scholarspark.plans.records import _stripped_target
+from scholarspark.plans.records import stripped_target
 from scholarspark.session import shared_path
 from scholarspark.sources.lookups import lookup_table, read_citation_responses, read_metadata_responses
 from scholarspark.sources.pages import land_pages, page_completeness, page_records, read_pages, to_pages
@@ -54,7 +54,7 @@ def landed_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.array(F.struct(F.col("publiDate").alias("pub_date"))))
     raw.select(F.col("published").alias("doi"), meta.alias("metadata")).write.json(meta_path)
     lk = lookup_table(read_citation_responses(spark, cit_path), read_metadata_responses(spark, meta_path))
-    out = apply_lookups(_stripped_target(spark, sf_dir), lk)
+    out = apply_lookups(stripped_target(spark, sf_dir), lk)
     return tidy(out.select("_id", "doi", "publiDate",
                            F.when(F.col("citations").isNotNull(), F.size("citations")).alias("n_citations"),
                            "enriched"))

@@ -63,7 +63,7 @@ def citation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(df.where(F.col("citTotal").isNotNull()).select("doi", "citTotal", "cit1year", "cit2years"))
 
 
-def _stripped_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stripped_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw records where every fourth record has lost its publication date and citations."""
     raw = normalise_dates(raw_preprints(spark, sf_dir))
     strip = F.col("_id") % 4 == 0
@@ -71,7 +71,7 @@ def _stripped_target(spark: SparkSession, sf_dir: str) -> DataFrame:
                             "citations": F.when(~strip, F.col("citations"))})
 
 
-def _lookup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def lookup_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed lookup responses keyed by published DOI ('' date = failed lookup)."""
     raw = raw_preprints(spark, sf_dir)
     return raw.where(F.col("published") != "NA").select(
@@ -79,12 +79,12 @@ def _lookup_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def needs_enrichment_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = _stripped_target(spark, sf_dir)
+    df = stripped_target(spark, sf_dir)
     return tidy(df.where(needs_enrichment(df)).select("_id", "doi", "published"))
 
 
 def enrich_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = apply_lookups(_stripped_target(spark, sf_dir), _lookup_table(spark, sf_dir))
+    out = apply_lookups(stripped_target(spark, sf_dir), lookup_responses(spark, sf_dir))
     return tidy(out.select("_id", "doi", "publiDate",
                            F.when(F.col("citations").isNotNull(), F.size("citations")).alias("n_citations"),
                            "enriched"))
