@@ -158,18 +158,42 @@ def group_sample(df: DataFrame, group: str, id_col: str, k: int) -> DataFrame:
 
 
 def profile(df: DataFrame, columns: list[str], exact_distinct: bool = True) -> DataFrame:
-    """One-pass profile of numeric columns, long form: rows, nulls, distinct, min, max, mean, sd."""
+    """Profile of numeric columns, long form: rows, nulls, distinct, min, max, mean, sd,
+    skewness, excess kurtosis (population moments) in one aggregation, plus the exact median
+    of every column from one distributed ranking of a (column, value) table."""
     aggs = []
     for i, c in enumerate(columns):
         nd = F.count_distinct(c) if exact_distinct else F.approx_count_distinct(c)
         aggs += [F.count_if(F.col(c).isNull()).alias(f"z{i}"), nd.alias(f"d{i}"),
                  F.min(c).cast("double").alias(f"lo{i}"), F.max(c).cast("double").alias(f"hi{i}"),
-                 F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}")]
+                 F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}"),
+                 F.skewness(c).alias(f"k3{i}"), F.kurtosis(c).alias(f"k4{i}")]
     one = df.agg(F.count(F.lit(1)).alias("rows"), *aggs)
-    return one.select(F.inline(F.array(*[
+    stats = one.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column"), F.col("rows").alias("n_rows"), F.col(f"z{i}").alias("n_null"),
                  F.col(f"d{i}").alias("n_distinct"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"),
-                 F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("stddev"))
+                 F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("stddev"),
+                 F.col(f"k3{i}").alias("skewness"), F.col(f"k4{i}").alias("kurtosis"))
+        for i, c in enumerate(columns)])))
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
+                                        for c in columns])))
+    med = exact_quantiles(long, "value", [0.5], ["column"]).select("column", F.col("q_0_5").alias("median"))
+    return stats.join(med, "column", "left")
+
+
+def profile_text(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Profile of text columns in one aggregation: rows, nulls, distinct, min/max value and length."""
+    aggs = []
+    for i, c in enumerate(columns):
+        aggs += [F.count_if(F.col(c).isNull()).alias(f"z{i}"), F.count_distinct(c).alias(f"d{i}"),
+                 F.min(c).alias(f"lo{i}"), F.max(c).alias(f"hi{i}"),
+                 F.min(F.length(c)).alias(f"ll{i}"), F.max(F.length(c)).alias(f"lh{i}")]
+    one = df.agg(F.count(F.lit(1)).alias("rows"), *aggs)
+    return one.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col("rows").alias("n_rows"), F.col(f"z{i}").alias("n_null"),
+                 F.col(f"d{i}").alias("n_distinct"), F.col(f"lo{i}").alias("min_value"),
+                 F.col(f"hi{i}").alias("max_value"), F.col(f"ll{i}").alias("min_length"),
+                 F.col(f"lh{i}").alias("max_length"))
         for i, c in enumerate(columns)])))
 
 

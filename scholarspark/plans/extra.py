@@ -21,7 +21,7 @@ FAMD_CATEGORICAL = ["l_returnflag", "l_linestatus"]
 
 
 def _famd(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem", FAMD_NUMERIC + FAMD_CATEGORICAL)
+    li = read_table(spark, sf_dir, "lineitem", FAMD_NUMERIC + FAMD_CATEGORICAL, spread=True)
     return li, famd_ops.fit_famd(li, FAMD_NUMERIC, FAMD_CATEGORICAL)
 
 

@@ -53,7 +53,19 @@ def _profile() -> str:
     cols = LINE_NUMERICS + ["l_orderkey", "l_linenumber"]
     parts = [f"""SELECT '{c}' AS "column", count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL) AS n_null,
   count(DISTINCT {c}) AS n_distinct, round(min({c})::DOUBLE, 6) AS min, round(max({c})::DOUBLE, 6) AS max,
-  round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev FROM lineitem""" for c in cols]
+  round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS stddev,
+  round(avg(power({c} - mu, 3)) / power(avg(power({c} - mu, 2)), 1.5), 6) AS skewness,
+  round(avg(power({c} - mu, 4)) / power(avg(power({c} - mu, 2)), 2) - 3, 6) AS kurtosis,
+  round(quantile_cont({c}, 0.5), 6) AS median
+FROM lineitem, (SELECT avg({c}) AS mu FROM lineitem) m""" for c in cols]
+    return " UNION ALL ".join(parts)
+
+
+def _profile_text() -> str:
+    parts = [f"""SELECT '{c}' AS "column", count(*) AS n_rows, count(*) FILTER (WHERE {c} IS NULL) AS n_null,
+  count(DISTINCT {c}) AS n_distinct, min({c}) AS min_value, max({c}) AS max_value,
+  min(length({c}))::BIGINT AS min_length, max(length({c}))::BIGINT AS max_length FROM lineitem"""
+             for c in ["l_returnflag", "l_linestatus"]]
     return " UNION ALL ".join(parts)
 
 
@@ -129,6 +141,7 @@ SELECT * FROM (SELECT event_id, event_type, round(value, 6) AS value,
   FROM events) WHERE sample_rank <= {SAMPLE_K}""",
 
     "profile": _profile(),
+    "profile_text": _profile_text(),
 }
 
 

@@ -75,7 +75,12 @@ def group_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = LINE_NUMERICS + ["l_orderkey", "l_linenumber"]
-    return tidy(stats.profile(read_table(spark, sf_dir, "lineitem", cols), cols))
+    return tidy(stats.profile(read_table(spark, sf_dir, "lineitem", cols, spread=True), cols))
+
+
+def profile_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cols = ["l_returnflag", "l_linestatus"]
+    return tidy(stats.profile_text(read_table(spark, sf_dir, "lineitem", cols), cols))
 
 
 def test_pvalues(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,6 +156,7 @@ QUERIES = {
     "log_mean": log_mean,
     "group_sample": group_sample,
     "profile": profile,
+    "profile_text": profile_text,
     "test_pvalues": test_pvalues,
     "export_chi2": export_chi2,
     "export_kruskal": export_kruskal,

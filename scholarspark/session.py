@@ -68,7 +68,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "scholarspark", f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def reliable_checkpoint(df):
-    """Cut lineage with a reliable (shared-storage) checkpoint; never a local one."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def reliable_checkpoint(df, name: str = "materialised"):
+    """Cut lineage by writing the frame as a parquet table in the shared checkpoint folder and
+    reading it back (never a local checkpoint, never a machine-local path on a cluster).
+
+    Unlike ``Dataset.checkpoint`` - a count job followed by a second job that recomputes the
+    frame to write it - the write is a single job, and the table is columnar and compressed.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
