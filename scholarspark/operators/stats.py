@@ -157,28 +157,38 @@ def group_sample(df: DataFrame, group: str, id_col: str, k: int) -> DataFrame:
     return df.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= k)
 
 
-def profile(df: DataFrame, columns: list[str], exact_distinct: bool = True) -> DataFrame:
-    """Profile of numeric columns, long form: rows, nulls, distinct, min, max, mean, sd,
-    skewness, excess kurtosis (population moments) in one aggregation, plus the exact median
-    of every column from one distributed ranking of a (column, value) table."""
-    aggs = []
-    for i, c in enumerate(columns):
-        nd = F.count_distinct(c) if exact_distinct else F.approx_count_distinct(c)
-        aggs += [F.count_if(F.col(c).isNull()).alias(f"z{i}"), nd.alias(f"d{i}"),
-                 F.min(c).cast("double").alias(f"lo{i}"), F.max(c).cast("double").alias(f"hi{i}"),
-                 F.avg(c).alias(f"m{i}"), F.stddev_samp(c).alias(f"s{i}"),
-                 F.skewness(c).alias(f"k3{i}"), F.kurtosis(c).alias(f"k4{i}")]
-    one = df.agg(F.count(F.lit(1)).alias("rows"), *aggs)
-    stats = one.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col("rows").alias("n_rows"), F.col(f"z{i}").alias("n_null"),
-                 F.col(f"d{i}").alias("n_distinct"), F.col(f"lo{i}").alias("min"), F.col(f"hi{i}").alias("max"),
-                 F.col(f"m{i}").alias("mean"), F.col(f"s{i}").alias("stddev"),
-                 F.col(f"k3{i}").alias("skewness"), F.col(f"k4{i}").alias("kurtosis"))
-        for i, c in enumerate(columns)])))
+def profile(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Profile of numeric columns, long form: rows, nulls, distinct values, min, max, mean, sd,
+    skewness, excess kurtosis (population moments) and exact median.
+
+    The source is read once: every row is melted into (column, value) pairs and reduced to
+    distinct (column, value, count) rows (partial aggregation), which are materialised. All
+    statistics come from that table: exact distinct counts without a per-column
+    ``count(DISTINCT)`` expansion, two-pass central moments, and medians from one
+    distributed ranking.
+    """
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value"))
                                         for c in columns])))
-    med = exact_quantiles(long, "value", [0.5], ["column"]).select("column", F.col("q_0_5").alias("median"))
-    return stats.join(med, "column", "left")
+    vc_all = reliable_checkpoint(long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("c")), "profile")
+    v, c = F.col("value"), F.col("c")
+    present = v.isNotNull()
+    basic = vc_all.groupBy("column").agg(
+        F.sum(c).alias("n_rows"), F.sum(F.when(~present, c).otherwise(0)).alias("n_null"),
+        F.count_if(present).alias("n_distinct"), F.min(v).alias("min"), F.max(v).alias("max"),
+        F.sum(F.when(present, c)).alias("_n"), (F.sum(F.when(present, c * v)) / F.sum(F.when(present, c))).alias("mean"))
+    vc = vc_all.where(present)
+    d = v - F.col("mean")
+    mom = vc.join(basic.select("column", "mean", "_n"), "column").groupBy("column").agg(
+        (F.sum(c * d ** 2) / F.first("_n")).alias("_m2"), (F.sum(c * d ** 3) / F.first("_n")).alias("_m3"),
+        (F.sum(c * d ** 4) / F.first("_n")).alias("_m4"))
+    med = exact_quantiles(None, "value", [0.5], ["column"], counts=vc).select("column", F.col("q_0_5").alias("median"))
+    n = F.col("_n")
+    return (basic.join(mom, "column", "left").join(med, "column", "left")
+            .select("column", "n_rows", "n_null", "n_distinct", "min", "max", "mean",
+                    F.sqrt(F.try_divide(F.col("_m2") * n, n - 1)).alias("stddev"),
+                    F.try_divide(F.col("_m3"), F.col("_m2") ** 1.5).alias("skewness"),
+                    (F.try_divide(F.col("_m4"), F.col("_m2") ** 2) - 3).alias("kurtosis"),
+                    "median"))
 
 
 def profile_text(df: DataFrame, columns: list[str]) -> DataFrame:
