@@ -118,11 +118,19 @@ EXPORT_CATEGORICAL = ["category_grouped", "server", "publiStatus_binary", "month
 
 
 def analysis_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Recoded export rows minus those at the maximum abstract length, with log author counts."""
+    """Recoded export rows minus those at the maximum abstract length, with log author counts.
+
+    The frame is read twice (for the global maximum, then for the statistics), so its few
+    analysis columns are materialised once in the shared folder instead of re-running the
+    record pipeline for each read.
+    """
     from scholarspark.functions.recode import ln_or_null
     from scholarspark.plans.common import recoded_export
+    from scholarspark.session import reliable_checkpoint
     df = recoded_export(spark, sf_dir, ["server", "category", "published", "publiDate", "title", "abstract",
                                         "authors", "citations"])
+    cols = list(dict.fromkeys(EXPORT_NUMERIC + EXPORT_CATEGORICAL + ["abstractLength"]))
+    df = reliable_checkpoint(df.select(*cols), "analysis")
     mx = df.select(F.max("abstractLength")).scalar()
     return df.where(F.col("abstractLength") != mx).withColumn("numberAuthorsLog", ln_or_null("numberAuthors"))
 
