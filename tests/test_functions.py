@@ -61,3 +61,17 @@ def test_citations_sorted_by_duration_not_text(spark):
                                "citations array<struct<timespan:string>>")
     got = [c["timespan"] for c in df.select(sort_by_span_desc().alias("s")).first()["s"]]
     assert got == ["P10Y0M", "P9Y0M", "P0Y11M", "-P1Y0M", ""]
+
+
+def test_month_one_hot_layout(spark):
+    from pyspark.ml.functions import vector_to_array
+    from scholarspark.operators.features import feature_pipeline
+    enc = [s for s in feature_pipeline().getStages() if type(s).__name__ == "OneHotEncoder"][0]
+    df = spark.createDataFrame([(m, 0.0, 0.0) for m in range(1, 13)], "month_upload int, server_index double, "
+                                                                      "category_grouped_index double")
+    out = enc.fit(df).transform(df).select("month_upload", vector_to_array("month_upload_encoded").alias("v"))
+    rows = {r.month_upload: list(r.v) for r in out.collect()}
+    assert all(len(v) == 12 for v in rows.values())
+    assert all(v[0] == 0.0 for v in rows.values())          # slot 0 never set
+    assert rows[12] == [0.0] * 12                             # December is the dropped last category
+    assert rows[3][3] == 1.0
