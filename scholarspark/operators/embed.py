@@ -100,6 +100,23 @@ def embed_text(df: DataFrame, id_col: str, text_cols: list[str], embedder: Calla
                           F.when(F.col("_txt").isNotNull(), udf(F.coalesce("_txt", F.lit("")))).alias(out_col))
 
 
+def sentence_vectors(df: DataFrame, id_col: str, text_cols: list[str], embedder: Callable[[], Callable] | None = None,
+                     dim: int = DEFAULT_DIM, out_col: str = "embedding", batch_size: int = 256) -> DataFrame:
+    """One vector per sentence: (id, sentence_idx, n_tokens, embedding), sentences in text order.
+
+    Every sentence of every text is embedded (mean of its token vectors); ``first_sentence``
+    pooling is the row with ``sentence_idx = 0``, and a document vector is the mean over its
+    sentences (``mean_vectors`` grouped by id).
+    """
+    text = F.col(text_cols[0]) if len(text_cols) == 1 else merged_text(text_cols[0], text_cols[1])
+    loader = embedder or (lambda: HashingEmbedder(dim))
+    udf = model_udf(loader, dim, batch_size)
+    sent = df.select(F.col(id_col), F.posexplode(sentence_split(text)).alias("sentence_idx", "_s"))
+    prepped = sent.select(id_col, "sentence_idx", F.array_join(normalised_tokens(F.col("_s")), " ").alias("_txt"))
+    n_tok = F.when(F.col("_txt") == "", 0).otherwise(F.size(F.split("_txt", " ")))
+    return prepped.select(id_col, "sentence_idx", n_tok.alias("n_tokens"), udf(F.col("_txt")).alias(out_col))
+
+
 def mean_vectors(df: DataFrame, vec_col: str, group_cols: list[str]) -> DataFrame:
     """Mean vector per group with partial aggregation of whole vectors (no per-dimension explode)."""
     v = array_to_vector(F.col(vec_col))

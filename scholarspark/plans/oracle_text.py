@@ -55,3 +55,19 @@ SELECT d.doc_id, len({norm_tokens('d.text')}) AS n_tokens, round(coalesce(vs, 0)
   round(coalesce(vn, 0), 6) AS vec_norm
 FROM documents d LEFT JOIN agg USING (doc_id)""",
 }
+
+
+TEXT["sentence_vectors"] = f"""
+WITH a AS (SELECT doc_id, {sentences('text')} AS arr FROM documents),
+s AS (SELECT doc_id, i AS sentence_idx, arr[i + 1] AS sent
+      FROM (SELECT doc_id, arr, unnest(range(len(arr))) AS i FROM a)),
+t AS (SELECT doc_id, sentence_idx, {norm_tokens('sent')} AS toks FROM s),
+u AS (SELECT doc_id, sentence_idx, len(toks) AS n, unnest(toks) AS tok FROM t WHERE len(toks) > 0),
+g AS (SELECT doc_id, sentence_idx, ('0x' || substr(md5(tok), 1, 8))::UBIGINT % 64 AS dim,
+        sum(CASE WHEN ('0x' || substr(md5(tok), 9, 1))::INTEGER % 2 = 0 THEN 1 ELSE -1 END) AS sgn, any_value(n) AS n
+      FROM u GROUP BY doc_id, sentence_idx, dim),
+agg AS (SELECT doc_id, sentence_idx, sum(sgn / n) AS vs, sqrt(sum((sgn / n) * (sgn / n))) AS vn
+        FROM g GROUP BY doc_id, sentence_idx)
+SELECT t.doc_id, t.sentence_idx::BIGINT AS sentence_idx, len(t.toks)::BIGINT AS n_tokens,
+  round(coalesce(vs, 0), 6) AS vec_sum, round(coalesce(vn, 0), 6) AS vec_norm
+FROM t LEFT JOIN agg USING (doc_id, sentence_idx)"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from scholarspark.functions.text import clean_text, normalised_tokens, sentence_split, whitespace_tokens
 from scholarspark.operators.embed import embed_text as embed
-from scholarspark.operators.embed import long_vectors, mean_vectors, vector_sizes
+from scholarspark.operators.embed import long_vectors, mean_vectors, sentence_vectors as sentence_vecs, vector_sizes
 from scholarspark.plans.common import tidy
 from scholarspark.sources.tables import read_table
 
@@ -52,6 +52,22 @@ def embed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             lambda a, x: a + x.cast("double") * x.cast("double"))).alias("vec_norm")))
 
 
+def _vec_sum(c: str = "embedding"):
+    return F.aggregate(c, F.lit(0.0), lambda a, x: a + x.cast("double"))
+
+
+def _vec_norm(c: str = "embedding"):
+    return F.sqrt(F.aggregate(c, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+
+
+def sentence_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sentence of every document embedded: token count, vector sum and norm per sentence."""
+    d = read_table(spark, sf_dir, "documents", ["doc_id", "text"], spread=True)
+    e = sentence_vecs(d, "doc_id", ["text"])
+    return tidy(e.select("doc_id", "sentence_idx", "n_tokens", _vec_sum().alias("vec_sum"),
+                         _vec_norm().alias("vec_norm")))
+
+
 QUERIES = {
     "tokenise": tokenise,
     "sentences": sentences,
@@ -59,4 +75,5 @@ QUERIES = {
     "vector_size": vector_size,
     "first_sentence_vec": first_sentence_vec,
     "embed_text": embed_text,
+    "sentence_vectors": sentence_vectors,
 }
