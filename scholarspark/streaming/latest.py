@@ -43,3 +43,13 @@ def current_view(spark: SparkSession, table_dir: str, key: str, order_cols: list
     cols = [c for c in log.columns if c != "_batch"]
     order = F.struct(*[F.col(c) for c in order_cols], F.col("_batch"))
     return log.groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), order).alias("r")).select("r.*")
+
+
+def compact(spark: SparkSession, table_dir: str, new_dir: str, key: str, order_cols: list[str]) -> str:
+    """Rewrite the append-only log as one batch holding the current view (at a new path; the
+    caller points readers at it once written). Keeps later view reads proportional to the
+    number of keys rather than to the number of micro-batches."""
+    view = current_view(spark, table_dir, key, order_cols)
+    top = spark.read.parquet(table_dir).agg(F.max("_batch")).scalar()
+    view.withColumn("_batch", top).write.mode("errorifexists").parquet(new_dir)
+    return new_dir

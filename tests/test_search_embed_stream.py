@@ -73,3 +73,19 @@ def test_stream_restart_reads_only_new_files(spark):
                  .select("user_id", "event_id").collect())
     batch = keep_latest(ev.withColumn("version", F.lit("1")), key="user_id", tiebreak=("ts", "event_id"))
     assert got == sorted(tuple(r) for r in batch.select("user_id", "event_id").collect())
+
+
+def test_compacted_log_gives_the_same_view(spark):
+    from scholarspark.plans.ingest import EVENT_SCHEMA
+    from scholarspark.session import shared_path
+    from scholarspark.streaming.latest import compact, current_view, keep_latest_stream
+    ev = spark.read.parquet(f"{SF01}/events.parquet")
+    landing, table, ckpt = shared_path(spark, "c-land"), shared_path(spark, "c-tab"), shared_path(spark, "c-ck")
+    ev.repartition(4).write.parquet(landing)
+    keep_latest_stream(spark, landing, EVENT_SCHEMA, "user_id", ["ts", "event_id"], table, ckpt,
+                       files_per_trigger=1).awaitTermination()
+    before = sorted(tuple(r) for r in current_view(spark, table, "user_id", ["ts", "event_id"]).collect())
+    new = compact(spark, table, shared_path(spark, "c-compact"), "user_id", ["ts", "event_id"])
+    after = sorted(tuple(r) for r in current_view(spark, new, "user_id", ["ts", "event_id"]).collect())
+    assert before == after
+    assert spark.read.parquet(new).count() == len(after)
