@@ -47,17 +47,32 @@ def page_completeness_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lookup responses landed as JSON per published DOI, read back and applied to stripped records."""
+    out = apply_lookups(stripped_target(spark, sf_dir), _land_lookups(spark, sf_dir))
+    return tidy(out.select("_id", "doi", "publiDate",
+                           F.when(F.col("citations").isNotNull(), F.size("citations")).alias("n_citations"),
+                           "enriched"))
+
+
+def _land_lookups(spark: SparkSession, sf_dir: str):
     raw = raw_preprints(spark, sf_dir).where(F.col("published") != "NA")
     cit_path, meta_path = shared_path(spark, "cit"), shared_path(spark, "meta")
     raw.select(F.col("published").alias("doi"), "citations").write.json(cit_path)
     meta = F.when(F.col("publiDate") == "", F.lit(None)).otherwise(
         F.array(F.struct(F.col("publiDate").alias("pub_date"))))
     raw.select(F.col("published").alias("doi"), meta.alias("metadata")).write.json(meta_path)
-    lk = lookup_table(read_citation_responses(spark, cit_path), read_metadata_responses(spark, meta_path))
-    out = apply_lookups(stripped_target(spark, sf_dir), lk)
-    return tidy(out.select("_id", "doi", "publiDate",
-                           F.when(F.col("citations").isNotNull(), F.size("citations")).alias("n_citations"),
-                           "enriched"))
+    return lookup_table(read_citation_responses(spark, cit_path), read_metadata_responses(spark, meta_path))
+
+
+def landed_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From landed files to the export table in one plan: records read from landed API pages
+    (every fourth without date and citations), landed lookup responses applied to every version,
+    latest version kept, fields derived, export filter and columns applied."""
+    from scholarspark.operators.records import derive_fields, export_table, keep_latest
+    pages_path = shared_path(spark, "pages-stripped")
+    land_pages(to_pages(stripped_target(spark, sf_dir), F.expr(f"_id div {PAGE_SIZE}"), RECORD_COLS), pages_path)
+    records = page_records(read_pages(spark, pages_path)).select(*RECORD_COLS)
+    enriched = apply_lookups(records, _land_lookups(spark, sf_dir)).drop("enriched")
+    return tidy(export_table(derive_fields(keep_latest(enriched))))
 
 
 EVENT_SCHEMA = T.StructType([
@@ -90,5 +105,6 @@ QUERIES = {
     "json_pages": json_pages,
     "page_completeness": page_completeness_q,
     "landed_lookups": landed_lookups,
+    "landed_export": landed_export,
     "stream_latest": stream_latest,
 }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from scholarspark.plans.ingest import PAGE_SIZE
-from scholarspark.plans.oracle import PP, RECORDS
+from scholarspark.plans.oracle import DERIVED, PP, PREPRINTS, RECORDS, STRIPPED, with_ctes
 
 INGEST = {
     "json_props": "SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events",
@@ -23,3 +23,24 @@ SELECT user_id, event_id, event_type, round(value, 6) AS value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
 WHERE rn = 1""",
 }
+
+
+_ENRICHED = """
+j AS (SELECT s.*, l.doi AS lk_doi, l.pub_date AS lk_date, l.citations AS lk_cit,
+        (s.published IS DISTINCT FROM 'NA' AND s.publiDate IS NULL AND s.citations IS NULL
+         AND l.doi IS NOT NULL AND l.pub_date IS DISTINCT FROM '' AND l.citations IS NOT NULL) AS take
+      FROM stripped s LEFT JOIN lookups l ON s.published = l.doi),
+enriched AS (SELECT * EXCLUDE (lk_doi, lk_date, lk_cit, take)
+               REPLACE (CASE WHEN take THEN lk_date ELSE publiDate END AS publiDate,
+                        CASE WHEN take THEN lk_cit ELSE citations END AS citations)
+             FROM j),
+latest AS (SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY doi ORDER BY try_cast(version AS INTEGER) DESC NULLS LAST,
+                                                         date DESC NULLS LAST) AS rn
+  FROM enriched) WHERE rn = 1)"""
+
+INGEST["landed_export"] = with_ctes(PREPRINTS, STRIPPED, _ENRICHED, DERIVED) + """
+SELECT doi, server, cast(try_cast(version AS INTEGER) AS BIGINT) AS version, category, publiStatus, date,
+  author_corresponding_institution, titleLength, abstractLength, numberAuthors, cit1year
+FROM derived
+WHERE published IS NOT DISTINCT FROM 'NA' OR publiStatus IS DISTINCT FROM 'publi_nodate'"""
