@@ -279,3 +279,5 @@ def stable_rounds(sql: str) -> str:
         else:
             out.append(f"round({expr}{', ' + digits if digits else ''})")
         i = k + 1
+
+RECORDS["stored_export"] = RECORDS["export_table"]

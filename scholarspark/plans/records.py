@@ -44,6 +44,18 @@ def replace_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
                             F.when(F.col("citations").isNotNull(), F.size("citations")).alias("n_citations")))
 
 
+def stored_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Derived records stored as a table, then exported: the export filter runs at the scan
+    (parquet ``PushedFilters`` on ``published`` / ``publiStatus``), reading only export columns."""
+    from scholarspark.operators.upsert import replace_table
+    from scholarspark.schemas import EXPORT_COLUMNS
+    from scholarspark.session import shared_path
+    derived = derived_preprints(spark, sf_dir)
+    keep = [c for c in EXPORT_COLUMNS if c in derived.columns] + ["published"]
+    path = replace_table(derived.select(*dict.fromkeys(keep)), shared_path(spark, "preprints-derived"))
+    return tidy(export_table(spark.read.parquet(path)))
+
+
 def derived_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = derived_preprints(spark, sf_dir, ["title", "abstract", "authors", "published", "publiDate"])
     return tidy(df.select("doi", "titleLength", "abstractLength", "numberAuthors",
@@ -184,6 +196,7 @@ QUERIES = {
     "published_share_by_category": published_share_by_category,
     "dedup_latest": dedup_latest,
     "replace_latest": replace_latest,
+    "stored_export": stored_export,
     "derived_lengths": derived_lengths,
     "publication_status": publication_status,
     "citation_counts": citation_counts,

@@ -40,3 +40,8 @@ def test_bm25_does_not_shuffle_the_corpus(spark):
 def test_chi_squared_reads_its_source_once(spark):
     p = plan(Q["chi2_pairs"](spark, SF001))
     assert p.count("orders.parquet") == 1
+
+
+def test_export_filter_is_pushed_to_the_stored_table(spark):
+    p = plan(Q["stored_export"](spark, SF001))
+    assert "PushedFilters: [Or(EqualNullSafe(published,NA),Not(EqualNullSafe(publiStatus,publi_nodate)))]" in p
