@@ -113,14 +113,34 @@ def _train_frames(spark, sf_dir, kind):
     return df.where(F.col("split") == "train"), df.where(F.col("split") == "test")
 
 
+def _cv(spark: SparkSession, sf_dir: str, kind: str, name: str, label: str, title: str) -> DataFrame:
+    """Cross-validated model over the first values of the project grid (3 folds) - grid report."""
+    train, _ = _train_frames(spark, sf_dir, kind)
+    est = learn.estimator(name, label=label)
+    grid = learn.param_grid(est, name, CHECK_GRID_VALUES)
+    cvm = learn.cross_validate(feature_pipeline(kind).getStages(), est, grid, learn.evaluator(kind, label),
+                               train, folds=CHECK_FOLDS)
+    return learn.grid_report(spark, cvm, title)
+
+
 def cv_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Cross-validated logistic regression (first values of the project grid, 3 folds) - grid report."""
-    train, _ = _train_frames(spark, sf_dir, "classification")
-    est = learn.estimator("logistic")
-    grid = learn.param_grid(est, "logistic", CHECK_GRID_VALUES)
-    cvm = learn.cross_validate(feature_pipeline("classification").getStages(), est, grid,
-                               learn.evaluator("classification"), train, folds=CHECK_FOLDS)
-    return learn.grid_report(spark, cvm, "LogisticRegression")
+    return _cv(spark, sf_dir, "classification", "logistic", "label", "LogisticRegression")
+
+
+def cv_grid_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cv(spark, sf_dir, "classification", "svc", "label", "LinearSVM")
+
+
+def cv_grid_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cv(spark, sf_dir, "classification", "rf_classifier", "label", "RandomForest")
+
+
+def cv_grid_glm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cv(spark, sf_dir, "regression", "glm_tweedie", "cit1year", "LinearGM")
+
+
+def cv_grid_rfr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _cv(spark, sf_dir, "regression", "rf_regressor", "cit1year", "RandomForestRegressor")
 
 
 def importances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,6 +200,10 @@ QUERIES = {
     "auc": auc,
     "actual_vs_predicted": actual_vs_predicted,
     "cv_grid": cv_grid,
+    "cv_grid_svc": cv_grid_svc,
+    "cv_grid_rf": cv_grid_rf,
+    "cv_grid_glm": cv_grid_glm,
+    "cv_grid_rfr": cv_grid_rfr,
     "importances": importances,
     "model_compare": model_compare,
     "regression_compare": regression_compare,

@@ -47,3 +47,12 @@ def test_model_fit_is_deterministic(spark):
     m2 = Pipeline(stages=feature_pipeline().getStages() + [est]).fit(train.repartition(5))
     c1, c2 = m1.stages[-1].coefficients.toArray(), m2.stages[-1].coefficients.toArray()
     assert max(abs(a - b) for a, b in zip(c1, c2)) < 1e-6
+
+
+def test_best_grid_point_follows_the_evaluator_direction(spark):
+    from scholarspark.plans.learning import cv_grid_glm, cv_grid_svc
+    from conftest import SF001
+    for q, pick in ((cv_grid_glm, min), (cv_grid_svc, max)):   # MAE is minimised, AUC maximised
+        rows = q(spark, SF001).collect()
+        best = [r for r in rows if r.is_best]
+        assert len(best) == 1 and best[0].metric == pick(r.metric for r in rows)
