@@ -160,7 +160,9 @@ def model_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     stages = feature_pipeline("classification").getStages()
     parts = []
     for name, est in (("LogisticRegression", learn.estimator("logistic").setRegParam(0.1).setMaxIter(25)),
-                      ("LinearSVM", learn.estimator("svc").setRegParam(0.1).setMaxIter(20))):
+                      ("LinearSVM", learn.estimator("svc").setRegParam(0.1).setMaxIter(20)),
+                      ("RandomForest", learn.estimator("rf_classifier").setMaxDepth(5).setNumTrees(100)
+                       .setMinInstancesPerNode(2).setFeatureSubsetStrategy("sqrt"))):
         model = Pipeline(stages=stages + [est]).fit(train)
         for ds, frame in (("Train", train), ("Test", test)):
             parts.append(model.transform(frame).select(
@@ -169,7 +171,8 @@ def model_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = parts[0]
     for p in parts[1:]:
         scored = scored.unionByName(p)
-    return tidy(evaluate.classification_table(scored))
+    # predictions are scored once and materialised; every metric reads them from there
+    return tidy(evaluate.classification_table(reliable_checkpoint(scored, "predictions")))
 
 
 def regression_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,7 +190,7 @@ def regression_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = parts[0]
     for p in parts[1:]:
         scored = scored.unionByName(p)
-    return tidy(evaluate.regression_table(scored, "cit1year"))
+    return tidy(evaluate.regression_table(reliable_checkpoint(scored, "predictions"), "cit1year"))
 
 
 QUERIES = {
