@@ -101,14 +101,42 @@ def test_pvalues(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("pearson").alias("family"), F.concat_ws(" x ", "var1", "var2").alias("test"),
         F.col("t_stat").alias("statistic"), (F.col("n") - 2).cast("double").alias("df"),
         t_pvalue(F.col("t_stat"), F.col("n") - 2).alias("p_value"))
-    allp = chi.unionByName(kw).unionByName(we).unionByName(co)
-    # Holm step-down on the small result table
-    w = Window.partitionBy("family").orderBy("p_value", "test")
-    m = F.count(F.lit(1)).over(Window.partitionBy("family"))
-    step = F.least(F.lit(1.0), (m - F.row_number().over(w) + 1) * F.col("p_value"))
-    adj = allp.withColumn("_s", step).withColumn(
-        "p_holm", F.max("_s").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_s")
-    return tidy(adj)
+    return tidy(holm(chi.unionByName(kw).unionByName(we).unionByName(co)))
+
+
+def holm(tests: DataFrame) -> DataFrame:
+    """Holm step-down adjustment within each family (a window over the small result table).
+
+    Tests without a p-value (an undefined statistic) take no part: they sort last, are not
+    counted in m, and keep a NULL adjusted value.
+    """
+    p = F.col("p_value")
+    w = Window.partitionBy("family").orderBy(F.asc_nulls_last("p_value"), "test")
+    m = F.count("p_value").over(Window.partitionBy("family"))
+    step = F.when(p.isNotNull(), F.least(F.lit(1.0), (m - F.row_number().over(w) + 1) * p))
+    return tests.withColumn("_s", step).withColumn(
+        "p_holm", F.when(p.isNotNull(), F.max("_s").over(w.rowsBetween(Window.unboundedPreceding, 0)))).drop("_s")
+
+
+def export_pvalues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """P-values of the project's exploratory tests (chi-squared pairs, Kruskal-Wallis, Welch,
+    Pearson) on one materialised analysis frame, Holm-adjusted within each family (rows only)."""
+    af = analysis_frame(spark, sf_dir)
+    chi = stats.chi2_pairs(af, EXPORT_CATEGORICAL).select(
+        F.lit("chi2").alias("family"), F.concat_ws(" x ", "var1", "var2").alias("test"),
+        F.col("chi2").alias("statistic"), F.col("df").cast("double").alias("df"),
+        chi2_pvalue(F.col("chi2"), F.col("df")).alias("p_value"))
+    kw = stats.kruskal_many(af, EXPORT_NUMERIC, EXPORT_CATEGORICAL).select(
+        F.lit("kruskal").alias("family"), "test", F.col("h_stat").alias("statistic"),
+        F.col("df").cast("double").alias("df"), chi2_pvalue(F.col("h_stat"), F.col("df")).alias("p_value"))
+    we = stats.welch_many(af, EXPORT_NUMERIC, EXPORT_CATEGORICAL).select(
+        F.lit("welch").alias("family"), "test", F.col("f_stat").alias("statistic"), F.col("df1").alias("df"),
+        f_pvalue(F.col("f_stat"), F.col("df1"), F.col("df2")).alias("p_value"))
+    co = stats.corr_matrix(af, EXPORT_CORR).select(
+        F.lit("pearson").alias("family"), F.concat_ws(" x ", "var1", "var2").alias("test"),
+        F.col("t_stat").alias("statistic"), (F.col("n") - 2).cast("double").alias("df"),
+        t_pvalue(F.col("t_stat"), F.col("n") - 2).alias("p_value"))
+    return tidy(holm(chi.unionByName(kw).unionByName(we).unionByName(co)))
 
 
 # The project's exploratory variables, on the recoded export frame.
@@ -170,4 +198,5 @@ QUERIES = {
     "export_kruskal": export_kruskal,
     "export_welch": export_welch,
     "export_corr": export_corr,
+    "export_pvalues": export_pvalues,
 }

@@ -106,3 +106,13 @@ def test_box_stats_hot_group(spark):
     arr = np.array([r.value for r in hot.where("event_type = 'hot'").select("value").collect()])
     assert math.isclose(b["hot"].median, float(np.quantile(arr, 0.5)), abs_tol=1e-9)
     assert b["hot"].n == len(arr)
+
+
+def test_holm_adjustment_skips_missing_pvalues(spark):
+    from scholarspark.plans.stats import holm
+    df = spark.createDataFrame([("f", "a", 0.01), ("f", "b", 0.04), ("f", "c", 0.03), ("f", "d", None)],
+                               "family string, test string, p_value double")
+    got = {r.test: r.p_holm for r in holm(df).collect()}
+    # m = 3: 0.01*3 = 0.03; 0.03*2 = 0.06; max(0.06, 0.04*1) = 0.06
+    assert got["d"] is None
+    assert abs(got["a"] - 0.03) < 1e-12 and abs(got["c"] - 0.06) < 1e-12 and abs(got["b"] - 0.06) < 1e-12
