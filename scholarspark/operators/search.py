@@ -7,8 +7,8 @@ occurs contiguously in the document's token sequence.
 Two phrase strategies:
 
 * ``phrase_query``: a fixed list of phrases (a user query). Each clause is a ``contains``
-  test on the space-padded normalised text; the phrase side is a literal that Catalyst
-  constant-folds, so the whole query is one codegen'd filter with no shuffle.
+  test on the space-padded normalised text, which is computed once per row; the phrase side
+  is a literal that Catalyst constant-folds. One narrow pass, no shuffle.
 * ``phrase_join``: a phrase *table* that grows with the data (e.g. every benchmark
   passage). Documents are cut into positional bigrams (unigrams for one-token phrases)
   and equi-joined to the phrase bigrams; a candidate start position is a match when all
