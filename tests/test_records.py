@@ -57,3 +57,22 @@ def test_status_distribution_raw_rows(spark):
 def test_derived_latest_unique(spark):
     d = derived_preprints(spark, SF01)
     assert d.groupBy("doi").count().where("count > 1").isEmpty()
+
+
+def test_keep_latest_with_a_hot_key(spark):
+    n = 30000
+    df = (spark.range(n).repartition(16)
+          .select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id").cast("string")))
+                  .alias("doi"),
+                  (F.col("id") % 1000).cast("string").alias("version"),
+                  F.date_format(F.date_add(F.lit("2020-01-01").cast("date"), (F.col("id") % 50).cast("int")),
+                                "yyyy-MM-dd").alias("date"),
+                  F.col("id")))
+    out = keep_latest(df)
+    assert out.count() == 1 + (n - n // 3)
+    hot = out.where("doi = 'hot'").first()
+    # highest numeric version among ids divisible by 3 is 999; then the latest date among those ids
+    import datetime
+    cands = [i for i in range(0, n, 3) if i % 1000 == 999]
+    latest = datetime.date(2020, 1, 1) + datetime.timedelta(days=max(i % 50 for i in cands))
+    assert hot.version == "999" and hot.date == latest.isoformat()
