@@ -6,12 +6,13 @@
 1. the input is first shrunk to distinct sort keys with their weights (a partial
    aggregation done by the caller);
 2. it is range-partitioned on (group, key) and each row is tagged with its partition id;
-   the tagged table is checkpointed to shared storage so that the tags and the partition
-   totals come from one and the same layout (range bounds are sampled, so a recomputation
-   could otherwise move rows between partitions);
-3. a running sum inside each (partition, group), plus per-(partition, group) totals
+   the tagged table is written as a table in the shared checkpoint folder so that the tags
+   and the partition totals come from one and the same layout (range bounds are sampled,
+   so a recomputation could otherwise move rows between partitions);
+3. a running sum inside each (partition, group) - a window that clusters the distinct
+   table by partition id, i.e. one hash shuffle of it - plus per-(partition, group) totals
    turned into offsets (a table of at most partitions x groups rows);
-4. the offsets are joined back and added.
+4. the offsets are joined back (AQE broadcasts them when small) and added.
 
 No step holds more than one range partition of distinct keys in a task, so a group
 holding a third of all rows is spread over many tasks.
