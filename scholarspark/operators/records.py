@@ -51,11 +51,15 @@ def unique_violations(df: DataFrame, key: str = "doi") -> DataFrame:
 
 
 def add_lengths(df: DataFrame) -> DataFrame:
-    return df.withColumns({
-        "titleLength": code_point_length("title"),
-        "abstractLength": code_point_length("abstract"),
-        "numberAuthors": author_count("authors"),
-    })
+    """Title/abstract lengths (code points) and author count, for whichever sources are present."""
+    new = {}
+    if "title" in df.columns:
+        new["titleLength"] = code_point_length("title")
+    if "abstract" in df.columns:
+        new["abstractLength"] = code_point_length("abstract")
+    if "authors" in df.columns:
+        new["numberAuthors"] = author_count("authors")
+    return df.withColumns(new) if new else df
 
 
 def add_dates_and_status(df: DataFrame) -> DataFrame:
@@ -81,11 +85,9 @@ def add_citation_counts(df: DataFrame) -> DataFrame:
 
 def derive_fields(df: DataFrame) -> DataFrame:
     """Every derived field the frame's columns allow, in one projection chain (Catalyst
-    collapses it into one Project): lengths when title/abstract/authors are present, dates and
-    status always, citation counts when the citation list is present."""
-    if {"title", "abstract", "authors"} <= set(df.columns):
-        df = add_lengths(df)
-    df = add_dates_and_status(df)
+    collapses it into one Project): lengths of the text fields present, dates and status
+    always, citation counts when the citation list is present."""
+    df = add_dates_and_status(add_lengths(df))
     return add_citation_counts(df) if "citations" in df.columns else df
 
 

@@ -127,7 +127,8 @@ SELECT category_grouped, count(*) AS n_items,
                  WHEN publiStatus_binary = 'Published_year1' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6)
     AS proportion_published,
   row_number() OVER (ORDER BY count(*) DESC, category_grouped ASC NULLS FIRST) AS size_rank
-FROM recoded GROUP BY category_grouped""",
+FROM recoded WHERE abstractLength <> (SELECT max(abstractLength) FROM recoded)
+GROUP BY category_grouped""",
 
     "dedup_latest": PP_LATEST + """
 SELECT doi, _id, version, date, published, publiDate,

@@ -17,8 +17,16 @@ from scholarspark.sources.tables import read_table
 
 
 def published_share_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Share of records published within a year, per category group, largest group first."""
-    df = recoded_export(spark, sf_dir, ["category", "published", "publiDate"])
+    """Share of records published within a year, per category group, largest group first.
+
+    On the analysis frame of the project: exported records without those at the maximum
+    abstract length. The few columns needed are materialised once, since the frame is read
+    twice (for the maximum, then for the shares).
+    """
+    from scholarspark.session import reliable_checkpoint
+    df = recoded_export(spark, sf_dir, ["category", "published", "publiDate", "abstract"])
+    df = reliable_checkpoint(df.select("category_grouped", "publiStatus_binary", "abstractLength"), "share")
+    df = df.where(F.col("abstractLength") != df.select(F.max("abstractLength")).scalar())
     agg = df.groupBy("category_grouped").agg(
         F.count(F.lit(1)).alias("n_items"),
         r6(F.avg((F.col("publiStatus_binary") == "Published_year1").cast("double"))).alias("proportion_published"))

@@ -25,8 +25,8 @@ def test_phrase_query_normalises_each_row_once(spark):
     assert p.count("regexp_replace(lower(text") == 1
 
 
-def test_flagship_reads_only_needed_columns(spark):
-    p = plan(Q["published_share_by_category"](spark, SF001))
+def test_record_pipeline_reads_only_needed_columns(spark):
+    p = plan(Q["publication_status"](spark, SF001))
     assert "ReadSchema: struct<l_orderkey:bigint,l_shipdate:timestamp_ntz>" in p
     assert "o_totalprice" not in p
 
