@@ -17,15 +17,24 @@ from scholarspark.operators.ranks import exact_quantiles, mid_ranks, quantile_na
 from scholarspark.session import reliable_checkpoint
 
 
-def box_stats(df: DataFrame, value: str, group: str, coef: float = 1.5) -> DataFrame:
+def box_stats(df: DataFrame, value: str, group: str, coef: float = 1.5, approx: bool = False,
+              accuracy: int = 10000) -> DataFrame:
     """Five numbers, mean, IQR, whiskers (most extreme values within coef x IQR) and outlier count.
 
-    The source is reduced once to (group, value, count) and checkpointed; quartiles, moments
-    and whiskers are all computed from that table.
+    The source is reduced once to (group, value, count) and materialised; quartiles, moments
+    and whiskers are all computed from that table. Quartiles are exact by default; with
+    ``approx=True`` they come from ``percentile_approx`` (a mergeable sketch of bounded size
+    per group, rank error about 1/accuracy) instead of the distributed ranking.
     """
     vc = reliable_checkpoint(value_counts(df, value, [group]))
-    qs = exact_quantiles(None, value, [0.25, 0.5, 0.75], [group], counts=vc)
     q1, q2, q3 = (quantile_name(p) for p in (0.25, 0.5, 0.75))
+    if approx:
+        qa = F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy)
+        qs = (df.where(F.col(value).isNotNull()).groupBy(group)
+              .agg(F.count(F.lit(1)).alias("n"), qa.alias("_q"))
+              .select(group, "n", *[F.get("_q", i).alias(name) for i, name in enumerate((q1, q2, q3))]))
+    else:
+        qs = exact_quantiles(None, value, [0.25, 0.5, 0.75], [group], counts=vc)
     v, c = F.col(value), F.col("c")
     moments = vc.groupBy(group).agg(F.min(value).alias("min"), F.max(value).alias("max"),
                                     (F.sum(v * c) / F.sum(c)).alias("mean"))

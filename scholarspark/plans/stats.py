@@ -29,6 +29,11 @@ def box_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(stats.box_stats(_events(spark, sf_dir), "value", "event_type"))
 
 
+def box_stats_approx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Box statistics with sketch-based quartiles (the option for very large groups; rows only)."""
+    return tidy(stats.box_stats(_events(spark, sf_dir), "value", "event_type", approx=True))
+
+
 def welch_anova(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(stats.welch_anova(_events(spark, sf_dir), "value", "event_type"))
 
@@ -181,6 +186,7 @@ def export_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "box_stats": box_stats,
+    "box_stats_approx": box_stats_approx,
     "welch_anova": welch_anova,
     "kruskal": kruskal,
     "chi2_pairs": chi2_pairs,

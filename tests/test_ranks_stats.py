@@ -116,3 +116,17 @@ def test_holm_adjustment_skips_missing_pvalues(spark):
     # m = 3: 0.01*3 = 0.03; 0.03*2 = 0.06; max(0.06, 0.04*1) = 0.06
     assert got["d"] is None
     assert abs(got["a"] - 0.03) < 1e-12 and abs(got["c"] - 0.06) < 1e-12 and abs(got["b"] - 0.06) < 1e-12
+
+
+def test_approximate_box_stats_close_to_exact(spark):
+    ev = spark.read.parquet(f"{SF01}/events.parquet")
+    exact = {r.event_type: r for r in stats.box_stats(ev, "value", "event_type").collect()}
+    approx = {r.event_type: r for r in stats.box_stats(ev, "value", "event_type", approx=True).collect()}
+    for g, e in exact.items():
+        a = approx[g]
+        assert a.n == e.n and a.min == e.min and a.max == e.max
+        vals = sorted(r.value for r in ev.where(F.col("event_type") == g).select("value").collect())
+        for q, name in ((0.25, "q1"), (0.5, "median"), (0.75, "q3")):
+            # the sketch returns an observed value within ~1/accuracy of the target rank
+            rank = sum(1 for v in vals if v <= getattr(a, name)) / len(vals)
+            assert abs(rank - q) < 0.01
