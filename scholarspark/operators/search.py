@@ -44,6 +44,30 @@ def phrase_query(df: DataFrame, field: str, phrases: list[str]) -> DataFrame:
     return norm.withColumn("n_clauses_matched", n).where(F.col("n_clauses_matched") >= 1).drop("_padded")
 
 
+def build_index(docs: DataFrame, id_col: str, text_cols: list[str], path: str,
+                order_col: str | None = None) -> DataFrame:
+    """Write a search index table: per document, the space-padded normalised text of each field.
+
+    With ``order_col`` the last write per key wins (``max_by``, partially aggregated); without
+    it the keys are taken as unique. Analysis runs once, at indexing; queries then test
+    phrases with plain ``contains`` on the stored columns. Returns the index as read back.
+    """
+    cols = [padded(F.col(c)).alias(f"{c}_norm") for c in text_cols]
+    if order_col:
+        latest = docs.groupBy(id_col).agg(
+            F.max_by(F.struct(*[F.col(c) for c in text_cols]), F.col(order_col)).alias("_r"))
+        docs = latest.select(id_col, "_r.*")
+    docs.select(F.col(id_col).alias("doc_id"), *cols).write.mode("errorifexists").parquet(path)
+    return docs.sparkSession.read.parquet(path)
+
+
+def indexed_phrase_query(index: DataFrame, field: str, phrases: list[str]) -> DataFrame:
+    """Boolean ``should`` of phrase clauses against an index table's normalised field."""
+    norm = F.col(f"{field}_norm")
+    n = sum((norm.contains(padded(F.lit(ph))).cast("int") for ph in phrases), F.lit(0))
+    return index.withColumn("n_clauses_matched", n).where(F.col("n_clauses_matched") >= 1)
+
+
 def _doc_grams(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     # tokens are projected once; the lambda then indexes the materialised array
     t = docs.select(F.col(id_col).alias("doc_id"), tokens(F.col(text_col)).alias("toks"))

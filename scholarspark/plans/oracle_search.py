@@ -55,3 +55,5 @@ FROM sc ORDER BY round(score, 9) DESC, doc_id LIMIT {TOP_K}""",
     "subset_semi": f"""WITH {BOOL_HITS}
 SELECT doc_id, quality::BIGINT AS quality, toxic::BIGINT AS toxic FROM labels WHERE doc_id IN (SELECT doc_id FROM hits WHERE n_clauses_matched >= 1)""",
 }
+
+SEARCH["indexed_search"] = SEARCH["bool_should"]

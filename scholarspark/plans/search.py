@@ -28,6 +28,16 @@ def bool_should(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(phrase_query(docs, "text", BOOL_PHRASES).select("doc_id", "n_clauses_matched"))
 
 
+def indexed_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The thematic query against a search index table built from the documents (analysis at
+    indexing time, plain substring tests at query time); same hits as ``bool_should``."""
+    from scholarspark.operators.search import build_index, indexed_phrase_query
+    from scholarspark.session import shared_path
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"], spread=True)
+    index = build_index(docs, "doc_id", ["text"], shared_path(spark, "search-index"))
+    return tidy(indexed_phrase_query(index, "text", BOOL_PHRASES).select("doc_id", "n_clauses_matched"))
+
+
 def search_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact number of hits of the boolean query (no 10,000 cap)."""
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"], spread=True)
@@ -52,6 +62,7 @@ def subset_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "phrase_search": phrase_search,
     "bool_should": bool_should,
+    "indexed_search": indexed_search,
     "search_count": search_count,
     "bm25_topk": bm25_topk,
     "subset_semi": subset_semi,

@@ -89,3 +89,14 @@ def test_compacted_log_gives_the_same_view(spark):
     after = sorted(tuple(r) for r in current_view(spark, new, "user_id", ["ts", "event_id"]).collect())
     assert before == after
     assert spark.read.parquet(new).count() == len(after)
+
+
+def test_index_keeps_the_last_write_per_key(spark):
+    from scholarspark.operators.search import build_index, indexed_phrase_query
+    from scholarspark.session import shared_path
+    docs = spark.createDataFrame([(1, 1, "old gene-editing text"), (1, 2, "new text"), (2, 1, "Gene editing!")],
+                                 "doc_id long, written long, text string")
+    idx = build_index(docs, "doc_id", ["text"], shared_path(spark, "t-index"), order_col="written")
+    assert sorted(tuple(r) for r in idx.collect()) == [(1, " new text "), (2, " gene editing ")]
+    hits = sorted(r.doc_id for r in indexed_phrase_query(idx, "text", ["gene editing"]).collect())
+    assert hits == [2]
