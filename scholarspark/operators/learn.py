@@ -54,7 +54,7 @@ def evaluator(kind: str, label: str = "label"):
     return RegressionEvaluator(labelCol=label, metricName="mae")
 
 
-def cross_validate(stages: list, est, grid, ev, train: DataFrame, folds: int = 5, parallelism: int = 4,
+def cross_validate(stages: list, est, grid, ev, train: DataFrame, folds: int = 5, parallelism: int = 1,
                    seed: int = SEED) -> CrossValidatorModel:
     """k-fold CV of ``Pipeline(stages + [est])``: feature stages are refitted inside every fold."""
     cv = CrossValidator(estimator=Pipeline(stages=list(stages) + [est]), estimatorParamMaps=grid, evaluator=ev,
