@@ -254,6 +254,9 @@ def density_grid(df: DataFrame, value: str, grid: int = 512, bins: int = 1024, c
                          h.alias("bandwidth"))
 
 
+ZERO_VARIANCE = 1e-12
+
+
 def _melt(df: DataFrame, values: list[str], groups: list[str]) -> DataFrame:
     """(test, value, grp) rows for every numeric x categorical combination (map-side expansion)."""
     arr = F.array(*[F.struct(F.lit(f"{v} ~ {g}").alias("test"), F.col(v).cast("double").alias("value"),
@@ -287,7 +290,8 @@ def welch_many(df: DataFrame, values: list[str], groups: list[str]) -> DataFrame
     """Welch's ANOVA for every (numeric, categorical) combination; per-group moments in one pass."""
     g = (_melt(df, values, groups).groupBy("test", "grp")
          .agg(F.count(F.lit(1)).alias("n"), F.avg("value").alias("m"), F.var_samp("value").alias("s2"))
-         .where((F.col("n") > 1) & (F.col("s2") > 0))
+         # a variance at rounding-noise level (merging partial sums of equal values) counts as zero
+         .where((F.col("n") > 1) & (F.col("s2") > ZERO_VARIANCE * F.greatest(F.lit(1.0), F.col("m") ** 2)))
          .withColumn("w", F.col("n") / F.col("s2")))
     per_test = Window.partitionBy("test")   # over per-group rows only
     g = g.withColumns({"wsum": F.sum("w").over(per_test),   # not "W": column names are case-insensitive

@@ -87,7 +87,7 @@ FROM f JOIN w USING (event_type)""",
 
     "welch_anova": """
 WITH g AS (SELECT event_type, count(value) AS n, avg(value) AS m, var_samp(value) AS s2 FROM events
-           WHERE value IS NOT NULL GROUP BY event_type HAVING count(value) > 1 AND var_samp(value) > 0),
+           WHERE value IS NOT NULL GROUP BY event_type HAVING count(value) > 1 AND var_samp(value) > 1e-12 * greatest(1.0, avg(value) * avg(value))),
 w AS (SELECT *, n / s2 AS w FROM g),
 t AS (SELECT sum(w) AS wsum, sum(w * m) / sum(w) AS mw, count(*) AS k FROM w),
 p AS (SELECT sum(w * (m - mw) ^ 2) AS A, sum((1 - w / wsum) ^ 2 / (n - 1)) AS B, any_value(k) AS k FROM w, t)
@@ -170,7 +170,7 @@ SELECT test, round((12.0 / (N * (N + 1)) * s - 3 * (N + 1)) / (1 - tie / (N * N
   k - 1 AS df, N::BIGINT AS n FROM tot JOIN t USING (test)"""
 STATS["export_welch"] = AF_PREFIX + _long(EXPORT_NUMERIC, EXPORT_CATEGORICAL) + """,
 g AS (SELECT test, grp, count(*) AS n, avg(value) AS m, var_samp(value) AS s2 FROM long GROUP BY test, grp
-      HAVING count(*) > 1 AND var_samp(value) > 0),
+      HAVING count(*) > 1 AND var_samp(value) > 1e-12 * greatest(1.0, avg(value) * avg(value))),
 w AS (SELECT *, n / s2 AS w FROM g),
 tt AS (SELECT test, sum(w) AS wsum, sum(w * m) / sum(w) AS mw, count(*) AS k FROM w GROUP BY test),
 p AS (SELECT test, sum(w * (m - mw) ^ 2) AS A, sum((1 - w / wsum) ^ 2 / (n - 1)) AS B, any_value(k) AS k
