@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholarspark.llm import bpe, fingerprints, sharding, token_counts, token_files
+from scholarspark.llm import bpe, fingerprints, langid, sharding, token_counts, token_files, toxicity
 from scholarspark.llm.common import table
 from scholarspark.session import shared_path
 
@@ -27,6 +27,22 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_SQL["op1_fingerprints"] = fingerprints.ORACLE
 
 
+def fold(col, k: int):
+    """crc32 of an id as text, modulo k (null id: of the empty text)."""
+    return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % k
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 3) != 1)
+    weights, bias = toxicity.train_model(docs, labels, "doc_id")
+    scored = toxicity.score_documents(docs, weights, bias)
+    return scored.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+                         (F.col("score") >= 0.7).cast("int").alias("predicted"),
+                         F.size("offending").alias("n_offending"))
+
+
 @query
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -38,6 +54,14 @@ def op5_ring_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), 8)
 
 
+@query
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "id")
+    profiles = langid.learn_profiles(rows.select("id", "text"), rows.where(fold(F.col("id"), 4) != 2).select("id", "lang"))
+    found = langid.identify(rows.select("id", "text"), profiles)
+    return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op8_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
