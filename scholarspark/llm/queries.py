@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholarspark.llm import bpe, fingerprints, langid, sharding, token_counts, token_files, toxicity
+from scholarspark.llm import bpe, fingerprints, langid, sharding, suffix_dedup, token_counts, token_files, toxicity
 from scholarspark.llm.common import table
 from scholarspark.session import shared_path
 
@@ -76,3 +76,11 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"),
                              public_tokenizers.PATTERN)
     return token_files.ids_crc32(token_files.read_tokens(spark, path))
+
+
+@query
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marked = suffix_dedup.mark_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = suffix_dedup.remove_spans(marked)
+    return kept.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                       F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
