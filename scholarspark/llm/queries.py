@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholarspark.llm import bpe, fingerprints, langid, sharding, suffix_dedup, token_counts, token_files, toxicity
+from scholarspark.llm import bpe, fingerprints, langid, lsh_forest, sharding, suffix_dedup, token_counts, token_files, toxicity
 from scholarspark.llm.common import table
 from scholarspark.session import shared_path
 
@@ -62,6 +62,12 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = lsh_forest.near_duplicates(table(spark, sf_dir, "documents"))
+    return near.select("doc_id", "class_id", "n_links")
+
+
 @query
 def op8_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
