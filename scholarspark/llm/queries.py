@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholarspark.llm import bpe, fingerprints, langid, lsh_forest, sharding, suffix_dedup, token_counts, token_files, toxicity
+from scholarspark.llm import bpe, decontaminate, fingerprints, langid, lsh_forest, sharding, suffix_dedup, token_counts, token_files, toxicity
 from scholarspark.llm.common import table
 from scholarspark.session import shared_path
 
@@ -27,6 +27,13 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLE_SQL["op1_fingerprints"] = fingerprints.ORACLE
 
 
+@query
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = decontaminate.mark_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return marked.select("doc_id", F.inline("hits")).select("doc_id", "item_id", "cosine", "lcs", "answer")
+
+
 def fold(col, k: int):
     """crc32 of an id as text, modulo k (null id: of the empty text)."""
     return F.crc32(F.coalesce(col.cast("string"), F.lit("")).cast("binary")) % k
