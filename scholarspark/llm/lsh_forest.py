@@ -271,3 +271,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # a hot set_key is many rows on one side only: adaptive execution splits it
     return rows.select("rid", "id", "set_key").join(named, F.col("set_key") == F.col("k")).select(
         "rid", F.col("id").alias(id_col), "class_id", "class_key", "n_links")
+
+
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``df`` without near-duplicates: of each class the row of least id (null last; then least row key)."""
+    near = near_duplicates(df, id_col, text_col, **options)
+    order = F.struct(F.col(id_col).isNull().alias("null"), F.col(id_col).alias("id"), F.col("rid").alias("rid"))
+    kept = near.groupBy("class_key").agg(F.min(order).alias("first")).select(F.col("first.rid").alias("_kept"))
+    keyed = df.withColumn("_rid", F.unhex(row_key(id_col, text_col)))
+    return (keyed.join(kept, F.col("_rid") == F.col("_kept"), "left_semi").dropDuplicates(["_rid"]).select(*df.columns))

@@ -41,10 +41,10 @@ def fold(col, k: int):
 
 @query
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), 3) != 1)
-    weights, bias = toxicity.train_model(docs, labels, "doc_id")
-    scored = toxicity.score_documents(docs, weights, bias)
+    weights, bias = toxicity.train_model(docs, labels)
+    scored = toxicity.score_documents(docs, weights, bias, columns=["doc_id"])
     return scored.select("doc_id", (fold(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
                          (F.col("score") >= 0.7).cast("int").alias("predicted"),
                          F.size("offending").alias("n_offending"))

@@ -355,8 +355,9 @@ def mark_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return out.drop("rid", "_rid", "copies", "found", "ranges")
 
 
-def remove_spans(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """Adds ``kept`` (binary): the bytes of the text outside the spans; they may break a character at a border."""
+def remove_spans(df: DataFrame, text_col: str = "text", as_text: bool = False) -> DataFrame:
+    """Adds ``kept`` (binary): the bytes of the text outside the spans; they may break a character at a border. With
+    ``as_text`` it is a string without broken characters, null for a null text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at_text, at_spans = (batch.schema.get_field_index(c) for c in (text_col, "spans"))
@@ -368,8 +369,10 @@ def remove_spans(df: DataFrame, text_col: str = "text") -> DataFrame:
                     for s in spans or []:
                         parts.append(data[last:s["start"]])
                         last = s["end"]
-                    kept.append(b"".join([*parts, data[last:]]))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(kept, pa.binary())], [*part.schema.names, "kept"])
+                    rest = b"".join([*parts, data[last:]])
+                    kept.append(rest if not as_text else None if text is None else rest.decode("utf-8", "ignore"))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(kept, pa.string() if as_text else pa.binary())],
+                                                 [*part.schema.names, "kept"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInArrow(run, f"{fields}, kept binary")
+    return df.mapInArrow(run, f"{fields}, kept {'string' if as_text else 'binary'}")

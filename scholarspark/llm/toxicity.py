@@ -59,13 +59,13 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def sample_labelled(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str, train_rows: int) -> DataFrame:
+def sample_labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, train_rows: int) -> DataFrame:
     """(text, y) of the labelled documents to learn from: the ``train_rows`` of lowest hash of their id. Their ids
     are bounded, so they are broadcast and no text is shuffled."""
     chosen = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
                     .groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("y"))
                     .orderBy(F.xxhash64("_id"), "_id").limit(train_rows))
-    return docs.join(F.broadcast(chosen), F.col("id") == F.col("_id")).select("text", "y")
+    return docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select(F.col(text_col).alias("text"), "y")
 
 
 def document_counts(train: DataFrame) -> DataFrame:
@@ -164,11 +164,12 @@ def gradient(bag: DataFrame, w: np.ndarray, bias: float) -> tuple[np.ndarray, fl
             sum(r["gb"] for r in rows), sum(r["loss"] for r in rows))
 
 
-def train_model(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str = "toxic", train_rows: int = TRAIN_ROWS,
-                features: int = FEATURES, steps: int = STEPS, penalty: float = 1.0) -> tuple[dict[str, float], float]:
-    """(weights by feature, bias). ``docs`` has columns id and text. Without documents of both labels the weights are
+def train_model(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+                train_rows: int = TRAIN_ROWS, features: int = FEATURES, steps: int = STEPS,
+                penalty: float = 1.0) -> tuple[dict[str, float], float]:
+    """(weights by feature, bias). ``labels`` has the id and the label (0, 1 or null: not labelled). Without documents of both labels the weights are
     empty and every sentence has the bias of the one label seen (none: of 0)."""
-    train = reliable_checkpoint(sample_labelled(docs, labels, id_col, label_col, train_rows), "mil-train")
+    train = reliable_checkpoint(sample_labelled(docs, labels, id_col, text_col, label_col, train_rows), "mil-train")
     names, w, share = choose_features(train, features)
     if not len(names):
         return {}, -12.0 if share < 0.5 else 2.0
@@ -187,12 +188,14 @@ def train_model(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str
     return {f: float(x) for f, x in zip(names, w) if abs(x) > 0.02}, float(bias)
 
 
-def score_documents(docs: DataFrame, weights: dict[str, float], bias: float, id_col: str = "doc_id",
-                    offending: float = 0.5, extra: tuple[str, ...] = ()) -> DataFrame:
-    """(id, *extra, score, offending): noisy-or of a text's sentences, and the spans of the sentences that alone
-    reach ``offending``, with their probabilities. ``docs`` has columns id, text and the extra ones. A text without
-    words (or null) has no sentence and scores 0."""
-    model = docs.sparkSession.sparkContext.broadcast(weights)       # at most ``features`` entries
+def score_documents(df: DataFrame, weights: dict[str, float], bias: float, text_col: str = "text",
+                    offending: float = 0.5, columns: list[str] | None = None) -> DataFrame:
+    """``columns`` of ``df`` (all by default) with ``score``, the noisy-or of the text's sentences, and ``offending``, the spans
+    of the sentences that alone reach that probability. One pass, no shuffle. A text without words (or null) has no
+    sentence and scores 0; columns named like those added are replaced."""
+    df = df.drop("score", "offending")
+    columns = list(df.columns) if columns is None else columns
+    model = df.sparkSession.sparkContext.broadcast(weights)       # at most ``features`` entries
     base_p = 1 / (1 + math.exp(-bias))
 
     class Words(dict):
@@ -210,32 +213,30 @@ def score_documents(docs: DataFrame, weights: dict[str, float], bias: float, id_
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
                 scores, found = [], []
-                for text in part.column(1).to_pylist():
+                for text in part.column(0).to_pylist():
                     n, log_rest, bad = 0, 0.0, []
-                    if text:
-                        start = 0
-                        for piece in _SENTENCE.split(text):
-                            end = start + len(piece)
-                            tokens = _WORD.findall(piece.lower())
-                            if tokens:
-                                z = sum([words[t] for t in set(tokens)])
+                    start = 0
+                    for piece in _SENTENCE.split(text) if text else ():
+                        end = start + len(piece)
+                        tokens = _WORD.findall(piece.lower())
+                        if tokens:
+                            z = sum([words[t] for t in set(tokens)])
+                            if z:
+                                p = 1 / (1 + math.exp(-max(-60.0, min(60.0, z + bias))))
+                                log_rest += math.log1p(-min(p, 1 - 1e-12))
+                                if p >= offending:
+                                    bad.append({"start": start, "end": end, "p": p})
+                            else:
                                 n += 1
-                                if z:
-                                    p = 1 / (1 + math.exp(-max(-60.0, min(60.0, z + bias))))
-                                    log_rest += math.log1p(-min(p, 1 - 1e-12))
-                                    n -= 1
-                                    if p >= offending:
-                                        bad.append({"start": start, "end": end, "p": p})
-                            start = end
-                            while start < len(text) and text[start] in ".!?\n":
-                                start += 1
+                        start = end
+                        while start < len(text) and text[start] in ".!?\n":
+                            start += 1
                     scores.append(-math.expm1(log_rest + n * math.log1p(-base_p)))
                     found.append(bad)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), *part.columns[2:], pa.array(scores, pa.float64()), pa.array(found, spans_type)],
-                    [id_col, *extra, "score", "offending"])
+                    [*part.columns[1:], pa.array(scores, pa.float64()), pa.array(found, spans_type)],
+                    [*columns, "score", "offending"])
 
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    fields = ", ".join([f"`{id_col}` {kinds['id']}", *(f"`{c}` {kinds[c]}" for c in extra)])
-    return docs.select("id", "text", *extra).mapInArrow(
+    fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
+    return df.select(F.col(text_col).alias("_text"), *columns).mapInArrow(
         run, f"{fields}, score double, offending array<struct<start:int,end:int,p:double>>")
