@@ -312,30 +312,35 @@ def mark_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     named like those added here are replaced. An empty table stays empty.
     """
     spark = df.sparkSession
-    docs = (df.withColumn("n_bytes", F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long"))
-              .withColumn("rid", F.unhex(row_key(id_col, text_col))))
-    suffixes = reliable_checkpoint(_suffixes(docs.select("rid", "n_bytes", F.col(text_col).alias("text")), length), "suffixes")
+    # columns of this operator's own, under names a table will hardly have
+    rid, rep, copies_, found_, ranges_ = (f"_repeats_{c}" for c in ("rid", "rep", "copies", "found", "ranges"))
+    docs = (df.drop("spans").withColumn("n_bytes", F.coalesce(F.octet_length(text_col), F.lit(0)).cast("long"))
+              .withColumn(rid, F.unhex(row_key(id_col, text_col))))
+    suffixes = reliable_checkpoint(_suffixes(docs.select(F.col(rid).alias("rid"), "n_bytes", F.col(text_col).alias("text")),
+                                             length), "suffixes")
     family = IndexFamily(spark)
     for b in range(batches):
         batch = suffixes.where(F.pmod(F.xxhash64("rep"), F.lit(batches)) == b)
         family.add(batch.select("rep", F.inline(F.arrays_zip(F.col("keys").alias("key"), F.col("firsts").alias("first"),
                                                              F.col("lasts").alias("last"))))
                         .toDF("rep", "key", "first", "last").select("key", "rep", "first", "last"))
-    found = family.matches().groupBy("rep").agg(F.collect_list(F.struct("key", "first", "last", "hot")).alias("found"))
-    known = suffixes.select("rep", "copies").join(found, "rep", "left")
+    found = family.matches().groupBy("rep").agg(F.collect_list(F.struct("key", "first", "last", "hot")).alias(found_))
+    known = suffixes.select(F.col("rep").alias(rep), F.col("copies").alias(copies_)).join(
+        found, F.col(rep) == F.col("rep"), "left").drop("rep")
     # the texts, kept in buckets of their row key: the spans come back to them without another shuffle
     name = f"suffix_texts_{uuid.uuid4().hex[:12]}"
-    (docs.join(known, F.col("rid") == F.col("rep"), "left").drop("rep").repartition(family.buckets, "rid")
-         .write.bucketBy(family.buckets, "rid").format("parquet").saveAsTable(name))
+    (docs.join(known, F.col(rid) == F.col(rep), "left").drop(rep).repartition(family.buckets, rid)
+         .write.bucketBy(family.buckets, rid).format("parquet").saveAsTable(name))
     family.drop()
     texts = spark.table(name)
-    rows = _contexts(texts.select("rid", F.col(text_col).alias("text"), "copies", "found"), length)
-    hot = spark.table(name).where(F.exists("found", lambda x: x["hot"])).limit(1).count() > 0
+    rows = _contexts(texts.select(F.col(rid).alias("rid"), F.col(text_col).alias("text"), F.col(copies_).alias("copies"),
+                                  F.col(found_).alias("found")), length)
+    hot = texts.where(F.exists(found_, lambda x: x["hot"])).limit(1).count() > 0
     ranges = _compare(rows.where("NOT hot"), length)
     if hot:
         ranges = ranges.union(_compare_hot(rows.where("hot"), length))
-    spans = ranges.groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")).withColumnRenamed("rid", "_rid")
-    copies = F.coalesce(F.col("copies"), F.lit(2))
+    spans = ranges.groupBy("rid").agg(F.collect_list(F.struct("lo", "hi")).alias(ranges_)).withColumnRenamed("rid", rep)
+    copies = F.coalesce(F.col(copies_), F.lit(2))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_bytes").alias("end")))
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
     # ascending ranges folded into maximal runs
@@ -346,13 +351,13 @@ def mark_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       ).otherwise(acc["done"])
 
     merged = F.aggregate(
-        F.array_sort(F.coalesce("ranges", F.array().cast("array<struct<lo:bigint,hi:bigint>>"))), zero,
+        F.array_sort(F.coalesce(ranges_, F.array().cast("array<struct<lo:bigint,hi:bigint>>"))), zero,
         lambda acc, r: F.when(r["lo"] <= acc["hi"], F.struct(acc["done"].alias("done"), acc["lo"].alias("lo"),
                                                              F.greatest(acc["hi"], r["hi"]).alias("hi")))
                         .otherwise(F.struct(close(acc).alias("done"), r["lo"].alias("lo"), r["hi"].alias("hi"))), close)
-    joined = texts.join(spans, F.col("rid") == F.col("_rid"), "left")
+    joined = texts.join(spans, F.col(rid) == F.col(rep), "left")
     out = joined.withColumn("spans", F.when(F.col("n_bytes") < length, none).when(copies > 1, whole).otherwise(merged))
-    return out.drop("rid", "_rid", "copies", "found", "ranges")
+    return out.drop(rid, rep, copies_, found_, ranges_)
 
 
 def remove_spans(df: DataFrame, text_col: str = "text", as_text: bool = False) -> DataFrame:
@@ -374,5 +379,6 @@ def remove_spans(df: DataFrame, text_col: str = "text", as_text: bool = False) -
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(kept, pa.string() if as_text else pa.binary())],
                                                  [*part.schema.names, "kept"])
 
+    df = df.drop("kept")
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     return df.mapInArrow(run, f"{fields}, kept {'string' if as_text else 'binary'}")
