@@ -99,34 +99,32 @@ def needs_enrichment(df: DataFrame) -> Column:
             & F.col("publiDate").isNull() & F.col("citations").isNull())
 
 
-def lookup_succeeded(pub_date: Column, citations: Column) -> Column:
-    """Both lookups returned: a failed date lookup is '' and a failed citation lookup is NULL.
-
-    A NULL date from a successful call passes, and an empty citation list is valid.
-    """
-    return (~pub_date.eqNullSafe(F.lit(""))) & citations.isNotNull()
+def lookup_succeeded(pub_date: Column, date_ok: Column, citations: Column, cit_ok: Column) -> Column:
+    """Both lookups landed and succeeded. An empty date counts as failed; a NULL date from a successful
+    call passes, and an empty citation list is valid."""
+    return date_ok & cit_ok & (~pub_date.eqNullSafe(F.lit(""))) & citations.isNotNull()
 
 
 def apply_lookups(target: DataFrame, lookups: DataFrame) -> DataFrame:
     """Set publiDate/citations from the lookup table on every record that needs them.
 
-    ``lookups``: (doi, pub_date, citations) keyed by the published DOI. Only records that
-    need enrichment enter the join; all others (including every unpublished record, whose
-    'NA' sentinel would be one hot join key) pass through without a shuffle. Every version
-    that shares a published DOI is updated.
+    ``lookups``: (doi, pub_date, date_ok, citations, cit_ok), one row per published DOI. Only records that
+    need enrichment and have a published DOI enter the join; all others (every unpublished record,
+    whose 'NA' sentinel would be one hot key, and a NULL DOI, which matches nothing) pass through without
+    a shuffle. Every version that shares a published DOI is updated. ``target`` is read twice: pass a stored table.
     """
-    need = needs_enrichment(target)
+    need = F.coalesce(needs_enrichment(target) & F.col("published").isNotNull(), F.lit(False))
     rest = target.where(~need).withColumn("enriched", F.lit(False))
     todo = target.where(need)
-    lk = lookups.select(F.col("doi").alias("_lk_doi"), F.col("pub_date").alias("_lk_date"),
-                        F.col("citations").alias("_lk_cit"))
+    lk = lookups.select(F.col("doi").alias("_lk_doi"), F.col("pub_date").alias("_lk_date"), F.col("date_ok").alias("_lk_date_ok"),
+                        F.col("citations").alias("_lk_cit"), F.col("cit_ok").alias("_lk_cit_ok"))
     j = todo.join(lk, todo["published"] == lk["_lk_doi"], "left")
-    take = j["_lk_doi"].isNotNull() & lookup_succeeded(j["_lk_date"], j["_lk_cit"])
+    take = j["_lk_doi"].isNotNull() & lookup_succeeded(j["_lk_date"], j["_lk_date_ok"], j["_lk_cit"], j["_lk_cit_ok"])
     done = (j.withColumns({
         "publiDate": F.when(take, F.col("_lk_date")).otherwise(F.col("publiDate")),
         "citations": F.when(take, F.col("_lk_cit")).otherwise(F.col("citations")),
         "enriched": take,
-    }).drop("_lk_doi", "_lk_date", "_lk_cit"))
+    }).drop("_lk_doi", "_lk_date", "_lk_date_ok", "_lk_cit", "_lk_cit_ok"))
     return rest.unionByName(done)
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 from scholarspark.operators.records import apply_lookups
 from scholarspark.plans.common import raw_preprints, tidy
-from scholarspark.plans.records import stripped_target
-from scholarspark.session import shared_path
+from scholarspark.plans.records import lookup_responses, stripped_target
+from scholarspark.session import reliable_checkpoint, shared_path
 from scholarspark.sources.lookups import lookup_table, read_citation_responses, read_metadata_responses
 from scholarspark.sources.pages import land_pages, page_completeness, page_records, read_pages, to_pages
 from scholarspark.sources.tables import read_table
@@ -46,20 +46,19 @@ def page_completeness_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landed_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Lookup responses landed as JSON per published DOI, read back and applied to stripped records."""
-    out = apply_lookups(stripped_target(spark, sf_dir), _land_lookups(spark, sf_dir))
+    """Lookup responses landed as JSON, read back and applied to stripped records."""
+    target = reliable_checkpoint(stripped_target(spark, sf_dir), "target")
+    out = apply_lookups(target, _land_lookups(spark, sf_dir))
     return tidy(out.select("_id", "doi", "publiDate",
                            F.when(F.col("citations").isNotNull(), F.size("citations")).alias("n_citations"),
                            "enriched"))
 
 
 def _land_lookups(spark: SparkSession, sf_dir: str):
-    raw = raw_preprints(spark, sf_dir).where(F.col("published") != "NA")
     cit_path, meta_path = shared_path(spark, "cit"), shared_path(spark, "meta")
-    raw.select(F.col("published").alias("doi"), "citations").write.json(cit_path)
-    meta = F.when(F.col("publiDate") == "", F.lit(None)).otherwise(
-        F.array(F.struct(F.col("publiDate").alias("pub_date"))))
-    raw.select(F.col("published").alias("doi"), meta.alias("metadata")).write.json(meta_path)
+    citations, metadata = lookup_responses(spark, sf_dir)
+    citations.write.json(cit_path)
+    metadata.write.json(meta_path)
     return lookup_table(read_citation_responses(spark, cit_path), read_metadata_responses(spark, meta_path))
 
 
@@ -70,7 +69,7 @@ def landed_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     from scholarspark.operators.records import derive_fields, export_table, keep_latest
     pages_path = shared_path(spark, "pages-stripped")
     land_pages(to_pages(stripped_target(spark, sf_dir), F.expr(f"_id div {PAGE_SIZE}"), RECORD_COLS), pages_path)
-    records = page_records(read_pages(spark, pages_path)).select(*RECORD_COLS)
+    records = reliable_checkpoint(page_records(read_pages(spark, pages_path)).select(*RECORD_COLS), "target")
     enriched = apply_lookups(records, _land_lookups(spark, sf_dir)).drop("enriched")
     return tidy(export_table(derive_fields(keep_latest(enriched))))
 

@@ -103,12 +103,21 @@ PP_DERIVED = with_ctes(PREPRINTS, LATEST, DERIVED)
 PP_RECODED = with_ctes(PREPRINTS, LATEST, DERIVED, EXPORTED)
 
 STRIPPED = """
-stripped AS (SELECT * REPLACE (CASE WHEN _id % 4 <> 0 THEN publiDate END AS publiDate,
+stripped AS (SELECT * REPLACE (CASE WHEN published = 'NA' THEN 'NA' WHEN _id % 31 <> 0 THEN '10.9/' || (_id // 3) END AS published,
+                               CASE WHEN _id % 4 <> 0 THEN publiDate END AS publiDate,
                                CASE WHEN _id % 4 <> 0 THEN citations END AS citations)
              FROM (SELECT * REPLACE (CASE WHEN trim(date) <> '' THEN date END AS date,
                                      CASE WHEN trim(publiDate) <> '' THEN publiDate END AS publiDate)
                    FROM preprints)),
-lookups AS (SELECT published AS doi, publiDate AS pub_date, citations FROM preprints WHERE published <> 'NA')"""
+responses AS (SELECT _id, _id // 3 AS g, '10.9/' || (_id // 3) AS doi, publiDate, citations,
+                row_number() OVER (PARTITION BY _id // 3 ORDER BY (publiDate IS DISTINCT FROM '') DESC, _id DESC) AS date_rn,
+                row_number() OVER (PARTITION BY _id // 3 ORDER BY (citations IS NOT NULL) DESC, _id DESC) AS cit_rn
+              FROM preprints WHERE published <> 'NA'),
+lookups AS (SELECT coalesce(m.doi, c.doi) AS doi, m.publiDate AS pub_date, c.citations,
+              coalesce(m.publiDate IS DISTINCT FROM '' AND m.doi IS NOT NULL, FALSE) AS date_ok,
+              c.citations IS NOT NULL AS cit_ok
+            FROM (SELECT * FROM responses WHERE date_rn = 1 AND g % 11 <> 0) m
+            FULL JOIN (SELECT * FROM responses WHERE cit_rn = 1 AND g % 17 <> 0) c ON m.doi = c.doi)"""
 
 
 def freq_sql(source: str, columns: list[str]) -> str:
@@ -153,7 +162,7 @@ WHERE published IS DISTINCT FROM 'NA' AND publiDate IS NULL AND citations IS NUL
     "enrich_lookup": with_ctes(PREPRINTS, STRIPPED) + """,
 j AS (SELECT s.*, l.doi AS lk_doi, l.pub_date AS lk_date, l.citations AS lk_cit,
         (s.published IS DISTINCT FROM 'NA' AND s.publiDate IS NULL AND s.citations IS NULL
-         AND l.doi IS NOT NULL AND l.pub_date IS DISTINCT FROM '' AND l.citations IS NOT NULL) AS take
+         AND l.doi IS NOT NULL AND l.date_ok AND l.cit_ok) AS take
       FROM stripped s LEFT JOIN lookups l ON s.published = l.doi)
 SELECT _id, doi, CASE WHEN take THEN lk_date ELSE publiDate END AS publiDate,
   CASE WHEN take THEN len(lk_cit) WHEN citations IS NOT NULL THEN len(citations) END AS n_citations,

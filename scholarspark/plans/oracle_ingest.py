@@ -28,7 +28,7 @@ WHERE rn = 1""",
 _ENRICHED = """
 j AS (SELECT s.*, l.doi AS lk_doi, l.pub_date AS lk_date, l.citations AS lk_cit,
         (s.published IS DISTINCT FROM 'NA' AND s.publiDate IS NULL AND s.citations IS NULL
-         AND l.doi IS NOT NULL AND l.pub_date IS DISTINCT FROM '' AND l.citations IS NOT NULL) AS take
+         AND l.doi IS NOT NULL AND l.date_ok AND l.cit_ok) AS take
       FROM stripped s LEFT JOIN lookups l ON s.published = l.doi),
 enriched AS (SELECT * EXCLUDE (lk_doi, lk_date, lk_cit, take)
                REPLACE (CASE WHEN take THEN lk_date ELSE publiDate END AS publiDate,

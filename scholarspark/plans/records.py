@@ -13,6 +13,8 @@ from scholarspark.operators.records import (apply_lookups, export_filter, export
 from scholarspark.operators.upsert import upsert
 from scholarspark.plans.common import (derived_preprints, latest_preprints, r6, raw_preprints,
                                        recoded_export, tidy)
+from scholarspark.session import reliable_checkpoint
+from scholarspark.sources.lookups import lookup_table
 from scholarspark.sources.tables import read_table
 
 
@@ -84,18 +86,28 @@ def citation_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stripped_target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw records where every fourth record has lost its publication date and citations."""
+    """Raw records whose versions share their published DOI (every 31st has none); every fourth record
+    has lost its publication date and citations."""
     raw = normalise_dates(raw_preprints(spark, sf_dir))
     strip = F.col("_id") % 4 == 0
-    return raw.withColumns({"publiDate": F.when(~strip, F.col("publiDate")),
+    shared = F.when(F.col("published") == "NA", F.lit("NA")).when(F.col("_id") % 31 != 0, _shared_doi())
+    return raw.withColumns({"published": shared, "publiDate": F.when(~strip, F.col("publiDate")),
                             "citations": F.when(~strip, F.col("citations"))})
 
 
-def lookup_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed lookup responses keyed by published DOI ('' date = failed lookup)."""
-    raw = raw_preprints(spark, sf_dir)
-    return raw.where(F.col("published") != "NA").select(
-        F.col("published").alias("doi"), F.col("publiDate").alias("pub_date"), "citations")
+def _shared_doi():
+    return F.concat(F.lit("10.9/"), F.expr("_id div 3").cast("string"))
+
+
+def lookup_responses(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Citation and metadata responses, one of each for every published record, so several per DOI. Some DOIs never
+    got a citation response, some no metadata response; an empty date is a failed metadata lookup."""
+    raw = raw_preprints(spark, sf_dir).where(F.col("published") != "NA").select(
+        _shared_doi().alias("doi"), "citations", "publiDate", F.col("_id").alias("landed_at"), F.expr("_id div 3").alias("g"))
+    meta = F.when(F.col("publiDate") != "", F.array(F.struct(F.col("publiDate").alias("pub_date")))).when(
+        F.col("publiDate").isNull(), F.array(F.struct(F.col("publiDate").alias("pub_date"))))
+    return (raw.where("g % 17 <> 0").select("doi", "citations", "landed_at"),
+            raw.where("g % 11 <> 0").select("doi", meta.alias("metadata"), "landed_at"))
 
 
 def needs_enrichment_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,7 +116,8 @@ def needs_enrichment_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def enrich_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = apply_lookups(stripped_target(spark, sf_dir), lookup_responses(spark, sf_dir))
+    target = reliable_checkpoint(stripped_target(spark, sf_dir), "target")
+    out = apply_lookups(target, lookup_table(*lookup_responses(spark, sf_dir)))
     return tidy(out.select("_id", "doi", "publiDate",
                            F.when(F.col("citations").isNotNull(), F.size("citations")).alias("n_citations"),
                            "enriched"))

@@ -36,10 +36,12 @@ PAGE = T.StructType([
 CITATION_RESPONSE = T.StructType([
     T.StructField("doi", T.StringType(), False),
     T.StructField("citations", T.ArrayType(CITATION), True),
+    T.StructField("landed_at", T.LongType(), True),
 ])
 METADATA_RESPONSE = T.StructType([
     T.StructField("doi", T.StringType(), False),
     T.StructField("metadata", T.ArrayType(T.StructType([T.StructField("pub_date", T.StringType(), True)])), True),
+    T.StructField("landed_at", T.LongType(), True),
 ])
 
 # Export row (fixed column list of the CSV export).

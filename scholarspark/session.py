@@ -28,7 +28,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     for k, v in (extra or {}).items():
@@ -55,6 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not local_fallback_allowed(sc.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if _LOCAL_FALLBACK is None:
             _LOCAL_FALLBACK = tempfile.mkdtemp(prefix="scholarspark-ckpt-")
         conf = _LOCAL_FALLBACK
@@ -62,6 +64,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf
 
 
+def local_fallback_allowed(master: str) -> bool:
+    """Only a single-process session may use a folder of this machine."""
+    return master == "local" or master.startswith("local[")
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for intermediate tables."""
     base = ensure_checkpoint_dir(spark)

@@ -12,30 +12,11 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
-               spread: bool = False) -> DataFrame:
-    """Scan one parquet table; selecting columns here keeps the ReadSchema narrow.
-
-    ``spread=True`` is for CPU-heavy per-row work (text analysis, model calls): see ``spread``.
-    """
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """Scan one parquet table; selecting columns here keeps the ReadSchema narrow. How many splits it has is
+    the deployer's choice (table layout, ``spark.sql.files.maxPartitionBytes``)."""
     df = spark.read.parquet(table_path(sf_dir, name))
-    df = df.select(*columns) if columns else df
-    return spread_rows(df) if spread else df
-
-
-def spread_rows(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over all cores when the scan plans fewer partitions than cores.
-
-    A large table arrives in many file splits and is left alone (no shuffle); a small input
-    stored as one file / row group would otherwise run its per-row CPU work in one task.
-    Checking the planned partition count starts no job.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        planned = df.rdd.getNumPartitions()
-    except Exception:   # e.g. a Spark Connect session: no RDD view, leave the scan as it is
-        return df
-    return df.repartition(cores) if planned < cores else df
+    return df.select(*columns) if columns else df
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

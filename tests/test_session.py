@@ -1,7 +1,6 @@
-"""Shared-storage materialisation and the small-input spreading rule."""
+"""Shared-storage materialisation."""
 
-from scholarspark.session import ensure_checkpoint_dir, reliable_checkpoint, shared_path
-from scholarspark.sources.tables import spread_rows
+from scholarspark.session import ensure_checkpoint_dir, reliable_checkpoint
 
 
 def test_materialised_tables_live_under_the_checkpoint_dir(spark):
@@ -14,12 +13,7 @@ def test_materialised_tables_live_under_the_checkpoint_dir(spark):
     assert files and all(norm(f).startswith(norm(base)) for f in files)
 
 
-def test_spread_is_a_no_op_for_many_splits(spark):
-    cores = spark.sparkContext.defaultParallelism
-    path = shared_path(spark, "many-files")
-    spark.range(10000).repartition(cores * 2).write.parquet(path)
-    wide = spark.read.parquet(path)
-    assert wide.rdd.getNumPartitions() >= cores
-    assert "RoundRobinPartitioning" not in spread_rows(wide)._jdf.queryExecution().executedPlan().toString()
-    one = spark.range(100).coalesce(1)
-    assert spread_rows(one).rdd.getNumPartitions() == cores
+def test_a_cluster_needs_a_shared_folder():
+    from scholarspark.session import local_fallback_allowed
+    assert local_fallback_allowed("local[4]") and not local_fallback_allowed("spark://host:7077")
+    assert not local_fallback_allowed("local-cluster[2,1,1024]") and not local_fallback_allowed("yarn")
