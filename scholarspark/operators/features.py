@@ -8,7 +8,7 @@ never see test rows).
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,17 +24,21 @@ def prepare(derived: DataFrame) -> DataFrame:
     df = export_filter(derived)
     return df.withColumns({
         "numberAuthorsLog": ln_or_null("numberAuthors"),
-        "month_upload": F.month("dateConverted"),
+        "month_upload": F.coalesce(F.month("dateConverted"), F.lit(0)),      # 0: unknown, a slot of its own
         "category_grouped": category_group("category"),
         "publiStatus_binary": binary_status("publiStatus"),
-    })
+    }).withColumns({"authors_missing": F.col("numberAuthorsLog").isNull().cast("double"),
+                    "titleLength": F.col("titleLength").cast("double"), "abstractLength": F.col("abstractLength").cast("double")})
 
 
-def attach_vectors(df: DataFrame, vectors: DataFrame, key: Column, vec_key: str, vec_col: str,
+def attach_vectors(df: DataFrame, vectors: DataFrame, key: Column, vec_key: str, vec_col: str, dim: int,
                    out_col: str = "text_vec") -> DataFrame:
-    """Inner equi-join of an embedding table; the array becomes an ML vector."""
-    v = vectors.select(F.col(vec_key).alias("_vk"), array_to_vector(F.col(vec_col)).alias(out_col))
-    return df.withColumn("_vk", key).join(v, "_vk").drop("_vk")
+    """Left join of an embedding table (one vector per key); the array becomes an ML vector, all zero for a
+    record that has none, so no record is lost."""
+    v = vectors.select(F.col(vec_key).alias("_vk"), F.col(vec_col).alias("_vec"))
+    zero = F.array_repeat(F.lit(0.0), dim)
+    return (df.withColumn("_key", key).join(v, F.col("_key") == F.col("_vk"), "left")
+              .withColumn(out_col, array_to_vector(F.coalesce("_vec", zero))).drop("_key", "_vk", "_vec"))
 
 
 def hash_bucket(id_col: str, buckets: int = 100) -> Column:
@@ -57,18 +61,20 @@ def regression_frame(prepared: DataFrame) -> DataFrame:
 
 
 def feature_pipeline(kind: str = "classification", vec_col: str | None = "text_vec") -> Pipeline:
-    """Indexers -> one-hot -> numeric assembler -> scaler -> final assembler (reference order).
+    """Indexers -> one-hot -> imputer -> numeric assembler -> scaler -> final assembler.
 
-    ``month_upload`` (1-12) is encoded as given: 12 slots, slot 0 never set, December all
-    zero. Rows with a NULL numeric input are skipped explicitly.
+    ``month_upload`` (1-12, 0 unknown) is encoded as given: 12 slots, December all zero. No row is
+    dropped: a NULL numeric takes the mean of the rows fitted on, and a missing author count sets a slot.
     """
     cats = ["server", "category_grouped"] + (["publiStatus"] if kind == "regression" else [])
     idx = StringIndexer(inputCols=cats, outputCols=[f"{c}_index" for c in cats], handleInvalid="keep")
     enc_in = [f"{cats[0]}_index", "month_upload"] + [f"{c}_index" for c in cats[1:]]
     enc_out = [f"{cats[0]}_encoded", "month_upload_encoded"] + [f"{c}_encoded" for c in cats[1:]]
     enc = OneHotEncoder(inputCols=enc_in, outputCols=enc_out)   # unseen levels: the indexer's extra slot
-    num = VectorAssembler(inputCols=NUMERIC, outputCol="subsetFeatures", handleInvalid="skip")
-    scaler = StandardScaler(inputCol="subsetFeatures", outputCol="scaled_subsetfeatures", withMean=True, withStd=True)
-    final_in = enc_out + ["scaled_subsetfeatures"] + ([vec_col] if vec_col else [])
-    final = VectorAssembler(inputCols=final_in, outputCol="features", handleInvalid="skip")
-    return Pipeline(stages=[idx, enc, num, scaler, final])
+    filled = [f"{c}_filled" for c in NUMERIC]
+    fill = Imputer(inputCols=NUMERIC, outputCols=filled, strategy="mean")
+    num = VectorAssembler(inputCols=filled, outputCol="numeric_raw")
+    scaler = StandardScaler(inputCol="numeric_raw", outputCol="numeric_scaled", withMean=True, withStd=True)
+    final_in = enc_out + ["numeric_scaled", "authors_missing"] + ([vec_col] if vec_col else [])
+    final = VectorAssembler(inputCols=final_in, outputCol="features")
+    return Pipeline(stages=[idx, enc, fill, num, scaler, final])

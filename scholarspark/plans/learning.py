@@ -7,15 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholarspark.operators import evaluate, learn
+from scholarspark.operators.embed import DEFAULT_DIM, embed_text
 from scholarspark.operators.features import (attach_vectors, classification_frame, feature_pipeline, hash_bucket,
                                              prepare, regression_frame, split_by_key)
 from scholarspark.plans.common import derived_preprints, tidy
 from scholarspark.session import reliable_checkpoint
 from scholarspark.sources.tables import read_table
 
-EMBED_MOD = 500
-CHECK_FOLDS = 3
-CHECK_GRID_VALUES = 2
+FOLDS = 5
 
 
 def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -24,12 +23,12 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ml_frame(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """Prepared records + text vectors (embeddings joined on vec_id = _id mod 500) + label + split."""
-    prep = prepare(derived_preprints(spark, sf_dir))
-    emb = read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
-    df = attach_vectors(prep, emb, F.col("_id") % EMBED_MOD, "vec_id", "embedding")
+    """Prepared records + the vector of their own title and abstract (stored by DOI) + label + split."""
+    prep = reliable_checkpoint(prepare(derived_preprints(spark, sf_dir)), "prepared")
+    vectors = reliable_checkpoint(embed_text(prep, "doi", ["title", "abstract"]), "vectors")
+    df = attach_vectors(prep, vectors, F.col("doi"), "doi", "embedding", DEFAULT_DIM)
     df = classification_frame(df) if kind == "classification" else regression_frame(df)
-    return split_by_key(df.where(F.col("month_upload").isNotNull()), "doi")
+    return split_by_key(df, "doi")
 
 
 def materialised_frame(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
@@ -49,7 +48,7 @@ def _features(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
 
 def features_cls(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _features(spark, sf_dir, "classification")
-    z = vector_to_array("scaled_subsetfeatures")
+    z = vector_to_array("numeric_scaled")
     return tidy(out.select("doi", "split", "label", "server_index", "category_grouped_index", "month_upload",
                            z[0].alias("z_title"), z[1].alias("z_abstract"), z[2].alias("z_authors"),
                            F.size(vector_to_array("features")).alias("n_features")))
@@ -57,7 +56,7 @@ def features_cls(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def features_reg(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _features(spark, sf_dir, "regression")
-    z = vector_to_array("scaled_subsetfeatures")
+    z = vector_to_array("numeric_scaled")
     return tidy(out.select("doi", "split", "cit1year", "publiStatus_index", "server_index",
                            z[0].alias("z_title"), z[1].alias("z_abstract"), z[2].alias("z_authors"),
                            F.size(vector_to_array("features")).alias("n_features")))
@@ -113,14 +112,15 @@ def _train_frames(spark, sf_dir, kind):
     return df.where(F.col("split") == "train"), df.where(F.col("split") == "test")
 
 
-def _cv(spark: SparkSession, sf_dir: str, kind: str, name: str, label: str, title: str) -> DataFrame:
-    """Cross-validated model over the first values of the project grid (3 folds) - grid report."""
+def _cv(spark: SparkSession, sf_dir: str, kind: str, name: str, label: str, title: str,
+        only: dict | None = None) -> DataFrame:
+    """Every point of the project's grid (those with the values of ``only``), five folds - grid report."""
     train, _ = _train_frames(spark, sf_dir, kind)
     est = learn.estimator(name, label=label)
-    grid = learn.param_grid(est, name, CHECK_GRID_VALUES)
-    cvm = learn.cross_validate(feature_pipeline(kind).getStages(), est, grid, learn.evaluator(kind, label),
-                               train, folds=CHECK_FOLDS)
-    return learn.grid_report(spark, cvm, title)
+    grid = learn.param_grid(est, name, only)
+    done = learn.cross_validate(feature_pipeline(kind).getStages(), est, grid, learn.evaluator(kind, label), train, "doi",
+                                folds=FOLDS)
+    return learn.grid_report(spark, done, title)
 
 
 def cv_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,16 +131,34 @@ def cv_grid_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cv(spark, sf_dir, "classification", "svc", "label", "LinearSVM")
 
 
-def cv_grid_rf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cv(spark, sf_dir, "classification", "rf_classifier", "label", "RandomForest")
+def cv_grid_rf(spark: SparkSession, sf_dir: str, depth: int = 3) -> DataFrame:
+    """The forest's grid is three queries, one a depth; together they hold every point."""
+    return _cv(spark, sf_dir, "classification", "rf_classifier", "label", "RandomForest", {"maxDepth": depth})
+
+
+def cv_grid_rf_depth5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cv_grid_rf(spark, sf_dir, 5)
+
+
+def cv_grid_rf_depth8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cv_grid_rf(spark, sf_dir, 8)
 
 
 def cv_grid_glm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _cv(spark, sf_dir, "regression", "glm_tweedie", "cit1year", "LinearGM")
 
 
-def cv_grid_rfr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cv(spark, sf_dir, "regression", "rf_regressor", "cit1year", "RandomForestRegressor")
+def cv_grid_rfr(spark: SparkSession, sf_dir: str, depth: int = 2) -> DataFrame:
+    """As ``cv_grid_rf``."""
+    return _cv(spark, sf_dir, "regression", "rf_regressor", "cit1year", "RandomForestRegressor", {"maxDepth": depth})
+
+
+def cv_grid_rfr_depth5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cv_grid_rfr(spark, sf_dir, 5)
+
+
+def cv_grid_rfr_depth10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cv_grid_rfr(spark, sf_dir, 10)
 
 
 def importances(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,6 +225,10 @@ QUERIES = {
     "cv_grid_rf": cv_grid_rf,
     "cv_grid_glm": cv_grid_glm,
     "cv_grid_rfr": cv_grid_rfr,
+    "cv_grid_rf_depth5": cv_grid_rf_depth5,
+    "cv_grid_rf_depth8": cv_grid_rf_depth8,
+    "cv_grid_rfr_depth5": cv_grid_rfr_depth5,
+    "cv_grid_rfr_depth10": cv_grid_rfr_depth10,
     "importances": importances,
     "model_compare": model_compare,
     "regression_compare": regression_compare,

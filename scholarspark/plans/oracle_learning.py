@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from scholarspark.operators.embed import DEFAULT_DIM
 from scholarspark.plans.oracle import EXPORTED, DERIVED, LATEST, PREPRINTS, with_ctes
 
 
@@ -15,9 +16,9 @@ def _ml(kind: str) -> str:
              if kind == "classification" else "cit1year::DOUBLE AS label")
     where = "" if kind == "classification" else " AND cit1year IS NOT NULL"
     return f""",
-prep AS (SELECT *, CASE WHEN numberAuthors > 0 THEN ln(numberAuthors) END AS numberAuthorsLog FROM recoded),
-ml AS (SELECT p.*, {label}, {split_expr('p.doi')} AS split, len(e.embedding) AS dims
-       FROM prep p JOIN embeddings e ON e.vec_id = p._id % 500 WHERE month_upload IS NOT NULL{where}),
+prep AS (SELECT * REPLACE (coalesce(month_upload, 0) AS month_upload),
+           CASE WHEN numberAuthors > 0 THEN ln(numberAuthors) END AS numberAuthorsLog FROM recoded),
+ml AS (SELECT p.*, {label}, {split_expr('p.doi')} AS split, {DEFAULT_DIM} AS dims FROM prep p WHERE TRUE{where}),
 tr AS (SELECT * FROM ml WHERE split = 'train'),
 srv AS (SELECT server, (row_number() OVER (ORDER BY count(*) DESC, server) - 1)::DOUBLE AS server_index
         FROM tr WHERE server IS NOT NULL GROUP BY server),
@@ -25,21 +26,21 @@ cat AS (SELECT category_grouped, (row_number() OVER (ORDER BY count(*) DESC, cat
           AS category_grouped_index FROM tr WHERE category_grouped IS NOT NULL GROUP BY category_grouped),
 pst AS (SELECT publiStatus, (row_number() OVER (ORDER BY count(*) DESC, publiStatus) - 1)::DOUBLE
           AS publiStatus_index FROM tr WHERE publiStatus IS NOT NULL GROUP BY publiStatus),
-st AS (SELECT avg(titleLength) AS m1, stddev_samp(titleLength) AS s1, avg(abstractLength) AS m2,
-         stddev_samp(abstractLength) AS s2, avg(numberAuthorsLog) AS m3, stddev_samp(numberAuthorsLog) AS s3
-       FROM tr WHERE titleLength IS NOT NULL AND abstractLength IS NOT NULL AND numberAuthorsLog IS NOT NULL),
+means AS (SELECT avg(titleLength) AS m1, avg(abstractLength) AS m2, avg(numberAuthorsLog) AS m3 FROM tr),
+st AS (SELECT any_value(m1) AS m1, stddev_samp(coalesce(titleLength, m1)) AS s1, any_value(m2) AS m2,
+         stddev_samp(coalesce(abstractLength, m2)) AS s2, any_value(m3) AS m3,
+         stddev_samp(coalesce(numberAuthorsLog, m3)) AS s3 FROM tr, means),
 sizes AS (SELECT (SELECT count(*) FROM srv) AS n_srv, (SELECT count(*) FROM cat) AS n_cat,
             (SELECT count(*) FROM pst) AS n_pst, (SELECT max(month_upload) FROM tr) AS n_month),
 out AS (SELECT ml.*, coalesce(srv.server_index, (SELECT count(*) FROM srv)::DOUBLE) AS server_index,
           coalesce(cat.category_grouped_index, (SELECT count(*) FROM cat)::DOUBLE) AS category_grouped_index,
           coalesce(pst.publiStatus_index, (SELECT count(*) FROM pst)::DOUBLE) AS publiStatus_index,
-          round(CASE WHEN s1 = 0 THEN 0 ELSE (titleLength - m1) / s1 END, 6) AS z_title,
-          round(CASE WHEN s2 = 0 THEN 0 ELSE (abstractLength - m2) / s2 END, 6) AS z_abstract,
-          round(CASE WHEN s3 = 0 THEN 0 ELSE (numberAuthorsLog - m3) / s3 END, 6) AS z_authors,
-          n_srv + n_month + n_cat + {'0' if kind == 'classification' else 'n_pst'} + 3 + dims AS n_features
+          round(CASE WHEN s1 = 0 THEN 0 ELSE (coalesce(titleLength, m1) - m1) / s1 END, 6) AS z_title,
+          round(CASE WHEN s2 = 0 THEN 0 ELSE (coalesce(abstractLength, m2) - m2) / s2 END, 6) AS z_abstract,
+          round(CASE WHEN s3 = 0 THEN 0 ELSE (coalesce(numberAuthorsLog, m3) - m3) / s3 END, 6) AS z_authors,
+          n_srv + n_month + n_cat + {'0' if kind == 'classification' else 'n_pst'} + 4 + dims AS n_features
         FROM ml LEFT JOIN srv USING (server) LEFT JOIN cat USING (category_grouped)
-          LEFT JOIN pst USING (publiStatus), st, sizes
-        WHERE titleLength IS NOT NULL AND abstractLength IS NOT NULL AND numberAuthorsLog IS NOT NULL)
+          LEFT JOIN pst USING (publiStatus), st, sizes)
 """
 
 
