@@ -22,40 +22,52 @@ from pyspark.sql import types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 _EPS = 1e-15
-_MAXIT = 10000
+_TINY = 1e-300
+
+
+def _steps(*params: float) -> int:
+    """Terms needed grow with the root of the parameters; a bound well above that."""
+    return 2_000 + int(60.0 * math.sqrt(max(1.0, *params)))
 
 
 def _gamma_p_series(a: float, x: float) -> float:
-    term = total = 1.0 / a
-    ap = a
-    for _ in range(_MAXIT):
-        ap += 1.0
-        term *= x / ap
-        total += term
-        if abs(term) < abs(total) * _EPS:
-            break
-    return total * math.exp(-x + a * math.log(x) - math.lgamma(a))
+    """P(a, x) as x^a e^-x / Gamma(a) times the sum of x^k / (a (a+1) ... (a+k)); NaN if it does not converge."""
+    part = total = 1.0 / a
+    for k in range(1, _steps(a, x)):
+        part *= x / (a + k)
+        total += part
+        if part < total * _EPS:
+            return total * math.exp(a * math.log(x) - x - math.lgamma(a))
+    return math.nan
+
+
+def _fraction(terms, steps: int) -> float:
+    """Continued fraction 1 / (b0 + a1 / (b1 + a2 / (b2 + ...))) from (b0, and then a, b), evaluated forwards as a
+    product of ratios of successive convergents; NaN if it does not converge."""
+    (_, b0), rest = next(terms), terms
+    num, den = b0 or _TINY, 0.0
+    value = 1.0 / num
+    den = 1.0 / num
+    ahead = b0 + 1.0 / _TINY
+    for _, (a, b) in zip(range(steps), rest):
+        den = 1.0 / ((b + a * den) or _TINY)
+        ahead = (b + a / ahead) or _TINY
+        ratio = ahead * den
+        value *= ratio
+        if abs(ratio - 1.0) < _EPS:
+            return value
+    return math.nan
 
 
 def _gamma_q_cf(a: float, x: float) -> float:
-    tiny = 1e-300
-    b = x + 1.0 - a
-    c = 1.0 / tiny
-    d = 1.0 / b
-    h = d
-    for i in range(1, _MAXIT):
-        an = -i * (i - a)
-        b += 2.0
-        d = an * d + b
-        d = tiny if abs(d) < tiny else d
-        c = b + an / c
-        c = tiny if abs(c) < tiny else c
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < _EPS:
-            break
-    return math.exp(-x + a * math.log(x) - math.lgamma(a)) * h
+    def terms():
+        yield 0.0, x + 1.0 - a
+        k = 1
+        while True:
+            yield -k * (k - a), x + 2.0 * k + 1.0 - a
+            k += 1
+
+    return math.exp(a * math.log(x) - x - math.lgamma(a)) * _fraction(terms(), _steps(a, x))
 
 
 def gamma_q(a: float, x: float) -> float:
@@ -68,32 +80,15 @@ def gamma_q(a: float, x: float) -> float:
 
 
 def _beta_cf(a: float, b: float, x: float) -> float:
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = tiny if abs(d) < tiny else d
-    d = 1.0 / d
-    h = d
-    for m in range(1, _MAXIT):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = tiny if abs(d) < tiny else d
-        c = 1.0 + aa / c
-        c = tiny if abs(c) < tiny else c
-        d = 1.0 / d
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = tiny if abs(d) < tiny else d
-        c = 1.0 + aa / c
-        c = tiny if abs(c) < tiny else c
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < _EPS:
-            break
-    return h
+    def terms():
+        yield 0.0, 1.0
+        m = 0
+        while True:
+            yield -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)), 1.0
+            m += 1
+            yield m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)), 1.0
+
+    return _fraction(terms(), 2 * _steps(a, b))
 
 
 def beta_i(a: float, b: float, x: float) -> float:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholarspark.operators.ranks import prefix_sums
+from scholarspark.operators.ranks import null_safe_join, prefix_sums
 
 
 def frequencies(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -34,5 +34,5 @@ def within_shares(df: DataFrame, outer: str, inner: str) -> DataFrame:
     """Count of each (outer, inner) pair and its percentage within ``outer`` (totals joined back)."""
     counts = df.groupBy(outer, inner).agg(F.count(F.lit(1)).alias("n"))
     totals = df.groupBy(outer).agg(F.count(F.lit(1)).alias("_total"))
-    return counts.join(totals, outer, "inner").select(
+    return null_safe_join(counts, totals, [outer]).select(
         outer, inner, "n", (F.col("n") * 100.0 / F.col("_total")).alias("pct_within"))

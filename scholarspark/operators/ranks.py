@@ -47,11 +47,18 @@ def prefix_sums(df: DataFrame, order_cols: list[str], weight_cols: list[str],
               .rowsBetween(Window.unboundedPreceding, -1))
     local = ranged.select("*", *[F.coalesce(F.sum(w).over(inside), F.lit(0)).alias(f"_i_{w}")
                                  for w in weight_cols])
-    out = local.join(offsets, ["_pid", *group_cols])
+    out = null_safe_join(local, offsets, ["_pid", *group_cols])
     return out.select(*df.columns, *[(F.col(f"_o_{w}") + F.col(f"_i_{w}")).alias(f"{w}_before")
                                      for w in weight_cols])
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on keys in which a NULL group meets the NULL group; keys appear once, from the left."""
+    renamed = right.select(*[F.col(k).alias(f"_j_{k}") if k in keys else F.col(k) for k in right.columns])
+    on = [F.col(k).eqNullSafe(F.col(f"_j_{k}")) for k in keys]
+    return left.join(renamed, on).drop(*[f"_j_{k}" for k in keys])
+
+
 def value_counts(df: DataFrame, value_col: str, group_cols: list[str] | None = None) -> DataFrame:
     """(group..., value, c): distinct non-null values with their multiplicity (partial aggregation)."""
     group_cols = list(group_cols or [])
@@ -73,7 +80,7 @@ def exact_quantiles(df: DataFrame | None, value_col: str, probs: list[float],
     # group sizes from the ranked table (read from the checkpoint), not from the source again;
     # a small per-group table joined back (AQE broadcasts it), never a window over a whole group
     if group_cols:
-        rows = ranked.join(ranked.groupBy(*group_cols).agg(F.sum("c").alias("n")), group_cols)
+        rows = null_safe_join(ranked, ranked.groupBy(*group_cols).agg(F.sum("c").alias("n")), group_cols)
     else:
         rows = ranked.withColumn("n", ranked.select(F.sum("c")).scalar())
     v, before, c, n = F.col(value_col), F.col("c_before"), F.col("c"), F.col("n")

@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from scholarspark.operators.ranks import exact_quantiles, mid_ranks, quantile_name, value_counts
+from scholarspark.operators.ranks import exact_quantiles, mid_ranks, null_safe_join, quantile_name, value_counts
 from scholarspark.session import reliable_checkpoint
 
 
@@ -21,30 +21,31 @@ def box_stats(df: DataFrame, value: str, group: str, coef: float = 1.5, approx:
               accuracy: int = 10000) -> DataFrame:
     """Five numbers, mean, IQR, whiskers (most extreme values within coef x IQR) and outlier count.
 
-    The source is reduced once to (group, value, count) and materialised; quartiles, moments
-    and whiskers are all computed from that table. Quartiles are exact by default; with
-    ``approx=True`` they come from ``percentile_approx`` (a mergeable sketch of bounded size
-    per group, rank error about 1/accuracy) instead of the distributed ranking.
+    Exact: the source is reduced once to (group, value, count) and materialised; quartiles, moments and
+    whiskers come from that table. ``approx=True`` never builds it: quartiles come from
+    ``percentile_approx`` (a mergeable sketch of bounded size per group, rank error about 1/accuracy)
+    with the moments in one pass, whiskers from a second pass. A NULL group is a group.
     """
-    vc = reliable_checkpoint(value_counts(df, value, [group]))
     q1, q2, q3 = (quantile_name(p) for p in (0.25, 0.5, 0.75))
+    v = F.col(value)
     if approx:
-        qa = F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy)
-        qs = (df.where(F.col(value).isNotNull()).groupBy(group)
-              .agg(F.count(F.lit(1)).alias("n"), qa.alias("_q"))
-              .select(group, "n", *[F.get("_q", i).alias(name) for i, name in enumerate((q1, q2, q3))]))
+        rows, c = df.where(v.isNotNull()).select(group, value), F.lit(1)
+        qs = (rows.groupBy(group)
+              .agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy).alias("_q"),
+                   F.min(value).alias("min"), F.max(value).alias("max"), F.avg(value).alias("mean"))
+              .select(group, "n", "min", "max", "mean", *[F.get("_q", i).alias(x) for i, x in enumerate((q1, q2, q3))]))
     else:
-        qs = exact_quantiles(None, value, [0.25, 0.5, 0.75], [group], counts=vc)
-    v, c = F.col(value), F.col("c")
-    moments = vc.groupBy(group).agg(F.min(value).alias("min"), F.max(value).alias("max"),
-                                    (F.sum(v * c) / F.sum(c)).alias("mean"))
+        rows, c = reliable_checkpoint(value_counts(df, value, [group])), F.col("c")
+        moments = rows.groupBy(group).agg(F.min(value).alias("min"), F.max(value).alias("max"),
+                                          (F.sum(v * c) / F.sum(c)).alias("mean"))
+        qs = null_safe_join(exact_quantiles(None, value, [0.25, 0.5, 0.75], [group], counts=rows), moments, [group])
     fences = qs.select(group, (F.col(q1) - coef * (F.col(q3) - F.col(q1))).alias("lo_f"),
                        (F.col(q3) + coef * (F.col(q3) - F.col(q1))).alias("hi_f"))
-    whisk = vc.join(fences, group).groupBy(group).agg(
+    whisk = null_safe_join(rows, fences, [group]).groupBy(group).agg(
         F.min(F.when(v >= F.col("lo_f"), v)).alias("whisker_low"),
         F.max(F.when(v <= F.col("hi_f"), v)).alias("whisker_high"),
         F.sum(F.when((v < F.col("lo_f")) | (v > F.col("hi_f")), c).otherwise(0)).alias("n_outliers"))
-    return (qs.join(moments, group).join(whisk, group)
+    return (null_safe_join(qs, whisk, [group])
             .select(group, "n", "min", F.col(q1).alias("q1"), F.col(q2).alias("median"), F.col(q3).alias("q3"),
                     "max", "mean", (F.col(q3) - F.col(q1)).alias("iqr"), "whisker_low", "whisker_high",
                     "n_outliers"))
@@ -72,38 +73,40 @@ def _pair_cells(df: DataFrame, columns: list[str]) -> DataFrame:
 def contingency_cells(df: DataFrame, columns: list[str]) -> DataFrame:
     """Observed cells of every pair of categorical columns with expected counts and residuals.
 
-    One pass over the data (each row expands to one tuple per pair, then a partial
-    aggregation); the margins are window sums over that small cell table, so the source is
-    read once. Only non-empty cells are listed; NULL levels are left out, as a contingency
-    table does.
+    One pass over the data (each row expands to one tuple per pair, then a partial aggregation) gives
+    the cells, written once; margins are aggregates of that table joined back, so no task holds all cells of
+    a pair. Only non-empty cells are listed; NULL levels are left out, as a contingency table does.
     """
-    cells = _pair_cells(df, columns)
+    cells = reliable_checkpoint(_pair_cells(df, columns), "cells")
     pair = ["var1", "var2"]
+    rows = cells.groupBy(*pair, "a").agg(F.sum("o").alias("ra"), F.count(F.lit(1)).alias("cells_a"))
+    cols = cells.groupBy(*pair, "b").agg(F.sum("o").alias("cb"), F.count(F.lit(1)).alias("cells_b"))
+    total = cells.groupBy(*pair).agg(F.sum("o").alias("n"))
     e = F.col("ra") * F.col("cb") / F.col("n")
-    return (cells.withColumns({"ra": F.sum("o").over(Window.partitionBy(*pair, "a")),
-                               "cb": F.sum("o").over(Window.partitionBy(*pair, "b")),
-                               "n": F.sum("o").over(Window.partitionBy(*pair)),
-                               "cells_a": F.count(F.lit(1)).over(Window.partitionBy(*pair, "a")),
-                               "cells_b": F.count(F.lit(1)).over(Window.partitionBy(*pair, "b"))})
+    return (cells.join(rows, [*pair, "a"]).join(cols, [*pair, "b"]).join(total, pair)
             .select("var1", "var2", "a", "b", "o", "n", e.alias("expected"),
                     ((F.col("o") - e) / F.sqrt(e)).alias("residual"),
                     (F.col("o") * 100.0 / F.col("ra")).alias("pct_of_row"), "ra", "cb", "cells_a", "cells_b"))
 
 
 def chi2_pairs(df: DataFrame, columns: list[str], yates: bool = True) -> DataFrame:
-    """Pearson chi-squared for every pair: sum(o^2/e) - n over observed cells (empty cells add 0).
+    """Pearson chi-squared for every pair: sum((o-e)^2/e) over the observed cells, and for the empty ones, whose
+    term is e, the total of n minus the expected counts of the observed: nothing large cancels.
 
     2x2 tables get Yates' continuity correction (as R's default), computed from the common
     absolute deviation |o - e| of a 2x2 table and the margins: sum over cells of 1/e equals
     n * sum_a(1/ra) * sum_b(1/cb); each margin is counted once by weighting a cell with
-    1 / (cells sharing that margin).
+    1 / (cells sharing that margin), which also counts the levels.
     """
     cells = contingency_cells(df, columns)
+    dev = F.col("o") - F.col("expected")
+    n = F.first("n")
+    empty = F.when(F.count(F.lit(1)) < F.round(F.sum(1.0 / F.col("cells_a"))) * F.round(F.sum(1.0 / F.col("cells_b"))),
+                   n - F.sum("expected")).otherwise(0.0)
     stat = cells.groupBy("var1", "var2").agg(
-        F.first("n").alias("n"),
-        (F.sum(F.col("o") ** 2 / F.col("expected")) - F.first("n")).alias("pearson"),
-        F.max(F.abs(F.col("o") - F.col("expected"))).alias("dev"),
-        F.count_distinct("a").alias("r"), F.count_distinct("b").alias("c"),
+        n.alias("n"), (F.sum(dev ** 2 / F.col("expected")) + empty).alias("pearson"), F.max(F.abs(dev)).alias("dev"),
+        F.round(F.sum(1.0 / F.col("cells_a"))).cast("bigint").alias("r"),
+        F.round(F.sum(1.0 / F.col("cells_b"))).cast("bigint").alias("c"),
         F.sum(1.0 / (F.col("ra") * F.col("cells_a"))).alias("inv_r"),
         F.sum(1.0 / (F.col("cb") * F.col("cells_b"))).alias("inv_c"))
     two = (F.col("r") == 2) & (F.col("c") == 2) & F.lit(yates)
@@ -216,22 +219,27 @@ def profile_text(df: DataFrame, columns: list[str]) -> DataFrame:
         for i, c in enumerate(columns)])))
 
 
-def density_grid(df: DataFrame, value: str, grid: int = 512, bins: int = 1024, cut: float = 3.0) -> DataFrame:
+def density_grid(df: DataFrame, value: str, grid: int = 512, bins: int = 1024, cut: float = 3.0,
+                 approx: bool = False) -> DataFrame:
     """Gaussian kernel density on ``grid`` points over [min - cut*h, max + cut*h].
 
-    Bandwidth: Silverman's rule of thumb, 0.9 * min(sd, IQR / 1.34) * n^(-1/5) (exact
-    quartiles). The data are first counted into ``bins`` equal bins over [min - 4h, max + 4h]
+    Bandwidth: Silverman's rule of thumb, 0.9 * min(sd, IQR / 1.34) * n^(-1/5) (quartiles exact, or with
+    ``approx`` from a sketch in the pass that takes the moments, without ranking). The data are first counted into ``bins`` equal bins over [min - 4h, max + 4h]
     (one partially aggregated pass, as kernel density estimators commonly do); every
     non-empty bin then adds its kernel mass to all grid points through an array expression
     of fixed length, and the grid is summed. Work after the first pass is bins x grid,
     whatever the number of rows.
     """
     v = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("x"))
-    q = exact_quantiles(v, "x", [0.25, 0.75])
+    sketch = F.percentile_approx("x", [0.25, 0.75])
     st = v.agg(F.count(F.lit(1)).alias("n"), F.stddev_samp("x").alias("sd"), F.min("x").alias("lo"),
-               F.max("x").alias("hi"))
-    s = st.select(F.struct("n", "sd", "lo", "hi").alias("s")).scalar()
-    iqr = q.select(F.struct((F.col("q_0_75") - F.col("q_0_25")).alias("iqr")).alias("q")).scalar().getField("iqr")
+               F.max("x").alias("hi"), *([(F.get(sketch, 1) - F.get(sketch, 0)).alias("iqr")] if approx else []))
+    s = st.select(F.struct(*st.columns).alias("s")).scalar()
+    if approx:
+        iqr = s.getField("iqr")
+    else:
+        q = exact_quantiles(v, "x", [0.25, 0.75])
+        iqr = q.select(F.struct((F.col("q_0_75") - F.col("q_0_25")).alias("iqr")).alias("q")).scalar().getField("iqr")
     n, sd, lo, hi = s.getField("n"), s.getField("sd"), s.getField("lo"), s.getField("hi")
     spread = F.least(sd, iqr / 1.34)
     spread = F.when(spread > 0, spread).otherwise(F.when(sd > 0, sd).otherwise(F.lit(1.0)))

@@ -21,9 +21,10 @@ def stable_round(c, digits: int = ROUND, snap: int = SNAP):
     return F.round(c.try_cast(f"decimal(38,{snap})"), digits).cast("double")
 
 
-def tidy(df: DataFrame) -> DataFrame:
+def tidy(df: DataFrame, rounded: bool = True) -> DataFrame:
     """Output types shared with the SQL oracle: integers -> bigint, floats -> double rounded
-    to 6 decimals (``stable_round``), dates/timestamps -> ISO text."""
+    to 6 decimals (``stable_round``; not with ``rounded=False``, for results no oracle reads, whose
+    small values matter), dates/timestamps -> ISO text."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -31,7 +32,7 @@ def tidy(df: DataFrame) -> DataFrame:
         if isinstance(t, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         elif isinstance(t, (T.FloatType, T.DecimalType, T.DoubleType)):
-            c = stable_round(c.cast("double"))
+            c = stable_round(c.cast("double")) if rounded else c.cast("double")
         elif isinstance(t, (T.DateType, T.TimestampType, T.TimestampNTZType)):
             c = c.cast("string")
         cols.append(c.alias(f.name))

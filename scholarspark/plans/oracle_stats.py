@@ -27,7 +27,7 @@ j AS (SELECT cells.*, ra, cb, tot.n, ra * cb / tot.n::DOUBLE AS e
 
 def _chi2(source_cte: str, source: str, columns: list[str], prefix: str = "WITH ") -> str:
     return f"""{prefix}{source_cte}{_cells(source, columns)},
-st AS (SELECT var1, var2, any_value(n) AS n, sum(o * o / e) - any_value(n) AS pearson, max(abs(o - e)) AS dev
+st AS (SELECT var1, var2, any_value(n) AS n, sum((o - e) ^ 2 / e) + any_value(n) - sum(e) AS pearson, max(abs(o - e)) AS dev
        FROM j GROUP BY ALL),
 rs AS (SELECT var1, var2, count(*) AS r, sum(1.0::DOUBLE / ra) AS inv_r FROM ra GROUP BY ALL),
 cs AS (SELECT var1, var2, count(*) AS c, sum(1.0::DOUBLE / cb) AS inv_c FROM cb GROUP BY ALL)

@@ -13,7 +13,8 @@ from scholarspark.sources.tables import read_table
 # (one clause is hyphenated, which analysis turns into a two-token phrase).
 BOOL_PHRASES = ["anea eriner thanea", "attion-to thanedble", "in the", "de la", "der die", "genetic engineering"]
 BM25_QUERY = "thanedble eriner anea attion genetic"
-TOP_K = 10
+#: The project's ranked queries return up to this many hits.
+TOP_K = 10_000
 
 
 def phrase_search(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -106,7 +106,7 @@ def test_pvalues(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("pearson").alias("family"), F.concat_ws(" x ", "var1", "var2").alias("test"),
         F.col("t_stat").alias("statistic"), (F.col("n") - 2).cast("double").alias("df"),
         t_pvalue(F.col("t_stat"), F.col("n") - 2).alias("p_value"))
-    return tidy(holm(chi.unionByName(kw).unionByName(we).unionByName(co)))
+    return tidy(holm(chi.unionByName(kw).unionByName(we).unionByName(co)), rounded=False)
 
 
 def holm(tests: DataFrame) -> DataFrame:
@@ -141,7 +141,7 @@ def export_pvalues(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("pearson").alias("family"), F.concat_ws(" x ", "var1", "var2").alias("test"),
         F.col("t_stat").alias("statistic"), (F.col("n") - 2).cast("double").alias("df"),
         t_pvalue(F.col("t_stat"), F.col("n") - 2).alias("p_value"))
-    return tidy(holm(chi.unionByName(kw).unionByName(we).unionByName(co)))
+    return tidy(holm(chi.unionByName(kw).unionByName(we).unionByName(co)), rounded=False)
 
 
 # The project's exploratory variables, on the recoded export frame.

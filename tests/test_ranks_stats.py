@@ -130,3 +130,20 @@ def test_approximate_box_stats_close_to_exact(spark):
             # the sketch returns an observed value within ~1/accuracy of the target rank
             rank = sum(1 for v in vals if v <= getattr(a, name)) / len(vals)
             assert abs(rank - q) < 0.01
+
+
+def test_null_groups_are_kept(spark):
+    from scholarspark.operators import stats
+    from scholarspark.operators.profile import within_shares
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), (None, 3.0), (None, 5.0), (None, 7.0)], "g string, v double")
+    for approx in (False, True):
+        rows = {r["g"]: r for r in stats.box_stats(df, "v", "g", approx=approx).collect()}
+        assert set(rows) == {"a", None} and rows[None]["n"] == 3 and rows[None]["median"] == 5.0
+    shares = within_shares(df.selectExpr("g", "cast(v > 2 as string) as w"), "g", "w").collect()
+    assert {(r["g"], r["pct_within"]) for r in shares} == {("a", 100.0), (None, 100.0)}
+
+
+def test_tail_probabilities_for_large_parameters():
+    from scholarspark.functions.distributions import chi2_sf, f_sf, t_two_sided
+    assert abs(chi2_sf(1e8, 1e8) - 0.5) < 1e-4 and abs(chi2_sf(3.841458820694124, 1) - 0.05) < 1e-12
+    assert abs(t_two_sided(2.0, 10) - 0.07338803477074045) < 1e-12 and abs(f_sf(1.0, 1e6, 1e6) - 0.5) < 1e-6
