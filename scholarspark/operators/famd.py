@@ -11,7 +11,7 @@ indicators, in percent) and row coordinates follow.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from itertools import combinations_with_replacement
+from itertools import combinations, combinations_with_replacement
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -38,38 +38,56 @@ class FamdModel:
         return out
 
 
-def fit_famd(df: DataFrame, numeric: list[str], categorical: list[str], max_levels: int = 200) -> FamdModel:
-    """Fit FAMD on complete rows. ``max_levels`` guards the size of the decomposed matrix."""
+def fit_famd(df: DataFrame, numeric: list[str], categorical: list[str]) -> FamdModel:
+    """Fit FAMD on complete rows.
+
+    The matrix that is decomposed has a row for each numeric column and each level. Its blocks are small aggregates:
+    covariances of the numeric columns, sums of them by level, and contingency counts of levels; the driver
+    holds only the matrix, whose side is the number of columns and levels.
+    """
     rows = df.select(*numeric, *categorical).dropna()
     mom = rows.agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(f"m_{c}") for c in numeric],
                    *[F.stddev_pop(c).alias(f"s_{c}") for c in numeric]).first()
     n = mom["n"]
     means = {c: float(mom[f"m_{c}"]) for c in numeric}
     sds = {c: float(mom[f"s_{c}"]) or 1.0 for c in numeric}
-    # level proportions: one small aggregate per categorical column (bounded by max_levels)
-    props: dict[tuple[str, str], float] = {}
-    cols: list[tuple[str, str, str | None]] = [(c, "num", None) for c in numeric]
-    for c in categorical:
-        levels = rows.groupBy(c).count().orderBy(c).limit(max_levels + 1).collect()
-        if len(levels) > max_levels:
-            raise ValueError(f"{c} has more than {max_levels} levels")
-        for r in levels:
-            props[(c, r[c])] = r["count"] / n
-            cols.append((c, "cat", r[c]))
-    model = FamdModel(cols, means, sds, props, np.array([]), np.array([]))
-    z = model.z_columns()
-    k = len(z)
-    pairs = list(combinations_with_replacement(range(k), 2))
-    zdf = rows.select(*[zc.alias(f"z{i}") for i, zc in enumerate(z)])
-    sums = zdf.agg(*[F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"p{i}_{j}") for i, j in pairs]).first()
-    m = np.zeros((k, k))
-    for i, j in pairs:
-        m[i, j] = m[j, i] = sums[f"p{i}_{j}"] / n
+    z = {c: (F.col(c) - means[c]) / sds[c] for c in numeric}
+    # sums of the standardised numbers by level, all categorical columns in one pass
+    stacked = rows.select(*[z[c].alias(c) for c in numeric], F.inline(F.array(
+        *[F.struct(F.lit(c).alias("var"), F.col(c).alias("level")) for c in categorical])))
+    levels = sorted(stacked.groupBy("var", "level").agg(F.count(F.lit(1)).alias("c"), *[F.sum(c).alias(f"z_{c}") for c in numeric])
+                    .collect(), key=lambda r: (categorical.index(r["var"]), r["level"]))
+    props = {(r["var"], r["level"]): r["c"] / n for r in levels}
+    cols: list[tuple[str, str, str | None]] = [(c, "num", None) for c in numeric] + [(r["var"], "cat", r["level"]) for r in levels]
+    at = {(var, level): i for i, (var, _, level) in enumerate(cols)}
+    m = np.zeros((len(cols), len(cols)))
+    pairs = list(combinations_with_replacement(numeric, 2))
+    products = rows.agg(*[F.avg(z[a] * z[b]).alias(f"p{i}") for i, (a, b) in enumerate(pairs)]).first()
+    for i, (a, b) in enumerate(pairs):
+        m[at[a, None], at[b, None]] = m[at[b, None], at[a, None]] = products[f"p{i}"]
+    for r in levels:
+        for c in numeric:
+            i, j = at[c, None], at[r["var"], r["level"]]
+            m[i, j] = m[j, i] = r[f"z_{c}"] / n / np.sqrt(props[r["var"], r["level"]])
+    for (va, la), p in props.items():                       # levels of one variable exclude one another
+        for (vb, lb), q in props.items():
+            if va == vb:
+                m[at[va, la], at[vb, lb]] = 1.0 - p if la == lb else -np.sqrt(p * q)
+    cells = [F.struct(F.lit(a).alias("va"), F.col(a).alias("la"), F.lit(b).alias("vb"), F.col(b).alias("lb"))
+             for a, b in combinations(categorical, 2)]
+    for va, vb in combinations(categorical, 2):             # absent cells count zero
+        for la in [lv for v, lv in props if v == va]:
+            for lb in [lv for v, lv in props if v == vb]:
+                i, j = at[va, la], at[vb, lb]
+                m[i, j] = m[j, i] = -np.sqrt(props[va, la] * props[vb, lb])
+    if cells:
+        for r in rows.select(F.inline(F.array(*cells))).groupBy("va", "la", "vb", "lb").count().toLocalIterator():
+            p = np.sqrt(props[r["va"], r["la"]] * props[r["vb"], r["lb"]])
+            i, j = at[r["va"], r["la"]], at[r["vb"], r["lb"]]
+            m[i, j] = m[j, i] = r["count"] / n / p - p
     vals, vecs = np.linalg.eigh(m)
     order = np.argsort(vals)[::-1]
-    model.eigenvalues = np.clip(vals[order], 0.0, None)
-    model.vectors = vecs[:, order]
-    return model
+    return FamdModel(cols, means, sds, props, np.clip(vals[order], 0.0, None), vecs[:, order])
 
 
 def eigen_table(spark: SparkSession, model: FamdModel, ncp: int = 5) -> DataFrame:
