@@ -14,6 +14,8 @@ differing sections, and ``add_likeness`` compares the pieces.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,16 +77,17 @@ def differing_paragraphs(a: Column, b: Column) -> Column:
     return F.transform(F.array_except(paragraphs, other), lambda p: F.substring(p, 1, 10))
 
 
-def with_next(df: DataFrame, id_col: str, columns: list[str], bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def with_next(df: DataFrame, id_col: str, columns: list[str], bucket_rows: int = BUCKET_ROWS,
+              derive: Callable[[DataFrame], DataFrame] = lambda d: d, derived: tuple[str, ...] = ()) -> DataFrame:
     """Adds ``next_<c>`` for each column: its value in the row that follows in descending order of the id,
-    for the last row that of the first.
+    for the last row that of the first. ``derive`` adds the ``derived`` columns, which are followed as well.
 
     Rows are grouped by ranges of ids (equally wide, about ``bucket_rows`` rows if ids are dense), each ordered in
-    its own group: one shuffle and no single task for all rows. Only a group's first row is looked up
-    by the group before it, through a narrow table of one (group, id) a group. Null ids come last; rows
-    that share an id are ordered by their columns.
+    its own group: one shuffle and no single task for all rows. Only each group's first row goes to the
+    group before it: tasks hand on the first rows they hold, and the groups' order comes from a table of one
+    number a group. Null ids come last; rows that share an id are ordered by their columns.
     """
-    ident = F.col(id_col)
+    ident, followed = F.col(id_col), [*columns, *derived]
     stats = df.agg(F.min(ident).alias("lo"), F.max(ident).alias("hi"), F.count(F.lit(1)).alias("n")).first()
     lo, hi, n = stats["lo"], stats["hi"], stats["n"]
     width = 1 if lo is None else max(1, (hi - lo + 1) * bucket_rows // max(n, 1))
@@ -92,22 +95,20 @@ def with_next(df: DataFrame, id_col: str, columns: list[str], bucket_rows: int =
     bucket = F.coalesce(F.floor((ident - F.lit(base)) / F.lit(width)), F.lit(-1)).cast("long")
     tagged = df.withColumn("_bucket", bucket)
     order = Window.partitionBy("_bucket").orderBy(ident.desc_nulls_last(), *columns)
-    here = tagged.select("*", F.row_number().over(order).alias("_rank"), F.count(F.lit(1)).over(
-        Window.partitionBy("_bucket")).alias("_size"), *[F.lead(c).over(order).alias(f"_lead_{c}") for c in columns])
+    here = derive(tagged).select("*", F.row_number().over(order).alias("_rank"), F.count(F.lit(1)).over(
+        Window.partitionBy("_bucket")).alias("_size"), *[F.lead(c).over(order).alias(f"_lead_{c}") for c in followed])
+    first = derive(tagged.withColumn("_r", F.row_number().over(order)).where("_r = 1")).select(
+        F.col("_bucket").alias("_next"), F.struct(*followed).alias("_ahead"))
     # the group whose first row follows a group's last: the next lower one that has rows, for the lowest the highest
-    groups = df.select(bucket.alias("_bucket"), ident.alias("_first")).groupBy("_bucket").agg(F.max("_first").alias("_first"))
+    groups = df.select(bucket.alias("_bucket")).distinct()
     down = Window.orderBy(F.col("_bucket").desc())
-    heads = groups.select("_bucket", F.coalesce(F.lead("_bucket").over(down), F.max("_bucket").over(
-        Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("_next"))
-    firsts = (tagged.join(groups.select(F.col("_bucket").alias("_g"), "_first"),
-                          (F.col("_bucket") == F.col("_g")) & ident.eqNullSafe(F.col("_first")))
-                    .groupBy("_bucket").agg(F.min(F.struct(*columns)).alias("_row")))
-    ahead = (heads.join(firsts.withColumnRenamed("_bucket", "_next"), "_next")
-                  .select(F.col("_bucket").alias("_b"), F.lit(True).alias("_edge"), F.col("_row").alias("_ahead")))
+    every = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    heads = groups.select(F.col("_bucket").alias("_b"), F.coalesce(F.lead("_bucket").over(down), F.max("_bucket").over(every)
+                                                                   ).alias("_next"))
+    joined = here.join(heads.join(first, "_next").select("_b", "_ahead"), F.col("_bucket") == F.col("_b"), "left")
     at_end = F.col("_rank") == F.col("_size")
-    joined = here.join(ahead, F.col("_bucket") == F.col("_b"), "left")
-    return joined.select(*df.columns, *[F.when(at_end, F.col(f"_ahead.{c}")).otherwise(F.col(f"_lead_{c}"))
-                                        .alias(f"next_{c}") for c in columns])
+    return joined.select(*df.columns, *derived, *[F.when(at_end, F.col(f"_ahead.{c}")).otherwise(F.col(f"_lead_{c}"))
+                                                  .alias(f"next_{c}") for c in followed])
 
 
 def edited_text(text: Column, following: Column) -> Column:
@@ -125,8 +126,8 @@ def document_fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str =
     other columns are not read.
     """
     docs = df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    docs = add_fingerprint(docs, F.col("text"), "fingerprint")
-    rows = with_next(docs, "id", ["text", "fingerprint"])
+    rows = with_next(docs, "id", ["text"], derive=lambda d: add_fingerprint(d, F.col("text"), "fingerprint"),
+                     derived=("fingerprint",))
     rows = rows.withColumn("edited", edited_text(F.col("text"), F.col("next_text")))
     rows = rows.select("id", F.length("text").cast("long").alias("n_chars"), "edited", "fingerprint", "next_fingerprint",
                        F.sha2("edited", 256).alias("edited_sha256"))
