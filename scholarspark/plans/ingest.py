@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scholarspark.operators.records import apply_lookups
+from scholarspark.operators.records import apply_lookups, normalise_dates, version_number
 from scholarspark.plans.common import raw_preprints, tidy
 from scholarspark.plans.records import lookup_responses, stripped_target
+from scholarspark.schemas import PAGE
 from scholarspark.session import reliable_checkpoint, shared_path
 from scholarspark.sources.lookups import lookup_table, read_citation_responses, read_metadata_responses
 from scholarspark.sources.pages import land_pages, page_completeness, page_records, read_pages, to_pages
@@ -99,7 +100,28 @@ def stream_latest(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFra
     return tidy(view.select("user_id", "event_id", "event_type", "value"))
 
 
+def stream_pages(spark: SparkSession, sf_dir: str, batches: int = 4) -> DataFrame:
+    """Records landed as API pages (JSON), consumed by the streaming job page file by page file; the latest
+    version of each record."""
+    landing, table = shared_path(spark, "page-landing"), shared_path(spark, "page-latest")
+    pages = to_pages(raw_preprints(spark, sf_dir), F.expr(f"_id div {PAGE_SIZE}"), RECORD_COLS)
+    land_pages(pages.repartition(max(batches, int(spark.conf.get("spark.sql.shuffle.partitions"))), "page_no"), landing)
+    landed = len(spark.read.text(landing).inputFiles())        # file listing only
+
+    def records(pages: DataFrame) -> DataFrame:
+        return normalise_dates(page_records(pages)).withColumn("_version", version_number("version"))
+
+    order = ["_version", "date"]
+    q = keep_latest_stream(spark, landing, PAGE, "doi", order, table, shared_path(spark, "page-ckpt"), fmt="json",
+                           files_per_trigger=max(1, -(-landed // batches)), prepare=records)
+    q.awaitTermination()
+    view = current_view(spark, table, "doi", order)
+    return tidy(view.select("doi", "version", "date", "published", "publiDate",
+                            F.when(F.col("citations").isNotNull(), F.size("citations")).alias("n_citations")))
+
+
 QUERIES = {
+    "stream_pages": stream_pages,
     "json_props": json_props,
     "json_pages": json_pages,
     "page_completeness": page_completeness_q,

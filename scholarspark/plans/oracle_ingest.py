@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from scholarspark.plans.ingest import PAGE_SIZE
-from scholarspark.plans.oracle import DERIVED, PP, PREPRINTS, RECORDS, STRIPPED, with_ctes
+from scholarspark.plans.oracle import DERIVED, PP, PP_LATEST, PREPRINTS, RECORDS, STRIPPED, with_ctes
 
 INGEST = {
     "json_props": "SELECT event_id, json_extract(props, '$.k')::BIGINT AS k FROM events",
@@ -16,6 +16,10 @@ SELECT _id // {PAGE_SIZE} AS page_no, doi, version, server, published, publiDate
 SELECT _id // {PAGE_SIZE} AS page_no, count(*) AS declared_total, count(*) AS declared_new, count(*) AS loaded
 FROM preprints GROUP BY 1""",
 
+    "stream_pages": PP_LATEST + """
+SELECT doi, version, date, published, publiDate, CASE WHEN citations IS NOT NULL THEN len(citations) END AS n_citations
+FROM latest""",
+
     "landed_lookups": RECORDS["enrich_lookup"],
 
     "stream_latest": """

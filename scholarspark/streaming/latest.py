@@ -1,39 +1,41 @@
 """Incremental landing with keep-latest semantics (Structured Streaming).
 
-Files dropped into a landing folder are read exactly once (file source + checkpoint).
-A streaming aggregation keeps, per key, the latest row (``max_by`` over the ordering
-columns): its state is one row per key. In ``update`` mode each micro-batch emits only
-the keys that changed, and ``foreachBatch`` appends them with the batch id to a table
-folder; the current view is the latest row per key over that append-only log. A retried
-batch re-appends identical rows, which the view absorbs, so the sink is idempotent.
+Files dropped into a landing folder are read exactly once (file source + checkpoint). Each
+micro-batch is reduced to its latest row per key (``max_by`` over the ordering columns) in
+``foreachBatch`` and appended with the batch id to a table folder; the current view is the latest
+row per key over that append-only log, which ``compact`` rewrites. The job keeps no state of its own,
+whatever the number of keys. A retried batch re-appends identical rows, which the view absorbs,
+so the sink is idempotent.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
 def keep_latest_stream(spark: SparkSession, landing: str, schema: StructType, key: str, order_cols: list[str],
-                       table_dir: str, checkpoint: str, fmt: str = "parquet", files_per_trigger: int | None = None):
+                       table_dir: str, checkpoint: str, fmt: str = "parquet", files_per_trigger: int | None = None,
+                       prepare: Callable[[DataFrame], DataFrame] = lambda df: df):
     """Start the job and run it over everything landed so far (``availableNow``); returns the query.
 
-    ``files_per_trigger`` bounds a micro-batch (the source default when None).
+    ``files_per_trigger`` bounds a micro-batch (the source default when None); ``prepare`` turns
+    landed rows into rows with the key (landed API pages into records, say).
     """
     reader = spark.readStream.schema(schema).format(fmt)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    src = reader.load(landing)
-    cols = [c for c in schema.fieldNames()]
-    latest = (src.groupBy(key)
-              .agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(*[F.col(c) for c in order_cols])).alias("r"))
-              .select("r.*"))
+    rows = prepare(reader.load(landing))
 
     def append_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(table_dir)
+        latest = batch.groupBy(key).agg(F.max_by(F.struct(*[F.col(c) for c in batch.columns]),
+                                                 F.struct(*[F.col(c) for c in order_cols])).alias("r")).select("r.*")
+        latest.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(table_dir)
 
-    return (latest.writeStream.outputMode("update").foreachBatch(append_batch)
+    return (rows.writeStream.foreachBatch(append_batch)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
