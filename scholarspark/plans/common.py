@@ -66,8 +66,17 @@ def latest_preprints(spark: SparkSession, sf_dir: str, columns: list[str] | None
 DERIVED_INPUTS = ["_id", "server", "category", "title", "abstract", "authors", "published", "publiDate", "citations"]
 
 
-def derived_preprints(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
-    return derive_fields(latest_preprints(spark, sf_dir, columns or DERIVED_INPUTS))
+#: Columns that only feed derived fields, unless a query returns them.
+WIDE = ("title", "abstract", "authors", "citations")
+
+
+def derived_preprints(spark: SparkSession, sf_dir: str, columns: list[str] | None = None,
+                      keep: tuple[str, ...] = ()) -> DataFrame:
+    """Latest record per DOI with its derived fields. Fields are derived row by row *before* the
+    de-duplication, and the wide inputs (text, citation lists) dropped unless in ``keep``, so that only
+    numbers and short strings travel through its shuffle."""
+    df = normalise_dates(preprints(spark, sf_dir)).select(*dict.fromkeys(ORDER_COLS + list(columns or DERIVED_INPUTS)))
+    return keep_latest(derive_fields(df).drop(*[c for c in WIDE if c not in keep]))
 
 
 RECODE_INPUTS = ["_id", "server", "category", "published", "publiDate", "title", "abstract", "authors"]
@@ -75,7 +84,7 @@ RECODE_INPUTS = ["_id", "server", "category", "published", "publiDate", "title",
 
 def recoded_export(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
     """The export frame with the recoded analysis columns (category group, binary status, month)."""
-    df = export_filter(derive_fields(latest_preprints(spark, sf_dir, columns or RECODE_INPUTS)))
+    df = export_filter(derived_preprints(spark, sf_dir, columns or RECODE_INPUTS))
     return df.withColumns({
         "category_grouped": category_group("category"),
         "publiStatus_binary": binary_status("publiStatus"),

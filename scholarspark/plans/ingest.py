@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scholarspark.operators.records import apply_lookups, normalise_dates, version_number
-from scholarspark.plans.common import raw_preprints, tidy
+from scholarspark.plans.common import WIDE, raw_preprints, tidy
 from scholarspark.plans.records import lookup_responses, stripped_target
 from scholarspark.schemas import PAGE
 from scholarspark.session import reliable_checkpoint, shared_path
@@ -72,7 +72,7 @@ def landed_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     land_pages(to_pages(stripped_target(spark, sf_dir), F.expr(f"_id div {PAGE_SIZE}"), RECORD_COLS), pages_path)
     records = reliable_checkpoint(page_records(read_pages(spark, pages_path)).select(*RECORD_COLS), "target")
     enriched = apply_lookups(records, _land_lookups(spark, sf_dir)).drop("enriched")
-    return tidy(export_table(derive_fields(keep_latest(enriched))))
+    return tidy(export_table(keep_latest(derive_fields(enriched).drop(*WIDE))))
 
 
 EVENT_SCHEMA = T.StructType([

@@ -24,7 +24,7 @@ def hash_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ml_frame(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
     """Prepared records + the vector of their own title and abstract (stored by DOI) + label + split."""
-    prep = reliable_checkpoint(prepare(derived_preprints(spark, sf_dir)), "prepared")
+    prep = reliable_checkpoint(prepare(derived_preprints(spark, sf_dir, keep=("title", "abstract"))), "prepared")
     vectors = reliable_checkpoint(embed_text(prep, "doi", ["title", "abstract"]), "vectors")
     df = attach_vectors(prep, vectors, F.col("doi"), "doi", "embedding", DEFAULT_DIM)
     df = classification_frame(df) if kind == "classification" else regression_frame(df)
@@ -76,7 +76,7 @@ def scored_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = derived_preprints(spark, sf_dir).where(F.col("cit1year").isNotNull())
+    d = derived_preprints(spark, sf_dir, ["published", "publiDate", "citations"]).where(F.col("cit1year").isNotNull())
     base = split_by_key(d, "doi").select("doi", F.col("split").alias("Dataset"),
                                          F.col("cit1year").cast("double").alias("cit1year"), "citTotal", "cit2years")
     rules = F.array(

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scholarspark.functions.recode import category_group, ln_or_null
-from scholarspark.functions.text import merged_text
 from scholarspark.operators.profile import frequencies
 from scholarspark.operators.records import (apply_lookups, export_filter, export_table, needs_enrichment,
                                             normalise_dates, unique_violations)
@@ -68,8 +67,9 @@ def stored_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def derived_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = derived_preprints(spark, sf_dir, ["title", "abstract", "authors", "published", "publiDate"])
+    # the length of the merged text: both and the blank between them, NULL if either is
     return tidy(df.select("doi", "titleLength", "abstractLength", "numberAuthors",
-                          F.length(merged_text("title", "abstract")).alias("mergedLength")))
+                          (F.col("titleLength") + F.col("abstractLength") + 1).alias("mergedLength")))
 
 
 def publication_status(spark: SparkSession, sf_dir: str) -> DataFrame:

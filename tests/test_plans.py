@@ -45,3 +45,12 @@ def test_chi_squared_reads_its_source_once(spark):
 def test_export_filter_is_pushed_to_the_stored_table(spark):
     p = plan(Q["stored_export"](spark, SF001))
     assert "PushedFilters: [Or(EqualNullSafe(published,NA),Not(EqualNullSafe(publiStatus,publi_nodate)))]" in p
+
+
+def test_text_does_not_travel_through_keep_latest(spark):
+    """Lengths, status and counts are derived before the de-duplication; its shuffle carries no text."""
+    from scholarspark.plans.registry import QUERIES
+    for name in ("export_table", "log_features", "metrics_reg"):
+        plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        aggregates = [line for line in plan.splitlines() if "max_by(" in line]
+        assert aggregates and not any("abstract#" in line or "title#" in line for line in aggregates), name
