@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 # Search analysis: lower-case, every run of non letter/digit characters is a token break.
 SEARCH_BREAK = r"[^\p{L}\p{N}]+"
 # Token clean-up of the NLP normaliser: keep ASCII letters and digits only.
-ASCII_STRIP = r"[^a-zA-Z0-9]"
 ASCII_STRIP_KEEP_BLANK = r"[^a-zA-Z0-9 ]"
 # Sentence boundary: a run of . ! ? followed by white space.
 SENTENCE_BREAK = r"[.!?]+\s+"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from scholarspark.functions.dates import days_between, month_label
 from scholarspark.functions.recode import category_group, ln_or_null
 from scholarspark.operators.profile import frequencies
 from scholarspark.operators.records import (apply_lookups, export_filter, export_table, needs_enrichment,
@@ -76,7 +77,7 @@ def publication_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = derived_preprints(spark, sf_dir, ["published", "publiDate"])
     return tidy(df.select("doi", F.col("dateConverted").alias("date_converted"),
                           F.col("publiDateConverted").alias("publi_date_converted"),
-                          F.datediff("publiDateConverted", "dateConverted").alias("days_to_publication"),
+                          days_between("dateConverted", "publiDateConverted").alias("days_to_publication"),
                           "publiStatus"))
 
 
@@ -157,7 +158,7 @@ def category_regroup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def month_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders", ["o_orderdate"])
     d = F.to_date("o_orderdate")
-    return tidy(o.groupBy(F.month(d).alias("month_num"), F.date_format(d, "MMM").alias("month_label"))
+    return tidy(o.groupBy(F.month(d).alias("month_num"), month_label(d).alias("month_label"))
                 .agg(F.count(F.lit(1)).alias("n_orders")))
 
 

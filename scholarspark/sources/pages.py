@@ -21,11 +21,6 @@ def read_pages(spark: SparkSession, path: str, extra: StructType | None = None)
     return spark.read.schema(schema).json(path).withColumn("source_file", F.input_file_name())
 
 
-def parse_pages(text: Column) -> Column:
-    """Parse page JSON held in a string column (same schema as the file reader)."""
-    return F.from_json(text, PAGE)
-
-
 def _meta_int(pages: Column, field: str) -> Column:
     return F.coalesce(F.get(pages, 0)[field].try_cast("int"), F.lit(0))
 

@@ -22,7 +22,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
 def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """CSV with a header and a declared schema (no inference pass over the data)."""
     return spark.read.schema(schema).option("header", "true").option("mode", "PERMISSIVE").csv(path)
-
-
-def table_exists(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name)
