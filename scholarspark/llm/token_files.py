@@ -27,8 +27,9 @@ from scholarspark.llm.common import spaced_chunks, worker_state
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-CHUNK_CACHE = 300_000
-PIECE_CACHE = 250_000
+#: Entries a worker keeps in its tables of encoded chunks and pieces (about 200 bytes each).
+CHUNK_CACHE = 450_000
+PIECE_CACHE = 300_000
 ROWS = 512
 
 #: Options of the Parquet writer: format v2 (delta encodings), dictionary of up to 1 MB, row groups of 32 MB,
