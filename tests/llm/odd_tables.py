@@ -1,3 +1,5 @@
+"""Small tables that hold every awkward case, as fixtures."""
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -18,7 +20,3 @@ def odd_docs(spark):
 @pytest.fixture(scope="session")
 def no_docs(odd_docs):
     return odd_docs.limit(0)
-
-
-def texts_by_id(df):
-    return sorted(((r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()), key=repr)

@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from odd_tables import no_docs, odd_docs  # noqa: F401
 from scholarspark.llm import fingerprints, langid, sharding, toxicity
 
 

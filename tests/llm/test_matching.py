@@ -7,6 +7,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from odd_tables import no_docs, odd_docs  # noqa: F401
 from scholarspark.llm import components, decontaminate, lsh_forest, suffix_dedup
 
 

@@ -11,6 +11,7 @@ import pytest
 import tiktoken
 from tokenizers import Tokenizer
 
+from odd_tables import no_docs, odd_docs  # noqa: F401
 from scholarspark.llm import bpe, token_counts, token_files
 from scholarspark.session import shared_path
 
