@@ -17,7 +17,7 @@ from scholarspark.operators.ranks import exact_quantiles, mid_ranks, null_safe_j
 from scholarspark.session import reliable_checkpoint
 
 
-def box_stats(df: DataFrame, value: str, group: str, coef: float = 1.5, approx: bool = False,
+def box_stats(df: DataFrame, value: str, group: str | list[str], coef: float = 1.5, approx: bool = False,
               accuracy: int = 10000) -> DataFrame:
     """Five numbers, mean, IQR, whiskers (most extreme values within coef x IQR) and outlier count.
 
@@ -26,31 +26,38 @@ def box_stats(df: DataFrame, value: str, group: str, coef: float = 1.5, approx:
     ``percentile_approx`` (a mergeable sketch of bounded size per group, rank error about 1/accuracy)
     with the moments in one pass, whiskers from a second pass. A NULL group is a group.
     """
+    groups = [group] if isinstance(group, str) else list(group)
     q1, q2, q3 = (quantile_name(p) for p in (0.25, 0.5, 0.75))
     v = F.col(value)
     if approx:
-        rows, c = df.where(v.isNotNull()).select(group, value), F.lit(1)
-        qs = (rows.groupBy(group)
+        rows, c = df.where(v.isNotNull()).select(*groups, value), F.lit(1)
+        qs = (rows.groupBy(*groups)
               .agg(F.count(F.lit(1)).alias("n"), F.percentile_approx(value, [0.25, 0.5, 0.75], accuracy).alias("_q"),
                    F.min(value).alias("min"), F.max(value).alias("max"), F.avg(value).alias("mean"))
-              .select(group, "n", "min", "max", "mean", *[F.get("_q", i).alias(x) for i, x in enumerate((q1, q2, q3))]))
+              .select(*groups, "n", "min", "max", "mean", *[F.get("_q", i).alias(x) for i, x in enumerate((q1, q2, q3))]))
     else:
-        rows, c = reliable_checkpoint(value_counts(df, value, [group])), F.col("c")
-        moments = rows.groupBy(group).agg(F.min(value).alias("min"), F.max(value).alias("max"),
+        rows, c = reliable_checkpoint(value_counts(df, value, groups)), F.col("c")
+        moments = rows.groupBy(*groups).agg(F.min(value).alias("min"), F.max(value).alias("max"),
                                           (F.sum(v * c) / F.sum(c)).alias("mean"))
-        qs = null_safe_join(exact_quantiles(None, value, [0.25, 0.5, 0.75], [group], counts=rows), moments, [group])
-    fences = qs.select(group, (F.col(q1) - coef * (F.col(q3) - F.col(q1))).alias("lo_f"),
+        qs = null_safe_join(exact_quantiles(None, value, [0.25, 0.5, 0.75], groups, counts=rows), moments, groups)
+    fences = qs.select(*groups, (F.col(q1) - coef * (F.col(q3) - F.col(q1))).alias("lo_f"),
                        (F.col(q3) + coef * (F.col(q3) - F.col(q1))).alias("hi_f"))
-    whisk = null_safe_join(rows, fences, [group]).groupBy(group).agg(
+    whisk = null_safe_join(rows, fences, groups).groupBy(*groups).agg(
         F.min(F.when(v >= F.col("lo_f"), v)).alias("whisker_low"),
         F.max(F.when(v <= F.col("hi_f"), v)).alias("whisker_high"),
         F.sum(F.when((v < F.col("lo_f")) | (v > F.col("hi_f")), c).otherwise(0)).alias("n_outliers"))
-    return (null_safe_join(qs, whisk, [group])
-            .select(group, "n", "min", F.col(q1).alias("q1"), F.col(q2).alias("median"), F.col(q3).alias("q3"),
+    return (null_safe_join(qs, whisk, groups)
+            .select(*groups, "n", "min", F.col(q1).alias("q1"), F.col(q2).alias("median"), F.col(q3).alias("q3"),
                     "max", "mean", (F.col(q3) - F.col(q1)).alias("iqr"), "whisker_low", "whisker_high",
                     "n_outliers"))
 
 
+def box_many(df: DataFrame, values: list[str], group_cols: list[str], **options) -> DataFrame:
+    """Box statistics for every (numeric, categorical) combination: stacked in long form with a test key, so all
+    share one reduction and one ranking. Levels are text; NULL levels are left out, as the other tests do."""
+    return box_stats(_melt(df, values, group_cols), "value", ["test", "grp"], **options)
+
+
 def welch_anova(df: DataFrame, value: str, group: str) -> DataFrame:
     """Welch's one-way ANOVA: F, df1, df2 from per-group (n, mean, variance), one pass."""
     return welch_many(df, [value], [group]).drop("test")

@@ -177,3 +177,8 @@ p AS (SELECT test, sum(w * (m - mw) ^ 2) AS A, sum((1 - w / wsum) ^ 2 / (n - 1))
       FROM w JOIN tt USING (test) GROUP BY test)
 SELECT test, round((A / (k - 1)) / (1 + 2 * (k - 2) / (k * k - 1) * B), 6) AS f_stat, (k - 1)::DOUBLE AS df1,
   round((k * k - 1) / (3 * B), 6) AS df2 FROM p"""
+
+_BOX = STATS["box_stats"].replace("WITH v AS (SELECT event_type, value FROM events WHERE value IS NOT NULL),", "")
+STATS["export_box"] = AF_PREFIX + _long(EXPORT_NUMERIC, EXPORT_CATEGORICAL) + "," + (
+    _BOX.replace("event_type", "test, grp").replace("f.test, grp", "f.test, f.grp").replace("FROM v ", "FROM long ")
+    .replace("JOIN v USING", "JOIN long USING"))

@@ -184,7 +184,13 @@ def export_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(stats.corr_matrix(analysis_frame(spark, sf_dir), EXPORT_CORR))
 
 
+def export_box(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Box statistics of the project's 16 numeric x categorical combinations."""
+    return tidy(stats.box_many(analysis_frame(spark, sf_dir), EXPORT_NUMERIC, EXPORT_CATEGORICAL))
+
+
 QUERIES = {
+    "export_box": export_box,
     "box_stats": box_stats,
     "box_stats_approx": box_stats_approx,
     "welch_anova": welch_anova,
