@@ -68,6 +68,18 @@ def indexed_phrase_query(index: DataFrame, field: str, phrases: list[str]) -> Da
     return index.withColumn("n_clauses_matched", n).where(F.col("n_clauses_matched") >= 1)
 
 
+def indexed_fields_query(index: DataFrame, fields: list[str], phrases: list[str]) -> DataFrame:
+    """Boolean ``should`` over several fields: a clause matches if its phrase is in any of them."""
+    def clause(phrase: str) -> Column:
+        hit = F.lit(False)
+        for field in fields:
+            hit = hit | F.coalesce(F.col(f"{field}_norm").contains(padded(F.lit(phrase))), F.lit(False))
+        return hit.cast("int")
+
+    n = sum((clause(p) for p in phrases), F.lit(0))
+    return index.withColumn("n_clauses_matched", n).where(F.col("n_clauses_matched") >= 1)
+
+
 def _doc_grams(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     # tokens are projected once; the lambda then indexes the materialised array
     t = docs.select(F.col(id_col).alias("doc_id"), tokens(F.col(text_col)).alias("toks"))

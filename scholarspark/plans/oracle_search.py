@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from scholarspark.plans.search import BM25_QUERY, BOOL_PHRASES, TOP_K
+from scholarspark.plans.oracle import PP_LATEST
+from scholarspark.plans.search import BM25_QUERY, BOOL_PHRASES, THEME, TOP_K
 
 
 def norm(x: str) -> str:
@@ -24,7 +25,14 @@ def _q(s: str) -> str:
 BOOL_SUM = " + ".join(f"cast(contains({pad('text')}, {pad(_q(p))}) AS BIGINT)" for p in BOOL_PHRASES)
 BOOL_HITS = f"hits AS (SELECT doc_id, {BOOL_SUM} AS n_clauses_matched FROM documents)"
 
+THEME_SUM = " + ".join(f"cast(contains({pad('title')}, {pad(_q(p))}) OR contains({pad('abstract')}, {pad(_q(p))}) AS BIGINT)"
+                       for p in THEME)
+
 SEARCH = {
+    "thematic_subset": PP_LATEST + f""",
+hits AS (SELECT doi, version, category, published, {THEME_SUM} AS n_clauses_matched FROM latest)
+SELECT * FROM hits WHERE n_clauses_matched >= 1""",
+
     "phrase_search": f"""
 WITH d AS (SELECT doc_id, {pad('text')} AS p, {toks('text')} AS toks FROM documents),
 b AS (SELECT item_id, {pad('text')} AS p, {toks('text')} AS ptoks FROM benchmark WHERE {norm('text')} <> ''),

@@ -60,7 +60,28 @@ def subset_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(subset_by_hits(labels, hits, "doc_id"))
 
 
+# Text fields of a record that the index holds, and a thematic query on two of them.
+RECORD_FIELDS = ["title", "abstract", "authors", "category", "server", "published"]
+THEME = ["1-urgent", "customer 12 é", "order 7", "genetic engineering"]
+
+
+def thematic_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All versions of the records indexed by DOI (six fields, the last version wins), the thematic query run on title
+    and abstract, and its hits merged by DOI with the latest records into a table of their own."""
+    from scholarspark.operators.records import version_number
+    from scholarspark.operators.search import build_index, indexed_fields_query
+    from scholarspark.plans.common import latest_preprints, raw_preprints
+    from scholarspark.session import reliable_checkpoint, shared_path
+    raw = raw_preprints(spark, sf_dir).withColumn("_version", version_number("version"))
+    index = build_index(raw, "doi", RECORD_FIELDS, shared_path(spark, "record-index"), order_col="_version")
+    hits = indexed_fields_query(index, ["title", "abstract"], THEME).select(F.col("doc_id").alias("doi"), "n_clauses_matched")
+    latest = latest_preprints(spark, sf_dir, ["category", "published"])
+    return tidy(reliable_checkpoint(latest.join(hits, "doi"), "subset").select(
+        "doi", "version", "category", "published", "n_clauses_matched"))
+
+
 QUERIES = {
+    "thematic_subset": thematic_subset,
     "phrase_search": phrase_search,
     "bool_should": bool_should,
     "indexed_search": indexed_search,
