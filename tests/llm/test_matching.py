@@ -40,6 +40,23 @@ def test_contamination(contaminated):
     assert len(rows) == 200 and len(truth - found) <= 1 and not found - truth
 
 
+def test_contamination_in_a_third_of_the_rows(spark):
+    rng = random.Random(6)
+    pool = [a + b + c for a in words(rng, 300) for b in "ka lo mi ne".split() for c in "st rd lf gn".split()]
+    items = [(i, " ".join(rng.choices(pool, k=45))) for i in range(20)]
+    changed = set(rng.sample(range(45), 9))
+    paraphrase = [f"other{i}" if i in changed else w for i, w in enumerate(items[7][1].split())]
+    rows = []
+    for d in range(300):
+        text = rng.choices(pool, k=rng.randint(50, 200))
+        at = rng.randint(0, len(text))
+        rows.append((d, " ".join(text[:at] + (paraphrase if d % 3 == 0 else []) + text[at:])))
+    marked = decontaminate.mark_contamination(spark.createDataFrame(rows, "doc_id long, text string"),
+                                              spark.createDataFrame(items, "item_id long, text string"))
+    found = {(r["doc_id"], h["item_id"]) for r in marked.collect() for h in r["hits"]}
+    assert found == {(d, 7) for d in range(0, 300, 3)}
+
+
 def test_common_subsequence():
     rng = random.Random(2)
     for _ in range(300):
