@@ -57,6 +57,21 @@ def test_contamination_in_a_third_of_the_rows(spark):
     assert found == {(d, 7) for d in range(0, 300, 3)}
 
 
+def test_verbatim_items_of_every_length(spark):
+    rng = random.Random(8)
+    pool = [a + b + c for a in words(rng, 300) for b in "ka lo mi ne".split() for c in "st rd lf gn".split()]
+    items = [(i, " ".join(rng.choices(pool, k=1 + i % 20))) for i in range(100)]
+    rows = []
+    for d in range(200):
+        text = rng.choices(pool, k=rng.randint(50, 200))
+        at = rng.randint(0, len(text))
+        rows.append((d, " ".join(text[:at] + items[d % 100][1].title().split() + text[at:])))
+    marked = decontaminate.mark_contamination(spark.createDataFrame(rows, "doc_id long, text string"),
+                                              spark.createDataFrame(items, "item_id long, text string"))
+    found = {(r["doc_id"], h["item_id"]) for r in marked.collect() for h in r["hits"]}
+    assert not {(d, d % 100) for d in range(200)} - found
+
+
 def test_common_subsequence():
     rng = random.Random(2)
     for _ in range(300):
