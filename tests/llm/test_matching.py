@@ -224,3 +224,16 @@ def test_pipeline_stages(spark):
     want = brute_spans(sorted(before.items()), corpus_pipeline.PASSAGE_BYTES)
     assert Counter((r["doc_id"], r["text"]) for r in cut.collect()) == Counter((i, k.decode("utf-8", "ignore")) for i, k, _ in want.elements())
     assert corpus_pipeline.run(spark, sf).columns == ["doc_id", "n_tokens", "ids"]
+
+
+def test_pipeline_decodes_what_it_encodes(spark, odd_docs, monkeypatch):
+    import corpus_pipeline
+    rows = corpus_pipeline.encode(spark, odd_docs, "").collect()
+    path = corpus_pipeline.public_tokenizers.path("byte_bpe_50k.tiktoken")
+    plain = corpus_pipeline.bpe.encode_documents(odd_docs, path, corpus_pipeline.public_tokenizers.PATTERN)
+    assert Counter(map(tuple, rows)) == Counter(map(tuple, plain.collect()))
+    decode = corpus_pipeline.bpe.decode_documents
+    monkeypatch.setattr(corpus_pipeline.bpe, "decode_documents",
+                        lambda df, path: decode(df, path).withColumn("decoded", F.concat("decoded", F.lit("x"))))
+    with pytest.raises(Exception, match="differs after encoding"):
+        corpus_pipeline.encode(spark, odd_docs, "").collect()
