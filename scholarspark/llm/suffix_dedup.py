@@ -6,8 +6,8 @@ Sampled suffixes. In every window of ``length`` bytes the ``GRAM``-byte gram of
 anchor; equal windows have equal anchors at equal offsets. So it is enough to index the suffixes at anchors, about
 one in ``length / 2`` bytes: an entry is (key of the gram, text, first and last window it anchors).
 
-Index family. Texts come in batches. A batch gets its suffix array: its entries sorted by key within buckets of the
-key (a bucketed table, so scans of two of them merge without a shuffle). It is scanned against every existing level for
+Index family. Texts come in batches. In place of a suffix array a batch gets its entries sorted by key within buckets of
+the key (a bucketed table, so scans of two of them merge without a shuffle). It is scanned against every existing level for
 common keys, then becomes a level; two levels of equal size are merged into one of twice the size, and so on,
 so each entry is rewritten log2(batches) times.
 
