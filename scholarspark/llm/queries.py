@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholarspark.llm import bpe, decontaminate, fingerprints, langid, lsh_forest, sharding, suffix_dedup, token_counts, token_files, toxicity
-from scholarspark.llm.common import table
+from scholarspark.llm import bpe, decontaminate, fingerprints, langid, lsh_forest, sharding, suffix_dedup, token_counts, token_files, toxicity, url_filter
+from scholarspark.llm.common import literal_table, table
 from scholarspark.session import shared_path
 
 QUERIES: dict = {}
@@ -97,3 +97,18 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = suffix_dedup.remove_spans(marked)
     return kept.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: The stated rules.
+URL_RULES = [
+    {"host": "com", "path": "/", "verdict": "allow"}, {"host": "example.com", "path": "/en/", "verdict": "block"},
+    {"host": "www.example.com", "path": "/en/", "verdict": "allow"}, {"host": "net", "path": "/es/", "verdict": "block"},
+    {"host": "net", "path": "/fr/", "verdict": "block"},
+]
+
+
+@query
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = literal_table(spark, URL_RULES, "host string, path string, verdict string")
+    judged = url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")

@@ -12,6 +12,7 @@ COLUMNS = {
     "op5": "doc_id size text_crc32 law shard slot grown_shard", "op6": "doc_id held_out lang_pred score",
     "op8": "doc_id n_tokens ids_sha256 decoded_sha256", "op9": "doc_id start n_tokens ids_crc32",
     "op10": "doc_id n_bytes n_removed n_spans kept_sha256", "op2": "doc_id item_id", "op7": "doc_id class_id n_links",
+    "op13": "page_id host path rule verdict",
 }
 
 
@@ -24,8 +25,9 @@ def test_columns(spark, name):
     df = QUERIES[name](spark, SF)
     want = COLUMNS[name.split("_")[0]].split()
     assert df.columns[:len(want)] == want
-    if not name.startswith("op2_"):
-        assert df.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    if not name.startswith(("op2_", "op11_")):
+        source = "pages" if name.startswith("op13_") else "documents"
+        assert df.count() == spark.read.parquet(f"{SF}/{source}.parquet").count()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
