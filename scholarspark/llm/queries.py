@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholarspark.llm import bpe, decontaminate, fingerprints, langid, lsh_forest, sharding, suffix_dedup, token_counts, token_files, toxicity, url_filter
+from scholarspark.llm import bpe, decontaminate, fingerprints, langid, lsh_forest, runs, sharding, suffix_dedup, token_counts, token_files, toxicity, url_filter
 from scholarspark.llm.common import literal_table, table
 from scholarspark.session import shared_path
 
@@ -99,6 +99,33 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): one text in ten, by its id, repeats itself from some word on."""
+    docs = docs.select("doc_id", "text", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    rows = docs.select("doc_id", "text", F.floor(F.col("h") / 10).alias("g"), F.when(F.col("h") % 10 == 0, words).alias("words"))
+    rows = rows.withColumn("n", F.coalesce(F.size("words"), F.lit(0))).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rows = rows.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    tail = F.transform(F.sequence(F.lit(0), F.col("n") - F.col("a") - 1), lambda i: F.element_at("words", F.col("a") + i % F.col("p") + 1))
+    repeated = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), tail), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.find_runs(with_repeats(table(spark, sf_dir, "documents")))
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    best = F.aggregate("runs", none, lambda top, r: F.when(
+        top.isNull() | (r["length"] * top["period"] > top["length"] * r["period"]), r).otherwise(top))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    rows = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("best"),
+                        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+                        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+    return rows.select("doc_id", "n_runs", "best.start", "best.length", "best.period",
+                       F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                       "runs_sha256", "collapsed_sha256")
+
+
 #: The stated rules.
 URL_RULES = [
     {"host": "com", "path": "/", "verdict": "allow"}, {"host": "example.com", "path": "/en/", "verdict": "block"},
