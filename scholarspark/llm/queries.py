@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholarspark.llm import bpe, decontaminate, fingerprints, langid, lsh_forest, runs, sharding, suffix_dedup, token_counts, token_files, toxicity, url_filter
+from scholarspark.llm import bpe, collocations, decontaminate, fingerprints, langid, lsh_forest, runs, sharding, suffix_dedup, token_counts, token_files, toxicity, url_filter
 from scholarspark.llm.common import literal_table, table
 from scholarspark.session import shared_path
 
@@ -99,6 +99,14 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+ORACLE_SQL["op11_collocations"] = collocations.ORACLE
+
+
 def with_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, text): one text in ten, by its id, repeats itself from some word on."""
     docs = docs.select("doc_id", "text", F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("h"))

@@ -12,7 +12,7 @@ COLUMNS = {
     "op5": "doc_id size text_crc32 law shard slot grown_shard", "op6": "doc_id held_out lang_pred score",
     "op8": "doc_id n_tokens ids_sha256 decoded_sha256", "op9": "doc_id start n_tokens ids_crc32",
     "op10": "doc_id n_bytes n_removed n_spans kept_sha256", "op2": "doc_id item_id", "op7": "doc_id class_id n_links",
-    "op12": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256", "op13": "page_id host path rule verdict",
+    "op11": "lang rank phrase a l r n score", "op12": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256", "op13": "page_id host path rule verdict",
 }
 
 
