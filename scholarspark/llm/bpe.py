@@ -6,7 +6,8 @@ prefix is the one vocabulary suffix that is compatible with the last token of th
 before it. The transducer reads a byte at a time and says which token ends there; its state is the
 bytes from which a longer token may still grow, with the tokens that end at their starts. Tokens up to
 the last boundary that all those starts share cannot change any more and are emitted. States and
-transitions are built when first needed and kept, up to ``max_states``, so memory is bounded.
+transitions are built when first needed; beyond ``max_states`` all are dropped and built anew, so memory is bounded.
+``encode_many`` moves many pre-tokens through the transducer at once, a byte at a time, in numpy.
 
 Decoding. Tokens are byte strings that may end inside a character. ``Utf8Machine`` is
 fed pieces of the byte stream and gives back what is complete, holding at most three bytes.
@@ -18,24 +19,29 @@ import base64
 import struct
 import sys
 from collections.abc import Iterable, Iterator
+from itertools import count
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholarspark.llm.common import spaced_chunks, worker_state
+from scholarspark.llm.chunk_ids import ChunkIds, joined_matches, spread
+from scholarspark.llm.common import worker_state
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: Entries a worker keeps in its tables of encoded chunks and pre-tokens (about 200 bytes each), and states.
-CHUNK_CACHE = 250_000
-PIECE_CACHE = 200_000
-MAX_STATES = 120_000
+#: States kept (about 300 bytes each with their transitions).
+MAX_STATES = 400_000
+#: Longer pre-tokens go through the transducer alone.
+TOGETHER = 64
 #: Rows per record batch handed back to the JVM.
 OUT_ROWS = 512
 
+_BYTES = [bytes((b,)) for b in range(256)]
+
 
 def read_ranks(path: str) -> dict[bytes, int]:
     """Token bytes to rank, from a file of base64 tokens and ranks."""
@@ -59,29 +65,38 @@ def merge_bytes(ranks: dict[bytes, int], data: bytes) -> list[int]:
 
 
 class Transducer:
-    """Bytes of one pre-token to the little-endian 32-bit ids of its tokens."""
+    """Bytes of one pre-token to the ids of its tokens.
+
+    A state is (start, end, start, end, ..., b"", last): the strings from which a token may still grow, longest first, each
+    with the token that ends where it begins (-1: none, at the beginning); the last one has not begun.
+    """
 
     def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
         self.ranks = ranks
         self.tokens = {r: t for t, r in ranks.items()}
-        self.heads = {t[:i] for t in ranks for i in range(1, len(t))}
-        self.longest = max(map(len, ranks), default=1)
+        self.heads = {h: h for t in ranks for i in range(1, len(t)) for h in (t[:i],)}
         self.max_states = max_states
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.sizes = np.zeros(max(ranks.values(), default=0) + 1, np.int64)
+        for token, rank in ranks.items():
+            self.sizes[rank] = len(token)
         self.halves: dict[int, tuple[int, int] | None] = {}
-        self.states: dict[tuple[bytes, tuple], dict] = {}
-        self.start = self._state(b"", (-1,))
-
-    def _state(self, pending: bytes, ends: tuple) -> dict:
-        """A state is the dict of its transitions; key -1 holds what it stands for: the bytes since the
-        first start from which a token may still grow, and for each start in them the token that ends there
-        (-1: none, at the beginning; None: no token may grow from there). The last one is the end."""
-        state = self.states.get((pending, ends))
-        if state is None:
-            state = {-1: (pending, ends)}
-            if len(self.states) < self.max_states:
-                self.states[pending, ends] = state
-        return state
+        self._empty()
+
+    def _empty(self) -> None:
+        """Forget all states and transitions."""
+        self.pairs: dict[int, bool] = {}
+        self.numbers: dict[tuple, int] = {}
+        self.states: list[tuple] = []
+        # transitions by state << 8 | byte, with open addressing: keys, next states, tokens
+        self.keys, self.next = np.full(1 << 16, -1, np.int64), np.zeros((2, 1 << 16), np.int32)
+        self.n_moves = 0
+        self.start = self._number((b"", -1))
+
+    def _number(self, state: tuple) -> int:
+        n = self.numbers.setdefault(state, len(self.states))
+        if n == len(self.states):
+            self.states.append(state)
+        return n
 
     def _halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge makes this one; None for a single byte."""
@@ -103,13 +118,14 @@ class Transducer:
         """
         if left < 0:
             return True
-        fits = self.pairs.get((left, right))
+        key = left << 32 | right
+        fits = self.pairs.get(key)
         if fits is not None:
             return fits
-        key, fits = (left, right), True
-        until, later = len(self.ranks) + 1, False     # the merge undone last, and whether it lay to the right
+        fits, ranks, tokens = True, self.ranks, self.tokens
+        until, later = len(ranks) + 1, False          # the merge undone last, and whether it lay to the right
         while True:
-            joined = self.ranks.get(self.tokens[left] + self.tokens[right])
+            joined = ranks.get(tokens[left] + tokens[right])
             if joined is not None and (joined < until or joined == until and later):
                 fits = False
                 break
@@ -120,26 +136,22 @@ class Transducer:
                 until, later, left = left, False, lh[1]
             else:
                 until, later, right = right, True, rh[0]
-        if len(self.pairs) < 4 * self.max_states:
-            self.pairs[key] = fits
+        self.pairs[key] = fits
         return fits
 
-    def _step(self, state: dict, byte: int) -> tuple[dict, int]:
-        """Build a transition: the next state and the last token of the encoding up to this byte."""
-        pending, ends = state[-1]
-        pending = pending + bytes((byte,))
-        n = len(pending)
-        for s in range(n):
-            token = self.ranks.get(pending[s:]) if ends[s] is not None else None
-            if token is not None and self._fits(ends[s], token):
-                break
-        grows = [e is not None and pending[s:] in self.heads for s, e in enumerate(ends)]
-        first = grows.index(True) if True in grows else n
-        kept = tuple(e if g else None for e, g in zip(ends[first:], grows[first:]))
-        move = (self._state(pending[first:], (*kept, token)), token)
-        if len(self.states) < self.max_states:
-            state[byte] = move
-        return move
+    def _step(self, state: tuple, byte: bytes) -> tuple[tuple, int]:
+        """The next state, and the last token of the encoding up to this byte."""
+        token, kept = None, []
+        for i in range(0, len(state), 2):
+            grown = state[i] + byte
+            if token is None:
+                rank = self.ranks.get(grown)
+                if rank is not None and self._fits(state[i + 1], rank):
+                    token = rank
+            head = self.heads.get(grown)
+            if head is not None:
+                kept += head, state[i + 1]
+        return (*kept, b"", token), token
 
     def _back(self, lasts: list[int], at: int) -> list[int]:
         """Tokens of the encoding of the first ``at`` bytes."""
@@ -149,10 +161,9 @@ class Transducer:
             at -= len(self.tokens[lasts[at - 1]])
         return out[::-1]
 
-    def _settled(self, lasts: list[int], state: dict) -> int:
+    def _settled(self, lasts: list[int], state: tuple) -> int:
         """The last boundary that every encoding still possible goes through."""
-        n, (pending, ends) = len(lasts), state[-1]
-        open_ = {n - len(pending) + i for i, e in enumerate(ends) if e is not None} - {0}
+        open_ = {len(lasts) - len(start) for start in state[::2]} - {0}
         while len(open_) > 1:
             at = max(open_)
             open_.discard(at)
@@ -160,56 +171,129 @@ class Transducer:
         return min(open_)
 
     def encode(self, data: bytes, window: int = 4096) -> bytes:
-        """Ids of one pre-token. Tokens are emitted behind a bounded lookahead, at the latest after a window."""
+        """Little-endian 32-bit ids of one pre-token of any length. Tokens are emitted behind a bounded lookahead, at the latest
+        after a window, and transitions are forgotten as often, so memory does not grow with the pre-token."""
         whole = self.ranks.get(data)
         if whole is not None:
             return struct.pack("<I", whole)
-        state, lasts, out = self.start, [], []
-        for b in data:
-            state, last = state.get(b) or self._step(state, b)
+        state, lasts, out, known = (b"", -1), [], [], {}
+        for at in range(len(data)):
+            byte = data[at:at + 1]
+            move = known.get((state, byte))
+            if move is None:
+                move = known[state, byte] = self._step(state, byte)
+            state, last = move
             lasts.append(last)
             if len(lasts) >= window:
-                at = self._settled(lasts, state)
-                out += self._back(lasts, at)
-                del lasts[:at]
+                done = self._settled(lasts, state)
+                out += self._back(lasts, done)
+                del lasts[:done]
+                known.clear()
         out += self._back(lasts, len(lasts))
         return struct.pack(f"<{len(out)}I", *out)
 
-
-class PieceTable(dict):
-    """Pre-token to its ids, filled when one is first met, up to PIECE_CACHE entries."""
-
-    def __init__(self, ranks: dict[bytes, int]):
-        super().__init__()
-        self.machine = Transducer(ranks)
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = self.machine.encode(piece.encode("utf-8"))
-        if len(self) < PIECE_CACHE:
-            self[piece] = ids
-        return ids
-
-
-class ChunkTable(dict):
-    """Chunk of text (white space and the word behind it) to its ids, up to CHUNK_CACHE entries."""
-
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
-        super().__init__()
-        self.split = regex.compile(pattern).findall
-        self.pieces = PieceTable(ranks)
-
-    def whole(self, text: str) -> bytes:
-        return b"".join(map(self.pieces.__getitem__, self.split(text)))
-
-    def __missing__(self, chunk: str) -> bytes:
-        ids = self.whole(chunk)
-        if len(self) < CHUNK_CACHE:
-            self[chunk] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        chunks = spaced_chunks(text) if text else []
-        return self.whole(text) if chunks is None else b"".join(map(self.__getitem__, chunks))
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        """For each key its slot in the table of transitions, or the free one where it would go."""
+        mask = len(self.keys) - 1
+        slots = ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)).astype(np.int64) & mask
+        there = self.keys[slots]
+        going = np.flatnonzero((there != keys) & (there >= 0))
+        while len(going):
+            slots[going] = (slots[going] + 1) & mask
+            there = self.keys[slots[going]]
+            going = going[(there != keys[going]) & (there >= 0)]
+        return slots
+
+    def _learn(self, keys: np.ndarray) -> None:
+        """Build the transitions of new keys."""
+        made = []
+        for key in keys.tolist():
+            state, token = self._step(self.states[key >> 8], _BYTES[key & 255])
+            made.append((self._number(state), token))
+        moves = np.array(made, np.int32).T
+        self.n_moves += len(keys)
+        if 2 * self.n_moves > len(self.keys):
+            held = self.keys >= 0
+            keys, moves = np.append(self.keys[held], keys), np.append(self.next[:, held], moves, axis=1)
+            size = 4 * len(self.keys)
+            self.keys, self.next = np.full(size, -1, np.int64), np.zeros((2, size), np.int32)
+        while len(keys):                                           # of keys that want the same slot the last one gets it
+            slots = self._slots(keys)
+            self.keys[slots] = keys
+            own = self.keys[slots] == keys
+            self.next[:, slots[own]] = moves[:, own]
+            keys, moves = keys[~own], moves[:, ~own]
+
+    def _walk(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-tokens of at most ``TOGETHER`` bytes, one behind the other, and how many each has."""
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        data = np.frombuffer(b"".join(pieces), np.uint8).astype(np.int64)
+        first = np.cumsum(sizes) - sizes
+        order = np.argsort(-sizes, kind="stable")
+        state, lasts = np.full(len(pieces), self.start, np.int64), np.zeros(len(data), np.int64)
+        alive = np.searchsorted(-sizes[order], -np.arange(int(sizes.max(initial=0))), "left")     # pieces longer than k
+        for k, n in enumerate(alive.tolist()):
+            at = first[order[:n]] + k
+            keys = state[:n] << 8 | data[at]
+            slots = self._slots(keys)
+            missing = self.keys[slots] != keys
+            if missing.any():
+                self._learn(np.unique(keys[missing]))
+                slots = self._slots(keys)
+            state[:n], lasts[at] = self.next[0][slots], self.next[1][slots]
+        # back from the ends: a token a round
+        left, ends, rounds = np.flatnonzero(sizes), first + sizes, []
+        while len(left):
+            tokens = lasts[ends[left] - 1]
+            rounds.append((left, tokens))
+            ends[left] -= self.sizes[tokens]
+            left = left[ends[left] > first[left]]
+        counts = np.zeros(len(pieces), np.int64)
+        for who, _ in rounds:
+            counts[who] += 1
+        out, last = np.zeros(int(counts.sum()), np.int64), np.cumsum(counts) - 1
+        for r, (who, tokens) in enumerate(rounds):
+            out[last[who] - r] = tokens
+        return out, counts
+
+    def encode_many(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pre-tokens, one behind the other, and how many each has."""
+        if len(self.states) > self.max_states:
+            self._empty()
+        whole = np.fromiter((self.ranks.get(p, -1) for p in pieces), np.int64, len(pieces))
+        counts, parts = np.ones(len(pieces), np.int64), np.flatnonzero(whole < 0)
+        together = [i for i in parts.tolist() if len(pieces[i]) <= TOGETHER]
+        ids, sizes = self._walk([pieces[i] for i in together])
+        counts[together] = sizes
+        alone = {i: np.frombuffer(self.encode(pieces[i]), "<u4").astype(np.int64) for i in parts.tolist() if len(pieces[i]) > TOGETHER}
+        for i, own in alone.items():
+            counts[i] = len(own)
+        first = np.cumsum(counts) - counts
+        out = np.zeros(int(counts.sum()), np.int64)
+        out[first[whole >= 0]] = whole[whole >= 0]
+        out[spread(first[together], sizes)] = ids
+        for i, own in alone.items():
+            out[first[i]:first[i] + len(own)] = own
+        return out, counts
+
+
+def chunk_encoder(ranks: dict[bytes, int], pattern: str) -> ChunkIds:
+    """Encodes texts: chunks are cut by the pattern, the pre-tokens go through the transducer."""
+    machine, findall = Transducer(ranks), regex.compile(pattern).findall
+
+    def encode_many(chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        pieces, per_chunk = joined_matches(findall, chunks)
+        distinct: dict[str, int] = {}
+        codes = np.fromiter(map(distinct.setdefault, pieces, count()), np.int64, len(pieces))
+        first = np.zeros(len(pieces), np.int64)
+        first[np.fromiter(distinct.values(), np.int64, len(distinct))] = np.arange(len(distinct))
+        codes = first[codes]
+        ids, counts = machine.encode_many([p.encode("utf-8") for p in distinct])
+        ends = np.append(0, np.cumsum(counts[codes]))
+        cuts = np.append(0, np.cumsum(per_chunk))
+        return ids[spread((np.cumsum(counts) - counts)[codes], counts[codes])], np.diff(ends[cuts])
+
+    return ChunkIds(encode_many)
 
 
 class Utf8Machine:
@@ -241,11 +325,31 @@ class Utf8Machine:
         return rest
 
 
-def decode_stream(tokens: dict[int, bytes], ids: Iterable[bytes]) -> Iterator[str]:
+class Vocabulary:
+    """Bytes of the tokens, for gathering those of many ids at once."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.sizes = np.zeros(max(ranks.values(), default=0) + 1, np.int64)
+        for token, rank in ranks.items():
+            self.sizes[rank] = len(token)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        tokens = [b""] * len(self.sizes)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self.known = np.array([bool(t) for t in tokens])
+        self.data = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def bytes_of(self, ids: np.ndarray) -> bytes:
+        if len(ids) and (int(ids.max()) >= len(self.known) or not self.known[ids].all()):
+            raise KeyError("an id is not in the vocabulary")
+        return self.data[spread(self.starts[ids], self.sizes[ids])].tobytes()
+
+
+def decode_stream(vocabulary: Vocabulary, ids: Iterable[bytes]) -> Iterator[str]:
     """Text of a stream of id blocks (little-endian 32-bit), characters never cut in two."""
     machine = Utf8Machine()
     for block in ids:
-        whole = machine.feed(b"".join(map(tokens.__getitem__, memoryview(block).cast("I"))))
+        whole = machine.feed(vocabulary.bytes_of(np.frombuffer(block, "<u4")))
         if whole:
             yield whole.decode("utf-8", "replace")
     rest = machine.close()
@@ -266,13 +370,15 @@ def encode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str =
     ``ranks_path`` must be readable on the executors.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = worker_state(("chunks", ranks_path, pattern), lambda: ChunkTable(_ranks(ranks_path), pattern))
+        chunks = worker_state(("chunks", ranks_path, pattern), lambda: chunk_encoder(_ranks(ranks_path), pattern))
         for batch in batches:
             for at in range(0, batch.num_rows, OUT_ROWS):
                 part = batch.slice(at, OUT_ROWS)
-                ids = [chunks.encode(t) if t else b"" for t in part.column(1).to_pylist()]
+                ids, counts = chunks.encode(part.column(1).to_pylist())
+                ends = np.append(0, np.cumsum(counts)) * 4
+                data = memoryview(ids.astype("<u4")).cast("B")
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                    [part.column(0), pa.array(counts), pa.array([data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.binary())],
                     ["id", "n_tokens", "ids"])
 
     kind = df.schema[id_col].dataType.simpleString()
@@ -283,7 +389,7 @@ def encode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str =
 def decode_documents(df: DataFrame, ranks_path: str, ids_col: str = "ids", block: int = 1 << 18) -> DataFrame:
     """Adds ``decoded`` (string): the ids decoded as a stream of blocks. Null ids decode to an empty text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = worker_state(("tokens", ranks_path), lambda: {r: t for t, r in _ranks(ranks_path).items()})
+        tokens = worker_state(("tokens", ranks_path), lambda: Vocabulary(_ranks(ranks_path)))
         for batch in batches:
             at = batch.schema.get_field_index(ids_col)
             for first in range(0, batch.num_rows, OUT_ROWS):

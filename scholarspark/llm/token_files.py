@@ -11,6 +11,7 @@ tokens of the files before its own, a sum over one number a file.
 from __future__ import annotations
 
 import os
+import re
 import sys
 import zlib
 from collections.abc import Iterator
@@ -23,14 +24,18 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from scholarspark.llm.common import spaced_chunks, worker_state
+from scholarspark.llm.chunk_ids import ChunkIds, IdTable, joined_matches, spread
+from scholarspark.llm.common import worker_state
+from scholarspark.session import reliable_checkpoint
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: Entries a worker keeps in its tables of encoded chunks and pieces (about 200 bytes each).
-CHUNK_CACHE = 450_000
+CHUNK_CACHE = 400_000
 PIECE_CACHE = 300_000
 ROWS = 512
+#: Offsets of so many files are broadcast (16 bytes each); of more they are joined.
+MOST_FILES = 500_000
 
 #: Options of the Parquet writer: format v2 (delta encodings), dictionary of up to 1 MB, row groups of 32 MB,
 #: pages of at most 256 KB or 2,000 rows.
@@ -53,48 +58,49 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-class LibraryChunks(dict):
-    """Chunk of text to its ids (numpy-ready bytes) by the tokenizers library, each distinct chunk once.
+class Library:
+    """Ids by the tokenizers library for many chunks at once.
 
     Latin chunks without special strings are cut by the byte-level pattern and each distinct piece goes to
     the library's model; any other chunk goes through the library whole.
     """
 
     def __init__(self, path: str, pattern: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tok = Tokenizer.from_file(path)
         self.tok.no_truncation()
         self.tok.no_padding()
-        self.split = regex.compile(pattern).findall
+        self.findall = regex.compile(pattern).findall
         self.letters = _byte_letters()
-        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.pieces: dict[str, bytes] = {}
-
-    def whole(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def __missing__(self, chunk: str) -> bytes:
-        if max(chunk) >= "ɐ" or any(s in chunk for s in self.special):
-            ids = self.whole(chunk)
-        else:
-            out = []
-            for piece in self.split(chunk):
-                one = self.pieces.get(piece)
-                if one is None:
-                    shown = piece.encode("utf-8").decode("latin-1").translate(self.letters)
-                    one = b"".join([t.id.to_bytes(4, "little") for t in self.tok.model.tokenize(shown)])
-                    if len(self.pieces) < PIECE_CACHE:
-                        self.pieces[piece] = one
-                out.append(one)
-            ids = b"".join(out)
-        if len(self) < CHUNK_CACHE:
-            self[chunk] = ids
-        return ids
-
-    def encode(self, text: str) -> bytes:
-        chunks = spaced_chunks(text)
-        return self.whole(text) if chunks is None else b"".join(map(self.__getitem__, chunks))
+        special = [re.escape(t.content) for t in self.tok.get_added_tokens_decoder().values()]
+        self.odd = re.compile("|".join(["[^\x00-\u024f]", *special])).search
+        self.pieces = IdTable(self._model, PIECE_CACHE)
+
+    def _model(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        run, letters = self.tok.model.tokenize, self.letters
+        found = [run(p.encode("utf-8").decode("latin-1").translate(letters)) for p in pieces]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter((t.id for ts in found for t in ts), np.int64, int(counts.sum())), counts
+
+    def encode_many(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        odd = np.fromiter((self.odd(c) is not None for c in chunks), bool, len(chunks))
+        pieces, per_chunk = joined_matches(self.findall, [c for c, o in zip(chunks, odd) if not o])
+        ids, per_piece = self.pieces.ids(pieces)
+        counts = np.zeros(len(chunks), np.int64)
+        counts[~odd] = np.diff(np.append(0, np.cumsum(per_piece))[np.append(0, np.cumsum(per_chunk))])
+        if not odd.any():
+            return ids, counts
+        whole = [e.ids for e in self.tok.encode_batch_fast([c for c, o in zip(chunks, odd) if o], add_special_tokens=False)]
+        counts[odd] = [len(w) for w in whole]
+        first = np.cumsum(counts) - counts
+        out = np.zeros(int(counts.sum()), np.int64)
+        out[spread(first[~odd], counts[~odd])] = ids
+        out[spread(first[odd], counts[odd])] = [i for w in whole for i in w]
+        return out, counts
+
+
+def library_encoder(path: str, pattern: str) -> ChunkIds:
+    return ChunkIds(Library(path, pattern).encode_many, CHUNK_CACHE)
 
 
 def write_tokens(df: DataFrame, path: str, tokenizer_path: str, pattern: str, end_id: int = 0,
@@ -106,19 +112,17 @@ def write_tokens(df: DataFrame, path: str, tokenizer_path: str, pattern: str, en
     """
     spark = df.sparkSession
     n = num_partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = worker_state(("library", tokenizer_path, pattern), lambda: LibraryChunks(tokenizer_path, pattern))
+        chunks = worker_state(("library", tokenizer_path, pattern), lambda: library_encoder(tokenizer_path, pattern))
         start = 0
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
-                ids = [(chunks.encode(t) if t else b"") + end for t in part.column(1).to_pylist()]
-                sizes = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
+                ids, sizes = chunks.encode(part.column(1).to_pylist())
+                ids, sizes = np.insert(ids, np.cumsum(sizes), end_id).astype(np.int32), sizes + 1
                 ends = np.cumsum(sizes)
-                values = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), values)
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(2), pa.array(start + ends - sizes), pa.array(sizes), lists],
                     ["id", "part", "start_in_part", "n_tokens", "ids"])
@@ -138,7 +142,9 @@ def read_tokens(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataF
     files = spark.read.parquet(path)
     sums = files.groupBy("part").agg(F.sum("n_tokens").alias("n"))           # one row a file
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+    offsets = reliable_checkpoint(sums.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")), "token-offsets")
+    if offsets.count() <= MOST_FILES:                  # 16 bytes each; the ids stay where they are read
+        offsets = F.broadcast(offsets)
     return files.join(offsets, "part").select(
         F.col("id").alias(id_col), (F.col("offset") + F.col("start_in_part")).alias("start"), "n_tokens", "ids")
 
