@@ -20,6 +20,7 @@ from __future__ import annotations
 import sys
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
@@ -40,7 +41,7 @@ VOCABULARY = 1_000_000
 WORD_BYTES = 64
 NODES = 1_000_000
 #: Entries a task counts before it hands them on, and positions looked at together.
-HELD, POSITIONS = 400_000, 1_000_000
+HELD, POSITIONS = 250_000, 500_000
 
 _END = b"."
 _PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz" + _END * 9)
@@ -85,15 +86,31 @@ def count_words(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "lang string, phrase string, n bigint").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
 
 
-def encode(docs: DataFrame, names: list[tuple[str, bytes]], complete: bool) -> DataFrame:
-    """(lang, codes, others): each text as word codes, 1 for the first name, with 0 where a phrase ends. Words
+@dataclass
+class Names:
+    """The words that have a code (1 for the first), and their languages."""
+    words: list[bytes]
+    lang_of: np.ndarray
+    langs: list[str]
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def tables(self) -> dict[str, dict[bytes, int]]:
+        """Word to code, by language."""
+        out: dict[str, dict[bytes, int]] = defaultdict(lambda: {_END: 0})
+        for code, (lang, word) in enumerate(zip(self.lang_of.tolist(), self.words), 1):
+            out[self.langs[lang]][word] = code
+        return out
+
+
+def encode(docs: DataFrame, names: Names, complete: bool) -> DataFrame:
+    """(lang, codes, others): each text as word codes with 0 where a phrase ends. Words
     without a code end a phrase if the vocabulary is complete, else they are -1 and listed in ``others``."""
     shared = docs.sparkSession.sparkContext.broadcast(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codes: dict[str, dict[bytes, int]] = defaultdict(lambda: {_END: 0})
-        for i, (lang, word) in enumerate(shared.value, 1):
-            codes[lang][word] = i
+        codes = shared.value.tables()
         for batch in batches:
             for first in range(0, batch.num_rows, 256):
                 rows, out, others = batch.slice(first, 256), [], []
@@ -128,41 +145,32 @@ def count_level(coded: DataFrame, trie: DoubleArray, words: int, least: int) ->
     """(head, last, n): safe candidates of so many words by the state of all but the last word, and the last one's code."""
     shared = coded.sparkSession.sparkContext.broadcast(trie)
 
-    def merged(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-        keys, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
-        return keys, np.bincount(at, np.concatenate([n for _, n in held])).astype(np.int64)
-
-    def out(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    def counted(waiting: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        codes = np.concatenate(waiting)                           # every text ends with 0
+        at, states = _safe(shared.value, codes, words)
+        keys, n = np.unique(states[at].astype(np.int64) << 32 | codes[at + words - 1], return_counts=True)
         for at in range(0, len(keys), 100_000):
             part = keys[at:at + 100_000]
             yield pa.RecordBatch.from_arrays([pa.array((part >> 32).astype(np.int32)), pa.array((part & 0xFFFFFFFF).astype(np.int32)),
                                               pa.array(n[at:at + 100_000])], ["head", "last", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, waiting, some = [], 0, [], 0
-        for batch in (*batches, None):                            # the last one says that no more come
-            if batch is not None:
-                waiting.append(batch.column(0).flatten().to_numpy(zero_copy_only=False))
-                some += len(waiting[-1])
-            if waiting and (batch is None or some >= POSITIONS):
-                codes = np.concatenate(waiting)                   # every text ends with 0
-                at, states = _safe(shared.value, codes, words)
-                held.append(np.unique(states[at].astype(np.int64) << 32 | codes[at + words - 1], return_counts=True))
-                size, waiting, some = size + len(held[-1][0]), [], 0
-            if size > 10 * HELD:
-                keys, n = merged(held)
-                held, size = [(keys, n)], len(keys)
-                if size > 5 * HELD:
-                    yield from out(keys, n)
-                    held, size = [], 0
-        if held:
-            yield from out(*merged(held))
+        waiting, size = [], 0
+        for batch in batches:
+            for first in range(0, batch.num_rows, 512):
+                waiting.append(batch.column(0).slice(first, 512).flatten().to_numpy(zero_copy_only=False))
+                size += len(waiting[-1])
+                if size >= POSITIONS:
+                    yield from counted(waiting)
+                    waiting, size = [], 0
+        if waiting:
+            yield from counted(waiting)
 
     return (coded.select("codes").mapInArrow(run, "head int, last int, n bigint").groupBy("head", "last")
                  .agg(F.sum("n").alias("n")).where(F.col("n") >= least))
 
 
-def count_rest(coded: DataFrame, trie: DoubleArray, names: list[tuple[str, bytes]], words: int, least: int, all_words: bool) -> DataFrame:
+def count_rest(coded: DataFrame, trie: DoubleArray, names: Names, words: int, least: int, all_words: bool) -> DataFrame:
     """(lang, phrase, n): phrases of so many words that the vocabulary or the trie cannot judge, counted as strings.
     ``all_words``: the vocabulary is complete, so only the trie's limits matter."""
     shared = coded.sparkSession.sparkContext.broadcast((trie, names))
@@ -182,7 +190,7 @@ def count_rest(coded: DataFrame, trie: DoubleArray, names: list[tuple[str, bytes
                 if not len(at):
                     continue
                 own, rest = others.as_py(), np.cumsum(codes < 0) - 1
-                text = [own[rest[i]].encode("utf-8") if c < 0 else listed[c - 1][1] if c else b"" for i, c in enumerate(codes.tolist())]
+                text = [own[rest[i]].encode("utf-8") if c < 0 else listed.words[c - 1] if c else b"" for i, c in enumerate(codes.tolist())]
                 counts[lang.as_py()].update(b" ".join(text[i:i + words]) for i in at.tolist())
             if sum(map(len, counts.values())) > HELD:
                 yield from _flush(counts)
@@ -192,21 +200,24 @@ def count_rest(coded: DataFrame, trie: DoubleArray, names: list[tuple[str, bytes
                  .where(F.col("n") >= least))
 
 
-def spell(level: DataFrame, trie: DoubleArray, names: list[tuple[str, bytes]], words: int) -> DataFrame:
-    """(lang, phrase, n) of (head, last, n)."""
-    shared = level.sparkSession.sparkContext.broadcast((trie, names))
+def spell(level: DataFrame, nodes: list[tuple[np.ndarray, ...]], names: Names) -> DataFrame:
+    """(lang, phrase, n) of (head, last, n). ``nodes`` has for each length from two on the states, ascending, and of each the
+    state without its last word and that word."""
+    shared = level.sparkSession.sparkContext.broadcast((nodes, names))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, listed = shared.value
         for batch in batches:
             heads, last = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             columns = [last]
-            for _ in range(words - 1):                            # from the last word to the first
-                columns.append(known.code[heads])
-                heads = known.parent[heads]
-            phrases = [b" ".join([listed[c - 1][1] for c in row[::-1]]) for row in zip(*(c.tolist() for c in columns))]
-            yield pa.RecordBatch.from_arrays([pa.array([listed[c - 1][0] for c in last.tolist()], pa.string()), _strings(phrases),
-                                              batch.column(2)], ["lang", "phrase", "n"])
+            for states, before, codes in known[::-1]:             # from the last word to the first
+                at = np.searchsorted(states, heads)
+                columns.append(codes[at])
+                heads = before[at]
+            columns.append(heads)
+            phrases = [b" ".join([listed.words[c - 1] for c in row[::-1]]) for row in zip(*(c.tolist() for c in columns))]
+            langs = [listed.langs[i] for i in listed.lang_of[last - 1].tolist()]
+            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), _strings(phrases), batch.column(2)], ["lang", "phrase", "n"])
 
     return level.select("head", "last", "n").mapInArrow(run, "lang string, phrase string, n bigint")
 
@@ -221,21 +232,25 @@ def frequent_phrases(docs: DataFrame, least: int = LEAST, longest: int = LONGEST
     frequent = counted.where(F.col("n") >= least)
     listed = (frequent.where(F.octet_length("phrase") <= WORD_BYTES).orderBy(F.desc("n"), "lang", "phrase").limit(vocabulary)
               .select("lang", F.col("phrase").cast("binary").alias("word")).toArrow())
-    names = list(zip(listed.column(0).to_pylist(), listed.column(1).to_pylist()))
+    langs = listed.column(0).combine_chunks().dictionary_encode()
+    names = Names(listed.column(1).to_pylist(), langs.indices.to_numpy(), langs.dictionary.to_pylist())
     all_words = frequent.count() == len(names)
     coded = reliable_checkpoint(encode(texts, names, all_words), "colloc-codes")
-    trie, all_nodes = DoubleArray(len(names)), True
+    trie, spelt_by, all_nodes = DoubleArray(len(names)), [], True
     levels = [frequent.select("lang", F.lit(1).alias("words"), "phrase", "n")]
     for words in range(2, longest + 1):
         level = reliable_checkpoint(count_level(coded, trie, words, least), "colloc-level")
-        spelt = spell(level, trie, names, words)
+        spelt = spell(level, spelt_by, names)
         if not (all_words and all_nodes):
             spelt = spelt.union(count_rest(coded, trie, names, words, least, all_words))
         levels.append(reliable_checkpoint(spelt.select("lang", F.lit(words).alias("words"), "phrase", "n"), "colloc-phrases"))
         if words < longest:
             kept = level.orderBy(F.desc("n"), "head", "last").limit(nodes).select("head", "last").toArrow()
             all_nodes = all_nodes and level.count() == len(kept)
-            trie.add(kept.column(0).to_numpy(), kept.column(1).to_numpy())
+            heads, lasts = kept.column(0).to_numpy(), kept.column(1).to_numpy()
+            states = trie.add(heads, lasts)
+            order = np.argsort(states)
+            spelt_by.append((states[order], heads[order], lasts[order]))
     out = levels[0]
     for level in levels[1:]:
         out = out.union(level)

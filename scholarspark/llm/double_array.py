@@ -16,10 +16,9 @@ FREE = -1
 
 class DoubleArray:
     """States are slots: the child of state s by digit d is ``base[s] + d`` if ``check`` there is s. States 1..words are
-    the single words, children of the root 0 by their code; longer phrases go two digits a word. ``parent`` and ``code``
-    say for a phrase's state the phrase without its last word, and that word.
+    the single words, children of the root 0 by their code; longer phrases go two digits a word.
 
-    Sets of children are placed at random bases, larger sets first, into an array about a third full; a set that finds no
+    Sets of children are placed at random bases, larger sets first, into an array about half full; a set that finds no
     place goes to the end. The seed is fixed, so the same phrases give the same states.
     """
 
@@ -29,19 +28,16 @@ class DoubleArray:
         self.words = words
         self.check = np.zeros(words + 1, np.int32)                # the root's own slot is never a child
         self.base = np.zeros(words + 1, np.int32)
-        self.parent = np.zeros(words + 1, np.int32)
-        self.code = np.arange(words + 1, dtype=np.int32)
         self.rng = np.random.default_rng(11)
 
     def _grow(self, n: int) -> None:
         """Make room for n more children."""
-        for name, fill in (("check", FREE), ("base", 0), ("parent", 0), ("code", 0)):
-            old = getattr(self, name)
-            setattr(self, name, np.append(old, np.full(n, fill, np.int32)))
+        self.check = np.append(self.check, np.full(n, FREE, np.int32))
+        self.base = np.append(self.base, np.zeros(n, np.int32))
 
     def _place(self, parents: np.ndarray, digits: np.ndarray) -> np.ndarray:
         """Slots of the children (parents ascending, none of which has children yet)."""
-        self._grow(3 * len(parents) + DIGIT)
+        self._grow(2 * len(parents) + DIGIT)
         starts = np.flatnonzero(np.append(True, parents[1:] != parents[:-1]))
         sizes = np.diff(np.append(starts, len(parents)))
         for g in np.argsort(-sizes, kind="stable"):
@@ -85,7 +81,6 @@ class DoubleArray:
         by_mid = np.argsort(mids, kind="stable")
         states = np.empty(len(h), np.int32)
         states[by_mid] = self._place(mids[by_mid], (c % DIGIT).astype(np.int32)[by_mid])
-        self.parent[states], self.code[states] = h, c
         out = np.empty(len(h), np.int32)
         out[order] = states
         return out
