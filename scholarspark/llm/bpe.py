@@ -33,8 +33,8 @@ from scholarspark.llm.common import worker_state
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-#: States kept (about 300 bytes each with their transitions).
-MAX_STATES = 400_000
+#: States kept (about 300 bytes each with their transitions), and pairs of tokens known to fit or not.
+MAX_STATES, MAX_PAIRS = 160_000, 200_000
 #: Longer pre-tokens go through the transducer alone.
 TOGETHER = 64
 #: Rows per record batch handed back to the JVM.
@@ -136,6 +136,8 @@ class Transducer:
                 until, later, left = left, False, lh[1]
             else:
                 until, later, right = right, True, rh[0]
+        if len(self.pairs) >= MAX_PAIRS:
+            self.pairs.clear()
         self.pairs[key] = fits
         return fits
 
@@ -212,10 +214,12 @@ class Transducer:
             made.append((self._number(state), token))
         moves = np.array(made, np.int32).T
         self.n_moves += len(keys)
-        if 2 * self.n_moves > len(self.keys):
+        if 3 * self.n_moves > 2 * len(self.keys):
             held = self.keys >= 0
             keys, moves = np.append(self.keys[held], keys), np.append(self.next[:, held], moves, axis=1)
-            size = 4 * len(self.keys)
+            size = len(self.keys)
+            while 3 * self.n_moves > 2 * size:
+                size *= 2
             self.keys, self.next = np.full(size, -1, np.int64), np.zeros((2, size), np.int32)
         while len(keys):                                           # of keys that want the same slot the last one gets it
             slots = self._slots(keys)
@@ -358,46 +362,62 @@ def decode_stream(vocabulary: Vocabulary, ids: Iterable[bytes]) -> Iterator[str]
 
 
 def _ranks(path: str) -> dict[bytes, int]:
-    return worker_state(("ranks", path), lambda: read_ranks(path))
+    return worker_state(("bpe", "ranks", path), lambda: read_ranks(path))
+
+
+def _vocabulary(path: str) -> Vocabulary:
+    return worker_state(("bpe", "vocabulary", path), lambda: Vocabulary(_ranks(path)))
+
+
+def _decoded(vocabulary: Vocabulary, ids: list, block: int) -> pa.Array:
+    return pa.array(["".join(decode_stream(vocabulary, (x[i:i + block] for i in range(0, len(x), block)))) if x else "" for x in ids],
+                    pa.string())
+
+
+#: Bytes of ids decoded at a time.
+STREAM_BLOCK = 1 << 18
 
 
 def encode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
-                     text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, ids): every text encoded whole, ids as little-endian unsigned 32-bit integers.
+                     text_col: str = "text", decoded: bool = False) -> DataFrame:
+    """(id, n_tokens, ids): every text encoded whole, ids as little-endian unsigned 32-bit integers. With ``decoded`` also
+    the string that the ids decode to, from the same pass.
 
     One pass, no shuffle. Null text counts as empty and gives no ids; repeated rows, null or repeated ids
     and other columns are of no concern (rows are encoded one by one, only id and text are read).
     ``ranks_path`` must be readable on the executors.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunks = worker_state(("chunks", ranks_path, pattern), lambda: chunk_encoder(_ranks(ranks_path), pattern))
+        chunks = worker_state(("bpe", "chunks", ranks_path, pattern), lambda: chunk_encoder(_ranks(ranks_path), pattern))
         for batch in batches:
             for at in range(0, batch.num_rows, OUT_ROWS):
                 part = batch.slice(at, OUT_ROWS)
                 ids, counts = chunks.encode(part.column(1).to_pylist())
-                ends = np.append(0, np.cumsum(counts)) * 4
+                ends = (np.append(0, np.cumsum(counts)) * 4).tolist()
                 data = memoryview(ids.astype("<u4")).cast("B")
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(counts), pa.array([data[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())], pa.binary())],
-                    ["id", "n_tokens", "ids"])
+                own = [data[a:b] for a, b in zip(ends[:-1], ends[1:])]
+                columns = [part.column(0), pa.array(counts), pa.array(own, pa.binary())]
+                if decoded:
+                    columns.append(_decoded(_vocabulary(ranks_path), own, STREAM_BLOCK))
+                yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "ids", "decoded"][:len(columns)])
 
     kind = df.schema[id_col].dataType.simpleString()
     return (df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-              .mapInArrow(run, f"id {kind}, n_tokens bigint, ids binary").withColumnRenamed("id", id_col))
+              .mapInArrow(run, f"id {kind}, n_tokens bigint, ids binary" + ", decoded string" * decoded).withColumnRenamed("id", id_col))
+
 
+def decode_documents(df: DataFrame, ranks_path: str, ids_col: str = "ids", block: int = STREAM_BLOCK) -> DataFrame:
+    """Adds ``decoded`` (string): the ids decoded as a stream of blocks. Null ids decode to an empty text; a column named
+    ``decoded`` is replaced."""
+    df = df.drop("decoded")
 
-def decode_documents(df: DataFrame, ranks_path: str, ids_col: str = "ids", block: int = 1 << 18) -> DataFrame:
-    """Adds ``decoded`` (string): the ids decoded as a stream of blocks. Null ids decode to an empty text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = worker_state(("tokens", ranks_path), lambda: Vocabulary(_ranks(ranks_path)))
         for batch in batches:
             at = batch.schema.get_field_index(ids_col)
             for first in range(0, batch.num_rows, OUT_ROWS):
                 part = batch.slice(first, OUT_ROWS)
-                texts = ["".join(decode_stream(tokens, (x[i:i + block] for i in range(0, len(x), block)))) if x
-                         else "" for x in part.column(at).to_pylist()]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())],
-                                                 [*part.schema.names, "decoded"])
+                texts = _decoded(_vocabulary(ranks_path), part.column(at).to_pylist(), block)
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], [*part.schema.names, "decoded"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
     return df.mapInArrow(run, f"{fields}, decoded string")

@@ -19,11 +19,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 is_plain = re.compile(r"[ \n\t][^\x1c-\x1f\x85]*[^\s\x1c-\x1f\x85]", re.DOTALL).fullmatch
 
 #: Chunks and ids a worker keeps (about 200 bytes a chunk); beyond that its tables are emptied and fill again.
-CHUNKS, IDS = 300_000, 6_000_000
+CHUNKS, IDS = 200_000, 3_000_000
 #: Longer chunks are not kept.
 KEPT_CHARS = 256
 #: Characters looked at together; longer texts are cut between chunks.
-CHARS = 2_000_000
+CHARS = 800_000
 
 
 def spread(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:

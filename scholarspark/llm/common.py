@@ -35,15 +35,23 @@ def literal_table(spark: SparkSession, rows: list[dict], schema: str) -> DataFra
 
 
 def worker_state(key: tuple, make: Callable[[], object]) -> object:
-    """Something costly to build that a Python worker keeps between tasks (tables, tokenizers)."""
-    name = "_scholarspark_worker_state"
-    module = sys.modules.setdefault(name, types.ModuleType(name))
-    store = module.__dict__.setdefault("store", {})
+    """Something costly to build that a Python worker keeps between the tasks of an operator (tables, tokenizers).
+    The first part of the key names the operator; what others left is dropped."""
+    store = release_worker_state(key[0])
     if key not in store:
         store[key] = make()
     return store[key]
 
 
+def release_worker_state(keep: str = "") -> dict:
+    """Drop what operators other than ``keep`` left in this worker."""
+    module = sys.modules.setdefault("_scholarspark_worker_state", types.ModuleType("_scholarspark_worker_state"))
+    store = module.__dict__.setdefault("store", {})
+    for key in [k for k in store if k[0] != keep]:
+        del store[key]
+    return store
+
+
 _SPACED = re.compile(r"\s*\S+|\s+")
 
 

@@ -28,7 +28,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholarspark.llm.common import row_key
+from scholarspark.llm.common import release_worker_state, row_key
 from scholarspark.llm.components import components
 from scholarspark.session import reliable_checkpoint
 
@@ -98,6 +98,7 @@ def start_depth(threshold: float, recall: float, trees: int, depth: int) -> int:
 def signatures(docs: DataFrame, words: int, trees: int, depth: int) -> DataFrame:
     """(rid, id, set_key, labels): digest of the set, and the labels, ``depth`` 4-byte values a tree."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker_state()
         cache, (xor, factor) = WordHashes(), _permutations(trees, depth)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
@@ -277,6 +278,6 @@ def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **op
     """The rows of ``df`` without near-duplicates: of each class the row of least id (null last; then least row key)."""
     near = near_duplicates(df, id_col, text_col, **options)
     order = F.struct(F.col(id_col).isNull().alias("null"), F.col(id_col).alias("id"), F.col("rid").alias("rid"))
-    kept = near.groupBy("class_key").agg(F.min(order).alias("first")).select(F.col("first.rid").alias("_kept"))
-    keyed = df.withColumn("_rid", F.unhex(row_key(id_col, text_col)))
-    return (keyed.join(kept, F.col("_rid") == F.col("_kept"), "left_semi").dropDuplicates(["_rid"]).select(*df.columns))
+    kept = near.groupBy("class_key").agg(F.min(order).alias("first")).select(F.col("first.rid").alias("kept"))
+    keyed = df.select(F.struct(*df.columns).alias("row"), F.unhex(row_key(id_col, text_col)).alias("rid"))     # any column names
+    return keyed.join(kept, F.col("rid") == F.col("kept"), "left_semi").dropDuplicates(["rid"]).select("row.*")

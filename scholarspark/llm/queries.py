@@ -78,8 +78,8 @@ def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    ids = bpe.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return bpe.decode_documents(ids, path).select(
+    ids = bpe.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, decoded=True)
+    return ids.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

@@ -24,6 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scholarspark.llm.common import release_worker_state
 from scholarspark.session import reliable_checkpoint
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -61,11 +62,14 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 def sample_labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, train_rows: int) -> DataFrame:
     """(text, y) of the labelled documents to learn from: the ``train_rows`` of lowest hash of their id. Their ids
-    are bounded, so they are broadcast and no text is shuffled."""
+    are bounded, so they are broadcast and no text is shuffled. An id labelled both ways counts as positive; rows that
+    repeat an id are all learned from; other columns, whatever their names, are not read."""
+    labels = labels.select(id_col, label_col)
     chosen = (labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
                     .groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("y"))
                     .orderBy(F.xxhash64("_id"), "_id").limit(train_rows))
-    return docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).select(F.col(text_col).alias("text"), "y")
+    texts = docs.select(F.col(id_col).alias("_doc"), F.col(text_col).alias("text"))
+    return texts.join(F.broadcast(chosen), F.col("_doc") == F.col("_id")).select("text", "y")
 
 
 def document_counts(train: DataFrame) -> DataFrame:
@@ -195,6 +199,7 @@ def score_documents(df: DataFrame, weights: dict[str, float], bias: float, text_
     sentence and scores 0; columns named like those added are replaced."""
     df = df.drop("score", "offending")
     columns = list(df.columns) if columns is None else columns
+    at_text = columns.index(text_col) if text_col in columns else len(columns)      # the text is sent once
     model = df.sparkSession.sparkContext.broadcast(weights)       # at most ``features`` entries
     base_p = 1 / (1 + math.exp(-bias))
 
@@ -207,13 +212,14 @@ def score_documents(df: DataFrame, weights: dict[str, float], bias: float, text_
             return x
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_worker_state()
         words = Words()
         spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
                 part = batch.slice(at, ROWS)
                 scores, found = [], []
-                for text in part.column(0).to_pylist():
+                for text in part.column(at_text).to_pylist():
                     n, log_rest, bad = 0, 0.0, []
                     start = 0
                     for piece in _SENTENCE.split(text) if text else ():
@@ -234,9 +240,9 @@ def score_documents(df: DataFrame, weights: dict[str, float], bias: float, text_
                     scores.append(-math.expm1(log_rest + n * math.log1p(-base_p)))
                     found.append(bad)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[1:], pa.array(scores, pa.float64()), pa.array(found, spans_type)],
+                    [*part.columns[:len(columns)], pa.array(scores, pa.float64()), pa.array(found, spans_type)],
                     [*columns, "score", "offending"])
 
     fields = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in columns)
-    return df.select(F.col(text_col).alias("_text"), *columns).mapInArrow(
+    return df.select(*dict.fromkeys([*columns, text_col])).mapInArrow(
         run, f"{fields}, score double, offending array<struct<start:int,end:int,p:double>>")

@@ -37,7 +37,7 @@ def test_contamination(contaminated):
     docs, items, truth = contaminated
     rows = decontaminate.mark_contamination(docs, items).collect()
     found = {(r["doc_id"], h["item_id"]) for r in rows for h in r["hits"]}
-    assert len(rows) == 200 and len(truth - found) <= 1 and not found - truth
+    assert len(rows) == 200 and found == truth
 
 
 def test_contamination_in_a_third_of_the_rows(spark):
@@ -72,6 +72,23 @@ def test_verbatim_items_of_every_length(spark):
     assert not {(d, d % 100) for d in range(200)} - found
 
 
+def test_parts_and_groups_change_nothing(contaminated, monkeypatch):
+    """A text cut into overlapping parts, and items searched in several passes, give the hits of one search; clashing names stay."""
+    docs, items, _ = contaminated
+    long = docs.groupBy((F.col("doc_id") % 3).alias("doc_id")).agg(F.array_join(F.array_sort(F.collect_list("text")), " ").alias("text"))
+
+    def found(df, **options):
+        return sorted((r["doc_id"], h["item_id"], h["lcs"], h["answer"], h["word"]) for r in
+                      decontaminate.mark_contamination(df.withColumn("hits", F.lit(1)).withColumn("item", F.lit(1)), items, **options).collect()
+                      for h in r["hits"])
+
+    whole = found(long)
+    assert len({(d, k) for d, k, *_ in whole}) > 40
+    monkeypatch.setattr(decontaminate, "BATCH_WORDS", 500)
+    assert found(long) == whole
+    assert {(d, k) for d, k, *_ in found(docs, at_once=8)} == {(d, k) for d, k, *_ in found(docs)}
+
+
 def test_common_subsequence():
     rng = random.Random(2)
     for _ in range(300):
@@ -91,6 +108,20 @@ def test_contamination_of_odd_rows(contaminated, odd_docs, no_docs):
     assert all(r["hits"] == [] for r in decontaminate.mark_contamination(odd_docs, items.limit(0)).collect())
 
 
+def test_clashing_columns(spark):
+    from scholarspark.llm import toxicity
+    docs = spark.createDataFrame([(i, f"good words number {i} here. " + ("vile " if i % 2 else "nice ") * 3) for i in range(60)] * 2,
+                                 "doc_id long, text string").withColumns({c: F.lit(c) for c in ("y", "_id", "_kept", "_rid", "kept", "rid", "row", "_text")})
+    labels = spark.createDataFrame([(i, i % 2, 5) for i in range(60)], "doc_id long, toxic int, y int")
+    weights, bias = toxicity.train_model(docs, labels, steps=5)
+    assert weights["vile"] > 0
+    scored = toxicity.score_documents(docs, weights, bias)
+    assert scored.columns == [*docs.columns, "score", "offending"] and scored.where("y = 'y' AND _text = '_text'").count() == 120
+    assert toxicity.score_documents(docs, weights, bias, columns=["doc_id"]).columns == ["doc_id", "score", "offending"]
+    kept = lsh_forest.keep_one(docs)
+    assert kept.columns == docs.columns and kept.where("_rid = '_rid' AND _kept = '_kept'").count() == kept.count() > 0
+
+
 def brute_links(rows):
     sets = []
     for i, t in rows:
