@@ -393,12 +393,12 @@ def encode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str =
             for at in range(0, batch.num_rows, OUT_ROWS):
                 part = batch.slice(at, OUT_ROWS)
                 ids, counts = chunks.encode(part.column(1).to_pylist())
-                ends = (np.append(0, np.cumsum(counts)) * 4).tolist()
-                data = memoryview(ids.astype("<u4")).cast("B")
-                own = [data[a:b] for a, b in zip(ends[:-1], ends[1:])]
-                columns = [part.column(0), pa.array(counts), pa.array(own, pa.binary())]
+                ends = (np.append(0, np.cumsum(counts)) * 4).astype(np.int32)
+                data = pa.py_buffer(ids.astype("<u4"))
+                own = pa.Array.from_buffers(pa.binary(), len(counts), [None, pa.py_buffer(ends), data])
+                columns = [part.column(0), pa.array(counts), own]
                 if decoded:
-                    columns.append(_decoded(_vocabulary(ranks_path), own, STREAM_BLOCK))
+                    columns.append(_decoded(_vocabulary(ranks_path), own.to_pylist(), STREAM_BLOCK))
                 yield pa.RecordBatch.from_arrays(columns, ["id", "n_tokens", "ids", "decoded"][:len(columns)])
 
     kind = df.schema[id_col].dataType.simpleString()
