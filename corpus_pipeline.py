@@ -48,9 +48,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Byte-level BPE ids of every text that is left, decoded again; fails if a text does not come back."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    rows = docs.select(F.struct("doc_id", "text").alias("row"), "text")              # the text travels with its id
-    out = bpe.decode_documents(bpe.encode_documents(rows, path, public_tokenizers.PATTERN, id_col="row"), path)
-    same = F.col("decoded") == F.coalesce("row.text", F.lit(""))
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)          # the text itself travels once
+    rows = docs.select(F.struct("doc_id", digest.alias("digest")).alias("row"), "text")
+    out = bpe.encode_documents(rows, path, public_tokenizers.PATTERN, id_col="row", decoded=True)
+    same = F.sha2(F.col("decoded").cast("binary"), 256) == F.col("row.digest")
     checked = F.when(same, F.col("ids")).otherwise(F.raise_error(F.lit("a text differs after encoding and decoding")))
     return out.select("row.doc_id", "n_tokens", checked.alias("ids"))
 
