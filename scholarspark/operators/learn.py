@@ -1,12 +1,7 @@
-"""Model training: estimators, parameter grids, cross-validation, grid reports, importances."""
+"""Model training: estimators, parameter grids, folds, importances. ``selection`` cross-validates over the grids."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
-
-from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
 from pyspark.ml.regression import GeneralizedLinearRegression, RandomForestRegressor
@@ -14,8 +9,6 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholarspark.session import reliable_checkpoint
-
 SEED = 100
 
 # FIXED VALUES: the project's hyper-parameter grids (parameter -> values, in order).
@@ -46,11 +39,11 @@ def estimator(name: str, label: str = "label", features: str = "features", varia
     raise ValueError(name)
 
 
-def param_grid(est, name: str, only: dict | None = None):
-    """The project's grid for ``name``; ``only`` keeps the points that have the given values."""
+def param_grid(est, name: str):
+    """The project's grid for ``name``."""
     b = ParamGridBuilder()
     for param, values in GRIDS[name]:
-        b = b.addGrid(est.getParam(param), [v for v in values if only is None or only.get(param, v) == v])
+        b = b.addGrid(est.getParam(param), values)
     return b.build()
 
 
@@ -60,59 +53,10 @@ def evaluator(kind: str, label: str = "label"):
     return RegressionEvaluator(labelCol=label, metricName="mae")
 
 
-@dataclass
-class CrossValidated:
-    """Mean metric of each grid point over the folds, and which point is best."""
-    grid: list
-    metrics: list[list[float]]
-    larger_is_better: bool
-
-    @property
-    def means(self) -> list[float]:
-        return [sum(m) / len(m) for m in self.metrics]
-
-    @property
-    def best(self) -> int:
-        means = self.means
-        return means.index(max(means) if self.larger_is_better else min(means))
-
-
 def fold_of(key: str, folds: int):
-    """Fold of a row by a hash of its key: the same rows whatever the partitioning."""
-    return F.pmod(F.xxhash64(F.lit("fold"), F.col(key)), F.lit(folds)).cast("int")
-
-
-def cross_validate(stages: list, est, grid, ev, train: DataFrame, key: str, folds: int = 5,
-                   parallelism: int = 4) -> CrossValidated:
-    """k-fold cross-validation of ``est`` over the grid.
-
-    The feature stages are fitted once a fold, on its training part only; features of all rows are written and
-    read back, and every grid point fits the bare estimator on them, ``parallelism`` at a time.
-    """
-    metrics: list[list[float]] = [[] for _ in grid]
-    marked = train.withColumn("_fold", fold_of(key, folds))
-    for k in range(folds):
-        model = Pipeline(stages=list(stages)).fit(marked.where(F.col("_fold") != k))
-        rows = reliable_checkpoint(model.transform(marked).select("_fold", est.getLabelCol(), est.getFeaturesCol()), f"fold-{k}")
-        fit_on, check_on = rows.where(F.col("_fold") != k).cache(), rows.where(F.col("_fold") == k).cache()
-
-        def one(point) -> float:
-            return ev.evaluate(est.copy(point).fit(fit_on).transform(check_on))
-
-        with ThreadPool(parallelism) as pool:
-            for i, value in enumerate(pool.map(inheritable_thread_target(one), grid)):
-                metrics[i].append(value)
-        fit_on.unpersist()
-        check_on.unpersist()
-    return CrossValidated(list(grid), metrics, ev.isLargerBetter())
-
-
-def grid_report(spark: SparkSession, done: CrossValidated, model_name: str) -> DataFrame:
-    """(model, grid_point, params, metric, folds, is_best): the cross-validation table as a DataFrame."""
-    rows = [(model_name, i, ", ".join(f"{p.name}={v}" for p, v in sorted(pm.items(), key=lambda kv: kv[0].name)),
-             float(mean), len(done.metrics[i]), i == done.best)
-            for i, (pm, mean) in enumerate(zip(done.grid, done.means))]
-    return spark.createDataFrame(rows, "model string, grid_point bigint, params string, metric double, folds bigint, is_best boolean")
+    """Fold of a row by a hash of its key (the first 32 bits of an md5): the same rows whatever the partitioning."""
+    bits = F.conv(F.substring(F.md5(F.concat(F.lit("fold"), F.col(key).cast("string"))), 1, 8), 16, 10).cast("bigint")
+    return F.coalesce(bits % folds, F.lit(0)).cast("int")
 
 
 def feature_names(df: DataFrame, features_col: str = "features") -> list[str]:

@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scholarspark.operators import evaluate, learn
+from scholarspark.operators import evaluate, learn, selection
 from scholarspark.operators.embed import DEFAULT_DIM, embed_text
 from scholarspark.operators.features import (attach_vectors, classification_frame, feature_pipeline, hash_bucket,
                                              prepare, regression_frame, split_by_key)
@@ -112,28 +112,60 @@ def _train_frames(spark, sf_dir, kind):
     return df.where(F.col("split") == "train"), df.where(F.col("split") == "test")
 
 
-def _cv(spark: SparkSession, sf_dir: str, kind: str, name: str, label: str, title: str,
-        only: dict | None = None) -> DataFrame:
-    """Every point of the project's grid (those with the values of ``only``), five folds - grid report."""
-    train, _ = _train_frames(spark, sf_dir, kind)
+#: Grid -> kind of model, label and title.
+GRIDS = {
+    "logistic": ("classification", "label", "LogisticRegression"), "svc": ("classification", "label", "LinearSVM"),
+    "rf_classifier": ("classification", "label", "RandomForest"), "glm_tweedie": ("regression", "cit1year", "LinearGM"),
+    "rf_regressor": ("regression", "cit1year", "RandomForestRegressor"),
+}
+
+
+def cv_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which fold each training record is checked in."""
+    train, _ = _train_frames(spark, sf_dir, "classification")
+    return tidy(train.select("doi", learn.fold_of("doi", FOLDS).alias("fold")))
+
+
+def _selection(spark: SparkSession, train: DataFrame, kind: str) -> str:
+    return selection.selection_path(spark, f"{kind}-{selection.content_name(train)}")
+
+
+def _filled(spark: SparkSession, train: DataFrame, name: str, only: dict | None = None) -> str:
+    """The selection over the training rows, with the metrics of all points of a grid (that have the values of ``only``)."""
+    kind, label, _ = GRIDS[name]
     est = learn.estimator(name, label=label)
-    grid = learn.param_grid(est, name, only)
-    done = learn.cross_validate(feature_pipeline(kind).getStages(), est, grid, learn.evaluator(kind, label), train, "doi",
-                                folds=FOLDS)
-    return learn.grid_report(spark, done, title)
+    grid = learn.param_grid(est, name)
+    points = [i for i, p in enumerate(grid) if all(p[est.getParam(k)] == v for k, v in (only or {}).items())]
+    path = _selection(spark, train, kind)
+    selection.fill_metrics(spark, path, name, feature_pipeline(kind).getStages(), est, grid, learn.evaluator(kind, label), train, "doi",
+                           FOLDS, points)
+    return path
+
+
+def _cv(spark: SparkSession, sf_dir: str, name: str, only: dict | None = None) -> DataFrame:
+    """The project's grid (the points with the values of ``only``), five folds: mean metric of each point. Whole grids
+    also say which point is best."""
+    kind, _, title = GRIDS[name]
+    train, _ = _train_frames(spark, sf_dir, kind)
+    metrics = selection.read_metrics(spark, _filled(spark, train, name, only)).where(F.col("grid") == name)
+    out = selection.rank_points(metrics, FOLDS).select(
+        F.lit(title).alias("model"), F.col("point").cast("bigint").alias("grid_point"), "params", "metric", "folds", "is_best")
+    for k, v in (only or {}).items():
+        out = out.where(F.col("params").contains(f"{k}={v},")).drop("is_best")
+    return out
 
 
 def cv_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cv(spark, sf_dir, "classification", "logistic", "label", "LogisticRegression")
+    return _cv(spark, sf_dir, "logistic")
 
 
 def cv_grid_svc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cv(spark, sf_dir, "classification", "svc", "label", "LinearSVM")
+    return _cv(spark, sf_dir, "svc")
 
 
 def cv_grid_rf(spark: SparkSession, sf_dir: str, depth: int = 3) -> DataFrame:
-    """The forest's grid is three queries, one a depth; together they hold every point."""
-    return _cv(spark, sf_dir, "classification", "rf_classifier", "label", "RandomForest", {"maxDepth": depth})
+    """The forest's grid is filled by three queries, one a depth; ``cv_best`` ranks the whole of it."""
+    return _cv(spark, sf_dir, "rf_classifier", {"maxDepth": depth})
 
 
 def cv_grid_rf_depth5(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,12 +177,12 @@ def cv_grid_rf_depth8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cv_grid_glm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _cv(spark, sf_dir, "regression", "glm_tweedie", "cit1year", "LinearGM")
+    return _cv(spark, sf_dir, "glm_tweedie")
 
 
 def cv_grid_rfr(spark: SparkSession, sf_dir: str, depth: int = 2) -> DataFrame:
     """As ``cv_grid_rf``."""
-    return _cv(spark, sf_dir, "regression", "rf_regressor", "cit1year", "RandomForestRegressor", {"maxDepth": depth})
+    return _cv(spark, sf_dir, "rf_regressor", {"maxDepth": depth})
 
 
 def cv_grid_rfr_depth5(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,6 +193,25 @@ def cv_grid_rfr_depth10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cv_grid_rfr(spark, sf_dir, 10)
 
 
+def _best(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
+    """One row a grid: the best point over the whole of it. Fits what no query has fitted yet."""
+    train, _ = _train_frames(spark, sf_dir, kind)
+    names = [n for n, (k, _, _) in GRIDS.items() if k == kind]
+    for name in names:
+        path = _filled(spark, train, name)
+    titles = F.create_map(*[F.lit(x) for n in names for x in (n, GRIDS[n][2])])
+    return selection.rank_points(selection.read_metrics(spark, path), FOLDS).where("is_best").select(
+        titles[F.col("grid")].alias("model"), F.col("point").cast("bigint").alias("grid_point"), "params", "metric", "folds")
+
+
+def cv_best_cls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _best(spark, sf_dir, "classification")
+
+
+def cv_best_reg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _best(spark, sf_dir, "regression")
+
+
 def importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Random-forest importances, named from the assembled vector's metadata."""
     train, _ = _train_frames(spark, sf_dir, "classification")
@@ -171,44 +222,37 @@ def importances(spark: SparkSession, sf_dir: str) -> DataFrame:
     return learn.importances(spark, model, feats, "RandomForest")
 
 
+def _compared(spark: SparkSession, sf_dir: str, kind: str, columns: list) -> DataFrame:
+    """Predictions of the selected models, refitted on the training rows and loaded from where they are kept, on train and test."""
+    train, test = _train_frames(spark, sf_dir, kind)
+    names = [n for n, (k, _, _) in GRIDS.items() if k == kind]
+    for name in names:
+        path = _filled(spark, train, name)
+        est = learn.estimator(name, label=GRIDS[name][1])
+        selection.fit_selected(spark, path, name, feature_pipeline(kind).getStages(), est, learn.param_grid(est, name), train, FOLDS)
+    return selection.score_stored(spark, path, {"Train": train, "Test": test}, columns, {n: GRIDS[n][2] for n in names}, FOLDS)
+
+
 def model_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fit two classifiers on the training split; Accuracy/F1/ROC on train and test (one metric pass)."""
-    from pyspark.ml import Pipeline
-    train, test = _train_frames(spark, sf_dir, "classification")
-    stages = feature_pipeline("classification").getStages()
-    parts = []
-    for name, est in (("LogisticRegression", learn.estimator("logistic").setRegParam(0.1).setMaxIter(25)),
-                      ("LinearSVM", learn.estimator("svc").setRegParam(0.1).setMaxIter(20)),
-                      ("RandomForest", learn.estimator("rf_classifier").setMaxDepth(5).setNumTrees(100)
-                       .setMinInstancesPerNode(2).setFeatureSubsetStrategy("sqrt"))):
-        model = Pipeline(stages=stages + [est]).fit(train)
-        for ds, frame in (("Train", train), ("Test", test)):
-            parts.append(model.transform(frame).select(
-                F.lit(name).alias("Model"), F.lit(ds).alias("Dataset"), "label", "prediction",
-                evaluate.positive_score("rawPrediction").alias("score")))
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
-    # predictions are scored once and materialised; every metric reads them from there
-    return tidy(evaluate.classification_table(reliable_checkpoint(scored, "predictions")))
+    """Accuracy, F1 and ROC of the classifiers that cross-validation selected, on train and test."""
+    columns = ["doi", "label", "prediction", evaluate.positive_score("rawPrediction").alias("score")]
+    return tidy(evaluate.classification_table(_compared(spark, sf_dir, "classification", columns)))
 
 
 def regression_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from pyspark.ml import Pipeline
-    train, test = _train_frames(spark, sf_dir, "regression")
-    stages = feature_pipeline("regression").getStages()
-    parts = []
-    for name, est in (("LinearGM", learn.estimator("glm_tweedie", label="cit1year").setRegParam(0.01).setMaxIter(50)),
-                      ("RandomForest", learn.estimator("rf_regressor", label="cit1year").setNumTrees(25)
-                       .setMaxDepth(5).setMinInstancesPerNode(2).setFeatureSubsetStrategy("sqrt"))):
-        model = Pipeline(stages=stages + [est]).fit(train)
-        for ds, frame in (("Train", train), ("Test", test)):
-            parts.append(model.transform(frame).select(F.lit(name).alias("Model"), F.lit(ds).alias("Dataset"),
-                                                       "cit1year", "prediction"))
-    scored = parts[0]
-    for p in parts[1:]:
-        scored = scored.unionByName(p)
-    return tidy(evaluate.regression_table(reliable_checkpoint(scored, "predictions"), "cit1year"))
+    """MAE, RMSE and R2 of the selected regression models, on train and test."""
+    return tidy(evaluate.regression_table(_compared(spark, sf_dir, "regression", ["doi", "cit1year", "prediction"]), "cit1year"))
+
+
+def metric_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The long metric table with one column a metric, a row for each model and dataset."""
+    return tidy(evaluate.pivot_metrics(evaluate.regression_table(scored_regression(spark, sf_dir), "cit1year"), ["MAE", "RMSE", "R2"]))
+
+
+def one_metric(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One metric out of the long table."""
+    table = evaluate.classification_table(scored_classification(spark, sf_dir))
+    return tidy(table.where(F.col("Metric") == "F1").select("Model", "Dataset", "Value"))
 
 
 QUERIES = {
@@ -220,6 +264,9 @@ QUERIES = {
     "roc_points": roc_points,
     "auc": auc,
     "actual_vs_predicted": actual_vs_predicted,
+    "metric_pivot": metric_pivot,
+    "one_metric": one_metric,
+    "cv_folds": cv_folds,
     "cv_grid": cv_grid,
     "cv_grid_svc": cv_grid_svc,
     "cv_grid_rf": cv_grid_rf,
@@ -229,6 +276,8 @@ QUERIES = {
     "cv_grid_rf_depth8": cv_grid_rf_depth8,
     "cv_grid_rfr_depth5": cv_grid_rfr_depth5,
     "cv_grid_rfr_depth10": cv_grid_rfr_depth10,
+    "cv_best_cls": cv_best_cls,
+    "cv_best_reg": cv_best_reg,
     "importances": importances,
     "model_compare": model_compare,
     "regression_compare": regression_compare,

@@ -118,6 +118,18 @@ SELECT Model, Dataset, 'MAE' AS Metric, round(mae, 6) AS Value FROM m
 UNION ALL SELECT Model, Dataset, 'RMSE', round(rmse, 6) FROM m
 UNION ALL SELECT Model, Dataset, 'R2', round(r2, 6) FROM m""",
 
+    "metric_pivot": SCORED_REG + """
+SELECT Model, Dataset, round(avg(abs(cit1year - prediction)), 6) AS MAE,
+  round(sqrt(avg((cit1year - prediction) ^ 2)), 6) AS RMSE,
+  round(1 - sum((cit1year - prediction) ^ 2) / (count(*) * var_pop(cit1year)), 6) AS R2
+FROM sp GROUP BY Model, Dataset""",
+
+    "one_metric": SCORED_CLS + F1_CTE + """
+SELECT Model, Dataset, round(f1, 6) AS Value FROM af""",
+
+    "cv_folds": ML_BASE + _ml("classification") + """
+SELECT doi, (('0x' || substr(md5('fold' || doi), 1, 8))::UBIGINT % 5)::BIGINT AS fold FROM ml WHERE split = 'train'""",
+
     "actual_vs_predicted": SCORED_REG + """
 SELECT Model, doi, round(cit1year, 6) AS cit1year, round(prediction, 6) AS prediction FROM sp WHERE Dataset = 'test'""",
 }
