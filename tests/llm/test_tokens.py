@@ -12,7 +12,7 @@ import tiktoken
 from tokenizers import Tokenizer
 
 from odd_tables import no_docs, odd_docs  # noqa: F401
-from scholarspark.llm import bpe, token_counts, token_files
+from scholarspark.llm import bpe, chunk_ids, token_counts, token_files
 from scholarspark.session import shared_path
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -32,6 +32,37 @@ def test_transducer_equals_merging(machine):
     assert len(machine.states) <= 3000
 
 
+def test_many_at_once_equals_merging(machine):
+    """Batches through the numpy transitions, tables emptied on the way, long pieces and single bytes among them."""
+    rng = random.Random(6)
+    small = bpe.Transducer(machine.ranks, max_states=500)
+    for _ in range(30):
+        pieces = [bytes(rng.choice(b"abcdeinrst the\xc3\xa9\xff") for _ in range(rng.choice([1, 5, 12, 63, 64, 65, 300]))) for _ in range(40)]
+        ids, counts = small.encode_many(pieces)
+        want = [bpe.merge_bytes(machine.ranks, p) for p in pieces]
+        assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert small.encode_many([])[0].tolist() == []
+
+
+def test_chunks_equal_whole_texts(monkeypatch):
+    """Chunks kept, forgotten, cut out of long texts, of odd white space and separators: as the libraries encode the whole text."""
+    rng = random.Random(2)
+    parts = ["a", "the", "ing", " ", "  ", "\n", "\r\n", "\t", "\x0b", "\x1c", "\x85", "\u2003", "\xa0", "é", "漢", "😀", "'s", "'LL", "12",
+             "!!", "?", "_", "<|endoftext|>", "x" * 70, "\u0301"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(1500)] + ["", None, "z" * 3000 + " " + "ab " * 2000]
+    monkeypatch.setattr(chunk_ids, "CHARS", 500)
+    own = bpe.chunk_encoder(bpe.read_ranks(RANKS), public_tokenizers.PATTERN)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    library, tok = token_files.library_encoder(path, public_tokenizers.PATTERN), Tokenizer.from_file(path)
+    own.chunks.most_strings = library.chunks.most_strings = 300
+    want = expected_ids(texts)
+    for encoder, ids_of in ((own, want.__getitem__), (library, lambda t: tok.encode(t or "", add_special_tokens=False).ids)):
+        for first in range(0, len(texts), 100):
+            ids, counts = encoder.encode(texts[first:first + 100])
+            expected = [ids_of(t) for t in texts[first:first + 100]]
+            assert counts.tolist() == [len(e) for e in expected] and ids.tolist() == [i for e in expected for i in e]
+
+
 def test_lookahead_is_bounded(machine):
     data = b"antidisestablishmentarianism" * 40
     assert machine.encode(data, window=64) == machine.encode(data, window=10 ** 9)
@@ -56,7 +87,9 @@ def expected_ids(text):
 def test_encode_decode(odd_docs):
     ids = bpe.encode_documents(odd_docs, RANKS, public_tokenizers.PATTERN)
     assert ids.columns == ["doc_id", "n_tokens", "ids"]
-    rows = bpe.decode_documents(ids, RANKS, block=8).collect()
+    rows = bpe.decode_documents(ids.withColumn("decoded", ids["n_tokens"]), RANKS, block=8).collect()
+    once = bpe.encode_documents(odd_docs, RANKS, public_tokenizers.PATTERN, decoded=True).collect()
+    assert sorted(map(tuple, once), key=repr) == sorted(map(tuple, rows), key=repr)
     texts = [r["text"] for r in odd_docs.collect()]
     want = expected_ids(texts)
     got = sorted((r["n_tokens"], hashlib.sha256(r["ids"]).hexdigest(), r["decoded"]) for r in rows)
