@@ -12,17 +12,21 @@ from scholarspark.operators.features import feature_pipeline
 from scholarspark.operators.records import export_table, write_csv
 from scholarspark.plans.common import derived_preprints, recoded_export, tidy
 from scholarspark.plans.learning import _train_frames
+from scholarspark.plans.stats import analysis_frame
 from scholarspark.schemas import EXPORT
-from scholarspark.session import shared_path
+from scholarspark.session import reliable_checkpoint, shared_path
 from scholarspark.sources.tables import read_csv, read_table
 
-FAMD_NUMERIC = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
-FAMD_CATEGORICAL = ["l_returnflag", "l_linestatus"]
+#: Active variables of the analysis frame, and the supplementary one.
+FAMD_NUMERIC = ["titleLength", "abstractLength", "numberAuthorsLog"]
+FAMD_CATEGORICAL = ["server", "category_grouped", "publiStatus_binary", "month_upload"]
+FAMD_SUPPLEMENTARY = ["cit1year"]
+ELLIPSE_GROUPS = ["server", "publiStatus_binary"]
 
 
 def _famd(spark, sf_dir):
-    li = read_table(spark, sf_dir, "lineitem", FAMD_NUMERIC + FAMD_CATEGORICAL)
-    return li, famd_ops.fit_famd(li, FAMD_NUMERIC, FAMD_CATEGORICAL)
+    frame = analysis_frame(spark, sf_dir)
+    return frame, famd_ops.fit_famd(frame, FAMD_NUMERIC, FAMD_CATEGORICAL)
 
 
 def famd(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,10 +39,28 @@ def famd_contrib(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(famd_ops.contributions(spark, model, 3))
 
 
+def famd_gram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cells of the matrix that is decomposed."""
+    return tidy(famd_ops.gram_cells(analysis_frame(spark, sf_dir), FAMD_NUMERIC, FAMD_CATEGORICAL))
+
+
 def famd_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li, model = _famd(spark, sf_dir)
-    coords = famd_ops.coordinates(li, model, ["l_returnflag"], 2)
-    return tidy(famd_ops.group_ellipses(coords, "l_returnflag"))
+    """Confidence ellipses of the individuals on the first two axes, by server and by publication status."""
+    frame, model = _famd(spark, sf_dir)
+    coords = reliable_checkpoint(famd_ops.coordinates(frame, model, ELLIPSE_GROUPS, 2), "famd-coordinates")
+    return tidy(famd_ops.confidence_ellipses(coords, ELLIPSE_GROUPS))
+
+
+def famd_supplementary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Correlation of the supplementary variable with the first axes."""
+    frame, model = _famd(spark, sf_dir)
+    coords = famd_ops.coordinates(frame, model, FAMD_SUPPLEMENTARY, 3)
+    return tidy(famd_ops.supplementary(coords, FAMD_SUPPLEMENTARY, [], 3))
+
+
+def export_ellipses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confidence ellipses of two analysis variables by server and by publication status."""
+    return tidy(famd_ops.confidence_ellipses(analysis_frame(spark, sf_dir), ELLIPSE_GROUPS, "abstractLength", "numberAuthorsLog"))
 
 
 def density_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,6 +105,9 @@ QUERIES = {
     "famd": famd,
     "famd_contrib": famd_contrib,
     "famd_groups": famd_groups,
+    "famd_gram": famd_gram,
+    "famd_supplementary": famd_supplementary,
+    "export_ellipses": export_ellipses,
     "density_grid": density_grid,
     "csv_roundtrip": csv_roundtrip,
     "ordered_status": ordered_status,
