@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scholarspark.functions.text import clean_text, merged_text, normalised_tokens, sentence_split
+from scholarspark.operators.search import with_once
 
 # UDF code from this module is shipped to Python workers by value, so executors do not
 # need the package installed (the driver may run from anywhere).
@@ -93,11 +94,13 @@ def embed_text(df: DataFrame, id_col: str, text_cols: list[str], embedder: Calla
     text = F.col(text_cols[0]) if len(text_cols) == 1 else merged_text(text_cols[0], text_cols[1])
     loader = embedder or (lambda: HashingEmbedder(dim))
     udf = model_udf(loader, dim, batch_size)
-    prepped = df.select(F.col(id_col), prepared_text(text, pooling).alias("_txt"))
+    prepped = with_once(df.select(F.col(id_col), text.alias("_raw")), prepared_text(F.col("_raw"), pooling), "_txt")
     n_tok = F.when(F.col("_txt").isNull(), None).when(F.col("_txt") == "", 0) \
         .otherwise(F.size(F.split("_txt", " ")))
-    return prepped.select(id_col, n_tok.alias("n_tokens"),
-                          F.when(F.col("_txt").isNotNull(), udf(F.coalesce("_txt", F.lit("")))).alias(out_col))
+    scored = prepped.select(id_col, n_tok.alias("n_tokens"), F.col("_txt").isNotNull().alias("_some"),
+                            udf(F.coalesce("_txt", F.lit(""))).alias("_vec"))
+    # behind the barrier the vector is a column like any other: what uses it does not call the model again
+    return with_once(scored, F.when(F.col("_some"), F.col("_vec")), out_col).select(id_col, "n_tokens", out_col)
 
 
 def sentence_vectors(df: DataFrame, id_col: str, text_cols: list[str], embedder: Callable[[], Callable] | None = None,
@@ -112,9 +115,10 @@ def sentence_vectors(df: DataFrame, id_col: str, text_cols: list[str], embedder:
     loader = embedder or (lambda: HashingEmbedder(dim))
     udf = model_udf(loader, dim, batch_size)
     sent = df.select(F.col(id_col), F.posexplode(sentence_split(text)).alias("sentence_idx", "_s"))
-    prepped = sent.select(id_col, "sentence_idx", F.array_join(normalised_tokens(F.col("_s")), " ").alias("_txt"))
+    prepped = with_once(sent, F.array_join(normalised_tokens(F.col("_s")), " "), "_txt")
     n_tok = F.when(F.col("_txt") == "", 0).otherwise(F.size(F.split("_txt", " ")))
-    return prepped.select(id_col, "sentence_idx", n_tok.alias("n_tokens"), udf(F.col("_txt")).alias(out_col))
+    scored = prepped.select(id_col, "sentence_idx", n_tok.alias("n_tokens"), udf(F.col("_txt")).alias("_vec"))
+    return with_once(scored, F.col("_vec"), out_col).select(id_col, "sentence_idx", "n_tokens", out_col)
 
 
 def mean_vectors(df: DataFrame, vec_col: str, group_cols: list[str]) -> DataFrame:

@@ -10,9 +10,9 @@ Two phrase strategies:
   test on the space-padded normalised text, which is computed once per row; the phrase side
   is a literal that Catalyst constant-folds. One narrow pass, no shuffle.
 * ``phrase_join``: a phrase *table* that grows with the data (e.g. every benchmark
-  passage). Documents are cut into positional bigrams (unigrams for one-token phrases)
-  and equi-joined to the phrase bigrams; a candidate start position is a match when all
-  ``m-1`` bigrams of the phrase line up. No document x phrase cross product is formed and
+  passage). Each phrase is anchored at the bigram that fewest phrases hold (its token, if it has only
+  one), so common bigrams find no candidates; where an anchor stands in a document, the document's
+  tokens around it are compared with the phrase's. No document x phrase cross product is formed and
   no prefix of either text is used: every position of every text takes part.
 """
 
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scholarspark.functions.text import padded, tokens
+from scholarspark.session import reliable_checkpoint
 
 BM25_K1 = 1.2
 BM25_B = 0.75
@@ -80,43 +81,57 @@ def indexed_fields_query(index: DataFrame, fields: list[str], phrases: list[str]
     return index.withColumn("n_clauses_matched", n).where(F.col("n_clauses_matched") >= 1)
 
 
-def _doc_grams(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    # tokens are projected once; the lambda then indexes the materialised array
-    t = docs.select(F.col(id_col).alias("doc_id"), tokens(F.col(text_col)).alias("toks"))
-    toks = F.col("toks")
-    grams = F.transform(toks, lambda tok, i: F.struct(
-        i.alias("pos"), tok.alias("uni"),
-        F.concat(tok, F.lit(" "), F.get(toks, i + 1)).alias("bi")))
-    return t.select("doc_id", F.inline(grams))
+#: Anchors up to so many are literals of the plan, tested where a document is scanned; more are joined.
+INLINE_ANCHORS = 5_000
 
 
-def _phrase_grams(phrases: DataFrame, pid_col: str, text_col: str) -> DataFrame:
-    toks = tokens(F.col(text_col))
-    ph = phrases.select(F.col(pid_col).alias("phrase_id"), toks.alias("ptoks")).where(F.size("ptoks") > 0)
+def phrase_anchors(phrases: DataFrame, pid_col: str, text_col: str) -> DataFrame:
+    """(phrase_id, ptoks, offset, gram): for each phrase its bigram that fewest phrases hold (of equals the longest, then the
+    first), and where it stands; the token of a phrase of one. Phrases without a token are left out."""
+    ph = phrases.select(F.col(pid_col).alias("phrase_id"), tokens(F.col(text_col)).alias("ptoks")).where(F.size("ptoks") > 0)
     m = F.size("ptoks")
     grams = F.when(m == 1, F.array(F.struct(F.lit(0).alias("offset"), F.get("ptoks", 0).alias("gram"))))\
         .otherwise(F.transform(F.slice("ptoks", 1, m - 1),
                                lambda t, i: F.struct(i.alias("offset"),
                                                      F.concat(t, F.lit(" "), F.get(F.col("ptoks"), i + 1)).alias("gram"))))
-    return ph.select("phrase_id", m.alias("m"), F.inline(grams))
+    one = ph.select("phrase_id", "ptoks", F.inline(grams))
+    held = one.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    best = F.min(F.struct("n", (-F.length("gram")).alias("long"), "offset", "gram"))
+    return (one.join(held, "gram").groupBy("phrase_id", "ptoks").agg(best.alias("best"))
+               .select("phrase_id", "ptoks", "best.offset", "best.gram"))
+
+
+def _gram_positions(toks: Column, single: bool) -> Column:
+    """(pos, gram) of all bigrams of a token array, and of all tokens if there are phrases of one."""
+    pairs = F.transform(F.slice(toks, F.lit(1), F.greatest(F.size(toks) - 1, F.lit(0))),
+                        lambda t, i: F.struct(i.alias("pos"), F.concat(t, F.lit(" "), F.get(toks, i + 1)).alias("gram")))
+    return F.concat(pairs, F.transform(toks, lambda t, i: F.struct(i.alias("pos"), t.alias("gram")))) if single else pairs
 
 
 def phrase_join(docs: DataFrame, id_col: str, text_col: str,
-                phrases: DataFrame, pid_col: str, ptext_col: str) -> DataFrame:
-    """(doc_id, phrase_id, occurrences) for every phrase of a phrase table found in a document."""
-    dg = _doc_grams(docs, id_col, text_col)
-    pg = _phrase_grams(phrases, pid_col, ptext_col)
-    single = pg.where(F.col("m") == 1)
-    multi = pg.where(F.col("m") > 1)
-    one = (dg.join(single, dg["uni"] == single["gram"])
-           .select("doc_id", "phrase_id", F.col("pos").alias("start"), F.lit(1).alias("need")))
-    many = (dg.where(F.col("bi").isNotNull()).join(multi, dg["bi"] == multi["gram"])
-            .select("doc_id", "phrase_id", (F.col("pos") - F.col("offset")).alias("start"),
-                    (F.col("m") - 1).alias("need")))
-    starts = (one.unionByName(many)
-              .groupBy("doc_id", "phrase_id", "start", "need").agg(F.count(F.lit(1)).alias("got"))
-              .where(F.col("got") == F.col("need")))
-    return starts.groupBy("doc_id", "phrase_id").agg(F.count(F.lit(1)).alias("occurrences"))
+                phrases: DataFrame, pid_col: str, ptext_col: str, inline: int = INLINE_ANCHORS) -> DataFrame:
+    """(doc_id, phrase_id, occurrences) for every phrase of a phrase table found in a document.
+
+    Up to ``inline`` distinct anchors the documents are scanned once: positions that hold no anchor are dropped inside the
+    row, what is left carries the tokens. Beyond that positions are joined to anchors by gram, and the candidates to the
+    documents' tokens by id (ids must then be unique).
+    """
+    spark = docs.sparkSession
+    anchors = reliable_checkpoint(phrase_anchors(phrases, pid_col, ptext_col), "phrase-anchors")
+    few = [r["gram"] for r in anchors.select("gram").distinct().limit(inline + 1).collect()]
+    if not few:
+        return spark.createDataFrame([], anchors.schema).select(F.lit(None).cast(docs.schema[id_col].dataType).alias("doc_id"), "phrase_id",
+                                                                F.lit(0).cast("bigint").alias("occurrences"))
+    single = not anchors.where(F.size("ptoks") == 1).isEmpty()
+    toks = with_once(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col)), tokens(F.col(text_col)), "toks").select("doc_id", "toks")
+    places = _gram_positions(F.col("toks"), single)
+    if len(few) <= inline:
+        found = toks.select("doc_id", "toks", F.inline(F.filter(places, lambda g: g["gram"].isin(few)))).join(anchors, "gram")
+    else:
+        found = toks.select("doc_id", F.inline(places)).join(anchors, "gram").join(toks.where(F.col("doc_id").isNotNull()), "doc_id")
+    start = F.col("pos") - F.col("offset")
+    holds = (start >= 0) & (F.slice("toks", F.greatest(start, F.lit(0)) + 1, F.size("ptoks")) == F.col("ptoks"))
+    return found.where(holds).groupBy("doc_id", "phrase_id").agg(F.count(F.lit(1)).alias("occurrences"))
 
 
 def _equals(term: str):
@@ -156,6 +171,41 @@ def bm25(docs: DataFrame, id_col: str, text_col: str, query: str,
     return per_doc.where(any_hit).select("doc_id", sum(parts, F.lit(0.0)).alias("score"))
 
 
+def bm25_phrases(docs: DataFrame, id_col: str, text_col: str, phrases: list[str],
+                 k1: float = BM25_K1, b: float = BM25_B) -> DataFrame:
+    """BM25 score of every document that holds at least one of the phrases (a boolean ``should`` of phrase clauses).
+
+    A clause scores like a term: its frequency is how often the phrase stands in the document (overlaps
+    count), read off the token array, and its weight is the sum of its terms' idf. One narrow projection of the corpus and one
+    aggregate over it for document frequencies, size and mean length; no shuffle of documents.
+    """
+    clauses = [c for c in (list(docs.sparkSession.range(1).select(tokens(F.lit(p))).first()[0]) for p in phrases) if c]
+    terms = sorted({t for c in clauses for t in c})
+    toks = with_once(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col)), tokens(F.col(text_col)), "toks")
+
+    def starts(clause: list[str]) -> Column:
+        def here(t: Column, i: Column) -> Column:
+            ok = t == F.lit(clause[0])
+            for j, term in enumerate(clause[1:], 1):
+                ok = ok & (F.coalesce(F.get(F.col("toks"), i + j), F.lit("")) == F.lit(term))
+            return ok
+        return F.size(F.filter("toks", here))
+
+    per_doc = toks.select("doc_id", F.size("toks").alias("dl"), *[starts(c).alias(f"pf{i}") for i, c in enumerate(clauses)],
+                          *[F.array_contains("toks", t).alias(f"has{i}") for i, t in enumerate(terms)])
+    st = per_doc.select(F.struct(F.count(F.lit(1)).cast("double").alias("n"), F.avg("dl").alias("avgdl"),
+                                 *[F.count_if(f"has{i}").alias(f"df{i}") for i in range(len(terms))]).alias("s")).scalar()
+    n, avgdl = st.getField("n"), st.getField("avgdl")
+    idf = {t: F.ln(F.lit(1.0) + (n - st.getField(f"df{i}") + 0.5) / (st.getField(f"df{i}") + 0.5)) for i, t in enumerate(terms)}
+    score, hit = F.lit(0.0), F.lit(0)
+    for i, c in enumerate(clauses):
+        pf = F.col(f"pf{i}")
+        score = score + F.when(pf > 0, sum((idf[t] for t in c), F.lit(0.0)) * pf * (k1 + 1)
+                               / (pf + k1 * (1 - b + b * F.col("dl") / avgdl))).otherwise(F.lit(0.0))
+        hit = hit + (pf > 0).cast("int")
+    return per_doc.where(hit > 0).select("doc_id", hit.alias("n_clauses_matched"), score.alias("score"))
+
+
 def top_k(scored: DataFrame, k: int, score_col: str = "score", id_col: str = "doc_id") -> DataFrame:
     """Best ``k`` by score (ties by id): a per-partition top-k merged once (TakeOrderedAndProject)."""
     return scored.orderBy(F.desc(F.round(score_col, 9)), F.asc(id_col)).limit(k)

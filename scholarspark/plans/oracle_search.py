@@ -60,6 +60,20 @@ SELECT doc_id, round(score, 6) AS score,
   row_number() OVER (ORDER BY round(score, 9) DESC, doc_id) AS rank
 FROM sc ORDER BY round(score, 9) DESC, doc_id LIMIT {TOP_K}""",
 
+    "bm25_phrases": f"""
+WITH d AS (SELECT doc_id, {toks('text')} AS toks FROM documents),
+st AS (SELECT count(*)::DOUBLE AS n, avg(len(toks)) AS avgdl FROM d),
+cl AS (SELECT c, ptoks FROM (VALUES {', '.join(f"({i}, {toks(_q(p))})" for i, p in enumerate(BOOL_PHRASES))}) v(c, ptoks)),
+terms AS (SELECT DISTINCT unnest(ptoks) AS term FROM cl),
+dfq AS (SELECT term, count(DISTINCT doc_id) FILTER (WHERE hit) AS df FROM (
+  SELECT term, doc_id, list_contains(toks, term) AS hit FROM d, terms) GROUP BY term),
+w AS (SELECT c, any_value(ptoks) AS ptoks, sum(ln(1 + (n - df + 0.5) / (df + 0.5))) AS idf
+      FROM (SELECT c, ptoks, unnest(ptoks) AS term FROM cl) JOIN dfq USING (term), st GROUP BY c),
+pf AS (SELECT doc_id, len(toks) AS dl, c, idf,
+         len(list_filter(range(1, len(toks) - len(ptoks) + 2), lambda i: toks[i:i + len(ptoks) - 1] = ptoks)) AS pf FROM d, w)
+SELECT doc_id, count(*) AS n_clauses_matched, round(sum(idf * pf * 2.2 / (pf + 1.2 * (0.25 + 0.75 * dl / avgdl))), 6) AS score
+FROM pf, st WHERE pf > 0 GROUP BY doc_id ORDER BY round(sum(idf * pf * 2.2 / (pf + 1.2 * (0.25 + 0.75 * dl / avgdl))), 9) DESC, doc_id LIMIT {TOP_K}""",
+
     "subset_semi": f"""WITH {BOOL_HITS}
 SELECT doc_id, quality::BIGINT AS quality, toxic::BIGINT AS toxic FROM labels WHERE doc_id IN (SELECT doc_id FROM hits WHERE n_clauses_matched >= 1)""",
 }

@@ -47,7 +47,8 @@ WHERE i <= len(embedding) GROUP BY label, i""",
 
     "first_sentence_vec": "WITH " + _hashed(f"""f AS (SELECT doc_id, {sentences('text')}[1] AS s FROM documents),
 t AS (SELECT doc_id, {norm_tokens('s')} AS toks FROM f WHERE s IS NOT NULL)""") + """
-SELECT doc_id, dim::BIGINT AS dim, round(sgn / n, 6) AS value FROM g WHERE sgn <> 0""",
+SELECT doc_id, dim::BIGINT AS dim, round(sgn / n, 6) AS value FROM g WHERE sgn <> 0
+UNION ALL SELECT doc_id, 0, 0.0 FROM t WHERE doc_id NOT IN (SELECT doc_id FROM g WHERE dim = 0 AND sgn <> 0)""",
 
     "embed_text": "WITH " + _hashed(f"t AS (SELECT doc_id, {norm_tokens('text')} AS toks FROM documents)") + f""",
 agg AS (SELECT doc_id, sum(sgn / n) AS vs, sqrt(sum((sgn / n) * (sgn / n))) AS vn FROM g GROUP BY doc_id)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from scholarspark.operators.search import bm25, phrase_join, phrase_query, subset_by_hits, top_k
+from scholarspark.operators.search import bm25, bm25_phrases, phrase_join, phrase_query, subset_by_hits, top_k
 from scholarspark.plans.common import r6, tidy
 from scholarspark.sources.tables import read_table
 
@@ -52,6 +52,13 @@ def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(best.select("doc_id", r6(F.col("score")).alias("score"), F.row_number().over(w).alias("rank")))
 
 
+def bm25_phrases_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The thematic phrase query with relevance: the best 10,000 documents."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    best = top_k(bm25_phrases(docs, "doc_id", "text", BOOL_PHRASES), TOP_K)
+    return tidy(best.select("doc_id", "n_clauses_matched", r6(F.col("score")).alias("score")))
+
+
 def subset_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled records restricted to the documents the thematic query finds."""
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
@@ -87,5 +94,6 @@ QUERIES = {
     "indexed_search": indexed_search,
     "search_count": search_count,
     "bm25_topk": bm25_topk,
+    "bm25_phrases": bm25_phrases_topk,
     "subset_semi": subset_semi,
 }

@@ -36,10 +36,10 @@ def vector_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def first_sentence_vec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embedding of each document's first sentence (the default pooling), long form, non-zero slots."""
+    """Embedding of each document's first sentence (the default pooling), long form: the first slot and all that are not zero."""
     d = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     e = embed(d, "doc_id", ["text"], pooling="first_sentence")
-    return tidy(long_vectors(e, ["doc_id"], "embedding").where(F.col("value") != 0))
+    return tidy(long_vectors(e, ["doc_id"], "embedding").where((F.col("value") != 0) | (F.col("dim") == 0)))
 
 
 def embed_text(spark: SparkSession, sf_dir: str) -> DataFrame:

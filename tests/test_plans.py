@@ -55,3 +55,15 @@ def test_text_does_not_travel_through_keep_latest(spark):
         plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
         aggregates = [line for line in plan.splitlines() if "max_by(" in line]
         assert aggregates and not any("abstract#" in line or "title#" in line for line in aggregates), name
+
+
+def test_the_model_runs_once_a_row(spark):
+    for name in ("first_sentence_vec", "embed_text", "sentence_vectors"):
+        p = plan(Q[name](spark, SF001))
+        assert p.count("ArrowEvalPython") == 1, name
+        assert p.count("regexp_replace") <= 4, name
+
+
+def test_phrase_join_scans_the_corpus_once(spark):
+    p = plan(Q["phrase_search"](spark, SF001))
+    assert p.count("documents.parquet") == 1 and "CartesianProduct" not in p and "NestedLoop" not in p

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF01
 from scholarspark.operators.embed import HashingEmbedder, embed_text
-from scholarspark.operators.search import phrase_join, phrase_query
+from scholarspark.operators.search import bm25_phrases, phrase_anchors, phrase_join, phrase_query
 from scholarspark.plans import ingest
 from scholarspark.plans.common import tidy
 
@@ -15,8 +15,44 @@ def test_phrase_join_equals_brute_force(spark):
                                   (2, "a a a b"), (3, "nothing here"), (4, "")], "doc_id long, text string")
     phrases = spark.createDataFrame([(10, "Gene editing"), (11, "a a"), (12, "b"), (13, "here nothing"),
                                      (14, "...")], "pid long, text string")
-    got = sorted(tuple(r) for r in phrase_join(docs, "doc_id", "text", phrases, "pid", "text").collect())
-    assert got == [(1, 10, 3), (2, 11, 2), (2, 12, 1)]
+    for inline in (5000, 0):
+        got = sorted(tuple(r) for r in phrase_join(docs, "doc_id", "text", phrases, "pid", "text", inline=inline).collect())
+        assert got == [(1, 10, 3), (2, 11, 2), (2, 12, 1)]
+    assert phrase_join(docs, "doc_id", "text", phrases.where("pid = 14"), "pid", "text").count() == 0
+
+
+def test_phrases_are_anchored_at_their_rarest_bigram(spark):
+    rng = np.random.default_rng(3)
+    words = ["of", "the", "in", "gene", "cell", "map", "x1", "x2", "x3"]
+    docs = [(i, " ".join(rng.choice(words, 60, p=[.2, .2, .2, .1, .1, .1, .04, .03, .03]))) for i in range(60)]
+    phrases = [(i, " ".join(rng.choice(words, int(rng.integers(1, 5))))) for i in range(40)] + [(98, "of the gene of the"), (99, "of the cell")]
+    frames = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(phrases, "pid long, text string")
+    want = []
+    for d, text in docs:
+        toks = text.split()
+        for p, phrase in phrases:
+            m = phrase.split()
+            n = sum(toks[i:i + len(m)] == m for i in range(len(toks) - len(m) + 1))
+            if n:
+                want.append((d, p, n))
+    for inline in (5000, 3):
+        assert sorted(map(tuple, phrase_join(frames[0], "doc_id", "text", frames[1], "pid", "text", inline=inline).collect())) == want
+    anchors = {r["phrase_id"]: r["gram"] for r in phrase_anchors(frames[1], "pid", "text").collect()}
+    assert anchors[98] != "of the" and anchors[99] != "of the"
+
+
+def test_phrase_relevance(spark):
+    """A clause weighs the idf of its terms and counts overlapping places; by hand for one document."""
+    import math
+    docs = spark.createDataFrame([(1, "a a a b"), (2, "a b"), (3, "c"), (4, None)], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in bm25_phrases(docs, "doc_id", "text", ["a a", "...", "C"]).collect()}
+
+    def idf(df):
+        return math.log(1 + (4 - df + 0.5) / (df + 0.5))
+    avg = (4 + 2 + 1) / 3
+    assert got.keys() == {1, 3}
+    assert abs(got[1] - 2 * idf(2) * 2 * 2.2 / (2 + 1.2 * (0.25 + 0.75 * 4 / avg))) < 1e-9
+    assert abs(got[3] - idf(1) * 2.2 / (1 + 1.2 * (0.25 + 0.75 / avg))) < 1e-9
 
 
 def test_bool_query_counts_clauses(spark):
