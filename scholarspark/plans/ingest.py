@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,7 +12,7 @@ from scholarspark.plans.records import lookup_responses, stripped_target
 from scholarspark.schemas import PAGE
 from scholarspark.session import reliable_checkpoint, shared_path
 from scholarspark.sources.lookups import lookup_table, read_citation_responses, read_metadata_responses
-from scholarspark.sources.pages import land_pages, page_completeness, page_records, read_pages, to_pages
+from scholarspark.sources.pages import harvest_completeness, harvest_gaps, land_pages, page_completeness, page_records, read_pages, to_pages
 from scholarspark.sources.tables import read_table
 from scholarspark.streaming.latest import current_view, keep_latest_stream
 
@@ -46,6 +46,28 @@ def page_completeness_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(page_completeness(_landed_pages(spark, sf_dir), "page_no"))
 
 
+def _harvest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages of one harvest for each server and year, with every defect: pages that are lacking, that came twice, and that
+    begin too early."""
+    recs = raw_preprints(spark, sf_dir).select("server", F.substring("date", 1, 4).alias("interval"), "_id")
+    w = Window.partitionBy("server", "interval")
+    page = F.floor((F.row_number().over(w.orderBy("_id")) - 1) / PAGE_SIZE).alias("page")
+    pages = recs.select("server", "interval", page, F.count(F.lit(1)).over(w).alias("total")).groupBy("server", "interval", "page", "total").agg(
+        F.count(F.lit(1)).alias("loaded")).where("page % 7 <> 3")
+    pages = pages.withColumn("cursor", F.col("page") * PAGE_SIZE - F.when(F.col("page") % 11 == 4, 30).otherwise(0))
+    return pages.select("*", F.explode(F.sequence(F.lit(1), F.when(F.col("page") % 5 == 2, 2).otherwise(1))).alias("time"))
+
+
+def harvest_completeness_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each harvest lacks, has twice and overlaps, against the total it declares."""
+    return tidy(harvest_completeness(_harvest(spark, sf_dir), ["server", "interval"]))
+
+
+def harvest_gaps_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record ranges to fetch again."""
+    return tidy(harvest_gaps(_harvest(spark, sf_dir), ["server", "interval"]))
+
+
 def landed_lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lookup responses landed as JSON, read back and applied to stripped records."""
     target = reliable_checkpoint(stripped_target(spark, sf_dir), "target")
@@ -125,6 +147,8 @@ QUERIES = {
     "json_props": json_props,
     "json_pages": json_pages,
     "page_completeness": page_completeness_q,
+    "harvest_completeness": harvest_completeness_q,
+    "harvest_gaps": harvest_gaps_q,
     "landed_lookups": landed_lookups,
     "landed_export": landed_export,
     "stream_latest": stream_latest,

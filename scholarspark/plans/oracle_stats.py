@@ -145,6 +145,8 @@ SELECT * FROM (SELECT event_id, event_type, round(value, 6) AS value,
 }
 
 
+STATS["profile_batches"] = f'SELECT "column", n_rows, n_null, min, max, mean, stddev, skewness, kurtosis FROM ({STATS["profile"]})'
+
 AF = """
 af AS (SELECT *, CASE WHEN numberAuthors > 0 THEN ln(numberAuthors) END AS numberAuthorsLog FROM recoded
        WHERE abstractLength <> (SELECT max(abstractLength) FROM recoded))"""

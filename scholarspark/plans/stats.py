@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from scholarspark.functions.distributions import chi2_pvalue, f_pvalue, t_pvalue
-from scholarspark.operators import stats
+from scholarspark.operators import sketches, stats
 from scholarspark.plans.common import tidy
+from scholarspark.session import shared_path
 from scholarspark.sources.tables import read_table
 
 LINE_NUMERICS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
@@ -83,6 +84,26 @@ def profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tidy(stats.profile(read_table(spark, sf_dir, "lineitem", cols), cols))
 
 
+def _batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of the profiled columns, kept batch by batch (four parts of the line items)."""
+    cols = LINE_NUMERICS + ["l_orderkey", "l_linenumber"]
+    li = read_table(spark, sf_dir, "lineitem", cols)
+    path = shared_path(spark, "profile-sketches")
+    for k in range(4):
+        table = sketches.append_sketches(li.where(F.col("l_orderkey") % 4 == k), cols, path)
+    return table
+
+
+def profile_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and moments merged from the kept rows of four batches."""
+    return tidy(sketches.merged_moments(_batches(spark, sf_dir)))
+
+
+def profile_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct counts and quartiles estimated from the merged sketches of four batches."""
+    return tidy(sketches.merged_estimates(_batches(spark, sf_dir)))
+
+
 def profile_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ["l_returnflag", "l_linestatus"]
     return tidy(stats.profile_text(read_table(spark, sf_dir, "lineitem", cols), cols))
@@ -205,6 +226,8 @@ QUERIES = {
     "group_sample": group_sample,
     "profile": profile,
     "profile_text": profile_text,
+    "profile_batches": profile_batches,
+    "profile_sketches": profile_sketches,
     "test_pvalues": test_pvalues,
     "export_chi2": export_chi2,
     "export_kruskal": export_kruskal,
