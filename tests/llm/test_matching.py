@@ -1,14 +1,16 @@
 """Decontamination, near-duplicates, suffix index family and the pipeline, against brute force."""
 
+import math
 import random
 import re
+import struct
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from odd_tables import no_docs, odd_docs  # noqa: F401
-from scholarspark.llm import components, decontaminate, lsh_forest, suffix_dedup
+from scholarspark.llm import bpe, components, decontaminate, lsh_forest, suffix_dedup, toxicity
 
 
 def words(rng, n):
@@ -83,7 +85,7 @@ def test_parts_and_groups_change_nothing(contaminated, monkeypatch):
                       for h in r["hits"])
 
     whole = found(long)
-    assert len({(d, k) for d, k, *_ in whole}) > 40
+    assert len({(d, k) for d, k, *_ in whole}) > 30
     monkeypatch.setattr(decontaminate, "BATCH_WORDS", 500)
     assert found(long) == whole
     assert {(d, k) for d, k, *_ in found(docs, at_once=8)} == {(d, k) for d, k, *_ in found(docs)}
@@ -109,7 +111,6 @@ def test_contamination_of_odd_rows(contaminated, odd_docs, no_docs):
 
 
 def test_clashing_columns(spark):
-    from scholarspark.llm import toxicity
     docs = spark.createDataFrame([(i, f"good words number {i} here. " + ("vile " if i % 2 else "nice ") * 3) for i in range(60)] * 2,
                                  "doc_id long, text string").withColumns({c: F.lit(c) for c in ("y", "_id", "_kept", "_rid", "kept", "rid", "row", "_text")})
     labels = spark.createDataFrame([(i, i % 2, 5) for i in range(60)], "doc_id long, toxic int, y int")
@@ -257,14 +258,73 @@ def test_pipeline_stages(spark):
     assert corpus_pipeline.run(spark, sf).columns == ["doc_id", "n_tokens", "ids"]
 
 
+def plain_score(text, weights, bias):
+    """Noisy-or over the sentences, by the definition."""
+    def p(z):
+        return 1 / (1 + math.exp(-z))
+    rest = 1.0
+    for piece in re.split(r"[.!?\n]+", text):
+        found = set(re.findall(r"[^\W_]+", piece.lower()))
+        if found:
+            z = sum(weights.get(f, 0.0) for w in found for f in toxicity.word_features(w))
+            rest *= 1 - p(z + bias)
+    return 1 - rest
+
+
+def plain_contaminated(text, items):
+    """Whether some window around the size of an item holds enough of its words in order."""
+    have = re.findall(r"\w+", text.lower())
+    for item in items:
+        own, answer = re.findall(r"\w+", item.lower()), decontaminate.answer_of(item)
+        if not own:
+            continue
+        for n in {max(1, round(len(own) / 10)), max(2, round(len(own) / 10 + 0.5))}:
+            for at in range(0, len(have), 10):
+                passage = have[max(0, at - len(own) // 2 - 10):at + n * 10 + len(own) // 2 + 10]
+                held = set(passage)
+                if sum(w in held for w in own) < 0.6 * len(own):
+                    continue
+                share = decontaminate.common_subsequence(own, passage) / len(own)
+                if share >= 0.75 or share >= 0.6 and decontaminate.common_subsequence(answer, passage) >= 0.5 * len(answer):
+                    return True
+    return False
+
+
+def test_pipeline_equals_a_plain_chain(spark):
+    """run() against the five stages in plain Python: which documents are left, and their ids."""
+    import corpus_pipeline
+    import public_tokenizers
+    import tiktoken
+    sf = "/root/testdata/sf0.001"
+    docs, labels, items = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels", "benchmark"))
+    weights, bias = toxicity.train_model(docs, labels)
+    rows = sorted((r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect())
+    rows = [r for r in rows if plain_score(r[1], weights, bias) < 0.7]
+    sets = [{tuple(w[k:k + 5]) for k in range(max(1, len(w) - 4))} if (w := re.findall(r"\w+", t.lower())) else {t} for _, t in rows]
+    root = list(range(len(rows)))
+    for a in range(len(rows)):
+        for b in range(a):
+            if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]):
+                old, new = max(root[a], root[b]), min(root[a], root[b])
+                root = [new if r == old else r for r in root]
+    rows = [r for k, r in enumerate(rows) if root[k] == k]                        # ascending ids: the least stays
+    rows = sorted((i, kept.decode("utf-8", "ignore")) for i, kept, _ in brute_spans(rows, corpus_pipeline.PASSAGE_BYTES).elements())
+    texts = [r["text"] for r in items.collect()]
+    rows = [r for r in rows if not plain_contaminated(r[1], texts)]
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    want = [(i, struct.pack(f"<{len(x)}I", *x)) for i, x in ((i, enc.encode_ordinary(t)) for i, t in rows)]
+    assert sorted((r["doc_id"], bytes(r["ids"])) for r in corpus_pipeline.run(spark, sf).collect()) == want and 100 < len(want) < docs.count()
+
+
 def test_pipeline_decodes_what_it_encodes(spark, odd_docs, monkeypatch):
     import corpus_pipeline
     rows = corpus_pipeline.encode(spark, odd_docs, "").collect()
     path = corpus_pipeline.public_tokenizers.path("byte_bpe_50k.tiktoken")
     plain = corpus_pipeline.bpe.encode_documents(odd_docs, path, corpus_pipeline.public_tokenizers.PATTERN)
     assert Counter(map(tuple, rows)) == Counter(map(tuple, plain.collect()))
-    decode = corpus_pipeline.bpe.decode_documents
-    monkeypatch.setattr(corpus_pipeline.bpe, "decode_documents",
-                        lambda df, path: decode(df, path).withColumn("decoded", F.concat("decoded", F.lit("x"))))
+    real = corpus_pipeline.bpe.encode_documents
+    monkeypatch.setattr(corpus_pipeline.bpe, "encode_documents",
+                        lambda *a, **k: real(*a, **k).withColumn("decoded", F.concat("decoded", F.lit("x"))))
     with pytest.raises(Exception, match="differs after encoding"):
         corpus_pipeline.encode(spark, odd_docs, "").collect()
