@@ -50,9 +50,9 @@ def span_months(ts: Column) -> Column:
 
 
 def sort_by_span_desc(citations="citations") -> Column:
-    """Citations ordered by descending parsed timespan (unparseable spans last), not by text."""
-    def cmp(left, right):
-        a, b = span_months(left["timespan"]), span_months(right["timespan"])
-        return (F.when(a.isNull() & b.isNull(), 0).when(a.isNull(), 1).when(b.isNull(), -1)
-                .when(a > b, -1).when(a < b, 1).otherwise(0))
-    return F.array_sort(_col(citations), cmp)
+    """Citations ordered by descending parsed timespan (unparseable spans last, equal ones as they stood), not by text. Each
+    span is parsed once, into the key its citation is sorted by."""
+    def keyed(c: Column, i: Column) -> Column:
+        months = span_months(c["timespan"])
+        return F.struct(months.isNull().alias("unknown"), (-months).alias("order"), i.alias("at"), c.alias("citation"))
+    return F.transform(F.array_sort(F.transform(_col(citations), keyed)), lambda k: k["citation"])
