@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -127,7 +129,9 @@ def cv_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _selection(spark: SparkSession, train: DataFrame, kind: str) -> str:
-    return selection.selection_path(spark, f"{kind}-{selection.content_name(train)}")
+    """Named by the training rows, the grids and the number of folds: none of them may differ."""
+    plan = hashlib.md5(repr((FOLDS, sorted(learn.GRIDS.items()))).encode()).hexdigest()[:8]
+    return selection.selection_path(spark, f"{kind}-{plan}-{selection.content_name(train)}")
 
 
 def _filled(spark: SparkSession, train: DataFrame, name: str, only: dict | None = None) -> str:

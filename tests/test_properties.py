@@ -49,9 +49,11 @@ def test_model_fit_is_deterministic(spark):
     assert max(abs(a - b) for a, b in zip(c1, c2)) < 1e-6
 
 
-def test_best_grid_point_follows_the_evaluator_direction(spark):
+def test_best_grid_point_follows_the_evaluator_direction(spark, monkeypatch):
+    from scholarspark.plans import learning
     from scholarspark.plans.learning import cv_grid_glm, cv_grid_svc
     from conftest import SF001
+    monkeypatch.setattr(learning, "FOLDS", 2)
     for q, pick in ((cv_grid_glm, min), (cv_grid_svc, max)):   # MAE is minimised, AUC maximised
         rows = q(spark, SF001).collect()
         best = [r for r in rows if r.is_best]
