@@ -2,9 +2,9 @@
 
 Terms are the words of the benchmark items (the stated query set: items, their vocabulary and everything of that size are
 sent to the tasks). Their document frequencies are counted over all documents. Passages are runs of blocks of ``BLOCK``
-words; TF-IDF passages are projected to ``RANK`` dimensions by a randomised SVD, whose products with the passage
-matrix are Spark jobs that each task answers with one partial sum. The SVD is fitted on the items and the passages of at most
-``fit_docs`` documents (lowest hash of their text); search and checks cover every word of every text.
+words; TF-IDF passages are projected to ``RANK`` dimensions by a randomised SVD, fitted on the passages of the items and of
+all documents: one job sums the products of the terms that passages share (terms x terms, a partial sum from each core), the products of
+the SVD are jobs over the rows of that matrix. Search and checks cover every word of every text.
 
 Items that a text holds word by word are looked up by a hash of their rarest run of words; none of these is missed.
 Every run of blocks about as long as an item is compared with it by cosine in the latent space. What reaches
@@ -19,6 +19,7 @@ import re
 import sys
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain, repeat
 
 import numpy as np
@@ -36,10 +37,13 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BLOCK = 10
 #: Dimensions; one for every ``ITEMS_PER_RANK`` items if that is more.
 RANK, ITEMS_PER_RANK = 96, 4
-FIT_DOCS = 3_000
 POWER = 2
-#: Weight of an item's passages in the fit, in passages of the sample for each item's share of ``fit_docs``.
+#: Weight of an item's passages in the fit, in passages of documents for each item's share of the documents.
 ITEM_WEIGHT = 10.0
+#: Cells of the terms' products that a task sums in one pass (8 bytes each); more take more passes.
+CELLS = 1 << 23
+#: Words of texts encoded together.
+PACK_WORDS = 200_000
 COSINE = 0.5
 LCS, LOOSE, ANSWER = 0.75, 0.6, 0.5
 #: Bounds of a term's weight in the search.
@@ -87,24 +91,63 @@ def common_subsequence(item: list[str], passage: list[str]) -> int:
     return len(item) - rest.bit_count()
 
 
-def document_frequencies(docs: DataFrame, vocabulary: list[str]) -> tuple[dict[str, int], int]:
-    """Documents that hold each term, and documents in all; one pass, a partial count from each task."""
+def encode_passages(docs: DataFrame, index: dict[str, int], size: int) -> DataFrame:
+    """Term ids of all texts, some texts a row: their number, the ids one behind the other, how many each text and how many each of
+    its passages of ``size`` words holds (int32 in bytes). Words that are no terms are left out."""
+    def pack(texts: list[list[str]]) -> pa.RecordBatch:
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        ids = np.fromiter(map(index.get, chain.from_iterable(texts), repeat(-1)), np.int32, int(lengths.sum()))
+        passages = -(-lengths // size)
+        owner = np.repeat(np.arange(len(texts)), lengths)
+        inside = np.arange(len(ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        passage = inside // size + (np.cumsum(passages) - passages)[owner]
+        known = ids >= 0
+        columns = (ids[known], np.bincount(owner[known], minlength=len(texts)), np.bincount(passage[known], minlength=int(passages.sum())))
+        return pa.RecordBatch.from_arrays([pa.array([len(texts)], pa.int64()),
+                                           *(pa.array([c.astype("<i4").tobytes()], pa.binary()) for c in columns)],
+                                          ["docs", "ids", "per_doc", "per_passage"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        terms, seen, n = frozenset(vocabulary), Counter(), 0
+        held, words = [], 0
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 for text in batch.column(0).slice(at, 512).to_pylist():
-                    n += 1
-                    seen.update(terms.intersection(words_of(text)))
-        yield pa.RecordBatch.from_arrays([pa.array([*seen.keys(), ""], pa.string()), pa.array([*seen.values(), n], pa.int64())],
-                                         ["term", "n"])
+                    held.append(words_of(text))
+                    words += len(held[-1])
+                    if words >= PACK_WORDS:
+                        yield pack(held)
+                        held, words = [], 0
+        if held:
+            yield pack(held)
+
+    return docs.select("text").mapInArrow(run, "docs bigint, ids binary, per_doc binary, per_passage binary")
+
 
-    rows = docs.select("text").mapInArrow(run, "term string, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
-    counts = {r["term"]: r["n"] for r in rows}                      # one entry a term
-    return counts, counts.pop("", 0)
+def _unpacked(row: dict, *columns: str) -> list[np.ndarray]:
+    return [np.frombuffer(row[c], "<i4").astype(np.int64) for c in columns]
 
 
-def term_weights(counts: list[int], n: int, items: list[list[str]], vocabulary: list[str]) -> np.ndarray:
+def document_frequencies(encoded: DataFrame, n_terms: int) -> tuple[np.ndarray, int]:
+    """Documents that hold each term, and documents in all; a partial count from each task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, n = np.zeros(n_terms + 1, np.int64), 0
+        for batch in batches:
+            for row in chain.from_iterable(batch.slice(at, 1).to_pylist() for at in range(batch.num_rows)):
+                ids, per_doc = _unpacked(row, "ids", "per_doc")
+                owner = np.repeat(np.arange(len(per_doc)), per_doc)
+                seen += np.bincount(np.unique(owner * n_terms + ids) % max(1, n_terms), minlength=n_terms + 1)
+                n += row["docs"]
+        seen[n_terms] = n
+        yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(seen)), pa.array(seen[seen > 0])], ["term", "n"])
+
+    rows = encoded.select("docs", "ids", "per_doc").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect()
+    counts = np.zeros(n_terms + 1, np.int64)                        # one entry a term
+    for r in rows:
+        counts[r["term"]] = r["n"]
+    return counts[:n_terms], int(counts[n_terms])
+
+
+def term_weights(counts: np.ndarray, n: int, items: list[list[str]], vocabulary: list[str]) -> np.ndarray:
     """Inverse document frequencies within bounds; a term counts as no more frequent than it is among the other items.
 
     Copies of an item in a large part of the documents make the words they keep frequent, not those they change. Other
@@ -113,7 +156,7 @@ def term_weights(counts: list[int], n: int, items: list[list[str]], vocabulary:
     texts = {tuple(w) for w in items}
     held = Counter(w for t in texts for w in set(t))
     among = np.array([(held[w] - 1) / len(texts) for w in vocabulary])
-    share = np.minimum((np.array(counts) + 0.5) / (n + 1), among)
+    share = np.minimum((counts + 0.5) / (n + 1), among)
     return np.clip(-np.log(np.maximum(share, 1e-9)), LEAST, MOST)
 
 
@@ -139,37 +182,89 @@ def _run_hashes(ids: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def fit_latent(docs: DataFrame, items: list[list[str]], index: dict[str, int], idf: np.ndarray, rank: int,
-               fit_docs: int) -> np.ndarray:
+def shared_terms(encoded: DataFrame, idf: np.ndarray) -> DataFrame:
+    """A'A, A being the normalised TF-IDF passages times the root of their weight: (row, values from the diagonal on, float64 in bytes).
+
+    Each core sums its share of all passages; of a large vocabulary some rows (``CELLS`` cells) at a time.
+    """
+    n, sent = len(idf), np.asarray(idf, float).tobytes()
+    before = np.append(0, np.cumsum(np.arange(n, 0, -1)))           # cells of the rows before each
+    cuts = [0]
+    while cuts[-1] < n:
+        cuts.append(max(cuts[-1] + 1, int(np.searchsorted(before, before[cuts[-1]] + CELLS, "right")) - 1))
+
+    def partial_sums(low: int, high: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            # made here: arrays that were pickled carry types of their own, with which ``add.at`` takes ten times as long
+            own = np.frombuffer(sent)
+            row_at = np.cumsum(np.arange(n, 0, -1)) - n - int(before[low])      # of cell (i, j): row_at[i] + j
+            cells = np.zeros(int(before[high] - before[low]))
+            for batch in batches:
+                for row in chain.from_iterable(batch.slice(at, 1).to_pylist() for at in range(batch.num_rows)):
+                    ids, per_passage = _unpacked(row, "ids", "per_passage")
+                    codes, tf = np.unique(np.repeat(np.arange(len(per_passage)), per_passage) * n + ids, return_counts=True)
+                    passage, terms = np.divmod(codes, n)
+                    x = tf * own[terms]
+                    x *= np.sqrt(row["weight"] / np.maximum(np.bincount(passage, x * x), 1e-30))[passage]
+                    distinct = np.bincount(passage)
+                    first = np.cumsum(distinct) - distinct
+                    for k in np.unique(distinct[distinct > 0]).tolist():       # passages of k distinct terms, ascending
+                        a, b = np.triu_indices(k)
+                        begins = first[distinct == k]
+                        step = max(1, 1_000_000 // len(a))
+                        for at in range(0, len(begins), step):
+                            held = np.arange(k)[:, None] + begins[at:at + step]
+                            t, v = terms[held], x[held]
+                            i, where, value = t[a], row_at[t][a] + t[b], v[a] * v[b]
+                            if high - low < n:
+                                mine = (i >= low) & (i < high)
+                                where, value = where[mine], value[mine]
+                            np.add.at(cells, where.ravel(), value.ravel())
+            for at in range(low, high, 256):
+                rows = [(i, cells[row_at[i] + i:row_at[i] + n]) for i in range(at, min(high, at + 256))]
+                rows = [(i, values.tobytes()) for i, values in rows if values.any()]
+                yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int32()), pa.array([v for _, v in rows], pa.binary())],
+                                                 ["row", "part"])
+        return run
+
+    def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, part in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if i in sums:
+                    sums[i] += np.frombuffer(part)
+                else:
+                    sums[i] = np.frombuffer(part).copy()
+        for i, values in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([values.tobytes()], pa.binary())], ["row", "part"])
+
+    few = encoded.select("ids", "per_passage", "weight").coalesce(max(1, encoded.sparkSession.sparkContext.defaultParallelism))
+    parts = [few.mapInArrow(partial_sums(low, high), "row int, part binary") for low, high in zip(cuts[:-1], cuts[1:])]
+    return reduce(DataFrame.union, parts).repartition("row").mapInArrow(total, "row int, part binary")
+
+
+def fit_latent(encoded: DataFrame, idf: np.ndarray, rank: int) -> np.ndarray:
     """Term vectors (terms x rank): right singular vectors of the TF-IDF passages, by a randomised range finder."""
-    spark = docs.sparkSession
-    hashes = docs.where("text IS NOT NULL").select(F.xxhash64("text").alias("h"))
-    last = [r["h"] for r in hashes.distinct().orderBy("h").limit(fit_docs).collect()][-1:]       # numbers alone are sorted
-    sample = docs.where(F.xxhash64("text") <= F.lit(last[0] if last else 0)).dropDuplicates(["text"])
-    # items weigh as much as the sample, else the space would hold the corpus' common themes alone
-    weight = max(1.0, ITEM_WEIGHT * fit_docs / len(items))
-    own = spark.createDataFrame([(" ".join(w), weight) for w in items], "text string, weight double")
-    sample = reliable_checkpoint(sample.select("text", F.lit(1.0).alias("weight")).union(own).repartition(8), "svd-sample")
-    size = max(2, round(float(np.median([len(w) for w in items])) / BLOCK)) * BLOCK
+    rows = reliable_checkpoint(shared_terms(encoded, idf), "svd-terms").coalesce(8)
 
     def product(right: np.ndarray) -> np.ndarray:
-        """A'A right, A being the normalised passages of the sample."""
+        """A'A right."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = np.zeros(right.shape)
             for batch in batches:
-                for text, weight in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    words = words_of(text)
-                    for at in range(0, len(words), size):
-                        tf = Counter(i for i in (index.get(w, -1) for w in words[at:at + size]) if i >= 0)
-                        if tf:
-                            i = np.fromiter(tf, int)
-                            x = np.fromiter(tf.values(), float) * idf[i]
-                            x /= np.linalg.norm(x)
-                            out[i] += np.outer(weight * x, x @ right[i])
+                for at in range(0, batch.num_rows, 128):
+                    part = batch.slice(at, 128)
+                    i = part.column(0).to_numpy()
+                    upper = np.zeros((len(i), len(right)))
+                    for to, k, values in zip(upper, i, part.column(1).to_pylist()):
+                        to[k:] = np.frombuffer(values)
+                    out[i] += upper @ right
+                    upper[np.arange(len(i)), i] = 0.0
+                    out += upper.T @ right[i]
             yield pa.RecordBatch.from_arrays([pa.array([out.ravel().tobytes()], pa.binary())], ["part"])
 
         total = np.zeros(right.shape)
-        for row in sample.mapInArrow(run, "part binary").toLocalIterator():          # one a task
+        for row in rows.mapInArrow(run, "part binary").toLocalIterator():            # one a task
             total += np.frombuffer(row["part"]).reshape(right.shape)
         return total
 
@@ -351,7 +446,7 @@ HITS = "array<struct<item_id:bigint,cosine:double,lcs:double,answer:double,word:
 
 
 def mark_contamination(df: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id",
-                       item_text: str = "text", rank: int | None = None, fit_docs: int = FIT_DOCS, cosine: float = COSINE,
+                       item_text: str = "text", rank: int | None = None, cosine: float = COSINE,
                        lcs: float = LCS, loose: float = LOOSE, at_once: int = ITEMS) -> DataFrame:
     """``df`` with ``hits``: the benchmark items a text holds, each with cosine, share of the item's words and of its answer's
     in order, and the word where the passage begins. Empty for clean, null and wordless texts.
@@ -366,14 +461,13 @@ def mark_contamination(df: DataFrame, benchmark: DataFrame, text_col: str = "tex
     df = df.drop("hits")
     own, out = df.columns, df.withColumn("hits", F.array().cast(HITS))
     for g in range(groups):
-        out = _mark_group(out, df, [(r["item"], r["text"]) for r in items.where(group == g).collect()], text_col, rank, fit_docs,
+        out = _mark_group(out, df, [(r["item"], r["text"]) for r in items.where(group == g).collect()], text_col, rank,
                           (cosine, lcs, loose))
     by_item = F.array_sort("hits", lambda a, b: F.when(a["item_id"] < b["item_id"], -1).when(a["item_id"] > b["item_id"], 1).otherwise(0))
     return out.select(*own, "hits") if groups == 1 else out.select(*own, by_item.alias("hits"))
 
 
-def _mark_group(df: DataFrame, docs: DataFrame, items: list[tuple], text_col: str, rank: int | None, fit_docs: int,
-                limits: tuple) -> DataFrame:
+def _mark_group(df: DataFrame, docs: DataFrame, items: list[tuple], text_col: str, rank: int | None, limits: tuple) -> DataFrame:
     """Adds the hits of a bounded list of items to the column ``hits``."""
     items = sorted(((i, t) for i, t in items if words_of(t)), key=lambda x: (x[0] is None, x))
     if not items:
@@ -381,11 +475,16 @@ def _mark_group(df: DataFrame, docs: DataFrame, items: list[tuple], text_col: st
     docs = docs.select(F.col(text_col).alias("text"))
     words = [words_of(t) for _, t in items]
     vocabulary = sorted({w for t in words for w in t})
-    counts, n = document_frequencies(docs, vocabulary)
     index = {w: i for i, w in enumerate(vocabulary)}
-    idf = term_weights([counts.get(w, 0) for w in vocabulary], n, words, vocabulary)
+    size = max(2, round(float(np.median([len(w) for w in words])) / BLOCK)) * BLOCK
+    encoded = reliable_checkpoint(encode_passages(docs, index, size), "svd-passages")
+    counts, n = document_frequencies(encoded, len(vocabulary))
+    idf = term_weights(counts, n, words, vocabulary)
     rank = rank or max(RANK, len(items) // ITEMS_PER_RANK)
-    latent = fit_latent(docs, words, index, idf, rank, fit_docs)
+    # items weigh as much as the documents, else the space would hold the corpus' common themes alone
+    weight = max(1.0, ITEM_WEIGHT * n / len(items))
+    own = encode_passages(df.sparkSession.createDataFrame([(" ".join(w),) for w in words], "text string").coalesce(1), index, size)
+    latent = fit_latent(encoded.withColumn("weight", F.lit(1.0)).union(own.withColumn("weight", F.lit(weight))), idf, rank)
     model = df.sparkSession.sparkContext.broadcast((items, index, idf, latent, limits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,6 +6,7 @@ import re
 import struct
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,6 +92,43 @@ def test_parts_and_groups_change_nothing(contaminated, monkeypatch):
     assert {(d, k) for d, k, *_ in found(docs, at_once=8)} == {(d, k) for d, k, *_ in found(docs)}
 
 
+def test_the_space_is_fitted_on_the_passages_of_all_documents(spark, monkeypatch):
+    """More documents than any sample held; rows may repeat, and a large vocabulary takes some rows of the matrix at a time."""
+    rng = random.Random(12)
+    vocabulary = sorted({w for w in words(rng, 60)})
+    index = {w: i for i, w in enumerate(vocabulary)}
+    texts = [" ".join(rng.choice(vocabulary[i % 9:]) if rng.random() < 0.8 else "other" for _ in range(rng.randint(0, 25))) for i in range(3500)]
+    texts += [None, "", "..."] + texts[:50]
+    idf = np.linspace(0.3, 5.0, len(vocabulary))
+    want, frequencies = np.zeros((len(idf), len(idf))), np.zeros(len(idf), int)
+    for text in texts:
+        own = (text or "").split()
+        frequencies[[i for i in range(len(idf)) if vocabulary[i] in own]] += 1
+        for at in range(0, len(own), 20):
+            x = np.zeros(len(idf))
+            for w in own[at:at + 20]:
+                if w in index:
+                    x[index[w]] += idf[index[w]]
+            if x.any():
+                want += 2.0 * np.outer(x, x) / (x @ x)
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+    encoded = decontaminate.encode_passages(docs, index, 20).withColumn("weight", F.lit(2.0))
+    counts, n = decontaminate.document_frequencies(encoded, len(idf))
+    assert n == len(texts) and counts.tolist() == frequencies.tolist()
+
+    def matrix():
+        out = np.zeros(want.shape)
+        for r in decontaminate.shared_terms(encoded, idf).collect():
+            out[r["row"], r["row"]:] += np.frombuffer(r["part"])
+        return out
+
+    assert np.allclose(matrix(), np.triu(want))
+    monkeypatch.setattr(decontaminate, "CELLS", 200)
+    assert np.allclose(matrix(), np.triu(want))
+    latent = decontaminate.fit_latent(encoded, idf, 60)
+    assert np.allclose(latent.T @ want @ latent, np.diag(np.linalg.eigvalsh(want)[::-1][:latent.shape[1]]), atol=1e-6)
+
+
 def test_common_subsequence():
     rng = random.Random(2)
     for _ in range(300):
