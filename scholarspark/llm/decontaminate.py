@@ -19,13 +19,14 @@ import re
 import sys
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholarspark.llm.chunk_ids import spread
@@ -44,6 +45,8 @@ ITEM_WEIGHT = 10.0
 CELLS = 1 << 23
 #: Words of texts encoded together.
 PACK_WORDS = 200_000
+#: Bytes of an Arrow batch while the space is fitted: executor and worker hold one each, some times over.
+BATCH_BYTES = 8 << 20
 COSINE = 0.5
 LCS, LOOSE, ANSWER = 0.75, 0.6, 0.5
 #: Bounds of a term's weight in the search.
@@ -91,6 +94,21 @@ def common_subsequence(item: list[str], passage: list[str]) -> int:
     return len(item) - rest.bit_count()
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Jobs that run within read Arrow batches of about ``BATCH_BYTES``."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def encode_passages(docs: DataFrame, index: dict[str, int], size: int) -> DataFrame:
     """Term ids of all texts, some texts a row: their number, the ids one behind the other, how many each text and how many each of
     its passages of ``size`` words holds (int32 in bytes). Words that are no terms are left out."""
@@ -211,7 +229,7 @@ def shared_terms(encoded: DataFrame, idf: np.ndarray) -> DataFrame:
                     for k in np.unique(distinct[distinct > 0]).tolist():       # passages of k distinct terms, ascending
                         a, b = np.triu_indices(k)
                         begins = first[distinct == k]
-                        step = max(1, 1_000_000 // len(a))
+                        step = max(1, 250_000 // len(a))
                         for at in range(0, len(begins), step):
                             held = np.arange(k)[:, None] + begins[at:at + step]
                             t, v = terms[held], x[held]
@@ -220,8 +238,8 @@ def shared_terms(encoded: DataFrame, idf: np.ndarray) -> DataFrame:
                                 mine = (i >= low) & (i < high)
                                 where, value = where[mine], value[mine]
                             np.add.at(cells, where.ravel(), value.ravel())
-            for at in range(low, high, 256):
-                rows = [(i, cells[row_at[i] + i:row_at[i] + n]) for i in range(at, min(high, at + 256))]
+            for at in range(low, high, 64):
+                rows = [(i, cells[row_at[i] + i:row_at[i] + n]) for i in range(at, min(high, at + 64))]
                 rows = [(i, values.tobytes()) for i, values in rows if values.any()]
                 yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in rows], pa.int32()), pa.array([v for _, v in rows], pa.binary())],
                                                  ["row", "part"])
@@ -477,14 +495,15 @@ def _mark_group(df: DataFrame, docs: DataFrame, items: list[tuple], text_col: st
     vocabulary = sorted({w for t in words for w in t})
     index = {w: i for i, w in enumerate(vocabulary)}
     size = max(2, round(float(np.median([len(w) for w in words])) / BLOCK)) * BLOCK
-    encoded = reliable_checkpoint(encode_passages(docs, index, size), "svd-passages")
-    counts, n = document_frequencies(encoded, len(vocabulary))
-    idf = term_weights(counts, n, words, vocabulary)
-    rank = rank or max(RANK, len(items) // ITEMS_PER_RANK)
-    # items weigh as much as the documents, else the space would hold the corpus' common themes alone
-    weight = max(1.0, ITEM_WEIGHT * n / len(items))
-    own = encode_passages(df.sparkSession.createDataFrame([(" ".join(w),) for w in words], "text string").coalesce(1), index, size)
-    latent = fit_latent(encoded.withColumn("weight", F.lit(1.0)).union(own.withColumn("weight", F.lit(weight))), idf, rank)
+    with small_batches(df.sparkSession):
+        encoded = reliable_checkpoint(encode_passages(docs, index, size), "svd-passages")
+        counts, n = document_frequencies(encoded, len(vocabulary))
+        idf = term_weights(counts, n, words, vocabulary)
+        rank = rank or max(RANK, len(items) // ITEMS_PER_RANK)
+        # items weigh as much as the documents, else the space would hold the corpus' common themes alone
+        weight = max(1.0, ITEM_WEIGHT * n / len(items))
+        own = encode_passages(df.sparkSession.createDataFrame([(" ".join(w),) for w in words], "text string").coalesce(1), index, size)
+        latent = fit_latent(encoded.withColumn("weight", F.lit(1.0)).union(own.withColumn("weight", F.lit(weight))), idf, rank)
     model = df.sparkSession.sparkContext.broadcast((items, index, idf, latent, limits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -125,7 +125,12 @@ def test_the_space_is_fitted_on_the_passages_of_all_documents(spark, monkeypatch
     assert np.allclose(matrix(), np.triu(want))
     monkeypatch.setattr(decontaminate, "CELLS", 200)
     assert np.allclose(matrix(), np.triu(want))
-    latent = decontaminate.fit_latent(encoded, idf, 60)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    with decontaminate.small_batches(spark):
+        assert int(spark.conf.get(key)) == decontaminate.BATCH_BYTES
+        latent = decontaminate.fit_latent(encoded, idf, 60)
+    assert spark.conf.get(key) == before
     assert np.allclose(latent.T @ want @ latent, np.diag(np.linalg.eigvalsh(want)[::-1][:latent.shape[1]]), atol=1e-6)
 
 
