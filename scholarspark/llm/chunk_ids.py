@@ -6,9 +6,10 @@ from __future__ import annotations
 import re
 import sys
 from collections.abc import Callable, Iterator
-from itertools import count
+from itertools import count, repeat
 
 import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 
 from scholarspark.llm.common import spaced_chunks
@@ -58,29 +59,42 @@ class IdTable:
         self.table: dict[str, int] = {}
         self.values, self.starts, self.lengths = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def ids(self, strings: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all strings, one behind the other, and how many each has."""
+    def ids(self, strings: list[str], order: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all strings, one behind the other, and how many each has. With ``order``, of those that it names; each of
+        ``strings`` stands there once then."""
         if len(self.table) > self.most_strings or len(self.values) > self.most_ids:
             self.clear()
         base = len(self.lengths)
-        codes = np.fromiter(map(self.table.setdefault, strings, count(base)), np.int64, len(strings))
-        fresh = codes >= base
-        first = np.unique(codes[fresh]) - base                    # where each new string stands first
+        if order is None:
+            codes = np.fromiter(map(self.table.setdefault, strings, count(base)), np.int64, len(strings))
+            fresh = codes >= base
+            first = np.unique(codes[fresh]) - base                # where each new string stands first
+        else:                                                     # each stands once
+            codes = np.fromiter(map(self.table.get, strings, repeat(base)), np.int64, len(strings))
+            fresh = codes >= base
+            first = np.flatnonzero(fresh)
         new = [strings[i] for i in first.tolist()]
         if new:
-            place = np.zeros(len(strings), np.int64)
-            place[first] = np.arange(base, base + len(new))
-            codes[fresh] = place[codes[fresh] - base]
+            if order is None:
+                place = np.zeros(len(strings), np.int64)
+                place[first] = np.arange(base, base + len(new))
+                codes[fresh] = place[codes[fresh] - base]
+            else:
+                codes[fresh] = np.arange(base, base + len(new))
             ids, lengths = self.encode_many(new)
             self.starts = np.append(self.starts, len(self.values) + np.cumsum(lengths) - lengths)
             self.lengths = np.append(self.lengths, lengths)
             self.values = np.append(self.values, ids.astype(np.int32))
-            for string, code in zip(new, range(base, base + len(new))):
-                self.table[string] = code
+            self.table.update(zip(new, range(base, base + len(new))))
+            for string in new if max(map(len, new)) > KEPT_CHARS else ():
                 if len(string) > KEPT_CHARS:
                     del self.table[string]
         lengths = self.lengths[codes]
-        return self.values[spread(self.starts[codes], lengths)], lengths
+        ids = self.values[spread(self.starts[codes], lengths)]
+        if order is None:
+            return ids, lengths
+        lists = pa.ListArray.from_arrays(np.append(0, np.cumsum(lengths)).astype(np.int32), ids).take(pa.array(order))
+        return lists.flatten().to_numpy(), lengths[order]
 
 
 class ChunkIds:

@@ -63,6 +63,37 @@ def test_chunks_equal_whole_texts(monkeypatch):
             assert counts.tolist() == [len(e) for e in expected] and ids.tolist() == [i for e in expected for i in e]
 
 
+def test_latin_pieces_are_matches_of_the_pattern(monkeypatch):
+    """Texts cut at once in numpy: as the pattern cuts each; ids as the library's, tables emptied on the way; known pieces do not
+    go to the model again."""
+    assert token_files.BYTE_LEVEL == public_tokenizers.PATTERN
+    rng = random.Random(4)
+    letters = [*" \n\t'", "  ", " '", "''", "'s", "'t", "'re", "'ve", "'m", "'ll", "'d", "'S", "r", "v", "e", "l", "s", "x", "é", "ß", "7", "²", "\xa0",
+               "!", "\x0b", "\r", "\x7f", "\x00", "_", "\xad", "the"]
+    texts = ["".join(rng.choice(letters[:-1]) for _ in range(rng.randrange(14))) for _ in range(20_000)]
+    findall = token_files.regex.compile(public_tokenizers.PATTERN).findall
+    for some in (texts, [t for t in texts if t.isascii()], [""], ["", "", "a"], ["'"], ["a'r", "'", "'s", "'l", "l"]):
+        pieces, ends = token_files.latin_pieces(token_files.END.join([*some, ""]))
+        assert pieces.to_pylist() == [p for t in some for p in (*findall(t), token_files.END)]
+        assert np.diff(np.append(-1, ends)).tolist() == [len(findall(t)) + 1 for t in some]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    mixed = texts[:3000] + ["漢 'll", "a\x1c b", "\x1f", "x\x85y", "<|endoftext|>", "é\u0301", None, "", "word " * 50] * 30
+    rng.shuffle(mixed)
+    monkeypatch.setattr(token_files, "CHARS", 700)
+    library, tok = token_files.library_encoder(path, public_tokenizers.PATTERN), Tokenizer.from_file(path)
+    library.pieces.most_strings = 500
+    want = [tok.encode(t or "", add_special_tokens=False).ids for t in mixed]
+    ids, counts = library.encode(mixed)
+    assert counts.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    asked = []
+    model = library.pieces.encode_many
+    library.pieces.encode_many = lambda pieces: asked.append(pieces) or model(pieces)
+    library.pieces.clear()
+    library.encode(["plain words.", "words, plain words"])
+    library.encode(["more plain words."])
+    assert sorted(sum(asked, [])) == sorted(["plain", " words", ".", "", "words", ",", " plain", "more"])
+
+
 def test_lookahead_is_bounded(machine):
     data = b"antidisestablishmentarianism" * 40
     assert machine.encode(data, window=64) == machine.encode(data, window=10 ** 9)
