@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scholarspark.llm.chunk_ids import spread
-from scholarspark.llm.common import release_worker_state
+from scholarspark.llm.common import gives_back
 from scholarspark.session import reliable_checkpoint
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -125,6 +125,7 @@ def encode_passages(docs: DataFrame, index: dict[str, int], size: int) -> DataFr
                                            *(pa.array([c.astype("<i4").tobytes()], pa.binary()) for c in columns)],
                                           ["docs", "ids", "per_doc", "per_passage"])
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, words = [], 0
         for batch in batches:
@@ -147,6 +148,7 @@ def _unpacked(row: dict, *columns: str) -> list[np.ndarray]:
 
 def document_frequencies(encoded: DataFrame, n_terms: int) -> tuple[np.ndarray, int]:
     """Documents that hold each term, and documents in all; a partial count from each task."""
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, n = np.zeros(n_terms + 1, np.int64), 0
         for batch in batches:
@@ -212,6 +214,7 @@ def shared_terms(encoded: DataFrame, idf: np.ndarray) -> DataFrame:
         cuts.append(max(cuts[-1] + 1, int(np.searchsorted(before, before[cuts[-1]] + CELLS, "right")) - 1))
 
     def partial_sums(low: int, high: int):
+        @gives_back
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # made here: arrays that were pickled carry types of their own, with which ``add.at`` takes ten times as long
             own = np.frombuffer(sent)
@@ -245,6 +248,7 @@ def shared_terms(encoded: DataFrame, idf: np.ndarray) -> DataFrame:
                                                  ["row", "part"])
         return run
 
+    @gives_back
     def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
@@ -267,6 +271,7 @@ def fit_latent(encoded: DataFrame, idf: np.ndarray, rank: int) -> np.ndarray:
 
     def product(right: np.ndarray) -> np.ndarray:
         """A'A right."""
+        @gives_back
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = np.zeros(right.shape)
             for batch in batches:
@@ -506,8 +511,8 @@ def _mark_group(df: DataFrame, docs: DataFrame, items: list[tuple], text_col: st
         latent = fit_latent(encoded.withColumn("weight", F.lit(1.0)).union(own.withColumn("weight", F.lit(weight))), idf, rank)
     model = df.sparkSession.sparkContext.broadcast((items, index, idf, latent, limits))
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_worker_state()
         searcher = Searcher(*model.value)
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("cosine", pa.float64()), ("lcs", pa.float64()),
                                    ("answer", pa.float64()), ("word", pa.int32())]))

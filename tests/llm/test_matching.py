@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from odd_tables import no_docs, odd_docs  # noqa: F401
-from scholarspark.llm import bpe, components, decontaminate, lsh_forest, suffix_dedup, toxicity
+from scholarspark.llm import bpe, common, components, decontaminate, lsh_forest, suffix_dedup, toxicity
 
 
 def words(rng, n):
@@ -371,3 +371,25 @@ def test_pipeline_decodes_what_it_encodes(spark, odd_docs, monkeypatch):
                         lambda *a, **k: real(*a, **k).withColumn("decoded", F.concat("decoded", F.lit("x"))))
     with pytest.raises(Exception, match="differs after encoding"):
         corpus_pipeline.encode(spark, odd_docs, "").collect()
+
+
+def test_workers_give_memory_back():
+    """Blocks freed below one that is still held would stay with the process; what another operator left goes, too."""
+    def resident():
+        with open("/proc/self/statm") as f:
+            return int(f.read().split()[1]) * 4096
+
+    held = []
+
+    def run(batches):
+        for _ in batches:
+            blocks = [bytes(1000) for _ in range(200_000)]
+            held.append(blocks[-1])
+            yield len(blocks)
+
+    common.worker_state(("other operator",), lambda: 1)
+    before = resident()
+    assert list(common.gives_back(run)(iter([0]))) == [200_000]
+    assert resident() - before < 100_000_000
+    assert common.worker_state(("other operator",), lambda: 2) == 2
+    common.release_worker_state()
