@@ -19,6 +19,7 @@ import base64
 import struct
 import sys
 from collections.abc import Iterable, Iterator
+from functools import partial
 from itertools import count
 
 import numpy as np
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from scholarspark.llm.chunk_ids import ChunkIds, joined_matches, spread
-from scholarspark.llm.common import worker_state
+from scholarspark.llm.common import gives_back, worker_state
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -387,6 +388,7 @@ def encode_documents(df: DataFrame, ranks_path: str, pattern: str, id_col: str =
     and other columns are of no concern (rows are encoded one by one, only id and text are read).
     ``ranks_path`` must be readable on the executors.
     """
+    @partial(gives_back, keep="bpe")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunks = worker_state(("bpe", "chunks", ranks_path, pattern), lambda: chunk_encoder(_ranks(ranks_path), pattern))
         for batch in batches:
@@ -411,6 +413,7 @@ def decode_documents(df: DataFrame, ranks_path: str, ids_col: str = "ids", block
     ``decoded`` is replaced."""
     df = df.drop("decoded")
 
+    @partial(gives_back, keep="bpe")
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(ids_col)

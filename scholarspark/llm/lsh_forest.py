@@ -28,7 +28,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scholarspark.llm.common import release_worker_state, row_key
+from scholarspark.llm.common import gives_back, row_key
 from scholarspark.llm.components import components
 from scholarspark.session import reliable_checkpoint
 
@@ -97,8 +97,8 @@ def start_depth(threshold: float, recall: float, trees: int, depth: int) -> int:
 
 def signatures(docs: DataFrame, words: int, trees: int, depth: int) -> DataFrame:
     """(rid, id, set_key, labels): digest of the set, and the labels, ``depth`` 4-byte values a tree."""
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_worker_state()
         cache, (xor, factor) = WordHashes(), _permutations(trees, depth)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS):
@@ -192,6 +192,7 @@ def _verify(rows: DataFrame, threshold: float, depth: int, trees: int) -> DataFr
              pa.array(links[keep].astype(np.int64)), pa.array(count[keep].astype(np.int64)), pa.array(expected[keep])],
             ["rep", "root", "links", "found", "expected"])
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, key = [], None
         for batch in batches:
@@ -217,6 +218,7 @@ def _verify(rows: DataFrame, threshold: float, depth: int, trees: int) -> DataFr
 
 def _sets(rows: DataFrame, words: int) -> DataFrame:
     """(rep, copies, comp, size, shingles) from (rep, copies, comp, size, text)."""
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordHashes()
         for batch in batches:

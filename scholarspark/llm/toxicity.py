@@ -24,7 +24,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scholarspark.llm.common import release_worker_state
+from scholarspark.llm.common import gives_back
 from scholarspark.session import reliable_checkpoint
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -74,6 +74,7 @@ def sample_labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: s
 
 def document_counts(train: DataFrame) -> DataFrame:
     """(feature, y, n): training documents of each label that hold a feature."""
+    @gives_back
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: Counter = Counter()
         for batch in batches:
@@ -115,6 +116,7 @@ def choose_features(train: DataFrame, features: int) -> tuple[list[str], np.ndar
 def bags(train: DataFrame, names: list[str]) -> DataFrame:
     """A training document as (y, sentences, sizes, ids): sentences in all, and for those that hold features the
     number of them and their indices."""
+    @gives_back
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = {f: i for i, f in enumerate(names)}
         for batch in batches:
@@ -139,6 +141,7 @@ def _softplus(z: np.ndarray) -> np.ndarray:
 
 def gradient(bag: DataFrame, w: np.ndarray, bias: float) -> tuple[np.ndarray, float, float]:
     """Gradient of the negative log-likelihood, of its bias, and the likelihood; one row from each task."""
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g, gb, loss = np.zeros(len(w)), 0.0, 0.0
         for batch in batches:
@@ -211,8 +214,8 @@ def score_documents(df: DataFrame, weights: dict[str, float], bias: float, text_
                 self[word] = x
             return x
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        release_worker_state()
         words = Words()
         spans_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("p", pa.float64())]))
         for batch in batches:

@@ -4,6 +4,7 @@ import math
 import random
 import re
 import struct
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -267,6 +268,24 @@ def test_repeats(spark, odd_docs, length, hot, chunk, monkeypatch):
     assert Counter((r["doc_id"], bytes(r["kept"]), len(r["spans"])) for r in got) == brute_spans(rows, length)
 
 
+def test_windows_of_a_large_group_take_bounded_memory():
+    """8 MB of near copies, as one key may have them: every array over all bytes would take 64 MB, and one a power of two 500."""
+    rng = np.random.default_rng(3)
+    same = rng.integers(97, 123, 600, np.uint8).tobytes()
+    context = [same[:300] + bytes(rng.integers(97, 123, 300, np.uint8)) for _ in range(14_000)] + [same]
+    tracemalloc.start()
+    h, n = suffix_dedup._windows(context, 240)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100_000_000 and n.tolist() == [361] * 14_001 and len(h) == 361 * 14_001
+    owner, inside = suffix_dedup._places(n, np.arange(len(h)))
+    assert (owner == np.repeat(np.arange(14_001), 361)).all() and (inside == np.tile(np.arange(361), 14_001)).all()
+    for i in (0, 7_000, 14_000):
+        alone, = suffix_dedup.gram_hashes(np.frombuffer(context[i], np.uint8), 240)
+        assert (h[361 * i:361 * (i + 1)] == alone).all()
+    assert len(np.unique(h.reshape(14_001, 361)[:, :61])) == 61      # windows of the shared part, alike in all
+
+
 def test_repeats_keep_columns(odd_docs, no_docs):
     marked = suffix_dedup.mark_repeats(odd_docs)
     assert set(odd_docs.columns) <= set(marked.columns) and marked.count() == odd_docs.count()
@@ -393,3 +412,10 @@ def test_workers_give_memory_back():
     assert resident() - before < 100_000_000
     assert common.worker_state(("other operator",), lambda: 2) == 2
     common.release_worker_state()
+
+
+def test_workers_keep_what_their_operator_needs_again():
+    common.worker_state(("own", "table"), lambda: 1)
+    assert list(common.gives_back(lambda batches: batches, keep="own")(iter([0]))) == [0]
+    assert common.worker_state(("own", "table"), lambda: 2) == 1
+    common.release_worker_state()
